@@ -1,0 +1,75 @@
+"""Tell how a text file is delimited and encoded. Runs inside a task, on one file's bytes."""
+
+from __future__ import annotations
+
+import codecs
+import csv
+import io
+from typing import NamedTuple
+
+# The delimiters tried, in order of preference, and the sample they are judged on.
+DELIMITERS = ",;\t|"
+SAMPLE_CHARS = 4096
+
+# Spark's names of the encodings, by byte order mark.
+_MARKS = (
+    (codecs.BOM_UTF8, "UTF-8"),
+    (codecs.BOM_UTF16_LE, "UTF-16"),
+    (codecs.BOM_UTF16_BE, "UTF-16"),
+)
+
+
+class TextLayout(NamedTuple):
+    separator: str
+    encoding: str
+    multi_line: bool
+    header: list[str]
+
+
+def encoding_of(content: bytes) -> str:
+    """By byte order mark, else UTF-8 if all of the content is that, else Latin-1."""
+    for mark, name in _MARKS:
+        if content.startswith(mark):
+            return name
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    try:
+        for start in range(0, len(content), 1 << 20):
+            decoder.decode(content[start : start + (1 << 20)])
+        decoder.decode(b"", final=True)
+    except UnicodeDecodeError:
+        return "ISO-8859-1"
+    return "UTF-8"
+
+
+def delimiter_of(sample: str) -> str:
+    """The delimiter the sample is split by; a comma where none can be told."""
+    try:
+        return csv.Sniffer().sniff(sample, delimiters=DELIMITERS).delimiter
+    except csv.Error:
+        return DELIMITERS[0]
+
+
+def layout_of(content: bytes, encoding: str | None = None) -> TextLayout:
+    """Layout of a file; ``encoding`` where it has been told by other means."""
+    encoding = encoding or encoding_of(content)
+    if encoding != "UTF-16" and b"\x00" in content:
+        raise ValueError("neither a workbook nor text")
+    codec = {"UTF-8": "utf-8-sig", "UTF-16": "utf-16", "ISO-8859-1": "latin-1"}[encoding]
+    stream = io.TextIOWrapper(io.BytesIO(content), encoding=codec, newline="")
+    separator = delimiter_of(stream.read(SAMPLE_CHARS))
+    stream.seek(0)
+    header = next((row for row in csv.reader(stream, delimiter=separator) if row), None)
+    if header is None:
+        raise ValueError("no columns to parse from file")
+    return TextLayout(separator, encoding, _needs_whole_file(content, encoding), header)
+
+
+def _needs_whole_file(content: bytes, encoding: str) -> bool:
+    """May Spark not split the file at line ends?
+
+    So it is where a quoted cell runs over several lines, told by a line with an odd number
+    of quotes, and in UTF-16, whose line ends are not single bytes.
+    """
+    if encoding == "UTF-16":
+        return True
+    return b'"' in content and any(line.count(b'"') % 2 for line in io.BytesIO(content))
