@@ -2,7 +2,7 @@
 
 from tierforge.operators.conform import add_audit, conform
 from tierforge.operators.dedupe import dedupe_on_keys, require_unique
-from tierforge.operators.merge import key_predicate, merge_rows
+from tierforge.operators.merge import key_predicate, merge_rows, unique_rows
 from tierforge.operators.quality import require_not_null, split_not_null
 from tierforge.operators.summary import Sum, flag_orphans, summarise_with_lookup
 
@@ -18,4 +18,5 @@ __all__ = [
     "require_unique",
     "split_not_null",
     "summarise_with_lookup",
+    "unique_rows",
 ]

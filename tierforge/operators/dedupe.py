@@ -30,7 +30,7 @@ def dedupe_on_keys(
     """
     if not keys:
         raise ValueError("dedupe needs at least one key column")
-    skip = set(keys) | set(ignore)
+    skip = {*keys, *ignore, *(o for o in order_by if isinstance(o, str))}
     order = [F.col(o) if isinstance(o, str) else o for o in order_by]
     order += [quoted(c) for c in df.columns if c not in skip]
     rank = F.row_number().over(

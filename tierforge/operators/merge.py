@@ -23,6 +23,37 @@ def key_predicate(left: str, right: str, keys: Sequence[str]) -> Column:
     return reduce(and_, (F.col(f"{left}.`{k}`") == F.col(f"{right}.`{k}`") for k in keys))
 
 
+def merge_options(contract: Contract) -> dict:
+    """How rows are merged into a contract's table.
+
+    The load time is equal in all rows of a load and does not order them; columns that are
+    new in the source widen the table.
+    """
+    return {
+        "ignore": (AUDIT_COLUMN,),
+        "duplicates": "first" if contract.dedupe else "raise",
+        "add_columns": True,
+    }
+
+
+def unique_rows(
+    source: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str | Column] = (),
+    ignore: Sequence[str] = (),
+    duplicates: str = "first",
+) -> DataFrame:
+    """One row per key, and every row that has a NULL key, since those match nothing."""
+    if duplicates not in ("first", "raise"):
+        raise ValueError(f"unknown way with duplicate keys: {duplicates!r}")
+    keyed = source.where(all_present(keys))
+    if duplicates == "first":
+        keyed = dedupe_on_keys(keyed, keys, order_by, ignore)
+    else:
+        keyed = require_unique(keyed, keys)
+    return keyed.unionByName(source.where(~all_present(keys)))
+
+
 def merge_rows(
     target: DataFrame | None,
     source: DataFrame,
@@ -50,78 +81,52 @@ def merge_rows(
     the inserts are an anti join against the matched keys only, so a source small enough
     to broadcast leaves a large target where it is, and a hot target key is split.
     """
-    _check(target, source, keys, duplicates, add_columns)
-    loose = None
+    check_merge(target, source, keys, add_columns)
+    key_columns = [quoted(k) for k in keys]
+    # Taken before the rows are made unique, so that this scan reads the keys alone.
+    offered = source.select(*key_columns)
     if duplicates != "trust":
-        keyed = all_present(keys)
-        loose = source.where(~keyed)
-        source = source.where(keyed)
-        if duplicates == "first":
-            source = dedupe_on_keys(source, keys, order_by, ignore)
-        else:
-            source = require_unique(source, keys)
+        offered = offered.distinct()
+        source = unique_rows(source, keys, order_by, ignore, duplicates)
     if target is None:
-        return source if loose is None else source.unionByName(loose)
+        return source
 
     types = {f.name: f.dataType for f in source.schema.fields}
     types |= {f.name: f.dataType for f in target.schema.fields}
     columns = list(target.columns) + [c for c in source.columns if c not in target.columns]
+    keyed, keyless = source.where(all_present(keys)), source.where(~all_present(keys))
+
+    incoming = keyed.select(
+        *(quoted(c).alias(_IN + c) for c in source.columns), F.lit(True).alias(_HIT)
+    )
+    on = reduce(and_, (quoted(k) == quoted(_IN + k) for k in keys))
+
+    def updated(c: str) -> Column:
+        old = quoted(c) if c in target.columns else F.lit(None).cast(types[c])
+        if c not in source.columns:
+            return old.alias(c)
+        return F.when(quoted(_HIT), quoted(_IN + c).cast(types[c])).otherwise(old).alias(c)
 
     def inserted(rows: DataFrame) -> DataFrame:
-        present = set(rows.columns)
         return rows.select(
             *(
-                (quoted(c) if c in present else F.lit(None)).cast(types[c]).alias(c)
+                (quoted(c) if c in source.columns else F.lit(None)).cast(types[c]).alias(c)
                 for c in columns
             )
         )
 
-    incoming = source.select(*(quoted(c).alias(_IN + c) for c in source.columns)).withColumn(
-        _HIT, F.lit(True)
-    )
-    on = reduce(and_, (quoted(k) == quoted(_IN + k) for k in keys))
-
-    def updated(c: str) -> Column:
-        if c not in source.columns:
-            return quoted(c)
-        new = quoted(_IN + c).cast(types[c])
-        old = quoted(c) if c in target.columns else F.lit(None).cast(types[c])
-        return F.when(quoted(_HIT), new).otherwise(old).alias(c)
-
     kept = target.join(incoming, on, "left").select(*(updated(c) for c in columns))
-
-    key_columns = [quoted(k) for k in keys]
-    held = target.select(*key_columns)
-    matched = held.join(source.select(*key_columns), list(keys), "left_semi").distinct()
-    fresh = inserted(source.join(matched, list(keys), "left_anti"))
-    result = kept.unionByName(fresh)
-    return result if loose is None else result.unionByName(inserted(loose))
-
-
-def merge_options(contract: Contract) -> dict:
-    """How rows are merged into a contract's table.
-
-    The load time is equal in all rows of a load and does not order them; columns that are
-    new in the source widen the table.
-    """
-    return {
-        "ignore": (AUDIT_COLUMN,),
-        "duplicates": "first" if contract.dedupe else "raise",
-        "add_columns": True,
-    }
+    matched = target.select(*key_columns).join(offered, list(keys), "left_semi").distinct()
+    fresh = keyed.join(matched, list(keys), "left_anti")
+    return kept.unionByName(inserted(fresh)).unionByName(inserted(keyless))
 
 
-def _check(
-    target: DataFrame | None,
-    source: DataFrame,
-    keys: Sequence[str],
-    duplicates: str,
-    add_columns: bool,
+def check_merge(
+    target: DataFrame | None, source: DataFrame, keys: Sequence[str], add_columns: bool
 ) -> None:
+    """Raise where a merge cannot make sense, before any job runs."""
     if not keys:
         raise ValueError("a merge needs at least one key column")
-    if duplicates not in ("first", "raise", "trust"):
-        raise ValueError(f"unknown way with duplicate keys: {duplicates!r}")
     for side, df in (("source", source), ("target", target)):
         missing = [k for k in keys if df is not None and k not in df.columns]
         if missing:

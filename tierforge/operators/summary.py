@@ -54,14 +54,23 @@ def summarise_with_lookup(
 
 
 def flag_orphans(
-    fact: DataFrame, lookup: DataFrame, key: str, flag: str = "is_orphan", lookup_key: str | None = None
+    fact: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    flag: str = "is_orphan",
+    *,
+    lookup_key: str | None = None,
+    lookup_unique: bool = False,
 ) -> DataFrame:
     """Add a boolean column: does the row's key have no counterpart in the lookup?
 
-    The lookup is reduced to its distinct keys, so the join never multiplies facts. As a
-    left join it is broadcast when the keys fit, and otherwise a hot key on the fact side
-    is split at run time.
+    The lookup is reduced to its distinct keys, so the join never multiplies facts; as a
+    left join it is broadcast when those fit. Beyond that a hot key on the fact side is
+    split at run time, provided the lookup comes as it is stored: say ``lookup_unique`` of
+    one that holds each key once, and no aggregation stands between it and the join.
     """
-    known = lookup.select(quoted(lookup_key or key).alias(key)).distinct().withColumn(_MATCH, F.lit(True))
-    columns = [quoted(c) for c in fact.columns]
-    return fact.join(known, key, "left").select(*columns, quoted(_MATCH).isNull().alias(flag))
+    known = lookup.select(quoted(lookup_key or key).alias(key))
+    if not lookup_unique:
+        known = known.distinct()
+    joined = fact.join(known.withColumn(_MATCH, F.lit(True)), key, "left")
+    return joined.select(*map(quoted, fact.columns), quoted(_MATCH).isNull().alias(flag))

@@ -11,7 +11,6 @@ from tierforge.contract import Contract
 from tierforge.operators.conform import add_audit, conform
 from tierforge.operators.merge import merge_options, merge_rows
 from tierforge.operators.quality import split_not_null
-from tierforge.scratch import stage
 from tierforge.sinks.tables import write_by_contract
 from tierforge.sources.files import contract_scan
 
@@ -49,11 +48,7 @@ def load_bronze(
     *,
     at: dt.datetime | None = None,
 ) -> DataFrame:
-    """Read the contract's source, write its bronze table below ``root``; returns the rejects.
-
-    The typed rows are staged once: the upsert reads its source three times, and columnar
-    files of known size serve that better than parsing the text again.
-    """
+    """Read the contract's source, write its bronze table below ``root``; returns the rejects."""
     valid, rejected = bronze_rows(contract_scan(spark, contract, roots), contract, at=at)
-    write_by_contract(stage(valid, contract.table), contract, root)
+    write_by_contract(valid, contract, root)
     return rejected

@@ -13,6 +13,7 @@ from tierforge.operators.dedupe import dedupe_on_keys
 from tierforge.operators.merge import merge_rows
 from tierforge.operators.quality import split_not_null
 from tierforge.operators.summary import flag_orphans
+from tierforge.scratch import stage
 from tierforge.sinks.tables import upsert_table
 
 
@@ -52,8 +53,11 @@ def fact_rows(
     Typed by the contract, checked for missing values, one row per key; a fact whose
     foreign key is not in ``dim`` is kept and flagged. Columns outside the contract may
     order the choice between rows of equal key and are dropped after it.
+
+    The distinct keys of ``dim`` are staged; their size then decides how they are joined.
     """
+    known = stage(dim.select(quoted(dim_key or foreign_key).alias(foreign_key)).distinct(), "keys")
     valid, rejected = split_not_null(conform(raw, contract), contract.required)
     facts = dedupe_on_keys(valid, contract.keys, order_by)
     facts = facts.select(*(quoted(c.name) for c in contract.columns))
-    return flag_orphans(facts, dim, foreign_key, lookup_key=dim_key), rejected
+    return flag_orphans(facts, known, foreign_key, lookup_unique=True), rejected

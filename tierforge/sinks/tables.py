@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 
 from tierforge.contract import Contract
 from tierforge.functions.names import quoted
-from tierforge.operators.merge import merge_options, merge_rows
+from tierforge.operators.merge import check_merge, merge_options, merge_rows, unique_rows
+from tierforge.scratch import stage
 from tierforge.sources.files import read_if_exists
 
 
@@ -74,10 +75,13 @@ def upsert_table(
     partition_by: Sequence[str] = (),
     **options,
 ) -> str:
-    """Keyed upsert into ``name``, created on the first call; returns the new snapshot."""
+    """Keyed upsert into ``name``, created on the first call; returns the new snapshot.
+
+    ``options`` are those of ``merge_rows``.
+    """
     spark = source.sparkSession
     target = spark.table(f"`{name}`") if spark.catalog.tableExists(name) else None
-    merged = merge_rows(target, source, keys, **options)
+    merged = _merged(target, source, keys, **options)
     return create_or_replace(merged, name, root, fmt, partition_by)
 
 
@@ -94,7 +98,32 @@ def upsert_path(
     """Keyed upsert of the table at ``target_path`` (which need not exist yet), written to
     ``out_path``; the caller does the switch."""
     target = read_if_exists(source.sparkSession, target_path, fmt)
-    overwrite(merge_rows(target, source, keys, **options), out_path, fmt, partition_by)
+    overwrite(_merged(target, source, keys, **options), out_path, fmt, partition_by)
+
+
+def _merged(
+    target: DataFrame | None,
+    source: DataFrame,
+    keys: Sequence[str],
+    *,
+    add_columns: bool = False,
+    duplicates: str = "first",
+    **ordering,
+) -> DataFrame:
+    """``merge_rows`` with the source made unique and staged first.
+
+    A merge reads its source several times. Staged, the source is evaluated once, its true
+    size decides whether it is broadcast, and the joins read plain shuffles, which is what
+    Spark needs in order to split a hot key.
+    """
+    check_merge(target, source, keys, add_columns)
+    if duplicates != "trust":
+        source = unique_rows(source, keys, duplicates=duplicates, **ordering)
+    if target is None:
+        return source
+    return merge_rows(
+        target, stage(source, "merge"), keys, duplicates="trust", add_columns=add_columns
+    )
 
 
 def merge_into(source: DataFrame, table: str, keys: Sequence[str]) -> None:

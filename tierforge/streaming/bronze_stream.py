@@ -10,7 +10,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tierforge.contract import Contract
 from tierforge.plans.bronze import bronze_rows
-from tierforge.scratch import stage
 from tierforge.sinks.tables import write_by_contract
 
 
@@ -45,7 +44,7 @@ def bronze_stream(
         valid, rejected = bronze_rows(batch, contract, at=at)
         kept = f"{root.rstrip('/')}/{contract.table}__rejected/batch={number}"
         rejected.write.mode("overwrite").parquet(kept)
-        write_by_contract(stage(valid, contract.table), contract, root)
+        write_by_contract(valid, contract, root)
 
     return (
         files.writeStream.foreachBatch(load)
