@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierforge.sinks.sheets import export_sheets, export_text, findings_path
+from tierforge.sinks.sheets import export_sheets, export_text
 from tierforge.sources.delimited import large_text_group, text_groups
 from tierforge.sources.spreadsheets import PARSED, SPREADSHEET_GLOB, discover, parse_files
 
@@ -31,10 +31,8 @@ def spreadsheet_ingest(
     such a file does not stop the others.
     """
     files, large = discover(spark, src, glob)
-    export_sheets(parse_files(files, first_sheet_only), src, dst, first_sheet_only, encoding)
-
-    schema = ", ".join(c for c in PARSED.split(", ") if not c.startswith("cells "))
-    found = spark.read.schema(schema).json(findings_path(dst))
+    parsed = parse_files(files, first_sheet_only)
+    found = _findings(spark, export_sheets(parsed, src, dst, first_sheet_only, encoding))
     groups = list(text_groups(found))
     failures = []
     for file in large.collect():
@@ -68,3 +66,13 @@ def spreadsheet_ingest(
             )
         )
     return reduce(DataFrame.unionByName, parts)
+
+
+def _findings(spark: SparkSession, path: str) -> DataFrame:
+    schema = ", ".join(c for c in PARSED.split(", ") if not c.startswith("cells "))
+    try:
+        return spark.read.schema(schema).json(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

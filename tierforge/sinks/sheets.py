@@ -4,7 +4,7 @@ Layout below the destination, all values of which are partition columns on readi
 
     kind=csv/folder=<subfolder or _root>/file=<workbook>__<nr>_<sheet slug>.csv/part-...
     kind=csv/folder=.../file=<text file>.csv/part-...
-    kind=findings/...                      what parse_files found, as JSON lines
+    kind=findings/folder=<run>/...         what parse_files found in that run, as JSON lines
 
 File names keep the whole workbook name and the sheet's number, so that ``a.xls`` next to
 ``a.xlsx``, or two sheets whose names slug alike, never share a file.
@@ -12,6 +12,8 @@ File names keep the whole workbook name and the sheet's number, so that ``a.xls`
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,24 +38,23 @@ def export_path(dst: str, glob: str = "*.csv") -> str:
     return f"{dst.rstrip('/')}/kind=csv/folder=*/file={glob}"
 
 
-def findings_path(dst: str) -> str:
-    return f"{dst.rstrip('/')}/kind=findings"
-
-
 def export_sheets(
     parsed: DataFrame,
     root: str,
     dst: str,
     first_sheet_only: bool = False,
     encoding: str = "utf-8-sig",
-) -> None:
+) -> str:
     """Write the sheets' rows as CSV and all other records as findings, in one pass.
 
+    Returns the folder of this run's findings, which is absent if no file was found.
+
     A sheet is parsed by one task and sorted there, so it becomes one file, header first;
     tasks write side by side and nothing is shuffled. As in any dynamic overwrite, only the
     files written now are replaced.
     """
     charset = _charset(encoding)
+    run = uuid.uuid4().hex
     folder, book = split_path(F.col("path"), root)
     sheet = F.concat(F.lit("__"), F.col("sheet_idx").cast("string"), F.lit("_"), slug(F.col("sheet")))
     name = F.concat(book, F.lit("") if first_sheet_only else sheet, F.lit(".csv"))
@@ -67,7 +68,7 @@ def export_sheets(
     (
         parsed.select(
             F.when(is_row, "csv").otherwise("findings").alias("part"),
-            _known(F.when(is_row, folder)).alias("folder"),
+            _known(F.when(is_row, folder).otherwise(run)).alias("folder"),
             _known(F.when(is_row, name)).alias("file"),
             F.coalesce("row_idx", F.lit(0)).alias("row_idx"),
             F.when(is_row, line).otherwise(finding).alias("value"),
@@ -80,6 +81,7 @@ def export_sheets(
         .partitionBy("kind", "folder", "file")
         .text(dst)
     )
+    return f"{dst.rstrip('/')}/kind=findings/folder={run}"
 
 
 def export_text(rows: DataFrame, root: str, dst: str, encoding: str = "utf-8-sig") -> None:

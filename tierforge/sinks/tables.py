@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,17 +30,9 @@ from tierforge.sources.files import read_if_exists
 def overwrite(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> None:
-    """Replace everything at ``path``; refuses a path that ``df`` itself reads.
-
-    With partition columns the rows are first brought together by them, else every task
-    would add a file to every partition. The rebalance hint does so adaptively: it splits
-    a partition that holds much of the table into several files and packs small ones.
-    """
-    if read_if_exists(df.sparkSession, path, fmt) is not None:
-        _refuse_own_input(df, path)
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    df.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(path)
+    """Replace everything at ``path``; refuses a path that ``df`` itself reads."""
+    _refuse_own_input(df, path)
+    _write(df, path, fmt, partition_by)
 
 
 def create_if_missing(
@@ -60,7 +53,7 @@ def create_or_replace(
     """Make ``name`` show ``df``'s rows; returns the folder of the new snapshot."""
     stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
     path = f"{root.rstrip('/')}/{name}/{stamp}-{uuid.uuid4().hex[:8]}"
-    overwrite(df, path, fmt, partition_by)
+    _write(df, path, fmt, partition_by)
     df.sparkSession.sql(f"CREATE OR REPLACE VIEW `{name}` AS SELECT * FROM {fmt}.`{path}`")
     return path
 
@@ -151,8 +144,30 @@ def write_by_contract(df: DataFrame, contract: Contract, root: str, fmt: str = "
     return create_or_replace(df, contract.table, root, fmt, contract.partitions)
 
 
+def _write(df: DataFrame, path: str, fmt: str, partition_by: Sequence[str]) -> None:
+    """Write the rows, those of a partition together.
+
+    Left where they are, every task would add a file to every partition. The rebalance hint
+    moves them adaptively: a partition that holds much of the table is split into several
+    tasks and files, and small ones share a task.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    df.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(path)
+
+
 def _refuse_own_input(df: DataFrame, path: str) -> None:
-    folder = "/" + path.split(":", 1)[-1].strip("/") + "/"
-    own = next((f for f in df.inputFiles() if folder in f.split(":", 1)[-1]), None)
-    if own is not None:
-        raise ValueError(f"refusing to overwrite {path}: the rows to be written are read from it")
+    folder = _plain(path) + "/"
+    for file in df.inputFiles():
+        source = _plain(unquote(file))
+        if source.startswith(folder) or (not _absolute(path) and folder in source):
+            raise ValueError(f"refusing to overwrite {path}: the rows to be written are read from it")
+
+
+def _absolute(path: str) -> bool:
+    return path.startswith("/") or ":" in path
+
+
+def _plain(path: str) -> str:
+    """A path without its scheme and with single slashes at the start."""
+    return "/" + (path.split(":", 1)[1] if ":" in path.split("/", 1)[0] else path).strip("/")
