@@ -96,6 +96,15 @@ def test_refusals_before_any_job(spark):
         merge_rows(t, s, ["k"])
 
 
+def test_keys_known_to_be_present_take_no_second_scan(spark):
+    s = spark.createDataFrame([(1, "b"), (1, "a")], "k int, v string")
+    out = merge_rows(None, s, ["k"], keys_present=True)
+    assert rows(out) == [(1, "a")] and "Union" not in plan(out)
+    out = merge_rows(s.limit(1), s, ["k"], keys_present=True)
+    assert plan(out).count("Union") == 1 and plan(out).count("isnull(k") == 0
+    assert rows(out) == [(1, "a")]
+
+
 def test_key_predicate(spark):
     t = spark.createDataFrame([(1, 1), (1, None)], "a int, b int")
     joined = t.alias("t").join(t.alias("s"), key_predicate("t", "s", ["a", "b"]))

@@ -7,10 +7,6 @@ import __spark_entry__ as entry
 from check import TABLES, rows_of, types_of
 from tests.conftest import SF
 
-# Thousands of day folders: minutes on a local disk, so left to check.py.
-SLOW = {"table_scan_write"}
-
-
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
@@ -27,7 +23,7 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, duck, name):
     actual = entry.queries()[name](spark, SF).toArrow()
     expected = duck.sql(entry.oracle_sql()[name]).to_arrow_table()

@@ -1,4 +1,6 @@
 import io
+import subprocess
+import sys
 import zipfile
 
 import pytest
@@ -258,3 +260,25 @@ def test_unknown_encoding(spark, tmp_path):
 
 def test_parsing_needs_no_shuffle(spark, folder):
     assert "Exchange" not in plan(findings(spark, folder))
+
+
+def test_the_parser_runs_where_the_package_is_not_installed(tmp_path):
+    from pyspark import cloudpickle
+
+    from tierforge.sources import spreadsheets
+
+    (tmp_path / "parser").write_bytes(cloudpickle.dumps(spreadsheets._parser(False)))
+    (tmp_path / "book").write_bytes(workbook_bytes([("s", [["a"], ["1"], ["2"]])]))
+    script = """
+import pickle, pandas as pd
+parse = pickle.load(open("parser", "rb"))
+files = pd.DataFrame({"path": ["a", "b", "c"], "content": [open("book", "rb").read(), b"x;y\\n1;2", b""]})
+out = pd.concat(parse([files]))
+print(*out["kind"])
+try:
+    import tierforge
+except ImportError:
+    print("alone")
+"""
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, env={})
+    assert done.stdout.split() == ["sheet", "row", "row", "row", "text", "failed", "alone"], done.stderr

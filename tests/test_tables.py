@@ -10,6 +10,7 @@ from tierforge.sinks import (
     create_or_replace,
     merge_into,
     overwrite,
+    upsert_native,
     upsert_table,
     write_by_contract,
 )
@@ -112,16 +113,23 @@ def test_write_mode_decides(spark, name, tmp_path):
     assert rows(spark.table(name)) == [(0,)]
 
 
-def test_native_merge_needs_a_format_that_has_one(spark, name, tmp_path):
-    spark.range(2).write.parquet(f"{tmp_path}/t")
-    spark.sql(f"CREATE TABLE native_{name} USING parquet LOCATION '{tmp_path}/t'")
+def test_native_upsert_creates_and_then_needs_a_format_with_merge(spark, name):
+    table, df = f"native_{name}", spark.createDataFrame([(1, "b", 5), (1, "a", 5)], "id int, v string, p int")
     try:
+        upsert_native(df, table, ["id"], fmt="parquet", partition_by=["p"])
+        assert rows(spark.table(table)) == [(1, "a", 5)]
         with pytest.raises(Exception, match="MERGE INTO TABLE"):
-            merge_into(spark.range(3), f"native_{name}", ["id"])
+            upsert_native(df, table, ["id"], fmt="parquet")
         with pytest.raises(ValueError):
-            merge_into(spark.range(3), f"native_{name}", [])
+            merge_into(df, table, [])
     finally:
-        spark.sql(f"DROP TABLE native_{name}")
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_names_with_a_database(spark, name, tmp_path):
+    create_or_replace(spark.range(2), f"default.{name}", str(tmp_path))
+    upsert_table(spark.range(1, 4), f"default.{name}", str(tmp_path), ["id"])
+    assert spark.table(f"default.{name}").count() == 4
 
 
 def write_csv(path, *lines):

@@ -114,7 +114,8 @@ class Contract:
     @property
     def required(self) -> list[str]:
         """Columns that must not be NULL: those declared so, and the keys."""
-        return [c.name for c in self.columns if not c.nullable or c.name in self.keys]
+        names = [c.name for c in self.columns if not c.nullable or c.name in self.keys]
+        return names + [k for k in self.keys if k not in names]
 
     @property
     def headers(self) -> list[str]:

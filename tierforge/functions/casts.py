@@ -24,11 +24,14 @@ _BOOLEAN = rf"(?i)^{_EDGE}(t|true|y|yes|1|f|false|n|no|0){_EDGE}$"
 
 def whole_number(text: Column, to: T.DataType) -> Column:
     """Integer cast of text that cuts a fraction off (``'3.9'`` gives 3, ``'.5'`` gives 0)."""
-    short = 9 if isinstance(to, T.IntegerType) else 18
-    plain = text.rlike(rf"^[+-]?[0-9]{{1,{short}}}$")
+    plain = text.rlike("^[+-]?[0-9]{1,18}$")
     whole = F.substring_index(text, ".", 1)
-    cut = F.when(whole.rlike("[0-9]"), whole.try_cast(to)).otherwise(F.lit(0).cast(to))
-    return F.when(plain, text.try_cast(to)).when(text.rlike(_DECIMAL), cut)
+    cut = F.when(whole.rlike("[0-9]"), whole.try_cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    value = F.when(plain, text.try_cast("bigint")).when(text.rlike(_DECIMAL), cut)
+    if isinstance(to, T.LongType):
+        return value
+    # A narrowing cast that overflows throws as well.
+    return F.when(value.between(-(2**31), 2**31 - 1), value.cast(to))
 
 
 def truth_value(text: Column) -> Column:

@@ -42,16 +42,20 @@ def unique_rows(
     order_by: Sequence[str | Column] = (),
     ignore: Sequence[str] = (),
     duplicates: str = "first",
+    keys_present: bool = False,
 ) -> DataFrame:
-    """One row per key, and every row that has a NULL key, since those match nothing."""
+    """One row per key, and every row that has a NULL key, since those match nothing.
+
+    The latter take a scan of their own; ``keys_present`` says that there are none.
+    """
     if duplicates not in ("first", "raise"):
         raise ValueError(f"unknown way with duplicate keys: {duplicates!r}")
-    keyed = source.where(all_present(keys))
+    keyed = source if keys_present else source.where(all_present(keys))
     if duplicates == "first":
         keyed = dedupe_on_keys(keyed, keys, order_by, ignore)
     else:
         keyed = require_unique(keyed, keys)
-    return keyed.unionByName(source.where(~all_present(keys)))
+    return keyed if keys_present else keyed.unionByName(source.where(~all_present(keys)))
 
 
 def merge_rows(
@@ -62,6 +66,7 @@ def merge_rows(
     order_by: Sequence[str | Column] = (),
     ignore: Sequence[str] = (),
     duplicates: str = "first",
+    keys_present: bool = False,
     add_columns: bool = False,
 ) -> DataFrame:
     """Target after an upsert of ``source``; ``target=None`` is the first load.
@@ -69,7 +74,7 @@ def merge_rows(
     Rows whose keys match take every source column and keep the columns only the target
     has; source rows without a match are inserted. Columns only the source has raise,
     unless ``add_columns`` widens the result. Rows with a NULL key match nothing and are all
-    kept.
+    kept; ``keys_present`` spares the search for them in a source that has none.
 
     A source key must occur once, on the first load too. ``duplicates`` says how that is
     brought about: keep the ``first`` row (see ``dedupe_on_keys``), ``raise`` when the query
@@ -87,14 +92,14 @@ def merge_rows(
     offered = source.select(*key_columns)
     if duplicates != "trust":
         offered = offered.distinct()
-        source = unique_rows(source, keys, order_by, ignore, duplicates)
+        source = unique_rows(source, keys, order_by, ignore, duplicates, keys_present)
     if target is None:
         return source
 
     types = {f.name: f.dataType for f in source.schema.fields}
     types |= {f.name: f.dataType for f in target.schema.fields}
     columns = list(target.columns) + [c for c in source.columns if c not in target.columns]
-    keyed, keyless = source.where(all_present(keys)), source.where(~all_present(keys))
+    keyed = source if keys_present else source.where(all_present(keys))
 
     incoming = keyed.select(
         *(quoted(c).alias(_IN + c) for c in source.columns), F.lit(True).alias(_HIT)
@@ -118,7 +123,8 @@ def merge_rows(
     kept = target.join(incoming, on, "left").select(*(updated(c) for c in columns))
     matched = target.select(*key_columns).join(offered, list(keys), "left_semi").distinct()
     fresh = keyed.join(matched, list(keys), "left_anti")
-    return kept.unionByName(inserted(fresh)).unionByName(inserted(keyless))
+    result = kept.unionByName(inserted(fresh))
+    return result if keys_present else result.unionByName(inserted(source.where(~all_present(keys))))
 
 
 def check_merge(

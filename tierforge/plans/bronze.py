@@ -14,6 +14,7 @@ from tierforge.operators.quality import split_not_null
 from tierforge.sinks.tables import write_by_contract
 from tierforge.sources.files import contract_scan
 
+
 def bronze_rows(
     raw: DataFrame, contract: Contract, *, at: dt.datetime | None = None, strict: bool = False
 ) -> tuple[DataFrame, DataFrame]:
@@ -37,7 +38,9 @@ def bronze_load(
 ) -> DataFrame:
     """The bronze table after loading ``raw`` into ``target`` (None on the first load)."""
     valid, _ = bronze_rows(raw, contract, at=at)
-    return merge_rows(target, valid, contract.keys, **merge_options(contract))
+    return merge_rows(
+        target, valid, contract.keys, keys_present=True, **merge_options(contract)
+    )
 
 
 def load_bronze(
@@ -50,5 +53,5 @@ def load_bronze(
 ) -> DataFrame:
     """Read the contract's source, write its bronze table below ``root``; returns the rejects."""
     valid, rejected = bronze_rows(contract_scan(spark, contract, roots), contract, at=at)
-    write_by_contract(valid, contract, root)
+    write_by_contract(valid, contract, root, keys_present=True)
     return rejected

@@ -28,7 +28,7 @@ def load_silver(
     spark: SparkSession, contract: Contract, bronze: str, root: str, columns: Sequence[str]
 ) -> str:
     """Merge the bronze table of the given name into the contract's silver table."""
-    source = spark.table(f"`{bronze}`").select(*map(quoted, columns))
+    source = spark.table(bronze).select(*map(quoted, columns))
     return upsert_table(
         source,
         contract.table,

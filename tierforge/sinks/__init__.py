@@ -6,6 +6,7 @@ from tierforge.sinks.tables import (
     create_or_replace,
     merge_into,
     overwrite,
+    upsert_native,
     upsert_path,
     upsert_table,
     write_by_contract,
@@ -19,6 +20,7 @@ __all__ = [
     "export_text",
     "merge_into",
     "overwrite",
+    "upsert_native",
     "upsert_path",
     "upsert_table",
     "write_by_contract",

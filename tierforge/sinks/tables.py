@@ -4,7 +4,8 @@ A Parquet folder cannot be updated in place, and overwriting a folder the plan s
 loses the data. So a table that is replaced or upserted is a *view over its newest
 snapshot*: the new rows go to a fresh folder, and replacing the view in the catalog is the
 switch. A failed or repeated write leaves the old snapshot current; readers that started
-earlier keep theirs. Tables in a format with its own MERGE use :func:`merge_into`.
+earlier keep theirs. The price is that an upsert rewrites the table. Where a format with its
+own MERGE is installed, :func:`upsert_native` rewrites only what changed.
 """
 
 from __future__ import annotations
@@ -54,7 +55,7 @@ def create_or_replace(
     stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
     path = f"{root.rstrip('/')}/{name}/{stamp}-{uuid.uuid4().hex[:8]}"
     _write(df, path, fmt, partition_by)
-    df.sparkSession.sql(f"CREATE OR REPLACE VIEW `{name}` AS SELECT * FROM {fmt}.`{path}`")
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {_identifier(name)} AS SELECT * FROM {fmt}.`{path}`")
     return path
 
 
@@ -73,7 +74,7 @@ def upsert_table(
     ``options`` are those of ``merge_rows``.
     """
     spark = source.sparkSession
-    target = spark.table(f"`{name}`") if spark.catalog.tableExists(name) else None
+    target = spark.table(_identifier(name)) if spark.catalog.tableExists(name) else None
     merged = _merged(target, source, keys, **options)
     return create_or_replace(merged, name, root, fmt, partition_by)
 
@@ -101,6 +102,7 @@ def _merged(
     *,
     add_columns: bool = False,
     duplicates: str = "first",
+    keys_present: bool = False,
     **ordering,
 ) -> DataFrame:
     """``merge_rows`` with the source made unique and staged first.
@@ -111,25 +113,58 @@ def _merged(
     """
     check_merge(target, source, keys, add_columns)
     if duplicates != "trust":
-        source = unique_rows(source, keys, duplicates=duplicates, **ordering)
+        source = unique_rows(
+            source, keys, duplicates=duplicates, keys_present=keys_present, **ordering
+        )
     if target is None:
         return source
     return merge_rows(
-        target, stage(source, "merge"), keys, duplicates="trust", add_columns=add_columns
+        target,
+        stage(source, "merge"),
+        keys,
+        duplicates="trust",
+        keys_present=keys_present,
+        add_columns=add_columns,
     )
 
 
+def upsert_native(
+    source: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    *,
+    fmt: str = "delta",
+    partition_by: Sequence[str] = (),
+    **options,
+) -> None:
+    """Keyed upsert into a table whose format has a MERGE of its own, created on the first call.
+
+    Such a format rewrites only the files that hold matching rows, and commits atomically.
+    """
+    check_merge(None, source, keys, False)
+    rows = unique_rows(source, keys, **options)
+    if source.sparkSession.catalog.tableExists(table):
+        merge_into(stage(rows, "merge"), table, keys)
+    else:
+        writer = rows.writeTo(table).using(fmt)
+        (writer.partitionedBy(*map(F.col, partition_by)) if partition_by else writer).create()
+
+
 def merge_into(source: DataFrame, table: str, keys: Sequence[str]) -> None:
-    """Keyed upsert by the table format's own MERGE, for catalogs that have one."""
-    if not keys:
-        raise ValueError("a merge needs at least one key column")
+    """The MERGE statement: matched rows take every source column, the others are inserted.
+
+    Columns only the target has keep their value, or stay NULL in inserted rows.
+    """
+    check_merge(None, source, keys, False)
     on = reduce(and_, (F.col(f"{table}.`{k}`") == F.col(f"source.`{k}`") for k in keys))
     values = {c: F.col(f"source.`{c}`") for c in source.columns}
     merge = source.alias("source").mergeInto(table, on)
     merge.whenMatched().update(values).whenNotMatched().insert(values).merge()
 
 
-def write_by_contract(df: DataFrame, contract: Contract, root: str, fmt: str = "parquet") -> str:
+def write_by_contract(
+    df: DataFrame, contract: Contract, root: str, fmt: str = "parquet", *, keys_present: bool = False
+) -> str:
     """Upsert or replace the contract's table, as its write mode says."""
     if contract.write_mode == "merge":
         return upsert_table(
@@ -139,6 +174,7 @@ def write_by_contract(df: DataFrame, contract: Contract, root: str, fmt: str = "
             contract.keys,
             fmt=fmt,
             partition_by=contract.partitions,
+            keys_present=keys_present,
             **merge_options(contract),
         )
     return create_or_replace(df, contract.table, root, fmt, contract.partitions)
@@ -164,6 +200,11 @@ def _refuse_own_input(df: DataFrame, path: str) -> None:
             raise ValueError(f"refusing to overwrite {path}: the rows to be written are read from it")
 
 
+def _identifier(name: str) -> str:
+    """A table name of one or more parts, quoted."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
 def _absolute(path: str) -> bool:
     return path.startswith("/") or ":" in path
 

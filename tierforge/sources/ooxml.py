@@ -7,8 +7,10 @@ import io
 import posixpath
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import IO
 from xml.etree import ElementTree as ET
+from xml.parsers import expat
 
 # The built-in number formats that show a date, a time or a duration.
 DATE_FORMAT_IDS = frozenset([14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 47])
@@ -19,7 +21,7 @@ _ERROR = "#N/A"
 
 _NOT_FORMAT = re.compile(r'"[^"]*"|\\.|_.|\*.|\[(?!h+\]|m+\]|s+\])[^\]]*\]', re.IGNORECASE)
 _ELAPSED = re.compile(r"\[(h+|m+|s+)\]", re.IGNORECASE)
-_LETTERS = re.compile(r"[A-Z]+")
+_CHUNK = 1 << 18
 _INTEGER = re.compile(r"\s*[+-]?[0-9]+\s*")
 
 
@@ -37,16 +39,55 @@ def _part_name(target: str) -> str:
     return posixpath.normpath(posixpath.join("/xl", target)).lstrip("/")
 
 
-def _text(node: ET.Element) -> str:
-    """Text of a string item: plain and rich runs, without phonetic guides."""
-    parts = []
-    for child in node:
-        kind = _local(child.tag)
-        if kind == "t":
-            parts.append(child.text or "")
-        elif kind == "r":
-            parts += [t.text or "" for t in child if _local(t.tag) == "t"]
-    return "".join(parts)
+def _parse(
+    stream: IO[bytes],
+    on_start: Callable[[str, dict], None],
+    on_end: Callable[[str], None],
+    text: list[str],
+) -> Iterator[None]:
+    """Feed a part to the parser, giving way after every chunk.
+
+    The handlers see tags without prefix; what stands in values and text runs, phonetic
+    guides aside, is added to ``text`` in between.
+    """
+    keep = phonetic = False
+
+    def start(tag: str, attributes: dict) -> None:
+        nonlocal keep, phonetic
+        if ":" in tag:
+            tag = tag.rsplit(":", 1)[1]
+        if tag == "v" or tag == "t":
+            keep = not phonetic
+        elif tag == "rPh":
+            phonetic = True
+        else:
+            on_start(tag, attributes)
+
+    def end(tag: str) -> None:
+        nonlocal keep, phonetic
+        if ":" in tag:
+            tag = tag.rsplit(":", 1)[1]
+        if tag == "v" or tag == "t":
+            keep = False
+        elif tag == "rPh":
+            phonetic = False
+        else:
+            on_end(tag)
+
+    def data(chars: str) -> None:
+        if keep:
+            text.append(chars)
+
+    parser = expat.ParserCreate()
+    parser.buffer_text = True
+    parser.StartElementHandler = start
+    parser.EndElementHandler = end
+    parser.CharacterDataHandler = data
+    while chunk := stream.read(_CHUNK):
+        parser.Parse(chunk, False)
+        yield
+    parser.Parse(b"", True)
+    yield
 
 
 class Workbook:
@@ -85,15 +126,23 @@ class Workbook:
 
     def _shared_strings(self) -> list[str]:
         out: list[str] = []
+        text: list[str] = []
+
+        def start(tag: str, _: dict) -> None:
+            if tag == "si":
+                text.clear()
+
+        def end(tag: str) -> None:
+            if tag == "si":
+                out.append("".join(text))
+
         try:
             part = self._zip.open("xl/sharedStrings.xml")
         except KeyError:
             return out
         with part:
-            for _, node in ET.iterparse(part):
-                if _local(node.tag) == "si":
-                    out.append(_text(node))
-                    node.clear()
+            for _ in _parse(part, start, end, text):
+                pass
         return out
 
     def _style_kinds(self) -> list[str]:
@@ -111,66 +160,59 @@ class Workbook:
 
     def rows(self, part: str) -> Iterator[list[str | None]]:
         """Every row up to the last one with a value; gaps are empty rows."""
-        blank = 0
-        last = 0
-        parent = None
+        done: list[tuple[int, list[str | None]]] = []
+        text: list[str] = []
+        cells: list[str | None] = []
+        number = column = 0
+        cell: dict = {}
+        numbers = _ColumnNumbers()
+
+        def start(tag: str, attributes: dict) -> None:
+            nonlocal number, column, cells, cell
+            if tag == "c":
+                cell = attributes
+                place = cell.get("r")
+                column = numbers[place.rstrip("0123456789")] if place else column + 1
+                text.clear()
+            elif tag == "row":
+                number = int(attributes.get("r", number + 1))
+                column, cells = -1, []
+
+        def end(tag: str) -> None:
+            if tag == "c":
+                value = self._value(cell, "".join(text))
+                if value is not None:
+                    if column > len(cells):
+                        cells.extend([None] * (column - len(cells)))
+                    cells.append(value)
+            elif tag == "row":
+                done.append((number, cells))
+
+        written = 0
         with self._zip.open(part) as xml:
-            for event, node in ET.iterparse(xml, events=("start", "end")):
-                kind = _local(node.tag)
-                if event == "start":
-                    if kind == "sheetData":
-                        parent = node
-                    continue
-                if kind != "row" or parent is None:
-                    continue
-                number = int(node.get("r", last + 1))
-                cells = self._cells(node)
-                blank += number - last - 1
-                last = number
-                parent.clear()
-                if not cells:
-                    blank += 1
-                    continue
-                for _ in range(blank):
-                    yield []
-                blank = 0
-                yield cells
-
-    def _cells(self, row: ET.Element) -> list[str | None]:
-        out: list[str | None] = []
-        for cell in row:
-            if _local(cell.tag) != "c":
-                continue
-            place = _LETTERS.match(cell.get("r", ""))
-            column = _column_number(place.group()) if place else len(out)
-            value = self._value(cell)
-            if value is None:
-                continue
-            out += [None] * (column - len(out))
-            out.append(value)
-        return out
+            for _ in _parse(xml, start, end, text):
+                for number_, row in done:
+                    if row:
+                        for _ in range(number_ - written - 1):
+                            yield []
+                        yield row
+                        written = number_
+                done.clear()
 
-    def _value(self, cell: ET.Element) -> str | None:
+    def _value(self, cell: dict, raw: str) -> str | None:
         kind = cell.get("t", "n")
-        raw = None
-        for child in cell:
-            tag = _local(child.tag)
-            if tag == "is":
-                return _text(child) or None
-            if tag == "v":
-                raw = child.text
-        if raw is None:
+        if raw == "":
             return None
-        if kind == "e":
-            return _ERROR
+        if kind == "inlineStr" or kind == "str":
+            return raw
         if kind == "s":
             return self._strings[int(raw)] or None
+        if kind == "e":
+            return _ERROR
         if kind == "b":
             return "True" if raw.strip() == "1" else "False"
         if kind == "d":
             return str(dt.datetime.fromisoformat(raw.strip().rstrip("Z")))
-        if kind == "str":
-            return raw
         style = int(cell.get("s", 0))
         shown = self._kinds[style] if style < len(self._kinds) else ""
         return self._number(raw, shown)
@@ -204,11 +246,15 @@ def _kind(number_format: int, codes: dict[int, str]) -> str:
     return "date" if re.search("[dmhysDMHYS]", plain) else ""
 
 
-def _column_number(letters: str) -> int:
-    number = 0
-    for letter in letters:
-        number = number * 26 + ord(letter) - 64
-    return number - 1
+class _ColumnNumbers(dict):
+    """Column letters to numbers from 0, worked out once each."""
+
+    def __missing__(self, letters: str) -> int:
+        number = 0
+        for letter in letters:
+            number = number * 26 + ord(letter) - 64
+        self[letters] = number - 1
+        return number - 1
 
 
 def header_names(cells: list[str | None], width: int, fold_case: bool = False) -> list[str]:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -14,8 +15,8 @@ from tierforge.functions.cells import na_cell
 from tierforge.sources import ooxml, probe
 
 # Executors need not have this package installed: the parsing code travels with the task.
-cloudpickle.register_pickle_by_value(ooxml)
-cloudpickle.register_pickle_by_value(probe)
+for _module in (ooxml, probe, sys.modules[__name__]):
+    cloudpickle.register_pickle_by_value(_module)
 
 # The extensions taken for spreadsheets.
 SPREADSHEET_GLOB = "*.{xlsx,xlsm,xls,xlx,xlsb}"
@@ -28,6 +29,7 @@ MAX_FILE_BYTES = 1 << 30
 _ORIGIN = re.compile("^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?")
 
 _BATCH_ROWS = 4096
+_KEPT_CELLS = 500_000
 _LEGACY_MAGIC = b"\xd0\xcf\x11\xe0"
 
 PARSED = (
@@ -71,6 +73,12 @@ def parse_files(files: DataFrame, first_sheet_only: bool = False) -> DataFrame:
     Missing-value texts in data rows become NULL.
     """
 
+    parse = _parser(first_sheet_only)
+    cells = F.when(F.col("row_idx") > 0, F.transform("cells", na_cell)).otherwise(F.col("cells"))
+    return files.select("path", "content").mapInPandas(parse, PARSED).withColumn("cells", cells)
+
+
+def _parser(first_sheet_only: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pending = []
         for batch in batches:
@@ -83,13 +91,12 @@ def parse_files(files: DataFrame, first_sheet_only: bool = False) -> DataFrame:
         if pending:
             yield pd.DataFrame(pending, columns=_FIELDS)
 
-    cells = F.when(F.col("row_idx") > 0, F.transform("cells", na_cell)).otherwise(F.col("cells"))
-    return files.select("path", "content").mapInPandas(parse, PARSED).withColumn("cells", cells)
+    return parse
 
 
 def _records(path: str, content: bytes, first_sheet_only: bool) -> Iterator[tuple]:
     def record(kind: str, **values) -> tuple:
-        return tuple({"path": path, "kind": kind, **values}.get(f) for f in _FIELDS)
+        return tuple(map({"path": path, "kind": kind, **values}.get, _FIELDS))
 
     try:
         book = _open(content)
@@ -103,21 +110,20 @@ def _records(path: str, content: bytes, first_sheet_only: bool) -> Iterator[tupl
                 header=ooxml.header_names(found.header, len(found.header), fold_case=True),
             )
             return
-        sheets = book.sheets[:1] if first_sheet_only else book.sheets
         # Measuring reads every sheet to its end, so a damaged one shows before any row is out.
-        extents = [_extent(book, part) for _, part in sheets]
+        sheets = [_Sheet(book, *s) for s in (book.sheets[:1] if first_sheet_only else book.sheets)]
     except Exception as problem:
         yield record("failed", error=f"{type(problem).__name__}: {problem}")
         return
 
-    for number, ((name, part), (length, width)) in enumerate(zip(sheets, extents)):
-        yield record("sheet", sheet=name, sheet_idx=number, rows=max(length - 1, 0))
-        for i, cells in enumerate(book.rows(part)):
+    for number, sheet in enumerate(sheets):
+        yield record("sheet", sheet=sheet.name, sheet_idx=number, rows=max(sheet.length - 1, 0))
+        for i, cells in enumerate(sheet.rows()):
             if i == 0:
-                cells = ooxml.header_names(cells, width)
+                cells = ooxml.header_names(cells, sheet.width)
             else:
-                cells = cells + [None] * (width - len(cells))
-            yield record("row", sheet=name, sheet_idx=number, row_idx=i, cells=cells)
+                cells = cells + [None] * (sheet.width - len(cells))
+            yield record("row", sheet=sheet.name, sheet_idx=number, row_idx=i, cells=cells)
 
 
 def _open(content: bytes) -> ooxml.Workbook | None:
@@ -129,12 +135,23 @@ def _open(content: bytes) -> ooxml.Workbook | None:
     return ooxml.Workbook(content)
 
 
-def _extent(book: ooxml.Workbook, part: str) -> tuple[int, int]:
-    length = width = 0
-    for cells in book.rows(part):
-        length += 1
-        width = max(width, len(cells))
-    return length, width
+class _Sheet:
+    """A sheet that has been read once, to its end. A small one is kept, others are read again."""
+
+    def __init__(self, book: ooxml.Workbook, name: str, part: str):
+        self.name, self._book, self._part = name, book, part
+        self.length = self.width = 0
+        self._kept: list | None = []
+        for cells in book.rows(part):
+            self.length += 1
+            self.width = max(self.width, len(cells))
+            if self._kept is not None:
+                self._kept.append(cells)
+                if self.length * self.width > _KEPT_CELLS:
+                    self._kept = None
+
+    def rows(self) -> Iterator[list[str | None]]:
+        return iter(self._kept) if self._kept is not None else self._book.rows(self._part)
 
 
 def split_path(path: Column, root: str) -> tuple[Column, Column]:

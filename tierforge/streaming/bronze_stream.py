@@ -44,7 +44,7 @@ def bronze_stream(
         valid, rejected = bronze_rows(batch, contract, at=at)
         kept = f"{root.rstrip('/')}/{contract.table}__rejected/batch={number}"
         rejected.write.mode("overwrite").parquet(kept)
-        write_by_contract(valid, contract, root)
+        write_by_contract(valid, contract, root, keys_present=True)
 
     return (
         files.writeStream.foreachBatch(load)

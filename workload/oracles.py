@@ -190,7 +190,8 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'brand ' || p_brand, 2 * count(*) FROM part GROUP BY p_brand
     """,
     "table_scan_write": f"""
-        SELECT sales_date, count(*) AS sales, CAST(SUM(quantity) AS BIGINT) AS quantity
+        SELECT CAST(date_trunc('month', sales_date) AS DATE) AS sales_month, sales_date,
+               count(*) AS sales, CAST(SUM(quantity) AS BIGINT) AS quantity
         FROM ({_FACTS}) GROUP BY sales_date
     """,
     "create_then_overwrite": f"""
