@@ -92,7 +92,12 @@ def test_text_layout(content, separator, encoding, multi_line, header):
     assert tuple(layout_of(content)) == (separator, encoding, multi_line, header)
 
 
-@pytest.mark.parametrize("content", [b"", b"\n\n", b"\x00\x01\x02", b"a\x00b"])
+def test_long_cells_and_trailing_delimiters():
+    content = b"a;b\n" + b"1;2\n" * 2000 + b"x" * 300_000 + b";2;;\n"
+    assert layout_of(content).header == ["a", "b"]
+
+
+@pytest.mark.parametrize("content", [b"", b"\n\n", b"\x00\x01\x02", b"a\x00b", b"a;b\n" + b"1;2\n" * 9 + b"1;2;;3\n"])
 def test_not_text(content):
     with pytest.raises(ValueError):
         layout_of(content)
@@ -196,6 +201,12 @@ def test_files_too_large_to_probe_as_one_value(spark, folder, monkeypatch):
     assert rows(text_sheets(spark, str(folder), "latin.xlsb").select("id", "näme")) == [("5", "ü")]
     with pytest.raises(ValueError, match="too large"):
         text_sheets(spark, str(folder), "products.xlsx")
+    (folder / "long.xls").write_text('a;b\n1\n1;"x;""y"\n1;2;;\n' + "1;2\n" * 500)
+    assert text_sheets(spark, str(folder), "long.xls").count() == 503
+    for extra in ("1;2;3\n", "1;2;;3\n", '"1;2";"3";4\n'):
+        (folder / "long.xls").write_text('a;b\n1\n1;"x;""y"\n1;2;;\n' + "1;2\n" * 500 + extra)
+        with pytest.raises(ValueError, match="more cells"):
+            text_sheets(spark, str(folder), "long.xls")
 
 
 def test_ingest(spark, folder, tmp_path):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +17,7 @@ from tierforge.sources.spreadsheets import SPREADSHEET_GLOB, discover, parse_fil
 
 _GLOB_CHARS = re.compile(r"([\[\]{}*?\\])")
 _HEAD_LINES = 256
+_RECORD = "__record"
 
 
 @dataclass(frozen=True)
@@ -31,18 +32,30 @@ class TextGroup:
 
     def read(self, spark: SparkSession, path_column: str = "path") -> DataFrame:
         """Rows of the files, all columns strings, and the file each row is from."""
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in self.header])
-        rows = (
-            spark.read.schema(schema)
+        rows = self._scan(spark, self.header)
+        rows = rows.select(*map(quoted, self.header), file_path().alias(path_column))
+        return na_to_null(rows, self.header)
+
+    def has_surplus(self, spark: SparkSession) -> bool:
+        """Does any row have more cells, empty ones at the end aside, than there are names?"""
+        rows = self._scan(spark, [*self.header, _RECORD], columnNameOfCorruptRecord=_RECORD)
+        # What follows is of rows of another length only: the others have no such record.
+        bare = F.regexp_replace(_RECORD, '"[^"]*"', "x")
+        bare = F.rtrim(bare, F.lit(self.separator + "\r\n"))
+        count = F.length(bare) - F.length(F.replace(bare, F.lit(self.separator), F.lit("")))
+        return bool(rows.where(count >= len(self.header)).head(1))
+
+    def _scan(self, spark: SparkSession, columns: Sequence[str], **options: str) -> DataFrame:
+        return (
+            spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
             .option("header", True)
             .option("sep", self.separator)
             .option("encoding", self.encoding)
             .option("multiLine", self.multi_line)
             .option("escape", '"')
+            .options(**options)
             .csv([_GLOB_CHARS.sub(r"\\\1", p) for p in self.paths])
         )
-        rows = rows.select(*map(quoted, self.header), file_path().alias(path_column))
-        return na_to_null(rows, self.header)
 
 
 def file_path() -> Column:
@@ -80,9 +93,12 @@ def large_text_group(spark: SparkSession, path: str) -> TextGroup:
     ).first()
     found = probe.layout_of(head, None if whole.utf8 else "ISO-8859-1")
     header = ooxml.header_names(found.header, len(found.header), fold_case=True)
-    return TextGroup(
+    group = TextGroup(
         found.separator, found.encoding, found.multi_line or whole.odd, tuple(header), (path,)
     )
+    if group.has_surplus(spark):
+        raise ValueError(f"a row has more cells than the {len(header)} column names")
+    return group
 
 
 def text_sheets(

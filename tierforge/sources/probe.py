@@ -58,9 +58,17 @@ def layout_of(content: bytes, encoding: str | None = None) -> TextLayout:
     stream = io.TextIOWrapper(io.BytesIO(content), encoding=codec, newline="")
     separator = delimiter_of(stream.read(SAMPLE_CHARS))
     stream.seek(0)
-    header = next((row for row in csv.reader(stream, delimiter=separator) if row), None)
+    csv.field_size_limit(len(content) + SAMPLE_CHARS)
+    records = csv.reader(stream, delimiter=separator)
+    header = next((row for row in records if row), None)
     if header is None:
         raise ValueError("no columns to parse from file")
+    for row in records:
+        # Empty surplus cells are but a trailing delimiter.
+        if len(row) > len(header) and any(row[len(header) :]):
+            raise ValueError(
+                f"line {records.line_num} has {len(row)} cells under {len(header)} column names"
+            )
     return TextLayout(separator, encoding, _needs_whole_file(content, encoding), header)
 
 
