@@ -1,7 +1,9 @@
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierforge import Contract
 from tierforge.plans import bronze_rows, load_bronze, load_gold, load_silver
@@ -11,10 +13,11 @@ from tierforge.sinks import (
     merge_into,
     overwrite,
     upsert_native,
+    upsert_path,
     upsert_table,
     write_by_contract,
 )
-from tierforge.sources import table_scan
+from tierforge.sources import contract_scan, table_scan
 from tierforge.streaming import bronze_stream
 from tests.conftest import rows
 from workload.queries import PRODUCT
@@ -23,10 +26,8 @@ AT = dt.datetime(2024, 1, 1)
 
 
 @pytest.fixture
-def name(spark, request):
-    name = f"t_{abs(hash(request.node.nodeid))}"
-    yield name
-    spark.sql(f"DROP VIEW IF EXISTS `{name}`")
+def name():
+    return f"t_{uuid.uuid4().hex}"
 
 
 def contract(name, **options):
@@ -91,6 +92,29 @@ def test_replacing_a_table_keeps_the_old_snapshot(spark, name, tmp_path):
     assert (reader.count(), spark.table(name).count()) == (3, 2)
 
 
+def test_partition_columns_keep_their_type(spark, name, tmp_path):
+    df = spark.createDataFrame([("007", 1), ("8", 2), (None, 3)], "code string, id int")
+    create_or_replace(df, name, str(tmp_path), partition_by=["code"])
+    assert rows(spark.table(name).select("code", "id")) == rows(df)
+    upsert_table(df, name, str(tmp_path), ["id"], partition_by=["code"])
+    assert rows(spark.table(name).select("code", "id")) == rows(df)
+    for i in range(2):
+        upsert_path(df, f"{tmp_path}/p{i}", f"{tmp_path}/p{i + 1}", ["id"], partition_by=["code"])
+    types = {"code": T.StringType()}
+    assert rows(table_scan(spark, f"{tmp_path}/p2", partition_types=types).select("code", "id")) == rows(df)
+    cfg = {"table": "p2", "source": {"format": "parquet", "location_ref": "r"}, "partitions": ["code"]}
+    stored = Contract.from_dict({**cfg, "columns": {"code": {"type": "string"}, "id": {"type": "int"}}})
+    assert rows(contract_scan(spark, stored, {"r": str(tmp_path)}).select("code", "id")) == rows(df)
+
+
+def test_a_table_without_rows_has_columns(spark, name, tmp_path):
+    empty = spark.createDataFrame([], "day date, id int")
+    create_or_replace(empty, name, str(tmp_path), partition_by=["day"])
+    assert spark.table(name).columns == ["id", "day"] and spark.table(name).count() == 0
+    upsert_table(spark.createDataFrame([(AT.date(), 1)], "day date, id int"), name, str(tmp_path), ["id"], partition_by=["day"])
+    assert spark.table(name).count() == 1
+
+
 def test_upsert_table(spark, name, tmp_path):
     rows_ = lambda *r: spark.createDataFrame(list(r), "k int, v string")
     upsert_table(rows_((1, "b"), (1, "a"), (2, "x")), name, str(tmp_path), ["k"])
@@ -176,8 +200,6 @@ def test_silver_and_gold(spark, name, tmp_path):
     back = spark.table(f"{name}_g").select("product_id", "product_name", "total_qty", "gross_revenue")
     assert rows(back) == [(1, "a", 2, 6.0), (9, None, 1, 1.0)]
     assert list(tmp_path.glob(f"gold/{name}_g/*/sales_date=2024-01-01"))
-    spark.sql(f"DROP VIEW {name}_s")
-    spark.sql(f"DROP VIEW {name}_g")
 
 
 def test_stream_reads_each_file_once(spark, name, tmp_path):

@@ -2,7 +2,7 @@
 
 A Parquet folder cannot be updated in place, and overwriting a folder the plan still reads
 loses the data. So a table that is replaced or upserted is a *view over its newest
-snapshot*: the new rows go to a fresh folder, and replacing the view in the catalog is the
+snapshot*: the new rows go to a fresh table, and replacing the view in the catalog is the
 switch. A failed or repeated write leaves the old snapshot current; readers that started
 earlier keep theirs. The price is that an upsert rewrites the table. Where a format with its
 own MERGE is installed, :func:`upsert_native` rewrites only what changed.
@@ -17,7 +17,7 @@ from functools import reduce
 from operator import and_
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,7 +33,7 @@ def overwrite(
 ) -> None:
     """Replace everything at ``path``; refuses a path that ``df`` itself reads."""
     _refuse_own_input(df, path)
-    _write(df, path, fmt, partition_by)
+    _writer(df, fmt, partition_by).mode("overwrite").save(path)
 
 
 def create_if_missing(
@@ -51,12 +51,20 @@ def create_if_missing(
 def create_or_replace(
     df: DataFrame, name: str, root: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> str:
-    """Make ``name`` show ``df``'s rows; returns the folder of the new snapshot."""
+    """Make ``name`` show ``df``'s rows; returns the name of the new snapshot.
+
+    A snapshot is an external table, so the catalog knows its schema: a partition column of
+    strings stays one whatever its values look like, and a table without rows has columns.
+    Dropping old snapshots, and their folders, is up to the caller.
+    """
     stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
-    path = f"{root.rstrip('/')}/{name}/{stamp}-{uuid.uuid4().hex[:8]}"
-    _write(df, path, fmt, partition_by)
-    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {_identifier(name)} AS SELECT * FROM {fmt}.`{path}`")
-    return path
+    suffix = f"{stamp}_{uuid.uuid4().hex[:8]}"
+    snapshot = _identifier(f"{name}__{suffix}")
+    writer = _writer(df, fmt, partition_by).option("path", f"{root.rstrip('/')}/{name}/{suffix}")
+    writer.saveAsTable(snapshot)
+    view = f"CREATE OR REPLACE VIEW {_identifier(name)} AS SELECT * FROM {snapshot}"
+    df.sparkSession.sql(view)
+    return snapshot
 
 
 def upsert_table(
@@ -69,7 +77,7 @@ def upsert_table(
     partition_by: Sequence[str] = (),
     **options,
 ) -> str:
-    """Keyed upsert into ``name``, created on the first call; returns the new snapshot.
+    """Keyed upsert into ``name``, created on the first call; returns the new snapshot's name.
 
     ``options`` are those of ``merge_rows``.
     """
@@ -91,7 +99,8 @@ def upsert_path(
 ) -> None:
     """Keyed upsert of the table at ``target_path`` (which need not exist yet), written to
     ``out_path``; the caller does the switch."""
-    target = read_if_exists(source.sparkSession, target_path, fmt)
+    types = {c: source.schema[c].dataType for c in partition_by}
+    target = read_if_exists(source.sparkSession, target_path, fmt, types)
     overwrite(_merged(target, source, keys, **options), out_path, fmt, partition_by)
 
 
@@ -180,16 +189,16 @@ def write_by_contract(
     return create_or_replace(df, contract.table, root, fmt, contract.partitions)
 
 
-def _write(df: DataFrame, path: str, fmt: str, partition_by: Sequence[str]) -> None:
-    """Write the rows, those of a partition together.
+def _writer(df: DataFrame, fmt: str, partition_by: Sequence[str]) -> DataFrameWriter:
+    """A writer of the rows, those of a partition brought together.
 
     Left where they are, every task would add a file to every partition. The rebalance hint
     moves them adaptively: a partition that holds much of the table is split into several
     tasks and files, and small ones share a task.
     """
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    df.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(path)
+    if not partition_by:
+        return df.write.format(fmt)
+    return df.hint("rebalance", *partition_by).write.format(fmt).partitionBy(*partition_by)
 
 
 def _refuse_own_input(df: DataFrame, path: str) -> None:

@@ -39,14 +39,36 @@ def csv_scan(
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
-def table_scan(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def table_scan(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    partition_types: Mapping[str, T.DataType] | None = None,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The table stored at ``path``.
 
+    Partition columns are typed by what their values look like, so that the text ``007``
+    would come back as the number 7; ``partition_types`` says what they are.
+    """
+    table = spark.read.format(fmt).options(**(options or {})).load(path)
+    types = partition_types or {}
+    if all(f.dataType == types.get(f.name, f.dataType) for f in table.schema):
+        return table
+    fields = [T.StructField(f.name, types.get(f.name, f.dataType)) for f in table.schema]
+    typed = spark.read.format(fmt).options(**(options or {})).schema(T.StructType(fields))
+    return typed.load(path)
 
-def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+
+def read_if_exists(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    partition_types: Mapping[str, T.DataType] | None = None,
+) -> DataFrame | None:
     """The table at ``path``, or None where nothing has been written yet."""
     try:
-        return table_scan(spark, path, fmt)
+        return table_scan(spark, path, fmt, partition_types)
     except AnalysisException as missing:
         if missing.getCondition() in _ABSENT:
             return None
@@ -69,5 +91,10 @@ def contract_scan(
     root = roots[contract.location]
     if contract.source_format == "csv":
         return csv_scan(spark, root, contract.glob, columns, contract.reader_options)
-    reader = spark.read.format(contract.source_format).options(**contract.reader_options)
-    return reader.load(f"{root.rstrip('/')}/{contract.table}")
+    return table_scan(
+        spark,
+        f"{root.rstrip('/')}/{contract.table}",
+        contract.source_format,
+        {c.name: c.spark_type for c in contract.columns if c.name in contract.partitions},
+        contract.reader_options,
+    )

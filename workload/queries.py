@@ -390,10 +390,12 @@ def bronze_load_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _through_view(spark: SparkSession, name: str) -> DataFrame:
-    """The rows of a view of ours, which is then dropped: the plan has been resolved."""
+    """The rows of a table of ours, then gone from the catalog: the plan has been resolved."""
     rows = spark.table(name)
     rows.schema
     spark.sql(f"DROP VIEW {name}")
+    for snapshot in spark.catalog.listTables(pattern=f"{name}__*"):
+        spark.sql(f"DROP TABLE {snapshot.name}")
     return rows
 
 
