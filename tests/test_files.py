@@ -14,12 +14,12 @@ def write(path, text, encoding="utf-8"):
 
 
 def test_nested_files_marks_quotes_and_blanks(spark, tmp_path):
-    write(tmp_path / "products_a.csv", HEADER + '1,"a, b"\n2,\n', "utf-8-sig")
+    write(tmp_path / "products_a.csv", HEADER + '1,"a, ""b"" \\"\n2,\n', "utf-8-sig")
     write(tmp_path / "Bulgaria/north/products_b.csv", HEADER + "3,c\n")
     write(tmp_path / "other.csv", "x\n1\n")
     df = csv_scan(spark, str(tmp_path), "products*.csv")
     assert df.columns == ["商品ID", "商品名"]
-    assert rows(df) == [("1", "a, b"), ("2", None), ("3", "c")]
+    assert rows(df) == [("1", 'a, "b" \\'), ("2", None), ("3", "c")]
 
 
 def test_swapped_headers_fail(spark, tmp_path):

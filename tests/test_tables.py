@@ -1,12 +1,13 @@
 import datetime as dt
 import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierforge import Contract
-from tierforge.plans import bronze_rows, load_bronze, load_gold, load_silver
+from tierforge.plans import bronze_load, bronze_rows, load_bronze, load_gold, load_silver
 from tierforge.sinks import (
     create_if_missing,
     create_or_replace,
@@ -178,12 +179,20 @@ def test_switches(spark, name):
     raw = spark.createDataFrame([("1", "a"), ("1", "b")], "ID string, V string")
     valid, _ = bronze_rows(raw, contract(name, audit_columns=False))
     assert valid.columns == ["id", "v"]
-    from tierforge.plans import bronze_load
-
     with pytest.raises(Exception, match="more than one row"):
         bronze_load(raw, contract(name, deduplicate_on_keys=False)).collect()
 
 
+def test_overwrite_contract_replaces_and_dedupes(spark, name, tmp_path):
+    c = replace(contract(name), write_mode="overwrite")
+    for lines in (["(1, 'a')", "(2, 'b')"], ["('3', 'y')", "('3', 'x')"]):
+        raw = spark.sql(f"SELECT string(ID) ID, V FROM VALUES {', '.join(lines)} AS t(ID, V)")
+        load_bronze(spark, c, {}, str(tmp_path), raw=raw, at=AT)
+    assert rows(spark.table(name)) == rows(bronze_load(raw, c, at=AT)) == [(3, "x", AT)]
+    with pytest.raises(ValueError, match="only a merge"):
+        bronze_stream(spark, c, "in", "out", "progress")
+
+
 def test_silver_and_gold(spark, name, tmp_path):
     write_csv(tmp_path / "in/p1.csv", "1,a", "2,b")
     c = contract(name)

@@ -3,12 +3,13 @@
 from tierforge.plans.bronze import bronze_load, bronze_rows, load_bronze
 from tierforge.plans.gold import load_gold, sales_summary
 from tierforge.plans.silver import fact_rows, load_silver, silver_merge
-from tierforge.plans.spreadsheet_ingest import spreadsheet_ingest
+from tierforge.plans.spreadsheet_ingest import exported_scan, spreadsheet_ingest
 from tierforge.plans.sql_template import run_template
 
 __all__ = [
     "bronze_load",
     "bronze_rows",
+    "exported_scan",
     "fact_rows",
     "load_bronze",
     "load_gold",

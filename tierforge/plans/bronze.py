@@ -7,8 +7,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierforge.contract import Contract
+from tierforge.contract import AUDIT_COLUMN, Contract
 from tierforge.operators.conform import add_audit, conform
+from tierforge.operators.dedupe import dedupe_on_keys
 from tierforge.operators.merge import merge_options, merge_rows
 from tierforge.operators.quality import split_not_null
 from tierforge.sinks.tables import write_by_contract
@@ -36,11 +37,12 @@ def bronze_load(
     *,
     at: dt.datetime | None = None,
 ) -> DataFrame:
-    """The bronze table after loading ``raw`` into ``target`` (None on the first load)."""
+    """The bronze table after loading ``raw``: into ``target`` (None on the first load), or in
+    its place if the contract says to overwrite."""
     valid, _ = bronze_rows(raw, contract, at=at)
-    return merge_rows(
-        target, valid, contract.keys, keys_present=True, **merge_options(contract)
-    )
+    if contract.write_mode == "overwrite":
+        return _replacement(valid, contract)
+    return merge_rows(target, valid, contract.keys, keys_present=True, **merge_options(contract))
 
 
 def load_bronze(
@@ -49,9 +51,22 @@ def load_bronze(
     roots: Mapping[str, str],
     root: str,
     *,
+    raw: DataFrame | None = None,
     at: dt.datetime | None = None,
 ) -> DataFrame:
-    """Read the contract's source, write its bronze table below ``root``; returns the rejects."""
-    valid, rejected = bronze_rows(contract_scan(spark, contract, roots), contract, at=at)
+    """Read the contract's source, write its bronze table below ``root``; returns the rejects.
+
+    ``raw`` takes the place of the source, exported sheets for example.
+    """
+    source = contract_scan(spark, contract, roots) if raw is None else raw
+    valid, rejected = bronze_rows(source, contract, at=at)
+    if contract.write_mode == "overwrite":
+        valid = _replacement(valid, contract)
     write_by_contract(valid, contract, root, keys_present=True)
     return rejected
+
+
+def _replacement(valid: DataFrame, contract: Contract) -> DataFrame:
+    if contract.dedupe and contract.keys:
+        return dedupe_on_keys(valid, contract.keys, ignore=[AUDIT_COLUMN])
+    return valid

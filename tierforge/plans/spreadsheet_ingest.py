@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierforge.sinks.sheets import export_sheets, export_text
+from tierforge.sinks.sheets import export_path, export_sheets, export_text
 from tierforge.sources.delimited import large_text_group, text_groups
+from tierforge.sources.files import csv_scan
 from tierforge.sources.spreadsheets import PARSED, SPREADSHEET_GLOB, discover, parse_files
 
 MANIFEST = "path string, sheet string, rows bigint, status string, error string"
@@ -68,6 +70,23 @@ def spreadsheet_ingest(
     return reduce(DataFrame.unionByName, parts)
 
 
+def exported_scan(
+    spark: SparkSession,
+    dst: str,
+    glob: str = "*.csv",
+    columns: Sequence[str] | None = None,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The exported files whose name matches ``glob``, as ``csv_scan`` reads them.
+
+    Cells may run over lines. The files need not be split for that: none holds more than a
+    sheet, or one split of a text file.
+    """
+    return csv_scan(
+        spark, export_path(dst, glob), "*", columns, {"multiLine": "true", **(options or {})}
+    )
+
+
 def _findings(spark: SparkSession, path: str) -> DataFrame:
     schema = ", ".join(c for c in PARSED.split(", ") if not c.startswith("cells "))
     try:

@@ -37,15 +37,10 @@ def overwrite(
 
 
 def create_if_missing(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    fmt: str = "parquet",
-    partition_by: Sequence[str] = (),
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
 ) -> None:
     """An empty table with the given schema, unless something is there already."""
-    empty = spark.createDataFrame([], schema)
-    empty.write.format(fmt).mode("ignore").partitionBy(*partition_by).save(path)
+    spark.createDataFrame([], schema).write.format(fmt).mode("ignore").save(path)
 
 
 def create_or_replace(

@@ -24,12 +24,17 @@ def csv_scan(
 
     Spark pairs CSV columns by position. ``enforceSchema=False`` makes it compare each
     file's header with the expected names first, so a file with swapped headers fails
-    instead of being read swapped. The names come from ``columns``, else from the files.
-    Given ``columns``, a folder without matching files is an empty table.
+    instead of being read swapped; ``text_sheets`` reads such files by name. The names come
+    from ``columns``, else from the files. Given ``columns``, a folder without matching files
+    is an empty table.
+
+    Quotes within cells are doubled, as spreadsheet exports write them; ``options`` may say
+    otherwise, and are passed to the reader.
     """
     reader = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
+        .option("escape", '"')
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .options(**(options or {}))

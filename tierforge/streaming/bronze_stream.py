@@ -28,12 +28,15 @@ def bronze_stream(
     failure upserts the same rows again, which leaves the table as it was. Rejected rows are
     kept by batch below ``<root>/<table>__rejected``.
     """
+    if contract.write_mode != "merge":
+        raise ValueError(f"{contract.table}: only a merge can be loaded bit by bit")
     files = (
         spark.readStream.schema(
             T.StructType([T.StructField(h, T.StringType()) for h in contract.headers])
         )
         .option("header", True)
         .option("enforceSchema", False)
+        .option("escape", '"')
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", contract.glob)
         .options(**contract.reader_options)

@@ -173,12 +173,15 @@ ORACLES: dict[str, str] = {
     ),
     "csv_scan": _as_text(_OLD),
     "csv_scan_nested": f"{_as_text(_OLD)} UNION ALL {_as_text(_products(2))}",
-    "sniffed_text_scan": """
+    "sniffed_text_scan": " UNION ALL ".join(
+        f"""
         SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name,
-               CASE WHEN folder <> 'bar' THEN p_brand END AS p_brand,
-               CAST(p_size AS VARCHAR) AS p_size, folder
-        FROM part CROSS JOIN (VALUES ('comma'), ('semicolon'), ('tab'), ('bar')) AS f(folder)
-    """,
+               {"CAST(NULL AS VARCHAR)" if folder == "bar" else "p_brand"} AS p_brand,
+               CAST(p_size AS VARCHAR) AS p_size, '{folder}' AS folder
+        FROM part
+        """
+        for folder in ("comma", "semicolon", "tab", "bar")
+    ),
     "workbook_scan": _as_text(_OLD),
     "workbook_manifest": """
         SELECT 'sheet' AS kind, 'Products' AS sheet, count(*) AS rows, false AS has_error FROM part

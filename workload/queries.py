@@ -26,6 +26,7 @@ from tierforge.operators import (
 from tierforge.plans import (
     bronze_load,
     bronze_rows,
+    exported_scan,
     fact_rows,
     load_bronze,
     load_silver,
@@ -38,7 +39,6 @@ from tierforge.scratch import scratch_dir
 from tierforge.sinks import (
     create_if_missing,
     create_or_replace,
-    export_path,
     export_sheets,
     overwrite,
     upsert_path,
@@ -489,8 +489,7 @@ def workbook_scan(spark: SparkSession, sf: str) -> DataFrame:
     dst = scratch_dir(spark, "sheets")
     books = pack(_raw_products(spark, sf), "商品 一覧", "/books/Bulgaria", "products")
     export_sheets(parse_files(books), "/books", dst)
-    rows = csv_scan(spark, export_path(dst, "products*.csv"), "*", PRODUCT.headers)
-    return conform(rows, PRODUCT)
+    return conform(exported_scan(spark, dst, "products*.csv", PRODUCT.headers), PRODUCT)
 
 
 def workbook_manifest(spark: SparkSession, sf: str) -> DataFrame:
@@ -514,7 +513,7 @@ def text_ingest(spark: SparkSession, sf: str) -> DataFrame:
     _write_csv(_raw_products(spark, sf), f"{src}/Bulgaria", ";")
     _write_csv(_raw_products(spark, sf, 2), f"{src}/Slovakia", "|")
     manifest = spreadsheet_ingest(spark, src, dst, glob="*.csv")
-    exported = conform(csv_scan(spark, export_path(dst), "*.csv", PRODUCT.headers), PRODUCT)
+    exported = conform(exported_scan(spark, dst, columns=PRODUCT.headers), PRODUCT)
     listed = manifest.groupBy(F.concat(F.lit("status "), "status").alias("what")).agg(
         F.sum("rows").alias("rows")
     )
