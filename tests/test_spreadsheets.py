@@ -11,6 +11,7 @@ from tierforge.sinks import export_path, export_sheets
 from tierforge.sources import csv_scan, delimited, discover, parse_files, text_sheets
 from tierforge.sources.ooxml import Workbook, header_names
 from tierforge.sources.probe import layout_of
+from tierforge.sources.spreadsheets import split_path
 from tests.conftest import plan, rows
 from workload.books import Raw, workbook_bytes
 
@@ -265,6 +266,34 @@ def test_ingest_of_nothing(spark, tmp_path):
     assert spreadsheet_ingest(spark, str(tmp_path / "src"), str(tmp_path / "dst")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "root, path, folder, file",
+    [
+        ("/data/raw", "file:/data/raw/a.xlsx", "_root", "a.xlsx"),
+        ("file:///data/raw/", "file:/data/raw/x/y/a b.xlsx", "x/y", "a b.xlsx"),
+        ("s3a://bucket/raw", "s3a://bucket/raw/x/raw/a.xlsx", "x/raw", "a.xlsx"),
+        ("s3a://bucket", "s3a://bucket/x/a.xlsx", "x", "a.xlsx"),
+        ("hdfs://node:8020/", "hdfs://node:8020/a.xlsx", "_root", "a.xlsx"),
+    ],
+)
+def test_split_path(spark, root, path, folder, file):
+    df = spark.createDataFrame([(path,)], "path string")
+    assert rows(df.select(*split_path(F.col("path"), root))) == [(folder, file)]
+
+
+def test_long_sheets_are_exported_in_order_header_first(spark, tmp_path):
+    (tmp_path / "src").mkdir()
+    for book in "ab":
+        sheets = [(f"s{i}", [["n", "t"], *([k, "x" * 50] for k in range(6000))]) for i in range(3)]
+        (tmp_path / f"src/{book}.xlsx").write_bytes(workbook_bytes(sheets))
+    manifest = spreadsheet_ingest(spark, str(tmp_path / "src"), str(tmp_path / "dst"), encoding="utf-8")
+    assert [r.rows for r in manifest.collect()] == [6000] * 6
+    files = list((tmp_path / "dst").glob("kind=csv/*/*/part-*"))
+    assert len(files) == 6
+    for f in files:
+        assert [line.split(",")[0] for line in f.read_text().splitlines()] == ["n", *map(str, range(6000))]
+
+
 def test_unknown_encoding(spark, tmp_path):
     with pytest.raises(ValueError, match="cp932"):
         export_sheets(None, "/x", str(tmp_path), encoding="cp932")

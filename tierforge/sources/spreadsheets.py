@@ -156,7 +156,8 @@ class _Sheet:
 
 def split_path(path: Column, root: str) -> tuple[Column, Column]:
     """Expressions for the folder of a file below ``root`` (``_root`` at the top) and its name."""
-    below = "/" + _ORIGIN.sub("", root).strip("/") + "/"
+    inner = _ORIGIN.sub("", root).strip("/")
+    below = f"/{inner}/" if inner else "/"
     bare = F.regexp_replace(path, _ORIGIN.pattern, "")
     relative = F.substr(bare, F.locate(below, bare) + F.lit(len(below)))
     folder = F.regexp_extract(relative, "^(.*)/[^/]*$", 1)
