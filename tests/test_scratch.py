@@ -1,0 +1,28 @@
+import pytest
+
+from tierforge.scratch import scratch_dir, stage
+from tests.conftest import rows
+
+
+class Session:
+    def __init__(self, **conf):
+        self.conf = {k.replace("_", "."): v for k, v in conf.items()}
+
+
+def test_the_shared_folder_is_used_and_folders_are_new():
+    session = Session(spark_checkpoint_dir="s3a://shared/tmp/", spark_master="yarn")
+    one, two = scratch_dir(session, "x"), scratch_dir(session, "x")
+    assert one.startswith("s3a://shared/tmp/x-") and one != two
+
+
+def test_only_a_local_session_does_without():
+    local = Session(spark_master="local[2]")
+    assert scratch_dir(local, "x").rsplit("/", 1)[0] == scratch_dir(local, "y").rsplit("/", 1)[0]
+    with pytest.raises(ValueError, match="must name a folder"):
+        scratch_dir(Session(spark_master="spark://host:7077"), "x")
+
+
+def test_stage(spark):
+    df = spark.sql("SELECT 1 AS a, CAST(NULL AS STRING) AS `b.c`")
+    back = stage(df, "s")
+    assert back.schema.simpleString() == df.schema.simpleString() and rows(back) == [(1, None)]

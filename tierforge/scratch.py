@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,13 +14,14 @@ _SETTING = "spark.checkpoint.dir"
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared one the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (a bare local session) is it pointed at a folder of
-    this machine.
+    Where that is not set, a session within one process gets a folder of this machine; on a
+    cluster, whose executors could not see that, it is an error.
     """
     root = spark.conf.get(_SETTING, None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tierforge-")
-        spark.conf.set(_SETTING, root)
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError(f"{_SETTING} must name a folder that all executors share")
+        root = _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -33,3 +35,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tierforge-")
