@@ -14,6 +14,7 @@ from tierforge.sinks import (
     merge_into,
     overwrite,
     upsert_native,
+    upsert_partitions,
     upsert_path,
     upsert_table,
     write_by_contract,
@@ -128,6 +129,40 @@ def test_upsert_table(spark, name, tmp_path):
     assert spark.table(name).count() == 3
 
 
+def test_upsert_partitions_leaves_the_others_alone(spark, tmp_path):
+    path, keys = f"{tmp_path}/t", ["day", "id"]
+    frame = lambda *r: spark.createDataFrame(list(r), "day string, id int, v string")
+    files = lambda day: {f.name for f in tmp_path.glob(f"t/day={day}/part-*")}
+    upsert_partitions(frame(("01", 1, "a"), ("02", 1, "b"), (None, 1, "n")), path, keys, ["day"])
+    first, second = files("01"), files("02")
+    changes = frame(("02", 1, "B"), ("02", 2, "C"), ("03", 1, "D"), ("03", 1, "E"))
+    for _ in range(2):
+        upsert_partitions(changes, path, keys, ["day"])
+        back = table_scan(spark, path, partition_types={"day": T.StringType()}).select("day", "id", "v")
+        expected = [("01", 1, "a"), ("02", 1, "B"), ("02", 2, "C"), ("03", 1, "D"), (None, 1, "n")]
+        assert rows(back) == sorted(expected, key=repr)
+    assert first == files("01") and not second & files("02")
+    upsert_partitions(frame((None, 2, "m"), (None, 1, "o")), path, keys, ["day"])
+    back = table_scan(spark, path, partition_types={"day": T.StringType()}).where("day is null")
+    assert rows(back.select("id", "v")) == [(1, "n"), (1, "o"), (2, "m")]
+    assert first == files("01")
+    upsert_partitions(changes.limit(0), path, keys, ["day"])
+    assert table_scan(spark, path).count() == 7
+    for bad in ([], ["v"]):
+        with pytest.raises(ValueError, match="must be among the keys"):
+            upsert_partitions(changes, path, keys, bad)
+
+
+def test_upsert_partitions_by_several_columns(spark, tmp_path):
+    path, keys = f"{tmp_path}/t", ["a", "b", "id"]
+    frame = lambda *r: spark.createDataFrame(list(r), "a int, b date, id int, v string")
+    one, two = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    upsert_partitions(frame(*((a, b, 1, "x") for a in (1, 2) for b in (one, two))), path, keys, ["a", "b"])
+    upsert_partitions(frame((1, one, 1, "y"), (2, two, 2, "z")), path, keys, ["a", "b"])
+    expected = [(1, one, 1, "y"), (1, two, 1, "x"), (2, one, 1, "x"), (2, two, 1, "x"), (2, two, 2, "z")]
+    assert rows(table_scan(spark, path).select("a", "b", "id", "v")) == expected
+
+
 def test_write_mode_decides(spark, name, tmp_path):
     c = contract(name)
     write_by_contract(spark.createDataFrame([(1, "a")], "id long, v string"), c, str(tmp_path))

@@ -7,6 +7,7 @@ from tierforge.sinks.tables import (
     merge_into,
     overwrite,
     upsert_native,
+    upsert_partitions,
     upsert_path,
     upsert_table,
     write_by_contract,
@@ -21,6 +22,7 @@ __all__ = [
     "merge_into",
     "overwrite",
     "upsert_native",
+    "upsert_partitions",
     "upsert_path",
     "upsert_table",
     "write_by_contract",

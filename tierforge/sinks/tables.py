@@ -5,7 +5,8 @@ loses the data. So a table that is replaced or upserted is a *view over its newe
 snapshot*: the new rows go to a fresh table, and replacing the view in the catalog is the
 switch. A failed or repeated write leaves the old snapshot current; readers that started
 earlier keep theirs. The price is that an upsert rewrites the table. Where a format with its
-own MERGE is installed, :func:`upsert_native` rewrites only what changed.
+own MERGE is installed, :func:`upsert_native` rewrites only what changed; on plain files
+:func:`upsert_partitions` rewrites only the partitions concerned.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from functools import reduce
 from operator import and_
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,6 +100,59 @@ def upsert_path(
     overwrite(_merged(target, source, keys, **options), out_path, fmt, partition_by)
 
 
+def upsert_partitions(
+    source: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    *,
+    fmt: str = "parquet",
+    add_columns: bool = False,
+    keys_present: bool = False,
+    **options,
+) -> None:
+    """Keyed upsert in place that reads and rewrites only the partitions the source has rows of.
+
+    The partition columns must be keys: then no row changes its partition, and the others
+    hold no match. The new partitions are staged before they replace the old ones, so a
+    failing job leaves the table as it was; what is not atomic is the final renaming.
+    """
+    if not partition_by or not set(partition_by) <= set(keys):
+        raise ValueError(f"partition columns {list(partition_by)} must be among the keys")
+    types = {c: source.schema[c].dataType for c in partition_by}
+    target = read_if_exists(source.sparkSession, path, fmt, types)
+    check_merge(target, source, keys, add_columns)
+    rows = unique_rows(source, keys, keys_present=keys_present, **options)
+    if target is not None:
+        rows = stage(rows, "merge")
+        merged = merge_rows(
+            target.where(_in_partitions_of(rows, partition_by)),
+            rows,
+            keys,
+            duplicates="trust",
+            keys_present=keys_present,
+            add_columns=add_columns,
+        )
+        rows = stage(merged, "partitions")
+    writer = _writer(rows, fmt, partition_by).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").save(path)
+
+
+def _in_partitions_of(rows: DataFrame, partition_by: Sequence[str]) -> Column:
+    """A filter that prunes to the partitions ``rows`` are in, collected as their values.
+
+    Each column by itself, so with several columns it may keep a partition too many.
+    """
+    values = rows.select(*map(quoted, partition_by)).distinct().collect()
+
+    def within(i: int, name: str) -> Column:
+        listed = {row[i] for row in values}
+        test = quoted(name).isin(*(listed - {None}))
+        return test | quoted(name).isNull() if None in listed else test
+
+    return reduce(and_, (within(i, c) for i, c in enumerate(partition_by)))
+
+
 def _merged(
     target: DataFrame | None,
     source: DataFrame,

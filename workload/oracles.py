@@ -69,6 +69,9 @@ _LINES_MERGED = _upsert(
     "s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber",
 )
 
+_FLAGGED = _LINES.replace("SELECT ", "SELECT l_returnflag, ", 1)
+_FLAGGED_LATER = _LATER.replace("SELECT ", "SELECT 'R' AS l_returnflag, ", 1)
+
 _KEYLESS = (
     "SELECT CASE WHEN brand = 'Brand#7' THEN NULL ELSE product_id END AS product_id, "
     "product_name, brand FROM ({})"
@@ -159,6 +162,12 @@ ORACLES: dict[str, str] = {
         "l_shipdate, l_orderkey, l_linenumber",
     ),
     "merge_published": _upsert(_OLD, _NEW),
+    "merge_partitions": _upsert(
+        _first(_FLAGGED, f"l_returnflag, {_LINE_KEYS}", _LINE_ORDER),
+        _first(_FLAGGED_LATER, f"l_returnflag, {_LINE_KEYS}", _LINE_ORDER),
+        "s.l_returnflag = t.l_returnflag AND s.l_orderkey = t.l_orderkey "
+        "AND s.l_linenumber = t.l_linenumber",
+    ),
     "silver_dim_product": _upsert(_as_text(_OLD), _as_text(_NEW)),
     "silver_fact_sales": f"""
         SELECT f.*, d.product_id IS NULL AS is_orphan

@@ -41,6 +41,7 @@ from tierforge.sinks import (
     create_or_replace,
     export_sheets,
     overwrite,
+    upsert_partitions,
     upsert_path,
     write_by_contract,
 )
@@ -359,6 +360,20 @@ def merge_published(spark: SparkSession, sf: str) -> DataFrame:
     return table_scan(spark, f"{root}/2")
 
 
+def merge_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines stored by return flag; the upsert, all of one flag, rewrites that partition."""
+    path = f"{scratch_dir(spark, 'partitions')}/lines"
+    keys = ["l_returnflag", "l_orderkey", "l_linenumber"]
+    lines = _table(spark, sf, "lineitem").select(*keys, "l_partkey", "l_suppkey", "l_shipdate", "l_quantity")
+    later = lines.withColumns(
+        {"l_returnflag": F.lit("R"), "l_linenumber": F.col("l_linenumber") + 1, "l_quantity": F.col("l_quantity") + 100}
+    )
+    for rows in (lines, later):
+        order = ["l_shipdate", "l_partkey", "l_suppkey"]
+        upsert_partitions(rows, path, keys, ["l_returnflag"], order_by=order)
+    return table_scan(spark, path)
+
+
 # --- layers -----------------------------------------------------------------------------
 
 
@@ -596,6 +611,7 @@ QUERIES: dict[str, Query] = {
     "merge_null_keys": merge_null_keys,
     "merge_first_write": merge_first_write,
     "merge_published": merge_published,
+    "merge_partitions": merge_partitions,
     "silver_dim_product": silver_dim_product,
     "silver_fact_sales": silver_fact_sales,
     "bronze_load": bronze_load_csv,
