@@ -228,15 +228,15 @@ def test_ingest(spark, folder, tmp_path):
     )
     names = {p.relative_to(dst).parent.as_posix() for p in (tmp_path / "dst").rglob("part-*")}
     assert {n for n in names if "findings" not in n} == {
-        "kind=csv/folder=_root/file=products.xlsx__0_Sheet_1.csv",
-        "kind=csv/folder=_root/file=products.xlsx__1_sheet.csv",
-        "kind=csv/folder=Bulgaria/file=products.xlx__0_Sheet_1.csv",
-        "kind=csv/folder=Bulgaria/file=products.xlx__1_sheet.csv",
-        "kind=csv/folder=Bulgaria%2Fnorth/file=semi.xls.csv",
-        "kind=csv/folder=Bulgaria%2Fnorth/file=other %5B1%5D+%2520.xlx.csv",
-        "kind=csv/folder=_root/file=latin.xlsb.csv",
+        "export_kind=csv/export_folder=_root/export_file=products.xlsx__0_Sheet_1.csv",
+        "export_kind=csv/export_folder=_root/export_file=products.xlsx__1_sheet.csv",
+        "export_kind=csv/export_folder=Bulgaria/export_file=products.xlx__0_Sheet_1.csv",
+        "export_kind=csv/export_folder=Bulgaria/export_file=products.xlx__1_sheet.csv",
+        "export_kind=csv/export_folder=Bulgaria%2Fnorth/export_file=semi.xls.csv",
+        "export_kind=csv/export_folder=Bulgaria%2Fnorth/export_file=other %5B1%5D+%2520.xlx.csv",
+        "export_kind=csv/export_folder=_root/export_file=latin.xlsb.csv",
     }
-    part = next((tmp_path / "dst/kind=csv/folder=_root/file=products.xlsx__0_Sheet_1.csv").glob("part-*"))
+    part = next((tmp_path / "dst/export_kind=csv/export_folder=_root/export_file=products.xlsx__0_Sheet_1.csv").glob("part-*"))
     assert part.read_bytes().decode("utf-8") == (
         '\ufeff商品ID,商品名,Unnamed: 2\n1,"a,b",\n2,,x\n,,\n3,"q""t\nnl",\n'
     )
@@ -258,7 +258,21 @@ def test_ingest_replaces_only_what_it_writes(spark, tmp_path):
     manifest = spreadsheet_ingest(spark, str(src), dst, first_sheet_only=True, encoding="latin-1")
     assert manifest.count() == 1
     assert rows(csv_scan(spark, export_path(dst), "*")) == [("2",), ("9",)]
-    assert (tmp_path / "dst/kind=csv/folder=_root/file=a.xlsx.csv").is_dir()
+    assert (tmp_path / "dst/export_kind=csv/export_folder=_root/export_file=a.xlsx.csv").is_dir()
+
+
+def test_text_columns_named_like_ours_keep_their_cells(spark, tmp_path):
+    src, dst = tmp_path / "src", str(tmp_path / "dst")
+    src.mkdir()
+    (src / "a.xls").write_text("path;file;export_file;Export_Kind;__path;x\n1;2;3;4;5;6\n7;8;9;10;11;12\n")
+    manifest = spreadsheet_ingest(spark, str(src), dst)
+    assert rows(manifest.select("rows", "status")) == [(2, "text")]
+    back = exported_scan(spark, dst)
+    assert back.columns == ["path", "file", "export_file.1", "Export_Kind.1", "__path.1", "x"]
+    assert rows(back)[0] == ("1", "2", "3", "4", "5", "6")
+    with pytest.raises(ValueError, match="name the path otherwise"):
+        text_sheets(spark, str(src))
+    assert text_sheets(spark, str(src), path_column="origin").count() == 2
 
 
 def test_ingest_of_nothing(spark, tmp_path):
@@ -288,7 +302,7 @@ def test_long_sheets_are_exported_in_order_header_first(spark, tmp_path):
         (tmp_path / f"src/{book}.xlsx").write_bytes(workbook_bytes(sheets))
     manifest = spreadsheet_ingest(spark, str(tmp_path / "src"), str(tmp_path / "dst"), encoding="utf-8")
     assert [r.rows for r in manifest.collect()] == [6000] * 6
-    files = list((tmp_path / "dst").glob("kind=csv/*/*/part-*"))
+    files = list((tmp_path / "dst").glob("export_kind=csv/*/*/part-*"))
     assert len(files) == 6
     for f in files:
         assert [line.split(",")[0] for line in f.read_text().splitlines()] == ["n", *map(str, range(6000))]

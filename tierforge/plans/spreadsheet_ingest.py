@@ -12,7 +12,13 @@ from pyspark.sql import functions as F
 from tierforge.sinks.sheets import export_path, export_sheets, export_text
 from tierforge.sources.delimited import large_text_group, text_groups
 from tierforge.sources.files import csv_scan
-from tierforge.sources.spreadsheets import PARSED, SPREADSHEET_GLOB, discover, parse_files
+from tierforge.sources.spreadsheets import (
+    PARSED,
+    PATH_COLUMN,
+    SPREADSHEET_GLOB,
+    discover,
+    parse_files,
+)
 
 MANIFEST = "path string, sheet string, rows bigint, status string, error string"
 
@@ -57,7 +63,7 @@ def spreadsheet_ingest(
         rows = group.read(spark)
         export_text(rows, src, dst, encoding)
         listed = spark.createDataFrame([(p,) for p in group.paths], "path string")
-        counted = rows.groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
+        counted = rows.groupBy(F.col(PATH_COLUMN).alias("path")).agg(F.count(F.lit(1)).alias("rows"))
         parts.append(
             listed.join(counted, "path", "left").select(
                 "path",

@@ -2,9 +2,11 @@
 
 Layout below the destination, all values of which are partition columns on reading back::
 
-    kind=csv/folder=<subfolder or _root>/file=<workbook>__<nr>_<sheet slug>.csv/part-...
-    kind=csv/folder=.../file=<text file>.csv/part-...
-    kind=findings/folder=<run>/...         what parse_files found in that run, as JSON lines
+    export_kind=csv/export_folder=<subfolder or _root>/export_file=<file>/part-...
+    export_kind=findings/export_folder=<run>/...
+
+``<file>`` is ``<workbook>__<nr>_<sheet slug>.csv`` or ``<text file>.csv``; the findings are what
+``parse_files`` found in that run, as JSON lines.
 
 File names keep the whole workbook name and the sheet's number, so that ``a.xls`` next to
 ``a.xlsx``, or two sheets whose names slug alike, never share a file.
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tierforge.functions.cells import csv_line
 from tierforge.functions.names import quoted, slug
-from tierforge.sources.spreadsheets import split_path
+from tierforge.sources.spreadsheets import EXPORT_COLUMNS, PATH_COLUMN, split_path
 
 _BOM = "\ufeff"
 
@@ -35,7 +37,7 @@ _ENCODINGS = {
 
 def export_path(dst: str, glob: str = "*.csv") -> str:
     """Path pattern of the exported files whose name matches ``glob``."""
-    return f"{dst.rstrip('/')}/kind=csv/folder=*/file={glob}"
+    return f"{dst.rstrip('/')}/export_kind=csv/export_folder=*/export_file={glob}"
 
 
 def export_sheets(
@@ -56,7 +58,8 @@ def export_sheets(
     charset = _charset(encoding)
     run = uuid.uuid4().hex
     folder, book = split_path(F.col("path"), root)
-    sheet = F.concat(F.lit("__"), F.col("sheet_idx").cast("string"), F.lit("_"), slug(F.col("sheet")))
+    number = F.col("sheet_idx").cast("string")
+    sheet = F.concat(F.lit("__"), number, F.lit("_"), slug(F.col("sheet")))
     name = F.concat(book, F.lit("") if first_sheet_only else sheet, F.lit(".csv"))
     line = csv_line(F.col("cells"))
     if encoding.lower() == "utf-8-sig":
@@ -67,39 +70,38 @@ def export_sheets(
     finding = F.to_json(F.struct(*(quoted(c) for c in parsed.columns if c != "cells")))
     (
         parsed.select(
-            F.when(is_row, "csv").otherwise("findings").alias("part"),
-            _known(F.when(is_row, folder).otherwise(run)).alias("folder"),
-            _known(F.when(is_row, name)).alias("file"),
+            F.when(is_row, "csv").otherwise("findings").alias("export_kind"),
+            _known(F.when(is_row, folder).otherwise(run)).alias("export_folder"),
+            _known(F.when(is_row, name)).alias("export_file"),
             F.coalesce("row_idx", F.lit(0)).alias("row_idx"),
             F.when(is_row, line).otherwise(finding).alias("value"),
         )
-        .withColumnRenamed("part", "kind")
-        .sortWithinPartitions("kind", "folder", "file", "row_idx")
-        .select("value", "kind", "folder", "file")
+        .sortWithinPartitions(*EXPORT_COLUMNS, "row_idx")
+        .select("value", *EXPORT_COLUMNS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("kind", "folder", "file")
+        .partitionBy(*EXPORT_COLUMNS)
         .text(dst)
     )
-    return f"{dst.rstrip('/')}/kind=findings/folder={run}"
+    return f"{dst.rstrip('/')}/export_kind=findings/export_folder={run}"
 
 
 def export_text(rows: DataFrame, root: str, dst: str, encoding: str = "utf-8-sig") -> None:
-    """Write one group of delimited text files as CSV; ``path`` says which file a row is from.
+    """Write one group of delimited text files as CSV; ``__path`` says which file a row is from.
 
     A large file comes in many splits and becomes as many part files, each with the header.
     """
-    folder, book = split_path(F.col("path"), root)
-    columns = [quoted(c).alias(c) for c in rows.columns if c != "path"]
+    folder, book = split_path(F.col(PATH_COLUMN), root)
+    columns = [quoted(c).alias(c) for c in rows.columns if c != PATH_COLUMN]
     if encoding.lower() == "utf-8-sig":
         first = rows.columns[0]
         columns[0] = quoted(first).alias(_BOM + first)
     (
         rows.select(
             *columns,
-            F.lit("csv").alias("kind"),
-            _known(folder).alias("folder"),
-            _known(F.concat(book, F.lit(".csv"))).alias("file"),
+            F.lit("csv").alias("export_kind"),
+            _known(folder).alias("export_folder"),
+            _known(F.concat(book, F.lit(".csv"))).alias("export_file"),
         )
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -108,7 +110,7 @@ def export_text(rows: DataFrame, root: str, dst: str, encoding: str = "utf-8-sig
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("encoding", _charset(encoding))
-        .partitionBy("kind", "folder", "file")
+        .partitionBy(*EXPORT_COLUMNS)
         .csv(dst)
     )
 
@@ -121,4 +123,5 @@ def _charset(encoding: str) -> str:
     try:
         return _ENCODINGS[encoding.lower()]
     except KeyError:
-        raise ValueError(f"cannot write CSV as {encoding!r}; use one of {sorted(_ENCODINGS)}") from None
+        known = ", ".join(sorted(_ENCODINGS))
+        raise ValueError(f"cannot write CSV as {encoding!r}; use one of {known}") from None

@@ -12,12 +12,18 @@ from pyspark.sql import types as T
 
 from tierforge.functions.cells import na_to_null
 from tierforge.functions.names import quoted
-from tierforge.sources import ooxml, probe
-from tierforge.sources.spreadsheets import SPREADSHEET_GLOB, discover, parse_files
+from tierforge.sources import probe
+from tierforge.sources.spreadsheets import (
+    PATH_COLUMN,
+    RECORD_COLUMN,
+    SPREADSHEET_GLOB,
+    discover,
+    parse_files,
+    text_header,
+)
 
 _GLOB_CHARS = re.compile(r"([\[\]{}*?\\])")
 _HEAD_LINES = 256
-_RECORD = "__record"
 
 
 @dataclass(frozen=True)
@@ -30,17 +36,19 @@ class TextGroup:
     header: tuple[str, ...]
     paths: tuple[str, ...]
 
-    def read(self, spark: SparkSession, path_column: str = "path") -> DataFrame:
+    def read(self, spark: SparkSession, path_column: str = PATH_COLUMN) -> DataFrame:
         """Rows of the files, all columns strings, and the file each row is from."""
+        if path_column.lower() in map(str.lower, self.header):
+            raise ValueError(f"a file has a column named {path_column}; name the path otherwise")
         rows = self._scan(spark, self.header)
         rows = rows.select(*map(quoted, self.header), file_path().alias(path_column))
         return na_to_null(rows, self.header)
 
     def has_surplus(self, spark: SparkSession) -> bool:
         """Does any row have more cells, empty ones at the end aside, than there are names?"""
-        rows = self._scan(spark, [*self.header, _RECORD], columnNameOfCorruptRecord=_RECORD)
+        rows = self._scan(spark, [*self.header, RECORD_COLUMN], columnNameOfCorruptRecord=RECORD_COLUMN)
         # What follows is of rows of another length only: the others have no such record.
-        bare = F.regexp_replace(_RECORD, '"[^"]*"', "x")
+        bare = F.regexp_replace(RECORD_COLUMN, '"[^"]*"', "x")
         bare = F.rtrim(bare, F.lit(self.separator + "\r\n"))
         count = F.length(bare) - F.length(F.replace(bare, F.lit(self.separator), F.lit("")))
         return bool(rows.where(count >= len(self.header)).head(1))
@@ -70,10 +78,13 @@ def text_groups(found: DataFrame) -> Iterator[TextGroup]:
     What reaches the driver is one path per file, which a scan's file listing holds there
     anyway.
     """
-    layout = ["separator", "encoding", "multi_line", "header"]
-    groups = found.where("kind = 'text'").groupBy(*layout).agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    for g in groups.collect():
-        yield TextGroup(g.separator, g.encoding, g.multi_line, tuple(g.header), tuple(g.paths))
+    found = found.where("kind = 'text'")
+    groups: dict[tuple, list[str]] = {}
+    columns = ["separator", "encoding", "multi_line", "header", "path"]
+    for *layout, header, path in found.select(*columns).collect():
+        groups.setdefault((*layout, tuple(header)), []).append(path)
+    for layout, paths in sorted(groups.items()):
+        yield TextGroup(*layout, tuple(sorted(paths)))
 
 
 def large_text_group(spark: SparkSession, path: str) -> TextGroup:
@@ -92,7 +103,7 @@ def large_text_group(spark: SparkSession, path: str) -> TextGroup:
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_or(quotes % 2 == 1).alias("odd")
     ).first()
     found = probe.layout_of(head, None if whole.utf8 else "ISO-8859-1")
-    header = ooxml.header_names(found.header, len(found.header), fold_case=True)
+    header = text_header(found.header)
     group = TextGroup(
         found.separator, found.encoding, found.multi_line or whole.odd, tuple(header), (path,)
     )

@@ -257,12 +257,15 @@ class _ColumnNumbers(dict):
         return number - 1
 
 
-def header_names(cells: list[str | None], width: int, fold_case: bool = False) -> list[str]:
+def header_names(
+    cells: list[str | None], width: int, fold_case: bool = False, reserved: tuple[str, ...] = ()
+) -> list[str]:
     """Column names of a sheet: unnamed ones numbered, repeated ones given a suffix.
 
-    ``fold_case`` also tells apart names that differ in case only, as a Spark schema must.
+    ``fold_case`` also tells apart names that differ in case only, as a Spark schema must;
+    names in ``reserved`` count as used.
     """
-    taken: set[str] = set()
+    taken = set(reserved)
     names = []
     for i in range(width):
         base = (cells[i] if i < len(cells) else None) or f"Unnamed: {i}"

@@ -23,6 +23,12 @@ SPREADSHEET_GLOB = "*.{xlsx,xlsm,xls,xlx,xlsb}"
 
 ROOT_FOLDER = "_root"
 
+# Columns of ours that stand beside those of a text file, which therefore gets no such names.
+PATH_COLUMN = "__path"
+RECORD_COLUMN = "__record"
+EXPORT_COLUMNS = ("export_kind", "export_folder", "export_file")
+RESERVED = (PATH_COLUMN, RECORD_COLUMN, *EXPORT_COLUMNS)
+
 # One value holds one file, so this bounds the memory of a parsing task.
 MAX_FILE_BYTES = 1 << 30
 
@@ -107,7 +113,7 @@ def _records(path: str, content: bytes, first_sheet_only: bool) -> Iterator[tupl
                 separator=found.separator,
                 encoding=found.encoding,
                 multi_line=found.multi_line,
-                header=ooxml.header_names(found.header, len(found.header), fold_case=True),
+                header=text_header(found.header),
             )
             return
         # Measuring reads every sheet to its end, so a damaged one shows before any row is out.
@@ -126,6 +132,11 @@ def _records(path: str, content: bytes, first_sheet_only: bool) -> Iterator[tupl
             yield record("row", sheet=sheet.name, sheet_idx=number, row_idx=i, cells=cells)
 
 
+def text_header(cells: list[str]) -> list[str]:
+    """Column names of a text file, fit for a Spark schema."""
+    return ooxml.header_names(cells, len(cells), fold_case=True, reserved=RESERVED)
+
+
 def _open(content: bytes) -> ooxml.Workbook | None:
     """The workbook in these bytes, None for what may be text."""
     if content.startswith(_LEGACY_MAGIC):
