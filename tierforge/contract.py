@@ -66,7 +66,8 @@ class Contract:
 
     def __post_init__(self) -> None:
         _reject_duplicates("column", (c.name for c in self.columns), self.table)
-        _reject_duplicates("source header", (c.source for c in self.columns if c.source), self.table)
+        headers = (c.source for c in self.columns if c.source)
+        _reject_duplicates("source header", headers, self.table)
         if self.write_mode not in ("merge", "overwrite"):
             raise ValueError(f"{self.table}: unknown write mode {self.write_mode!r}")
         if self.write_mode == "merge" and not self.keys:
@@ -76,7 +77,7 @@ class Contract:
             for what, names in (("key", self.keys), ("partition", self.partitions)):
                 missing = [n for n in names if n not in known]
                 if missing:
-                    raise ValueError(f"{self.table}: {what} columns {missing} are not in the contract")
+                    raise ValueError(f"{self.table}: {what} columns {missing} are not declared")
 
     @classmethod
     def from_dict(cls, cfg: Mapping[str, Any]) -> Contract:

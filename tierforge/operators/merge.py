@@ -124,7 +124,9 @@ def merge_rows(
     matched = target.select(*key_columns).join(offered, list(keys), "left_semi").distinct()
     fresh = keyed.join(matched, list(keys), "left_anti")
     result = kept.unionByName(inserted(fresh))
-    return result if keys_present else result.unionByName(inserted(source.where(~all_present(keys))))
+    if keys_present:
+        return result
+    return result.unionByName(inserted(source.where(~all_present(keys))))
 
 
 def check_merge(

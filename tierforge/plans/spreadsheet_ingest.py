@@ -63,7 +63,8 @@ def spreadsheet_ingest(
         rows = group.read(spark)
         export_text(rows, src, dst, encoding)
         listed = spark.createDataFrame([(p,) for p in group.paths], "path string")
-        counted = rows.groupBy(F.col(PATH_COLUMN).alias("path")).agg(F.count(F.lit(1)).alias("rows"))
+        path = F.col(PATH_COLUMN).alias("path")
+        counted = rows.groupBy(path).agg(F.count(F.lit(1)).alias("rows"))
         parts.append(
             listed.join(counted, "path", "left").select(
                 "path",

@@ -221,7 +221,12 @@ def merge_into(source: DataFrame, table: str, keys: Sequence[str]) -> None:
 
 
 def write_by_contract(
-    df: DataFrame, contract: Contract, root: str, fmt: str = "parquet", *, keys_present: bool = False
+    df: DataFrame,
+    contract: Contract,
+    root: str,
+    fmt: str = "parquet",
+    *,
+    keys_present: bool = False,
 ) -> str:
     """Upsert or replace the contract's table, as its write mode says."""
     if contract.write_mode == "merge":
@@ -255,7 +260,7 @@ def _refuse_own_input(df: DataFrame, path: str) -> None:
     for file in df.inputFiles():
         source = _plain(unquote(file))
         if source.startswith(folder) or (not _absolute(path) and folder in source):
-            raise ValueError(f"refusing to overwrite {path}: the rows to be written are read from it")
+            raise ValueError(f"refusing to overwrite {path}: the rows to write are read from it")
 
 
 def _identifier(name: str) -> str:

@@ -46,9 +46,10 @@ class TextGroup:
 
     def has_surplus(self, spark: SparkSession) -> bool:
         """Does any row have more cells, empty ones at the end aside, than there are names?"""
-        rows = self._scan(spark, [*self.header, RECORD_COLUMN], columnNameOfCorruptRecord=RECORD_COLUMN)
+        record = RECORD_COLUMN
+        rows = self._scan(spark, [*self.header, record], columnNameOfCorruptRecord=record)
         # What follows is of rows of another length only: the others have no such record.
-        bare = F.regexp_replace(RECORD_COLUMN, '"[^"]*"', "x")
+        bare = F.regexp_replace(record, '"[^"]*"', "x")
         bare = F.rtrim(bare, F.lit(self.separator + "\r\n"))
         count = F.length(bare) - F.length(F.replace(bare, F.lit(self.separator), F.lit("")))
         return bool(rows.where(count >= len(self.header)).head(1))

@@ -55,10 +55,12 @@ def workbook_bytes(
         )
         z.writestr(
             "xl/workbook.xml",
-            f'<workbook xmlns="{_MAIN}" xmlns:r="{_RELATIONS}">{properties}<sheets>{names}</sheets></workbook>',
+            f'<workbook xmlns="{_MAIN}" xmlns:r="{_RELATIONS}">{properties}'
+            f"<sheets>{names}</sheets></workbook>",
         )
         links = "".join(
-            f'<Relationship Id="rId{i}" Type="{_RELATIONS}/worksheet" Target="worksheets/sheet{i}.xml"/>'
+            f'<Relationship Id="rId{i}" Type="{_RELATIONS}/worksheet" '
+            f'Target="worksheets/sheet{i}.xml"/>'
             for i in range(1, len(sheets) + 1)
         )
         z.writestr(

@@ -55,7 +55,10 @@ _SALES = """
     FROM lineitem
 """
 
-_LINES = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity FROM lineitem"
+_LINES = """
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity
+    FROM lineitem
+"""
 _LATER = """
     SELECT l_orderkey, l_linenumber + 1 AS l_linenumber, l_partkey, l_suppkey, l_shipdate,
            l_quantity + 100 AS l_quantity
@@ -131,7 +134,8 @@ ORACLES: dict[str, str] = {
         FROM part
     """,
     "not_null_split": """
-        SELECT c_custkey, nullif(c_nationkey, 3) AS nation, nullif(c_mktsegment, 'BUILDING') AS segment,
+        SELECT c_custkey, nullif(c_nationkey, 3) AS nation,
+               nullif(c_mktsegment, 'BUILDING') AS segment,
                CASE WHEN c_nationkey = 3 AND c_mktsegment = 'BUILDING' THEN 'nation+segment'
                     WHEN c_nationkey = 3 THEN 'nation'
                     WHEN c_mktsegment = 'BUILDING' THEN 'segment' ELSE '' END AS missing

@@ -265,10 +265,9 @@ def slug_names(spark: SparkSession, sf: str) -> DataFrame:
     name = F.concat(
         F.lit(" \t"), F.col("p_name"), F.lit("  (売上) #"), F.col("p_size"), F.lit(".v-1 \n")
     )
+    short = F.when(F.col("p_size") > 25, F.lit(" 価格 ")).otherwise(F.col("p_brand"))
     return _table(spark, sf, "part").select(
-        "p_partkey",
-        slug(name).alias("slug"),
-        slug(F.when(F.col("p_size") > 25, F.lit(" 価格 ")).otherwise(F.col("p_brand"))).alias("short"),
+        "p_partkey", slug(name).alias("slug"), slug(short).alias("short")
     )
 
 
@@ -296,7 +295,7 @@ def not_null_split(spark: SparkSession, sf: str) -> DataFrame:
     )
     valid, rejected = split_not_null(rows, ["nation", "segment"])
     return valid.withColumn("missing", F.lit("")).unionByName(
-        rejected.select("c_custkey", "nation", "segment", F.array_join("null_columns", "+").alias("missing"))
+        rejected.withColumn("missing", F.array_join("null_columns", "+")).drop("null_columns")
     )
 
 
@@ -341,14 +340,16 @@ def merge_composite_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merge_null_keys(spark: SparkSession, sf: str) -> DataFrame:
-    key = F.when(F.col("brand") == "Brand#7", None).otherwise(F.col("product_id")).alias("product_id")
+    key = F.when(F.col("brand") != "Brand#7", F.col("product_id")).alias("product_id")
     target = _products(spark, sf).select(key, "product_name", "brand")
     source = _renamed(spark, sf).select(key, "product_name", "brand")
     return merge_rows(target, source, ["product_id"])
 
 
 def merge_first_write(spark: SparkSession, sf: str) -> DataFrame:
-    lines = _table(spark, sf, "lineitem").select("l_partkey", "l_shipdate", "l_orderkey", "l_linenumber")
+    lines = _table(spark, sf, "lineitem").select(
+        "l_partkey", "l_shipdate", "l_orderkey", "l_linenumber"
+    )
     return merge_rows(None, lines, ["l_partkey"])
 
 
@@ -364,12 +365,16 @@ def merge_partitions(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines stored by return flag; the upsert, all of one flag, rewrites that partition."""
     path = f"{scratch_dir(spark, 'partitions')}/lines"
     keys = ["l_returnflag", "l_orderkey", "l_linenumber"]
-    lines = _table(spark, sf, "lineitem").select(*keys, "l_partkey", "l_suppkey", "l_shipdate", "l_quantity")
+    order = ["l_shipdate", "l_partkey", "l_suppkey"]
+    lines = _table(spark, sf, "lineitem").select(*keys, *order, "l_quantity")
     later = lines.withColumns(
-        {"l_returnflag": F.lit("R"), "l_linenumber": F.col("l_linenumber") + 1, "l_quantity": F.col("l_quantity") + 100}
+        {
+            "l_returnflag": F.lit("R"),
+            "l_linenumber": F.col("l_linenumber") + 1,
+            "l_quantity": F.col("l_quantity") + 100,
+        }
     )
     for rows in (lines, later):
-        order = ["l_shipdate", "l_partkey", "l_suppkey"]
         upsert_partitions(rows, path, keys, ["l_returnflag"], order_by=order)
     return table_scan(spark, path)
 
