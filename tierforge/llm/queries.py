@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierforge.llm import mixing, sharding
+from tierforge.llm import decontamination, host_rules, html_text, mixing, secrets, sharding
 from tierforge.scratch import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    every = F.array_sort(F.concat("base", "more"))
+    return found.select(
+        "doc_id",
+        *[of(kind).alias(f"n_{kind}") for kind in secrets.BASE_KINDS],
+        F.sha2(secrets.span_list(F.col("base")), 256).alias("base_sha256"),
+        secrets.span_list(every).alias("spans"),
+        F.size("more").cast("long").alias("n_entropy"),
+    )
+
+
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "slot-map")
     first = sharding.SlotMap.first(16)
@@ -29,6 +49,31 @@ def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = host_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
+def op9_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.hits(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        table(spark, sf_dir, "benchmark").select("item_id", "text"),
+    )
+    items = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    n_hit = decontamination.covered_words(F.col("spans"))
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.copies(docs).select(
@@ -42,6 +87,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_secret_spans": op1_secret_spans,
+    "op3_main_text": op3_main_text,
     "op5_virtual_slots": op5_virtual_slots,
+    "op8_host_rules": op8_host_rules,
+    "op9_benchmark_windows": op9_benchmark_windows,
     "op10_mix_sources": op10_mix_sources,
 }
