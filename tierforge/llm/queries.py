@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierforge.llm import decontamination, host_rules, html_text, mixing, secrets, sharding
+from tierforge.llm import (
+    decontamination,
+    host_rules,
+    html_text,
+    jaccard,
+    mixing,
+    secrets,
+    sharding,
+)
 from tierforge.scratch import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +41,11 @@ def op1_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.similarity_groups(docs, size=3, percent=90)
+
+
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -88,6 +101,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secret_spans": op1_secret_spans,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_main_text": op3_main_text,
     "op5_virtual_slots": op5_virtual_slots,
     "op8_host_rules": op8_host_rules,
