@@ -13,6 +13,8 @@ from tierforge.llm import (
     html_text,
     jaccard,
     mixing,
+    pitman_yor,
+    quality_model,
     secrets,
     sharding,
 )
@@ -50,6 +52,27 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def fold(doc_id: Column, parts: int) -> Column:
+    """The part a row belongs to when ids are dealt out by checksum (a null id: as empty text)."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
+
+
+def quality_machine(docs: DataFrame, labels: DataFrame) -> quality_model.Machine | None:
+    """Learned from the labels outside the held-out quarter."""
+    return quality_model.fit(docs, labels.filter(fold(F.col("doc_id"), 4) != 2))
+
+
+def op4_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    model = quality_machine(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return quality_model.score(docs, model).select(
+        "doc_id",
+        (fold(F.col("doc_id"), 4) == 2).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "slot-map")
     first = sharding.SlotMap.first(16)
@@ -62,6 +85,11 @@ def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pitman_yor.scores(docs, fold(F.col("doc_id"), 5) != 1)
+
+
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return judged.select(
@@ -103,7 +131,9 @@ QUERIES: dict[str, Query] = {
     "op1_secret_spans": op1_secret_spans,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_main_text": op3_main_text,
+    "op4_factorisation_machine": op4_factorisation_machine,
     "op5_virtual_slots": op5_virtual_slots,
+    "op6_pitman_yor": op6_pitman_yor,
     "op8_host_rules": op8_host_rules,
     "op9_benchmark_windows": op9_benchmark_windows,
     "op10_mix_sources": op10_mix_sources,
