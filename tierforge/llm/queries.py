@@ -17,6 +17,7 @@ from tierforge.llm import (
     quality_model,
     secrets,
     sharding,
+    substrings,
 )
 from tierforge.scratch import scratch_dir
 
@@ -90,6 +91,11 @@ def op6_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.scores(docs, fold(F.col("doc_id"), 5) != 1)
 
 
+def op7_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs)
+
+
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return judged.select(
@@ -134,6 +140,7 @@ QUERIES: dict[str, Query] = {
     "op4_factorisation_machine": op4_factorisation_machine,
     "op5_virtual_slots": op5_virtual_slots,
     "op6_pitman_yor": op6_pitman_yor,
+    "op7_fm_index": op7_fm_index,
     "op8_host_rules": op8_host_rules,
     "op9_benchmark_windows": op9_benchmark_windows,
     "op10_mix_sources": op10_mix_sources,
