@@ -1,5 +1,199 @@
-"""DuckDB SQL for the queries that SQL can express on the whole tables."""
+"""DuckDB SQL for the queries that SQL can express on the whole tables.
+
+Checksums (CRC-32) and the hashes that deal out copies have no function there, and fitted models
+and parsed pages no expression: those queries are tested against plain Python instead.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from tierforge.llm.host_rules import RULES, HostRules
+from tierforge.llm.secrets import ALLOWED, BASE_KINDS, CLASSES
+
+_WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+_TEXT = "coalesce(text, '')"
+_LOWER = f"translate({_TEXT}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _any_case(letters: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in letters)
+
+
+_NAMES = "|".join(map(_any_case, ("password", "passwd", "secret", "token"))) + (
+    f"|{_any_case('api')}_?{_any_case('key')}"
+)
+_ASSIGN = rf"""({_NAMES})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_SHAPES = {
+    "assign": (_ASSIGN, f"length(regexp_extract(m, '{_ASSIGN}', 2)) >= 12"),
+    "access": ("AKIA[A-Z0-9]+", "length(m) >= 18"),
+    "hex": ("[0-9a-f]+", "length(m) >= 16"),
+}
+
+
+def _places(source: str, pattern: str) -> str:
+    """``doc_id, m, s``: the leftmost matches of a pattern and where they start."""
+    return f"""
+      SELECT doc_id, ms[k] AS m,
+             list_sum(list_transform(gs[1:k], lambda g: length(g)))
+             + coalesce(list_sum(list_transform(ms[1:k - 1], lambda g: length(g))), 0) AS s
+      FROM (SELECT doc_id, gs, ms, unnest(range(1, len(ms) + 1)) AS k FROM (
+        SELECT doc_id, regexp_extract_all(t, '(?s)(.*?)({pattern})', 1) AS gs,
+               regexp_extract_all(t, '(?s)(.*?)({pattern})', 2) AS ms FROM {source}))"""
+
+
+def _secrets() -> str:
+    parts, names = [f"t AS (SELECT doc_id, {_TEXT} AS t FROM documents)"], []
+    for rank, (kind, (pattern, holds)) in enumerate(_SHAPES.items()):
+        parts.append(
+            f"{kind}_s AS (SELECT doc_id, s::BIGINT AS s, {rank} AS r, '{kind}' AS kind,"
+            f" (s + length(m))::BIGINT AS e FROM ({_places('t', pattern)}) WHERE {holds})"
+        )
+        names.append(f"SELECT * FROM {kind}_s")
+    parts.append("base AS (" + " UNION ALL ".join(names) + ")")
+    found = []
+    for rank, cls in enumerate(CLASSES, len(BASE_KINDS)):
+        folded = "lower(m)" if cls.alphabet.lower() == cls.alphabet else "m"
+        needs = "".join(f" AND regexp_matches(m, '{need}')" for need in cls.needs)
+        w, name = cls.window, cls.kind
+        parts.append(f"""{name}_c AS (SELECT doc_id, {folded} AS m, s FROM (
+            {_places("t", f"{cls.members}{{{w},}}")})
+          WHERE NOT regexp_matches(m, '{ALLOWED}'){needs})""")
+        parts.append(f"""{name}_w AS (SELECT doc_id, s, i,
+            coalesce(i > lag(i) OVER (PARTITION BY doc_id, s ORDER BY i) + {w}, true) AS new
+          FROM (SELECT doc_id, s, i, substr(m, i + 1, {w}) AS x FROM (
+            SELECT doc_id, m, s, unnest(range(0, length(m) - {w} + 1)) AS i FROM {name}_c))
+          WHERE list_aggregate(string_split(x, ''), 'entropy') >= {cls.threshold})""")
+        parts.append(f"""{name}_s AS (SELECT doc_id, (s + min(i))::BIGINT AS s, {rank} AS r,
+            '{name}' AS kind, (s + max(i) + {w})::BIGINT AS e
+          FROM (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id, s ORDER BY i) AS island
+                FROM {name}_w) GROUP BY doc_id, s, island)""")
+        found.append(f"SELECT * FROM {name}_s")
+    parts.append(
+        "more AS (SELECT * FROM (" + " UNION ALL ".join(found) + """) x WHERE NOT EXISTS (
+          SELECT 1 FROM base b WHERE b.doc_id = x.doc_id AND b.s <= x.s AND x.e <= b.e))"""
+    )
+    listed = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, r, e)"
+    counts = ", ".join(f"coalesce(b.n_{k}, 0)::BIGINT AS n_{k}" for k in BASE_KINDS)
+    inner = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in BASE_KINDS)
+    return f"""WITH {", ".join(parts)},
+      b AS (SELECT doc_id, {inner}, {listed} AS spans FROM base GROUP BY doc_id),
+      a AS (SELECT doc_id, count(*) FILTER (r >= {len(BASE_KINDS)}) AS n, {listed} AS spans
+            FROM (SELECT * FROM base UNION ALL SELECT * FROM more) GROUP BY doc_id)
+    SELECT t.doc_id, {counts}, sha256(coalesce(b.spans, '')) AS base_sha256,
+           coalesce(a.spans, '') AS spans, coalesce(a.n, 0)::BIGINT AS n_entropy
+    FROM t LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id)"""
+
+
+def _jaccard(size: int, percent: int) -> str:
+    return f"""WITH RECURSIVE
+    w AS (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, list_aggregate(w[i + 1:i + n], 'string_agg', ' ') AS g
+          FROM (SELECT doc_id, w, least({size}, len(w)) AS n,
+                       unnest(range(0, len(w) - least({size}, len(w)) + 1)) AS i
+                FROM w WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g)
+          WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+    l AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+          WHERE 100 * c >= {percent} * (x.n + y.n - c)),
+    r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id)
+    SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
+           coalesce((SELECT min(c) FROM r WHERE r.doc_id = w.doc_id), w.doc_id) AS component_id,
+           (SELECT count(*) FROM l WHERE l.a = w.doc_id)::BIGINT AS n_links
+    FROM w LEFT JOIN n USING (doc_id)"""
+
+
+def _substrings(window: int) -> str:
+    return f"""WITH w AS (SELECT doc_id, {_WORDS.format(text=_TEXT)} AS w FROM documents),
+    x AS (SELECT doc_id, i, list_aggregate(w[i + 1:i + {window}], 'string_agg', ' ') AS g
+          FROM (SELECT doc_id, w, unnest(range(0, len(w) - {window - 1})) AS i FROM w)),
+    f AS (SELECT g, min(doc_id) AS first FROM x GROUP BY g),
+    c AS (SELECT DISTINCT doc_id, unnest(range(i, i + {window})) AS k
+          FROM x JOIN f USING (g) WHERE first < doc_id),
+    u AS (SELECT doc_id, w[k + 1] AS word, k
+          FROM (SELECT doc_id, w, unnest(range(0, len(w))) AS k FROM w)),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS t
+             FROM u ANTI JOIN c USING (doc_id, k) GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words,
+           (SELECT count(*) FROM c WHERE c.doc_id = w.doc_id)::BIGINT AS n_removed,
+           sha256(coalesce(t, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id)"""
+
+
+def _host_rules(rules: HostRules) -> str:
+    failed = {
+        "too_short": f"n_words < {rules.min_words}",
+        "repetitive": f"100 * n_repeat_words > {rules.max_repeat_pct} * n_words",
+        "symbols": f"100 * n_symbols > {rules.max_symbol_pct} * word_chars",
+        "dup_lines": f"100 * n_dup_lines > {rules.max_dup_line_pct} * n_lines",
+    }
+    sums, priors, rates = [], [], []
+    for r in RULES:
+        sums.append(f"sum(({failed[r]})::INT) AS {r}")
+        mean = f"(f_{r} / n)"
+        spread = f"((ff_{r} - n * {mean} * {mean} - (h - 1) * {mean} * (1 - {mean})) / (n - nn / n))"
+        priors.append(f"""CASE WHEN h < 2 OR f_{r} <= 0 OR f_{r} >= n THEN greatest(n, 1.0)
+          ELSE least(greatest(CASE WHEN {spread} > 0 THEN {mean} * (1 - {mean}) / {spread} - 1
+                              ELSE n END, 1.0), n) END AS k_{r}, f_{r} / n AS m_{r}""")
+        rates.append(f"({r} + m_{r} * k_{r}) / (docs + k_{r}) > {rules.max_host_rate}")
+    totals = ", ".join(f"sum({r})::DOUBLE AS f_{r}, sum({r} * {r} / docs) AS ff_{r}" for r in RULES)
+    return f"""WITH w AS (SELECT doc_id, source, {_TEXT} AS t, {_WORDS.format(text=_TEXT)} AS w
+      FROM documents),
+    g AS (SELECT doc_id, i, w[i + 1:i + 3] AS g
+          FROM (SELECT doc_id, w, unnest(range(0, len(w) - 2)) AS i FROM w)),
+    again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g)
+              WHERE c > 1),
+    rep AS (SELECT doc_id, count(DISTINCT k) AS n
+            FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS k FROM again) GROUP BY doc_id),
+    lines AS (SELECT doc_id, count(*) AS n, count(DISTINCT l) AS d
+              FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM w)
+              WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+    m AS (SELECT doc_id, source, len(w)::BIGINT AS n_words,
+                 length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
+                 length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+                 coalesce(lines.n - lines.d, 0)::BIGINT AS n_dup_lines,
+                 coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(lines.n, 0) AS n_lines
+          FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN lines USING (doc_id)),
+    h AS (SELECT source, count(*) AS docs, {", ".join(sums)} FROM m GROUP BY source),
+    a AS (SELECT count(*) AS h, sum(docs)::DOUBLE AS n, sum(docs * docs)::DOUBLE AS nn, {totals}
+          FROM h),
+    k AS (SELECT {", ".join(priors)} FROM a),
+    v AS (SELECT source, {" OR ".join(rates)} AS condemned FROM h, k)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           {failed["too_short"]} OR {failed["repetitive"]} AS base_failed,
+           NOT ({failed["too_short"]} OR {failed["repetitive"]}) AND NOT condemned AS kept
+    FROM m JOIN v ON m.source IS NOT DISTINCT FROM v.source"""
+
+
+def _benchmark(size: int) -> str:
+    words = (
+        f"list_filter(string_split_regex({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),"
+        " lambda w: w <> '')"
+    )
+    joined = "list_aggregate(w[i + 1:i + n], 'string_agg', ' ')"
+    return f"""WITH b AS (SELECT item_id, {words} AS w FROM benchmark),
+    bw AS (SELECT DISTINCT item_id, n, {joined} AS g
+           FROM (SELECT item_id, w, least(len(w), {size}) AS n,
+                        unnest(range(0, len(w) - least(len(w), {size}) + 1)) AS i
+                 FROM b WHERE len(w) > 0)),
+    d AS (SELECT doc_id, {words} AS w FROM documents),
+    dw AS (SELECT doc_id, n, i, {joined} AS g
+           FROM (SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS i
+                 FROM d, (SELECT DISTINCT n FROM bw))),
+    hit AS (SELECT doc_id, item_id, i, n FROM dw JOIN bw USING (n, g)),
+    words AS (SELECT doc_id, count(DISTINCT k) AS n
+              FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hit) GROUP BY doc_id),
+    items AS (SELECT doc_id, count(*) AS n, string_agg(x, ',' ORDER BY x) AS ids
+              FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM hit) GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit,
+           coalesce(items.n, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+           coalesce(words.n, 0) > 0 AS contaminated
+    FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_secret_spans": _secrets(),
+    "op2_ngram_jaccard": _jaccard(3, 90),
+    "op7_fm_index": _substrings(13),
+    "op8_host_rules": _host_rules(HostRules()),
+    "op9_benchmark_windows": _benchmark(10),
+}
