@@ -1,25 +1,41 @@
+import os
+
 import pytest
 
-from tierforge.scratch import scratch_dir, stage
+from tierforge.scratch import scratch_dir, stage, staging
 from tests.conftest import rows
 
 
+class Conf(dict):
+    def get(self, key, default=None):
+        return super().get(key, default)
+
+
 class Session:
     def __init__(self, **conf):
-        self.conf = {k.replace("_", "."): v for k, v in conf.items()}
+        self.conf = Conf({k.replace("__", "."): v for k, v in conf.items()})
 
 
 def test_the_shared_folder_is_used_and_folders_are_new():
-    session = Session(spark_checkpoint_dir="s3a://shared/tmp/", spark_master="yarn")
+    session = Session(spark__checkpoint__dir="s3a://shared/tmp/", spark__master="yarn")
     one, two = scratch_dir(session, "x"), scratch_dir(session, "x")
     assert one.startswith("s3a://shared/tmp/x-") and one != two
 
 
 def test_only_a_local_session_does_without():
-    local = Session(spark_master="local[2]")
-    assert scratch_dir(local, "x").rsplit("/", 1)[0] == scratch_dir(local, "y").rsplit("/", 1)[0]
-    with pytest.raises(ValueError, match="must name a folder"):
-        scratch_dir(Session(spark_master="spark://host:7077"), "x")
+    local = Session(spark__master="local[2]", spark__sql__warehouse__dir="file:/w/")
+    assert scratch_dir(local, "x").startswith("file:/w/_scratch/x-")
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="must name a folder"):
+            scratch_dir(Session(spark__master=master), "x")
+
+
+def test_what_was_staged_goes_when_its_result_is_stored(spark):
+    with staging(spark):
+        df = stage(spark.range(3), "s")
+        path = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(path) and df.count() == 3
+    assert not os.path.exists(path)
 
 
 def test_stage(spark):

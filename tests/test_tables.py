@@ -1,28 +1,45 @@
 import datetime as dt
+import os
+import subprocess
+import sys
 import uuid
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierforge import Contract
-from tierforge.plans import bronze_load, bronze_rows, load_bronze, load_gold, load_silver
+from tierforge.plans import (
+    bronze_load,
+    bronze_rows,
+    load_bronze,
+    load_facts,
+    load_gold,
+    load_silver,
+)
 from tierforge.sinks import (
+    ConcurrentWrite,
     create_if_missing,
     create_or_replace,
+    drop_old,
     merge_into,
+    newest,
     overwrite,
+    read_table,
+    show,
     upsert_native,
     upsert_partitions,
     upsert_path,
     upsert_table,
     write_by_contract,
 )
+from tierforge.sinks.snapshots import publish
 from tierforge.sources import contract_scan, table_scan
 from tierforge.streaming import bronze_stream
 from tests.conftest import rows
-from workload.queries import PRODUCT
+from workload.queries import PRODUCT, SALES
 
 AT = dt.datetime(2024, 1, 1)
 
@@ -90,7 +107,7 @@ def test_replacing_a_table_keeps_the_old_snapshot(spark, name, tmp_path):
     first = create_or_replace(spark.range(3), name, str(tmp_path))
     reader = spark.table(name)
     second = create_or_replace(spark.table(name).where("id > 0"), name, str(tmp_path))
-    assert first != second
+    assert (first.version, second.version) == (1, 2)
     assert (reader.count(), spark.table(name).count()) == (3, 2)
 
 
@@ -112,7 +129,7 @@ def test_partition_columns_keep_their_type(spark, name, tmp_path):
 def test_a_table_without_rows_has_columns(spark, name, tmp_path):
     empty = spark.createDataFrame([], "day date, id int")
     create_or_replace(empty, name, str(tmp_path), partition_by=["day"])
-    assert spark.table(name).columns == ["id", "day"] and spark.table(name).count() == 0
+    assert spark.table(name).columns == ["day", "id"] and spark.table(name).count() == 0
     upsert_table(spark.createDataFrame([(AT.date(), 1)], "day date, id int"), name, str(tmp_path), ["id"], partition_by=["day"])
     assert spark.table(name).count() == 1
 
@@ -263,3 +280,135 @@ def test_stream_reads_each_file_once(spark, name, tmp_path):
     assert rows(spark.table(name).drop("ingest_ts")) == [(1, "c"), (3, "d")]
     kept = spark.read.parquet(f"{tmp_path}/bronze/{name}__rejected")
     assert rows(kept.select("v", "batch")) == [("bad", 0)]
+    spark.sql(f"DROP VIEW {name}")  # as a new session would find it, with a new checkpoint
+    write_csv(tmp_path / "new/p3.csv", "5,e", "y,worse")
+    bronze_stream(spark, c, f"{tmp_path}/new", f"{tmp_path}/bronze", f"{tmp_path}/again", at=AT).awaitTermination()
+    assert rows(spark.table(name).drop("ingest_ts")) == [(1, "c"), (3, "d"), (5, "e")]
+    kept = spark.read.parquet(f"{tmp_path}/bronze/{name}__rejected")
+    assert rows(kept.select("v", "batch")) == [("bad", 0), ("worse", 0)]
+
+
+def test_a_table_is_found_by_path(spark, name, tmp_path):
+    frame = lambda *r: spark.createDataFrame(list(r), "k int, v string")
+    for buckets in (0, 4):
+        root = f"{tmp_path}/{buckets}"
+        for rows_ in ([(1, "a")], [(2, "b")]):
+            upsert_table(frame(*rows_), name, root, ["k"], buckets=buckets)
+            spark.sql(f"DROP VIEW {name}")
+        assert rows(read_table(spark, root, name)) == [(1, "a"), (2, "b")]
+        show(spark, root, name)
+        assert rows(spark.table(name)) == [(1, "a"), (2, "b")]
+    with pytest.raises(LookupError):
+        read_table(spark, str(tmp_path), "none")
+
+
+def test_two_processes_write_one_table(spark, name, tmp_path):
+    script = """
+import sys
+from pyspark.sql import SparkSession
+from tierforge import Contract
+from tierforge.plans import load_bronze
+root, name, key = sys.argv[1:]
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.sql.warehouse.dir", root + "/w" + key).getOrCreate())
+c = Contract.from_dict({"table": name, "columns": {"id": {"type": "long", "source": "ID"}}, "primary_keys": ["id"]})
+load_bronze(spark, c, {}, root, raw=spark.createDataFrame([(key,)], "ID string"))
+"""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for key in "12":
+        run = [sys.executable, "-c", script, str(tmp_path), name, key]
+        subprocess.run(run, check=True, cwd=repo, capture_output=True, timeout=300)
+    assert rows(read_table(spark, str(tmp_path), name).select("id")) == [(1,), (2,)]
+
+
+def test_a_write_that_started_from_an_older_state_fails(spark, name, tmp_path):
+    root = str(tmp_path)
+    create_or_replace(spark.range(2), name, root)
+    before = newest(spark, root, name)
+    upsert_table(spark.range(5, 6), name, root, ["id"])
+    with pytest.raises(ConcurrentWrite):
+        publish(spark.range(9), root, name, before)
+    assert rows(read_table(spark, root, name)) == [(0,), (1,), (5,)]
+
+
+def test_rows_of_others_are_not_taken_for_no_table(spark, name, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/{name}")
+    with pytest.raises(ValueError, match="no published snapshot"):
+        upsert_table(spark.range(1), name, str(tmp_path), ["id"])
+    assert table_scan(spark, f"{tmp_path}/{name}").count() == 3
+
+
+def test_buckets_that_are_not_concerned_keep_their_files(spark, name, tmp_path):
+    root = str(tmp_path)
+    rows_ = spark.range(400).selectExpr("id", "string(id) AS v", "date_add(date'2024-01-01', int(id % 2)) AS day")
+    upsert_table(rows_, name, root, ["id"], buckets=8, partition_by=["day"])
+    first = newest(spark, root, name)
+    one = spark.sql("SELECT 7 AS id, 'new' AS v, date'2024-02-01' AS day, 1 AS more")
+    upsert_table(one, name, root, ["id"], add_columns=True)
+    now = newest(spark, root, name)
+    (old,), (held,) = first.folders, [b for f, b in now.folders.items() if f in first.folders]
+    assert len(held) == 7 and sum(len(b) for b in now.folders.values()) == 8
+    files = list(tmp_path.glob(f"{name}/data-*/__bucket=*/day=*/part-*"))
+    new = [f for f in files if old not in str(f)]
+    assert len({f.parent.parent.name for f in new}) == 1
+    back = read_table(spark, root, name)
+    assert back.count() == spark.table(name).count() == 400
+    assert rows(back.where("id = 7 or id = 8").select("id", "v", "more")) == [(7, "new", 1), (8, "8", None)]
+    upsert_table(one.limit(0), name, root, ["id"], add_columns=True)
+    assert newest(spark, root, name) == now
+    with pytest.raises(ValueError, match="stored by"):
+        upsert_table(one, name, root, ["v"], add_columns=True)
+
+
+def test_null_keys_in_buckets(spark, name, tmp_path):
+    frame = lambda *r: spark.createDataFrame(list(r), "a long, b string, v int")
+    upsert_table(frame((1, None, 1), (1, "x", 1)), name, str(tmp_path), ["a", "b"], buckets=4)
+    upsert_table(frame((1, None, 2), (1, "x", 2)), name, str(tmp_path), ["a", "b"])
+    assert rows(read_table(spark, str(tmp_path), name)) == [(1, "x", 2), (1, None, 1), (1, None, 2)]
+
+
+def test_old_snapshots_are_dropped(spark, name, tmp_path):
+    for k in range(4):
+        create_or_replace(spark.range(k), name, str(tmp_path))
+    gone = drop_old(spark, str(tmp_path), name, keep=2)
+    assert len(gone) == 2 and len(list(tmp_path.glob(f"{name}/data-*"))) == 2
+    assert read_table(spark, str(tmp_path), name).count() == 3
+    create_or_replace(spark.range(9), name, str(tmp_path))
+    assert newest(spark, str(tmp_path), name).version == 5
+
+
+def test_upserts_leave_nothing_staged(spark, name, tmp_path):
+    scratch = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(scratch.iterdir())
+    for _ in range(2):
+        upsert_table(spark.range(9), name, str(tmp_path), ["id"], buckets=2)
+        upsert_partitions(spark.range(9).selectExpr("id", "id % 2 AS p"), f"{tmp_path}/p", ["id", "p"], ["p"])
+    assert set(scratch.iterdir()) == before
+
+
+def test_an_absent_required_column_rejects_all(spark, name):
+    cfg = {"table": name, "columns": {"id": {"type": "long", "source": "ID"}, "qty": {"type": "int"}}, "primary_keys": ["id"]}
+    c = Contract.from_dict(cfg)
+    c = replace(c, columns=(c.columns[0], replace(c.columns[1], nullable=False)))
+    raw = spark.createDataFrame([("1",), ("2",)], "ID string")
+    valid, rejected = bronze_rows(raw, c, at=AT)
+    assert valid.count() == 0 and rows(rejected.select("id", "null_columns")) == [(1, ["qty"]), (2, ["qty"])]
+    with pytest.raises(Exception, match="qty is declared not null"):
+        bronze_rows(raw, c, at=AT, nulls="fail")[0].collect()
+    with pytest.raises(ValueError, match="unknown way"):
+        bronze_rows(raw, c, nulls="maybe")
+
+
+def test_facts_are_stored_by_contract(spark, name, tmp_path):
+    c = replace(SALES, table=name)
+    raw = spark.createDataFrame(
+        [("1", "p", "2", "3.5", "2024-01-01"), ("2", "q", "1", "1", "2024-01-02"), ("3", "p", None, "1", "2024-01-02")],
+        ", ".join(f"`{h}` string" for h in c.headers),
+    )
+    dim = spark.createDataFrame([("p",)], "product_id string")
+    for _ in range(2):
+        rejected = load_facts(raw, c, dim, "product_id", str(tmp_path), buckets=2)
+        assert rows(rejected.select("sales_id", "null_columns")) == [("3", ["quantity"])]
+    back = read_table(spark, str(tmp_path), name)
+    assert rows(back.select("sales_id", "is_orphan")) == [("1", False), ("2", True)]
+    assert list(tmp_path.glob(f"{name}/data-*/__bucket=*/sales_date=2024-01-02"))

@@ -18,11 +18,14 @@ def conform(df: DataFrame, contract: Contract, *, strict: bool = False) -> DataF
 
     By default drift is tolerated: contract columns the input lacks are left out (unless
     they have a default), input columns the contract lacks are kept, and a type the
-    contract names but we do not know leaves its column as read. ``strict`` returns exactly
+    contract names but we do not know leaves its column as read. Column names match without regard to
+    case, source headers exactly. ``strict`` returns exactly
     the contract's columns in order and raises on either kind of gap.
     """
+    # Spark takes names that differ in case for the same, so the contract's spelling is given to all.
+    spelled = {c.name.lower(): c.name for c in contract.columns}
     rename = {c.source: c.name for c in contract.columns if c.source}
-    names = [rename.get(c, c) for c in df.columns]
+    names = [rename.get(c) or spelled.get(c.lower(), c) for c in df.columns]
     clashes = [n for n, k in Counter(n.lower() for n in names).items() if k > 1]
     if clashes:
         raise ValueError(f"{contract.table}: several input columns would be named {clashes}")

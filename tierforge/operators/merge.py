@@ -13,14 +13,21 @@ from tierforge.contract import AUDIT_COLUMN, Contract
 from tierforge.functions.names import quoted
 from tierforge.operators.dedupe import dedupe_on_keys, require_unique
 from tierforge.operators.quality import all_present
+from tierforge.scratch import stage
 
 _HIT = "__hit"
 _IN = "__in_"
 
 
-def key_predicate(left: str, right: str, keys: Sequence[str]) -> Column:
-    """``left.k = right.k`` for every key, so NULL keys match nothing."""
-    return reduce(and_, (F.col(f"{left}.`{k}`") == F.col(f"{right}.`{k}`") for k in keys))
+def key_predicate(left: Sequence[Column], right: Sequence[Column]) -> Column:
+    """Every key equals its counterpart, so NULL keys match nothing."""
+    return reduce(and_, (a == b for a, b in zip(left, right, strict=True)))
+
+
+def spelled_like(source: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``source`` with those of its columns that are in ``names`` but for case named likewise."""
+    known = {n.lower(): n for n in names}
+    return source.select(*(quoted(c).alias(known.get(c.lower(), c)) for c in source.columns))
 
 
 def merge_options(contract: Contract) -> dict:
@@ -74,59 +81,58 @@ def merge_rows(
     Rows whose keys match take every source column and keep the columns only the target
     has; source rows without a match are inserted. Columns only the source has raise,
     unless ``add_columns`` widens the result. Rows with a NULL key match nothing and are all
-    kept; ``keys_present`` spares the search for them in a source that has none.
+    kept; ``keys_present`` spares the search for them in a source that has none. Column names are
+    matched without regard to case.
 
     A source key must occur once, on the first load too. ``duplicates`` says how that is
-    brought about: keep the ``first`` row (see ``dedupe_on_keys``), ``raise`` when the query
-    meets a repeated key, or ``trust`` the caller.
+    brought about: keep the ``first`` row (see ``dedupe_on_keys``), ``raise`` when a key is
+    repeated, or ``trust`` the caller.
 
     The result is two joins under a union rather than one full outer join. A full outer
     join always shuffles and sorts the whole target, and Spark neither broadcasts into it
     nor splits its skewed partitions. Here the updates are ``target left join source`` and
     the inserts are an anti join against the matched keys only, so a source small enough
-    to broadcast leaves a large target where it is, and a hot target key is split.
+    to broadcast leaves a large target where it is, and a hot target key is split. What the two
+    joins share, the source made unique and the matched keys, is staged.
     """
     check_merge(target, source, keys, add_columns)
-    key_columns = [quoted(k) for k in keys]
-    # Taken before the rows are made unique, so that this scan reads the keys alone.
-    offered = source.select(*key_columns)
+    names = list(target.columns) if target is not None else []
+    source = spelled_like(source, [*keys, *names])
+    keys = [c for k in keys for c in (names or source.columns) if c.lower() == k.lower()]
     if duplicates != "trust":
-        offered = offered.distinct()
         source = unique_rows(source, keys, order_by, ignore, duplicates, keys_present)
     if target is None:
         return source
+    if duplicates != "trust":
+        source = stage(source, "merge")
 
     types = {f.name: f.dataType for f in source.schema.fields}
     types |= {f.name: f.dataType for f in target.schema.fields}
-    columns = list(target.columns) + [c for c in source.columns if c not in target.columns]
-    keyed = source if keys_present else source.where(all_present(keys))
+    columns = names + [c for c in source.columns if c not in names]
+    key_columns = [quoted(k) for k in keys]
 
-    incoming = keyed.select(
+    incoming = source.select(
         *(quoted(c).alias(_IN + c) for c in source.columns), F.lit(True).alias(_HIT)
     )
-    on = reduce(and_, (quoted(k) == quoted(_IN + k) for k in keys))
 
     def updated(c: str) -> Column:
-        old = quoted(c) if c in target.columns else F.lit(None).cast(types[c])
+        old = quoted(c) if c in names else F.lit(None).cast(types[c])
         if c not in source.columns:
             return old.alias(c)
         return F.when(quoted(_HIT), quoted(_IN + c).cast(types[c])).otherwise(old).alias(c)
 
-    def inserted(rows: DataFrame) -> DataFrame:
-        return rows.select(
-            *(
-                (quoted(c) if c in source.columns else F.lit(None)).cast(types[c]).alias(c)
-                for c in columns
-            )
-        )
+    def inserted(c: str) -> Column:
+        value = quoted(c) if c in source.columns else F.lit(None)
+        return value.cast(types[c]).alias(c)
 
-    kept = target.join(incoming, on, "left").select(*(updated(c) for c in columns))
-    matched = target.select(*key_columns).join(offered, list(keys), "left_semi").distinct()
-    fresh = keyed.join(matched, list(keys), "left_anti")
-    result = kept.unionByName(inserted(fresh))
-    if keys_present:
-        return result
-    return result.unionByName(inserted(source.where(~all_present(keys))))
+    on = key_predicate(key_columns, [quoted(_IN + k) for k in keys])
+    kept = target.join(incoming, on, "left").select(*map(updated, columns))
+    # The repartitioning frees the join from keeping its rows by key, so that it may split them.
+    matched = target.select(*key_columns).join(source.select(*key_columns), list(keys), "left_semi")
+    matched = stage(matched.repartition(*key_columns).distinct(), "matched")
+    # Rows with a NULL key match nothing, so they are among these.
+    fresh = source.join(matched, list(keys), "left_anti")
+    return kept.unionByName(fresh.select(*map(inserted, columns)))
 
 
 def check_merge(
@@ -136,10 +142,12 @@ def check_merge(
     if not keys:
         raise ValueError("a merge needs at least one key column")
     for side, df in (("source", source), ("target", target)):
-        missing = [k for k in keys if df is not None and k not in df.columns]
+        present = {c.lower() for c in df.columns} if df is not None else set()
+        missing = [k for k in keys if df is not None and k.lower() not in present]
         if missing:
             raise ValueError(f"merge {side} lacks key columns {missing}")
     if target is not None and not add_columns:
-        extra = [c for c in source.columns if c not in target.columns]
+        known = {c.lower() for c in target.columns}
+        extra = [c for c in source.columns if c.lower() not in known]
         if extra:
             raise ValueError(f"merge source has columns the target lacks: {extra}")

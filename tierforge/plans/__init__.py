@@ -2,9 +2,9 @@
 
 from tierforge.plans.bronze import bronze_load, bronze_rows, load_bronze
 from tierforge.plans.gold import load_gold, sales_summary
-from tierforge.plans.silver import fact_rows, load_silver, silver_merge
+from tierforge.plans.silver import fact_rows, load_facts, load_silver, silver_merge
 from tierforge.plans.spreadsheet_ingest import exported_scan, spreadsheet_ingest
-from tierforge.plans.sql_template import run_template
+from tierforge.plans.sql_template import load_from_template, run_template
 
 __all__ = [
     "bronze_load",
@@ -12,6 +12,8 @@ __all__ = [
     "exported_scan",
     "fact_rows",
     "load_bronze",
+    "load_facts",
+    "load_from_template",
     "load_gold",
     "load_silver",
     "run_template",

@@ -3,30 +3,48 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierforge.contract import AUDIT_COLUMN, Contract
 from tierforge.operators.conform import add_audit, conform
 from tierforge.operators.dedupe import dedupe_on_keys
 from tierforge.operators.merge import merge_options, merge_rows
-from tierforge.operators.quality import split_not_null
-from tierforge.sinks.tables import write_by_contract
+from tierforge.operators.quality import require_not_null, split_not_null
+from tierforge.sinks.tables import BUCKETS, write_by_contract
 from tierforge.sources.files import contract_scan
 
 
 def bronze_rows(
-    raw: DataFrame, contract: Contract, *, at: dt.datetime | None = None, strict: bool = False
+    raw: DataFrame,
+    contract: Contract,
+    *,
+    at: dt.datetime | None = None,
+    strict: bool = False,
+    nulls: str = "reject",
 ) -> tuple[DataFrame, DataFrame]:
     """Rows under the contract, and the rows rejected for a missing required value.
 
     Required are the columns declared not nullable and the keys: a row with a NULL key
-    matches nothing, so every rerun would insert it again.
+    matches nothing, so every rerun would insert it again. A required column that the input
+    lacks, and that has no default, is missing in all rows. With ``nulls="fail"`` the first such
+    row fails the query instead.
     """
     rows = conform(raw, contract, strict=strict)
-    required = [c for c in contract.required if c in rows.columns]
-    valid, rejected = split_not_null(rows, required)
+    types = {c.name: c.spark_type for c in contract.columns}
+    # A required column that the input lacks is missing in every row.
+    for name in contract.required:
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast(types.get(name) or "string"))
+    if nulls == "fail":
+        valid, rejected = require_not_null(rows, contract.required), split_not_null(rows, [])[1]
+    elif nulls == "reject":
+        valid, rejected = split_not_null(rows, contract.required)
+    else:
+        raise ValueError(f"unknown way with missing values: {nulls!r}")
     return (add_audit(valid, at) if contract.audit else valid), rejected
 
 
@@ -53,17 +71,23 @@ def load_bronze(
     *,
     raw: DataFrame | None = None,
     at: dt.datetime | None = None,
+    fmt: str = "parquet",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Read the contract's source, write its bronze table below ``root``; returns the rejects.
 
-    ``raw`` takes the place of the source, exported sheets for example.
+    ``raw`` takes the place of the source, exported sheets for example. The rejects are stored
+    below ``<root>/<table>__rejected``, a folder for each load. ``buckets``: see
+    ``write_by_contract``.
     """
     source = contract_scan(spark, contract, roots) if raw is None else raw
     valid, rejected = bronze_rows(source, contract, at=at)
     if contract.write_mode == "overwrite":
         valid = _replacement(valid, contract)
-    write_by_contract(valid, contract, root, keys_present=True)
-    return rejected
+    kept = f"{root.rstrip('/')}/{contract.table}__rejected/load={uuid.uuid4().hex}"
+    rejected.write.parquet(kept)
+    write_by_contract(valid, contract, root, fmt, keys_present=True, buckets=buckets)
+    return spark.read.schema(rejected.schema).parquet(kept)
 
 
 def _replacement(valid: DataFrame, contract: Contract) -> DataFrame:

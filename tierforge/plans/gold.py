@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierforge.operators.summary import Sum, summarise_with_lookup
+from tierforge.sinks.snapshots import Snapshot
 from tierforge.sinks.tables import create_or_replace
 
 
@@ -26,7 +27,7 @@ def sales_summary(fact_sales: DataFrame, dim_product: DataFrame) -> DataFrame:
 
 def load_gold(
     fact_sales: DataFrame, dim_product: DataFrame, root: str, name: str = "sales_summary"
-) -> str:
+) -> Snapshot:
     """Replace the summary table, stored by day."""
     summary = sales_summary(fact_sales, dim_product)
     return create_or_replace(summary, name, root, partition_by=["sales_date"])

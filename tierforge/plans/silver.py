@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -14,7 +15,7 @@ from tierforge.operators.merge import merge_rows
 from tierforge.operators.quality import split_not_null
 from tierforge.operators.summary import flag_orphans
 from tierforge.scratch import stage
-from tierforge.sinks.tables import upsert_table
+from tierforge.sinks.tables import BUCKETS, write_by_contract
 
 
 def silver_merge(
@@ -25,18 +26,49 @@ def silver_merge(
 
 
 def load_silver(
-    spark: SparkSession, contract: Contract, bronze: str, root: str, columns: Sequence[str]
-) -> str:
-    """Merge the bronze table of the given name into the contract's silver table."""
-    source = spark.table(bronze).select(*map(quoted, columns))
-    return upsert_table(
-        source,
-        contract.table,
+    spark: SparkSession,
+    contract: Contract,
+    bronze: str | DataFrame,
+    root: str,
+    columns: Sequence[str],
+    *,
+    fmt: str = "parquet",
+    buckets: int = BUCKETS,
+) -> None:
+    """Merge a bronze table, given by its rows or its name, into the contract's silver table.
+
+    The name must be known to the session; ``read_table`` finds the rows by path.
+    """
+    rows = spark.table(bronze) if isinstance(bronze, str) else bronze
+    write_by_contract(
+        rows.select(*map(quoted, columns)),
+        replace(contract, dedupe=True, write_mode="merge"),
         root,
-        contract.keys,
-        partition_by=contract.partitions,
-        ignore=(AUDIT_COLUMN,),
+        fmt,
+        buckets=buckets,
+    )
+
+
+def load_facts(
+    raw: DataFrame,
+    contract: Contract,
+    dim: DataFrame,
+    foreign_key: str,
+    root: str,
+    *,
+    fmt: str = "parquet",
+    buckets: int = BUCKETS,
+    **options,
+) -> DataFrame:
+    """Store the cleansed facts by contract (keys, partitions); returns the rejects.
+
+    ``options`` are those of ``fact_rows``.
+    """
+    facts, rejected = fact_rows(raw, contract, dim, foreign_key, **options)
+    write_by_contract(
+        facts, contract, root, fmt, keys_present=True, keys_unique=True, buckets=buckets
     )
+    return rejected
 
 
 def fact_rows(
@@ -47,6 +79,7 @@ def fact_rows(
     *,
     dim_key: str | None = None,
     order_by: Sequence[str | Column] = (),
+    keys_unique: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Cleansed facts with an ``is_orphan`` flag, and the rejected rows.
 
@@ -55,9 +88,10 @@ def fact_rows(
     order the choice between rows of equal key and are dropped after it.
 
     The distinct keys of ``dim`` are staged; their size then decides how they are joined.
+    ``keys_unique`` says that no key of ``raw`` repeats, as in a table stored by its keys.
     """
     known = stage(dim.select(quoted(dim_key or foreign_key).alias(foreign_key)).distinct(), "keys")
     valid, rejected = split_not_null(conform(raw, contract), contract.required)
-    facts = dedupe_on_keys(valid, contract.keys, order_by)
+    facts = valid if keys_unique else dedupe_on_keys(valid, contract.keys, order_by)
     facts = facts.select(*(quoted(c.name) for c in contract.columns))
     return flag_orphans(facts, known, foreign_key, lookup_unique=True), rejected

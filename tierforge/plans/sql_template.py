@@ -7,6 +7,10 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierforge.contract import Contract
+from tierforge.operators.conform import conform
+from tierforge.sinks.tables import BUCKETS, write_by_contract
+
 
 def run_template(
     spark: SparkSession,
@@ -25,3 +29,23 @@ def run_template(
         for name in relations:
             text = text.replace("{{" + name + "}}", "{" + name + "}")
     return spark.sql(text, args=dict(values or {}), **relations)
+
+
+def load_from_template(
+    spark: SparkSession,
+    contract: Contract,
+    text: str,
+    root: str,
+    relations: Mapping[str, DataFrame] | None = None,
+    values: Mapping[str, Any] | None = None,
+    *,
+    fmt: str = "parquet",
+    buckets: int = BUCKETS,
+) -> None:
+    """Store what a statement returns as the contract's table, as its write mode says.
+
+    Any silver or gold table is a text and a contract. Columns of the contract are cast to their
+    types; its keys must be there.
+    """
+    rows = conform(run_template(spark, text, relations, values), contract)
+    write_by_contract(rows, contract, root, fmt, buckets=buckets)

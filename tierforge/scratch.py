@@ -2,26 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierforge.storage import Folder
+
 _SETTING = "spark.checkpoint.dir"
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared one the cluster names in ``spark.checkpoint.dir``.
 
-    Where that is not set, a session within one process gets a folder of this machine; on a
-    cluster, whose executors could not see that, it is an error.
+    Where that is not set, a session within one process uses a folder of its warehouse; on a
+    cluster, whose executors might not see that, it is an error.
     """
     root = spark.conf.get(_SETTING, None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError(f"{_SETTING} must name a folder that all executors share")
-        root = _local_root()
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -34,9 +39,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
+    if (staged := _STAGED.get()) is not None:
+        staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="tierforge-")
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged within the block once it ends, when its result has been stored."""
+    token = _STAGED.set([])
+    try:
+        yield
+    finally:
+        for path in _STAGED.get() or ():
+            Folder(spark, path).delete_all()
+        _STAGED.reset(token)

@@ -1,32 +1,49 @@
 """Table writers.
 
 A Parquet folder cannot be updated in place, and overwriting a folder the plan still reads
-loses the data. So a table that is replaced or upserted is a *view over its newest
-snapshot*: the new rows go to a fresh table, and replacing the view in the catalog is the
-switch. A failed or repeated write leaves the old snapshot current; readers that started
-earlier keep theirs. The price is that an upsert rewrites the table. Where a format with its
-own MERGE is installed, :func:`upsert_native` rewrites only what changed; on plain files
-:func:`upsert_partitions` rewrites only the partitions concerned.
+loses the data. So a table that is replaced or upserted is a series of published snapshots
+(see :mod:`tierforge.sinks.snapshots`), found by its path in any session. A failed or repeated
+write leaves the old snapshot current; readers that started earlier keep theirs. An upsert
+rewrites the buckets it has rows for, or the table if that has no buckets; where a format with
+its own MERGE is installed, :func:`upsert_native` rewrites the files that change.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierforge.contract import Contract
 from tierforge.functions.names import quoted
-from tierforge.operators.merge import check_merge, merge_options, merge_rows, unique_rows
-from tierforge.scratch import stage
+from tierforge.operators.merge import (
+    check_merge,
+    key_predicate,
+    merge_options,
+    merge_rows,
+    unique_rows,
+)
+from tierforge.scratch import stage, staging
+from tierforge.sinks.snapshots import (
+    Snapshot,
+    bucket_of,
+    newest,
+    partitioned,
+    publish,
+    read_snapshot,
+)
 from tierforge.sources.files import read_if_exists
+from tierforge.storage import Folder
+
+# Buckets of a table written by contract.
+BUCKETS = 16
+# Formats whose tables Spark can MERGE INTO.
+MERGING_FORMATS = frozenset(("delta", "iceberg", "hudi"))
 
 
 def overwrite(
@@ -34,7 +51,7 @@ def overwrite(
 ) -> None:
     """Replace everything at ``path``; refuses a path that ``df`` itself reads."""
     _refuse_own_input(df, path)
-    _writer(df, fmt, partition_by).mode("overwrite").save(path)
+    partitioned(df, fmt, partition_by).mode("overwrite").save(path)
 
 
 def create_if_missing(
@@ -46,21 +63,13 @@ def create_if_missing(
 
 def create_or_replace(
     df: DataFrame, name: str, root: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
-) -> str:
-    """Make ``name`` show ``df``'s rows; returns the name of the new snapshot.
+) -> Snapshot:
+    """Make ``name`` show ``df``'s rows; returns the new snapshot.
 
-    A snapshot is an external table, so the catalog knows its schema: a partition column of
-    strings stays one whatever its values look like, and a table without rows has columns.
-    Dropping old snapshots, and their folders, is up to the caller.
+    Old snapshots stay until :func:`drop_old` is called.
     """
-    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
-    suffix = f"{stamp}_{uuid.uuid4().hex[:8]}"
-    snapshot = _identifier(f"{name}__{suffix}")
-    writer = _writer(df, fmt, partition_by).option("path", f"{root.rstrip('/')}/{name}/{suffix}")
-    writer.saveAsTable(snapshot)
-    view = f"CREATE OR REPLACE VIEW {_identifier(name)} AS SELECT * FROM {snapshot}"
-    df.sparkSession.sql(view)
-    return snapshot
+    before = newest(df.sparkSession, root, name)
+    return publish(df, root, name, before, fmt=fmt, partition_by=partition_by)
 
 
 def upsert_table(
@@ -71,16 +80,42 @@ def upsert_table(
     *,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    buckets: int = 0,
     **options,
-) -> str:
-    """Keyed upsert into ``name``, created on the first call; returns the new snapshot's name.
+) -> Snapshot:
+    """Keyed upsert into ``name``, created on the first call; returns the new snapshot.
 
-    ``options`` are those of ``merge_rows``.
+    Whether there is a table is settled by its path, not by the catalog. ``buckets`` is the
+    number of buckets of a new table (0: none); an existing one keeps its layout. ``options`` are
+    those of ``merge_rows``.
     """
     spark = source.sparkSession
-    target = spark.table(_identifier(name)) if spark.catalog.tableExists(name) else None
-    merged = _merged(target, source, keys, **options)
-    return create_or_replace(merged, name, root, fmt, partition_by)
+    before = newest(spark, root, name)
+    if before is None:
+        with staging(spark):
+            rows = _merged(None, source, keys, **options)
+            layout = {"keys": keys, "buckets": buckets} if buckets else {}
+            return publish(rows, root, name, None, fmt=fmt, partition_by=partition_by, **layout)
+    with staging(spark):
+        layout = {"fmt": before.fmt, "partition_by": before.partition_by}
+        if not before.buckets:
+            target = read_snapshot(spark, root, name, before)
+            return publish(_merged(target, source, keys, **options), root, name, before, **layout)
+        if tuple(keys) != before.keys:
+            raise ValueError(f"{name} is stored by {list(before.keys)}, not by {list(keys)}")
+        check_merge(read_snapshot(spark, root, name, before), source, keys,
+                    options.get("add_columns", False))
+        rows = stage(_unique(source, keys, options), "merge")
+        bucket = bucket_of(keys, before.schema, before.buckets)
+        # At most as many numbers as there are buckets.
+        touched = [r[0] for r in rows.select(bucket.alias("b")).distinct().collect()]
+        if not touched:
+            return before
+        target = read_snapshot(spark, root, name, before, touched)
+        merged = _merged(target, rows, keys, **options | {"duplicates": "trust"})
+        return publish(
+            merged, root, name, before, keys=keys, buckets=before.buckets, replaced=touched, **layout
+        )
 
 
 def upsert_path(
@@ -123,34 +158,29 @@ def upsert_partitions(
     target = read_if_exists(source.sparkSession, path, fmt, types)
     check_merge(target, source, keys, add_columns)
     rows = unique_rows(source, keys, keys_present=keys_present, **options)
-    if target is not None:
-        rows = stage(rows, "merge")
-        merged = merge_rows(
-            target.where(_in_partitions_of(rows, partition_by)),
-            rows,
-            keys,
-            duplicates="trust",
-            keys_present=keys_present,
-            add_columns=add_columns,
-        )
-        rows = stage(merged, "partitions")
-    writer = _writer(rows, fmt, partition_by).mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").save(path)
-
-
-def _in_partitions_of(rows: DataFrame, partition_by: Sequence[str]) -> Column:
-    """A filter that prunes to the partitions ``rows`` are in, collected as their values.
-
-    Each column by itself, so with several columns it may keep a partition too many.
-    """
-    values = rows.select(*map(quoted, partition_by)).distinct().collect()
-
-    def within(i: int, name: str) -> Column:
-        listed = {row[i] for row in values}
-        test = quoted(name).isin(*(listed - {None}))
-        return test | quoted(name).isNull() if None in listed else test
-
-    return reduce(and_, (within(i, c) for i, c in enumerate(partition_by)))
+    with staging(source.sparkSession):
+        if target is not None:
+            rows = stage(rows, "merge")
+            # Joined on whole tuples: the scan is pruned to the partitions that are concerned.
+            concerned = F.broadcast(rows.select(*map(quoted, partition_by)).distinct())
+            merged = merge_rows(
+                _semi_join(target, concerned, partition_by),
+                rows,
+                keys,
+                duplicates="trust",
+                keys_present=keys_present,
+                add_columns=add_columns,
+            )
+            rows = stage(merged, "partitions")
+        writer = partitioned(rows, fmt, partition_by).mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").save(path)
+
+
+def _semi_join(rows: DataFrame, wanted: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows whose values of ``columns``, nulls included, are in ``wanted``."""
+    renamed = wanted.select(*(quoted(c).alias(f"__wanted_{c}") for c in columns))
+    on = reduce(and_, (quoted(c).eqNullSafe(quoted(f"__wanted_{c}")) for c in columns))
+    return rows.join(renamed, on, "left_semi")
 
 
 def _merged(
@@ -170,10 +200,7 @@ def _merged(
     Spark needs in order to split a hot key.
     """
     check_merge(target, source, keys, add_columns)
-    if duplicates != "trust":
-        source = unique_rows(
-            source, keys, duplicates=duplicates, keys_present=keys_present, **ordering
-        )
+    source = _unique(source, keys, ordering | {"duplicates": duplicates, "keys_present": keys_present})
     if target is None:
         return source
     return merge_rows(
@@ -186,6 +213,12 @@ def _merged(
     )
 
 
+def _unique(source: DataFrame, keys: Sequence[str], options: Mapping) -> DataFrame:
+    if options.get("duplicates") == "trust":
+        return source
+    return unique_rows(source, keys, **{n: v for n, v in options.items() if n != "add_columns"})
+
+
 def upsert_native(
     source: DataFrame,
     table: str,
@@ -214,7 +247,7 @@ def merge_into(source: DataFrame, table: str, keys: Sequence[str]) -> None:
     Columns only the target has keep their value, or stay NULL in inserted rows.
     """
     check_merge(None, source, keys, False)
-    on = reduce(and_, (F.col(f"{table}.`{k}`") == F.col(f"source.`{k}`") for k in keys))
+    on = key_predicate(*([F.col(f"{side}.`{k}`") for k in keys] for side in (table, "source")))
     values = {c: F.col(f"source.`{c}`") for c in source.columns}
     merge = source.alias("source").mergeInto(table, on)
     merge.whenMatched().update(values).whenNotMatched().insert(values).merge()
@@ -227,51 +260,61 @@ def write_by_contract(
     fmt: str = "parquet",
     *,
     keys_present: bool = False,
-) -> str:
-    """Upsert or replace the contract's table, as its write mode says."""
-    if contract.write_mode == "merge":
-        return upsert_table(
+    keys_unique: bool = False,
+    buckets: int = BUCKETS,
+) -> None:
+    """Upsert or replace the contract's table, as its write mode says.
+
+    A format with a MERGE of its own uses it; other tables are stored in buckets, so that either
+    way an upsert leaves alone what it has no rows for. ``keys_unique`` says that no key of
+    ``df`` repeats.
+    """
+    if contract.write_mode != "merge":
+        create_or_replace(df, contract.table, root, fmt, contract.partitions)
+    elif fmt in MERGING_FORMATS:
+        options = {n: v for n, v in merge_options(contract).items() if n != "add_columns"}
+        upsert_native(
+            df,
+            contract.table,
+            contract.keys,
+            fmt=fmt,
+            partition_by=contract.partitions,
+            keys_present=keys_present,
+            **options,
+        )
+    else:
+        upsert_table(
             df,
             contract.table,
             root,
             contract.keys,
             fmt=fmt,
             partition_by=contract.partitions,
+            buckets=buckets,
             keys_present=keys_present,
-            **merge_options(contract),
+            **merge_options(contract) | ({"duplicates": "trust"} if keys_unique else {}),
         )
-    return create_or_replace(df, contract.table, root, fmt, contract.partitions)
-
-
-def _writer(df: DataFrame, fmt: str, partition_by: Sequence[str]) -> DataFrameWriter:
-    """A writer of the rows, those of a partition brought together.
-
-    Left where they are, every task would add a file to every partition. The rebalance hint
-    moves them adaptively: a partition that holds much of the table is split into several
-    tasks and files, and small ones share a task.
-    """
-    if not partition_by:
-        return df.write.format(fmt)
-    return df.hint("rebalance", *partition_by).write.format(fmt).partitionBy(*partition_by)
 
 
 def _refuse_own_input(df: DataFrame, path: str) -> None:
-    folder = _plain(path) + "/"
-    for file in df.inputFiles():
-        source = _plain(unquote(file))
-        if source.startswith(folder) or (not _absolute(path) and folder in source):
+    """Raise if a relation of the plan reads below ``path``, or ``path`` lies below one."""
+    spark = df.sparkSession
+    own = Folder(spark, path).path.rstrip("/") + "/"
+    for root in _relation_roots(df):
+        other = Folder(spark, unquote(root)).path.rstrip("/") + "/"
+        if other.startswith(own) or own.startswith(other):
             raise ValueError(f"refusing to overwrite {path}: the rows to write are read from it")
 
 
-def _identifier(name: str) -> str:
-    """A table name of one or more parts, quoted."""
-    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
-
-
-def _absolute(path: str) -> bool:
-    return path.startswith("/") or ":" in path
-
-
-def _plain(path: str) -> str:
-    """A path without its scheme and with single slashes at the start."""
-    return "/" + (path.split(":", 1)[1] if ":" in path.split("/", 1)[0] else path).strip("/")
+def _relation_roots(df: DataFrame) -> list[str]:
+    """The paths that were given to the readers in a plan: a few, however many files they hold."""
+    found = []
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            relation = leaf.relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                paths = relation.location().rootPaths()
+                found += [paths.apply(i).toString() for i in range(paths.size())]
+    return found

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tierforge.contract import Contract
 from tierforge.plans.bronze import bronze_rows
-from tierforge.sinks.tables import write_by_contract
+from tierforge.sinks.tables import BUCKETS, write_by_contract
 
 
 def bronze_stream(
@@ -21,12 +21,13 @@ def bronze_stream(
     checkpoint: str,
     *,
     at: dt.datetime | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Upsert all files that arrived since the last run, then stop.
 
     The checkpoint remembers which files were loaded. A batch that is repeated after a
     failure upserts the same rows again, which leaves the table as it was. Rejected rows are
-    kept by batch below ``<root>/<table>__rejected``.
+    kept by query and batch below ``<root>/<table>__rejected``.
     """
     if contract.write_mode != "merge":
         raise ValueError(f"{contract.table}: only a merge can be loaded bit by bit")
@@ -45,9 +46,11 @@ def bronze_stream(
 
     def load(batch: DataFrame, number: int) -> None:
         valid, rejected = bronze_rows(batch, contract, at=at)
-        kept = f"{root.rstrip('/')}/{contract.table}__rejected/batch={number}"
+        # The query's own id lasts as long as its checkpoint.
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        kept = f"{root.rstrip('/')}/{contract.table}__rejected/query={query}/batch={number}"
         rejected.write.mode("overwrite").parquet(kept)
-        write_by_contract(valid, contract, root, keys_present=True)
+        write_by_contract(valid, contract, root, keys_present=True, buckets=buckets)
 
     return (
         files.writeStream.foreachBatch(load)
