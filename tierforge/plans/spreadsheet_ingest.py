@@ -3,24 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierforge.sinks.sheets import export_path, export_sheets, export_text
-from tierforge.sources.delimited import large_text_group, text_groups
+from tierforge.sinks.sheets import export_path, export_sheets, read_findings
+from tierforge.sources.delimited import layouts, text_rows
 from tierforge.sources.files import csv_scan
-from tierforge.sources.spreadsheets import (
-    PARSED,
-    PATH_COLUMN,
-    SPREADSHEET_GLOB,
-    discover,
-    parse_files,
-)
-
-MANIFEST = "path string, sheet string, rows bigint, status string, error string"
+from tierforge.sources.spreadsheets import SPREADSHEET_GLOB, parse_files, workbook_files
 
 
 def spreadsheet_ingest(
@@ -31,50 +21,43 @@ def spreadsheet_ingest(
     first_sheet_only: bool = False,
     encoding: str = "utf-8-sig",
     glob: str = SPREADSHEET_GLOB,
+    text_encoding: str | None = None,
 ) -> DataFrame:
     """Export every sheet below ``src`` as CSV below ``dst``; returns the manifest.
 
     The manifest has a row per sheet (``status`` ok), per file that was really delimited
     text (``text``) and per file that could not be read (``failed``, with the ``error``);
-    such a file does not stop the others.
+    such a file does not stop the others. It tells what was written; nothing is read again. The
+    number of jobs does not depend on the number of files or layouts. ``text_encoding``: see
+    ``layouts``.
     """
-    files, large = discover(spark, src, glob)
-    parsed = parse_files(files, first_sheet_only)
-    found = _findings(spark, export_sheets(parsed, src, dst, first_sheet_only, encoding))
-    groups = list(text_groups(found))
-    failures = []
-    for file in large.collect():
-        try:
-            groups.append(large_text_group(spark, file.path))
-        except (ValueError, PySparkException) as problem:
-            failures.append((file.path, None, None, "failed", str(problem)))
-
-    parts = [
-        found.where("kind in ('sheet', 'failed')").select(
-            "path",
-            "sheet",
-            "rows",
-            F.when(F.col("kind") == "sheet", "ok").otherwise("failed").alias("status"),
-            "error",
-        ),
-        spark.createDataFrame(failures, MANIFEST),
-    ]
-    for group in groups:
-        rows = group.read(spark)
-        export_text(rows, src, dst, encoding)
-        listed = spark.createDataFrame([(p,) for p in group.paths], "path string")
-        path = F.col(PATH_COLUMN).alias("path")
-        counted = rows.groupBy(path).agg(F.count(F.lit(1)).alias("rows"))
-        parts.append(
-            listed.join(counted, "path", "left").select(
-                "path",
-                F.lit(None).cast("string").alias("sheet"),
-                F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
-                F.lit("text").alias("status"),
-                F.lit(None).cast("string").alias("error"),
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    found = layouts(spark, src, glob, text_encoding)
+    books = [r["path"] for r in found.where("kind = 'workbook'").select("path").collect()]
+    files, too_long = workbook_files(spark, books)
+    bare = found.where("kind = 'text' and bare").select(
+        "path", "header", F.lit(None).cast("array<string>").alias("cells")
+    )
+    run = export_sheets(
+        parse_files(files, first_sheet_only),
+        src,
+        dst,
+        first_sheet_only,
+        encoding,
+        text_rows(spark, found).unionByName(bare),
+    )
+    written = read_findings(spark, run)
+    text = written.where("kind = 'text'").groupBy("path").agg(F.sum("rows").alias("rows"))
+    failed = found.where("kind = 'failed'").select("path", "error").unionByName(too_long)
+    sheets = written.where("kind in ('sheet', 'failed')").select(
+        "path",
+        "sheet",
+        "rows",
+        F.when(F.col("kind") == "sheet", "ok").otherwise("failed").alias("status"),
+        "error",
+    )
+    return sheets.unionByName(
+        text.withColumn("status", F.lit("text")), allowMissingColumns=True
+    ).unionByName(failed.withColumn("status", F.lit("failed")), allowMissingColumns=True)
 
 
 def exported_scan(
@@ -84,21 +67,11 @@ def exported_scan(
     columns: Sequence[str] | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """The exported files whose name matches ``glob``, as ``csv_scan`` reads them.
+    """The files of the newest run whose name matches ``glob``, as ``csv_scan`` reads them.
 
     Cells may run over lines. The files need not be split for that: none holds more than a
     sheet, or one split of a text file.
     """
     return csv_scan(
-        spark, export_path(dst, glob), "*", columns, {"multiLine": "true", **(options or {})}
+        spark, export_path(spark, dst, glob), "*", columns, {"multiLine": "true", **(options or {})}
     )
-
-
-def _findings(spark: SparkSession, path: str) -> DataFrame:
-    schema = ", ".join(c for c in PARSED.split(", ") if not c.startswith("cells "))
-    try:
-        return spark.read.schema(schema).json(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)

@@ -1,6 +1,7 @@
 """Writers."""
 
-from tierforge.sinks.sheets import export_path, export_sheets, export_text
+from tierforge.sinks.sheets import export_path, export_sheets, newest_run, read_findings
+from tierforge.sinks.snapshots import ConcurrentWrite, drop_old, newest, read_table, show
 from tierforge.sinks.tables import (
     create_if_missing,
     create_or_replace,
@@ -14,13 +15,19 @@ from tierforge.sinks.tables import (
 )
 
 __all__ = [
+    "ConcurrentWrite",
     "create_if_missing",
     "create_or_replace",
+    "drop_old",
     "export_path",
     "export_sheets",
-    "export_text",
     "merge_into",
+    "newest",
+    "newest_run",
     "overwrite",
+    "read_findings",
+    "read_table",
+    "show",
     "upsert_native",
     "upsert_partitions",
     "upsert_path",

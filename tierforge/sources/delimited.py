@@ -1,70 +1,51 @@
-"""Text that goes by a spreadsheet's name: find its layout, then read it as splittable CSV."""
+"""Text that goes by a spreadsheet's name: find each file's layout, then read it as CSV.
+
+One pass over the lines of all files tells, for each file, its header line, whether it is UTF-8,
+how often each delimiter occurs, and whether quoted cells run over lines. The lines are those of
+Spark's splittable text scan and are added up by file on the executors, so a file of any size is
+read by many tasks and no part of it is a sample. Rows are then read by a CSV scan for each way
+of reading (delimiter, encoding, quoting), whatever the number of files or of different headers:
+cells come by position, and get their names from the file's header in a join.
+"""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+import codecs
+import csv
+import sys
+from collections.abc import Iterator
+from functools import reduce
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierforge.functions.cells import na_to_null
-from tierforge.functions.names import quoted
-from tierforge.sources import probe
+from tierforge.functions.cells import na_cell
+from tierforge.scratch import stage
 from tierforge.sources.spreadsheets import (
     PATH_COLUMN,
-    RECORD_COLUMN,
     SPREADSHEET_GLOB,
     discover,
-    parse_files,
+    escaped,
     text_header,
 )
 
-_GLOB_CHARS = re.compile(r"([\[\]{}*?\\])")
-_HEAD_LINES = 256
-
-
-@dataclass(frozen=True)
-class TextGroup:
-    """Files that share one layout, and so can be read by one scan."""
-
-    separator: str
-    encoding: str
-    multi_line: bool
-    header: tuple[str, ...]
-    paths: tuple[str, ...]
-
-    def read(self, spark: SparkSession, path_column: str = PATH_COLUMN) -> DataFrame:
-        """Rows of the files, all columns strings, and the file each row is from."""
-        if path_column.lower() in map(str.lower, self.header):
-            raise ValueError(f"a file has a column named {path_column}; name the path otherwise")
-        rows = self._scan(spark, self.header)
-        rows = rows.select(*map(quoted, self.header), file_path().alias(path_column))
-        return na_to_null(rows, self.header)
-
-    def has_surplus(self, spark: SparkSession) -> bool:
-        """Does any row have more cells, empty ones at the end aside, than there are names?"""
-        record = RECORD_COLUMN
-        rows = self._scan(spark, [*self.header, record], columnNameOfCorruptRecord=record)
-        # What follows is of rows of another length only: the others have no such record.
-        bare = F.regexp_replace(record, '"[^"]*"', "x")
-        bare = F.rtrim(bare, F.lit(self.separator + "\r\n"))
-        count = F.length(bare) - F.length(F.replace(bare, F.lit(self.separator), F.lit("")))
-        return bool(rows.where(count >= len(self.header)).head(1))
-
-    def _scan(self, spark: SparkSession, columns: Sequence[str], **options: str) -> DataFrame:
-        return (
-            spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-            .option("header", True)
-            .option("sep", self.separator)
-            .option("encoding", self.encoding)
-            .option("multiLine", self.multi_line)
-            .option("escape", '"')
-            .options(**options)
-            .csv([_GLOB_CHARS.sub(r"\\\1", p) for p in self.paths])
-        )
+# As with the parser of workbooks, this code travels with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# The delimiters tried, in order of preference.
+DELIMITERS = (",", ";", "\t", "|")
+# Byte order marks and what Spark calls the encodings, then the starts of workbooks.
+_MARKS = ((b"\xef\xbb\xbf", "UTF-8"), (b"\xff\xfe", "UTF-16"), (b"\xfe\xff", "UTF-16"))
+_WORKBOOKS = (b"PK\x03\x04", b"\xd0\xcf\x11\xe0")
+
+LAYOUT = (
+    "path string, kind string, separator string, encoding string, multi_line boolean, "
+    "header array<string>, bare boolean, error string"
+)
+_FIELDS = [f.split()[0] for f in LAYOUT.split(", ")]
 
 
 def file_path() -> Column:
@@ -73,58 +54,215 @@ def file_path() -> Column:
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
-def text_groups(found: DataFrame) -> Iterator[TextGroup]:
-    """The layouts among the ``text`` findings of ``parse_files``.
+def file_facts(spark: SparkSession, root: str, glob: str = SPREADSHEET_GLOB) -> DataFrame:
+    """``path`` and what its lines say, a row for each file below ``root`` that has any.
 
-    What reaches the driver is one path per file, which a scan's file listing holds there
-    anyway.
+    ``head``: the first line that is not blank; ``utf8``: all are; ``nul``: one has a zero byte;
+    ``odd``: one has an odd number of quotes; ``most_<n>``: the most that delimiter ``n`` occurs
+    outside of quotes in a line, ends aside; ``some_<n>`` and ``lines``: how many lines have it,
+    and how many there are.
     """
-    found = found.where("kind = 'text'")
-    groups: dict[tuple, list[str]] = {}
-    columns = ["separator", "encoding", "multi_line", "header", "path"]
-    for *layout, header, path in found.select(*columns).collect():
-        groups.setdefault((*layout, tuple(header)), []).append(path)
-    for layout, paths in sorted(groups.items()):
-        yield TextGroup(*layout, tuple(sorted(paths)))
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root)
+    line = F.rtrim(F.col("value"), F.lit("\r"))
+    rows = text.select(
+        file_path().alias("path"),
+        # Lines of a split come in order, and a file's first split has its first line.
+        F.struct(
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("line"),
+        ).alias("place"),
+        line.cast("binary").alias("line"),
+        F.is_valid_utf8("value").alias("utf8"),
+        (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"),
+        F.when(F.contains("value", F.lit('"')), F.regexp_replace(line, '"[^"]*"', "x"))
+        .otherwise(line)
+        .alias("bare"),
+    ).where(F.length("line") > 0)
+    counts = {
+        n: F.length(_trimmed(d)) - F.length(F.replace(_trimmed(d), F.lit(d), F.lit("")))
+        for n, d in enumerate(DELIMITERS)
+    }
+    counted = rows.select("*", *[c.alias(f"count_{n}") for n, c in counts.items()])
+    return counted.groupBy("path").agg(
+        F.min_by("line", "place").alias("head"),
+        F.bool_and("utf8").alias("utf8"),
+        F.bool_or(F.position(F.lit(b"\x00"), F.col("line")) > 0).alias("nul"),
+        F.bool_or(F.col("quotes") % 2 == 1).alias("odd"),
+        F.count(F.lit(1)).alias("lines"),
+        *[F.max(f"count_{n}").alias(f"most_{n}") for n in counts],
+        *[F.count(F.when(F.col(f"count_{n}") > 0, 1)).alias(f"some_{n}") for n in counts],
+    )
+
 
+def _trimmed(delimiter: str) -> Column:
+    """A line without the delimiters, which stand for empty cells, at its end."""
+    return F.rtrim(F.col("bare"), F.lit(delimiter))
 
-def large_text_group(spark: SparkSession, path: str) -> TextGroup:
-    """Layout of one file that is too large to be probed as a single value.
 
-    The header and delimiter come from its first lines; encoding and quoting from a
-    distributed pass over all of them.
+def layouts(
+    spark: SparkSession, root: str, glob: str = SPREADSHEET_GLOB, encoding: str | None = None
+) -> DataFrame:
+    """``LAYOUT`` of every file below ``root``, by ``kind``: ``text``, ``workbook``, or ``failed``
+    with the ``error``.
+
+    ``encoding`` is that of files that have no byte order mark and are not UTF-8; by default
+    they are read as Latin-1, of which any bytes are text. Spark's reader of CSV knows few names
+    unless ``spark.sql.legacy.javaCharsets`` is set.
     """
-    lines = spark.read.text(_GLOB_CHARS.sub(r"\\\1", path))
-    first = lines.select(F.col("value").cast("binary").alias("value")).limit(_HEAD_LINES).collect()
-    head = b"\n".join(bytes(r.value) for r in first)
-    if head.startswith((b"PK\x03\x04", b"\xd0\xcf\x11\xe0")):
-        raise ValueError("workbook is too large")
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    whole = lines.agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_or(quotes % 2 == 1).alias("odd")
-    ).first()
-    found = probe.layout_of(head, None if whole.utf8 else "ISO-8859-1")
-    header = text_header(found.header)
-    group = TextGroup(
-        found.separator, found.encoding, found.multi_line or whole.odd, tuple(header), (path,)
+    other = encoding or "ISO-8859-1"
+    codecs.lookup(other)
+
+    def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [_layout(row, other) for row in batch.to_dict("records")]
+            yield pd.DataFrame(found, columns=_FIELDS)
+
+    found = stage(file_facts(spark, root, glob).mapInPandas(tell, LAYOUT), "layouts")
+    # Quoted cells over several lines are counted by reading those files as what they are.
+    quoted_lines = found.where("kind = 'text' and multi_line")
+    if not quoted_lines.isEmpty():
+        n = F.size("header")
+        surplus = F.exists(
+            F.slice("every", n + 1, F.size("every")), lambda c: c.isNotNull() & (c != "")
+        )
+        bad = _cells_by_place(spark, quoted_lines).where(surplus).select("path").distinct()
+        error = F.lit("a row has more cells than there are column names").alias("surplus")
+        marked = found.join(bad.select("path", error), "path", "left")
+        is_bad = F.col("surplus").isNotNull()
+        found = marked.select(
+            "path",
+            F.when(is_bad, "failed").otherwise(F.col("kind")).alias("kind"),
+            *[F.when(~is_bad, F.col(c)).alias(c) for c in _FIELDS[2:-1]],
+            F.coalesce("error", "surplus").alias("error"),
+        )
+    empty = discover(spark, root, glob).join(found, "path", "left_anti")
+    nothing = F.lit("no columns to parse from file").alias("error")
+    return stage(
+        found.unionByName(
+            empty.select("path", F.lit("failed").alias("kind"), nothing), allowMissingColumns=True
+        ),
+        "layouts",
+    )
+
+
+def _layout(facts: dict, other: str) -> tuple:
+    """A file's record of ``LAYOUT``; ``bare`` means that there is nothing below the header."""
+    head, path = bytes(facts["head"]), facts["path"]
+    nothing = (None,) * 5
+    if head.startswith(_WORKBOOKS):
+        return (path, "workbook", *nothing, None)
+    try:
+        layout = text_layout(head, facts, other)
+    except (ValueError, csv.Error) as problem:
+        return (path, "failed", *nothing, str(problem))
+    return (path, "text", *layout, facts["lines"] == 1, None)
+
+
+def text_layout(head: bytes, facts: dict, other: str) -> tuple[str, str, bool, list[str]]:
+    """Delimiter, encoding, whether lines cannot be told apart by themselves, and column names."""
+    marked = next((name for mark, name in _MARKS if head.startswith(mark)), None)
+    encoding = marked or ("UTF-8" if facts["utf8"] else other)
+    if encoding == "UTF-16":
+        # Its line ends are not single bytes, so what follows the last whole character is cut off.
+        codec = "utf-16-le" if head.startswith(b"\xff\xfe") else "utf-16-be"
+        text = head[2:].decode(codec, "ignore").split("\n")[0].rstrip("\r\x00")
+    elif facts["nul"]:
+        raise ValueError("neither a workbook nor text")
+    else:
+        text = head.decode("utf-8-sig" if encoding == "UTF-8" else encoding)
+    in_head = [_cells(text, d) for d in DELIMITERS]
+    best = max(
+        range(len(DELIMITERS)),
+        # More cells in the first line; of equal ones, the delimiter that more lines have.
+        key=lambda n: (len(in_head[n]) > 1, facts[f"some_{n}"] if len(in_head[n]) > 1 else 0, -n),
     )
-    if group.has_surplus(spark):
-        raise ValueError(f"a row has more cells than the {len(header)} column names")
-    return group
+    cells = in_head[best]
+    whole = facts["odd"] or encoding == "UTF-16"
+    most = 1 + facts[f"most_{best}"]
+    if not whole and most > max(len(cells), 1):
+        raise ValueError(f"a line has {most} cells under {len(cells)} column names")
+    if len(cells) == 1 and not whole:
+        # Not one column: a delimiter that the first line lacks would be taken for text.
+        split = [d for n, d in enumerate(DELIMITERS) if 2 * facts[f"some_{n}"] > facts["lines"]]
+        if split and facts["lines"] > 1:
+            raise ValueError(f"most lines are split by {split[0]!r}, the first one is not")
+    return DELIMITERS[best], encoding, whole, text_header(cells)
+
+
+def _cells(line: str, delimiter: str) -> list[str]:
+    csv.field_size_limit(max(csv.field_size_limit(), len(line) + 1))
+    row = next(csv.reader([line], delimiter=delimiter), [])
+    while len(row) > 1 and not row[-1]:
+        row.pop()
+    return row
+
+
+def _cells_by_place(spark: SparkSession, found: DataFrame) -> DataFrame:
+    """``path, header, every`` of all rows below the headers of ``text`` files.
+
+    ``every`` has a cell more than the longest header names. There is a scan for each delimiter,
+    encoding and way of quoting that occurs. What reaches the driver is a path for each file, which
+    a reader's listing of files holds there anyway.
+    """
+    ways: dict[tuple, list[str]] = {}
+    for path, *way in found.select("path", "separator", "encoding", "multi_line").collect():
+        ways.setdefault(tuple(way), []).append(path)
+    if not ways:
+        return spark.createDataFrame([], "path string, header array<string>, every array<string>")
+    width = 1 + found.agg(F.max(F.size("header"))).first()[0]
+    names = [f"c{k}" for k in range(width)]
+    parts = []
+    for (separator, encoding, multi_line), paths in sorted(ways.items()):
+        rows = (
+            spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+            .option("header", True)
+            .option("sep", separator)
+            .option("encoding", encoding)
+            .option("multiLine", multi_line)
+            .option("escape", '"')
+            .csv([escaped(p) for p in paths])
+        )
+        parts.append(rows.select(file_path().alias("path"), F.array(*names).alias("every")))
+    rows = reduce(DataFrame.union, parts)
+    return rows.join(found.select("path", "header"), "path").select("path", "header", "every")
+
+
+def text_rows(spark: SparkSession, found: DataFrame) -> DataFrame:
+    """``path, header, cells`` of all rows of the ``text`` files among the layouts.
+
+    ``cells`` has one for each name in ``header``; missing-value texts are NULL.
+    """
+    rows = _cells_by_place(spark, found.where("kind = 'text'"))
+    cells = F.transform(F.slice("every", F.lit(1), F.size("header")), na_cell)
+    return rows.select("path", "header", cells.alias("cells"))
 
 
 def text_sheets(
-    spark: SparkSession, root: str, glob: str = SPREADSHEET_GLOB, path_column: str = "path"
-) -> DataFrame | None:
-    """All delimited text below ``root``, one table: columns by name, NULL where a file lacks one.
+    spark: SparkSession,
+    root: str,
+    glob: str = SPREADSHEET_GLOB,
+    path_column: str = "path",
+    encoding: str | None = None,
+) -> tuple[DataFrame | None, DataFrame]:
+    """All delimited text below ``root``, one table: columns by name, NULL where a file lacks one;
+    and ``path, error`` of the files that could not be read.
 
-    None where there is no such file.
+    The table is None where there is no text. Workbooks are neither. ``encoding``: see ``layouts``.
     """
-    files, large = discover(spark, root, glob)
-    groups = list(text_groups(parse_files(files)))
-    groups += [large_text_group(spark, r.path) for r in large.select("path").collect()]
-    table = None
-    for group in groups:
-        rows = group.read(spark, path_column)
-        table = rows if table is None else table.unionByName(rows, allowMissingColumns=True)
-    return table
+    found = layouts(spark, root, glob, encoding)
+    failures = found.where("kind = 'failed'").select("path", "error")
+    text = found.where("kind = 'text'")
+    # The columns of the result, in the order of the files that first have them.
+    order = text.select("path", F.posexplode("header")).groupBy("col").agg(
+        F.min(F.struct("path", "pos")).alias("first")
+    )
+    names = [r["col"] for r in order.orderBy("first").collect()]
+    if not names:
+        return None, failures
+    if path_column.lower() in map(str.lower, names):
+        raise ValueError(f"a file has a column named {path_column}; name the path otherwise")
+    rows = text_rows(spark, text).select(
+        F.map_from_arrays("header", "cells").alias("by_name"), F.col("path").alias(PATH_COLUMN)
+    )
+    columns = [F.col("by_name")[n].alias(n) for n in names]
+    return rows.select(*columns, F.col(PATH_COLUMN).alias(path_column)), failures
