@@ -14,6 +14,7 @@ def slug(name: Column) -> Column:
 
     Nothing left (or NULL) becomes ``sheet``.
     """
+    # The characters kept, the joiner, and what stands for nothing.
     trimmed = F.regexp_replace(name, rf"(?U)^{_BLANK}|{_BLANK}$", "")
     joined = F.regexp_replace(trimmed, rf"(?U){_BLANK}", "_")
     kept = F.regexp_replace(joined, r"[^A-Za-z0-9_.-]+", "")

@@ -141,6 +141,14 @@ ORACLES: dict[str, str] = {
                     WHEN c_mktsegment = 'BUILDING' THEN 'segment' ELSE '' END AS missing
         FROM customer
     """,
+    "not_null_absent_column": """
+        SELECT CAST(p_partkey AS VARCHAR) AS product_id, 'product_name' AS missing FROM part
+    """,
+    "not_null_required": _as_text(_OLD),
+    "conform_case_variants": """
+        SELECT p_partkey AS part_key, coalesce(nullif(p_size, 1), 0) AS "Size", false AS flag
+        FROM part
+    """,
     "dedupe_on_keys": _first(
         "SELECT * FROM lineitem",
         _LINE_KEYS,
@@ -166,6 +174,8 @@ ORACLES: dict[str, str] = {
         "l_shipdate, l_orderkey, l_linenumber",
     ),
     "merge_published": _upsert(_OLD, _NEW),
+    "merge_by_bucket": _upsert(_OLD, _NEW),
+    "upsert_after_restart": _upsert(_OLD, _NEW),
     "merge_partitions": _upsert(
         _first(_FLAGGED, f"l_returnflag, {_LINE_KEYS}", _LINE_ORDER),
         _first(_FLAGGED_LATER, f"l_returnflag, {_LINE_KEYS}", _LINE_ORDER),
@@ -184,6 +194,17 @@ ORACLES: dict[str, str] = {
     "layers_end_to_end": _summary(
         _first(_SALES, "sales_id", "product_id, quantity, price, sales_date"), _as_text(_OLD)
     ),
+    "gold_from_template": _summary(_FACTS, _products()),
+    "silver_from_template": f"""
+        WITH sold AS (SELECT p_partkey, p_brand, CAST(SUM(l_quantity) AS BIGINT) AS q
+                      FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL),
+        later AS (SELECT replace(p_brand, '1', '9') AS brand, CAST(SUM(q) AS BIGINT) AS sold
+                  FROM sold GROUP BY 1)
+        SELECT *, 'later' AS note FROM later
+        UNION ALL
+        SELECT p_brand, CAST(SUM(q) AS BIGINT), 'first' FROM sold
+        WHERE p_brand NOT IN (SELECT brand FROM later) GROUP BY p_brand
+    """,
     "csv_scan": _as_text(_OLD),
     "csv_scan_nested": f"{_as_text(_OLD)} UNION ALL {_as_text(_products(2))}",
     "sniffed_text_scan": " UNION ALL ".join(
@@ -201,13 +222,19 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'sheet', 'Suppliers', count(*), false FROM supplier
         UNION ALL SELECT 'failed', NULL, NULL, true
     """,
+    "text_outcomes": """
+        SELECT 'sound' AS folder, 'text' AS status, CAST(count(*) AS BIGINT) AS rows FROM part
+        UNION ALL SELECT 'one', 'text', count(*) FROM supplier
+        UNION ALL SELECT 'bare', 'text', 0
+        UNION ALL SELECT 'long', 'text', count(*) - 1 FROM part
+        UNION ALL SELECT 'surplus', 'failed', NULL
+    """,
     "text_ingest": """
         SELECT 'status text' AS what, 2 * count(*) AS rows FROM part
         UNION ALL SELECT 'brand ' || p_brand, 2 * count(*) FROM part GROUP BY p_brand
     """,
     "table_scan_write": f"""
-        SELECT CAST(date_trunc('month', sales_date) AS DATE) AS sales_month, sales_date,
-               count(*) AS sales, CAST(SUM(quantity) AS BIGINT) AS quantity
+        SELECT sales_date AS folder, sales_date, count(*) AS sales, CAST(SUM(quantity) AS BIGINT) AS quantity
         FROM ({_FACTS}) GROUP BY sales_date
     """,
     "create_then_overwrite": f"""
@@ -215,7 +242,7 @@ ORACLES: dict[str, str] = {
     """,
     "sql_template": """
         SELECT p_brand AS brand, count(*) AS parts, max(p_size) AS largest,
-               '{"layer": "gold"}' AS tag
-        FROM part WHERE p_size >= 5 GROUP BY p_brand
+               count(*) FILTER (p_size >= 5) AS larger, '{"layer": "gold"}' AS tag
+        FROM part GROUP BY p_brand
     """,
 }

@@ -29,6 +29,9 @@ from tierforge.plans import (
     exported_scan,
     fact_rows,
     load_bronze,
+    load_facts,
+    load_from_template,
+    load_gold,
     load_silver,
     run_template,
     sales_summary,
@@ -38,11 +41,12 @@ from tierforge.plans import (
 from tierforge.scratch import scratch_dir
 from tierforge.sinks import (
     create_if_missing,
-    create_or_replace,
     export_sheets,
     overwrite,
+    read_table,
     upsert_partitions,
     upsert_path,
+    upsert_table,
     write_by_contract,
 )
 from tierforge.sources import (
@@ -299,6 +303,37 @@ def not_null_split(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def not_null_absent_column(spark: SparkSession, sf: str) -> DataFrame:
+    """Products without the required name column: every row is rejected for it."""
+    raw = _raw_products(spark, sf).drop("商品名")
+    valid, rejected = bronze_rows(raw, PRODUCT, at=LOADED_AT)
+    missing = F.array_join("null_columns", "+").alias("missing")
+    accepted = valid.select("product_id", F.lit("").alias("missing"))
+    return accepted.unionByName(rejected.select("product_id", missing))
+
+
+def not_null_required(spark: SparkSession, sf: str) -> DataFrame:
+    """The mode that fails on a missing value, on rows that have none."""
+    rows, _ = bronze_rows(_raw_products(spark, sf), PRODUCT, at=LOADED_AT, nulls="fail")
+    return rows.drop("ingest_ts")
+
+
+def conform_case_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns in another case than the contract has, two of them with a default."""
+    contract = Contract(
+        table="parts",
+        columns=(
+            Column("part_key", "long", source="p_partkey"),
+            Column("Size", "int", default=0),
+            Column("flag", "boolean", default=True),
+        ),
+        write_mode="overwrite",
+    )
+    size = F.nullif("p_size", F.lit(1)).cast("string")
+    raw = _table(spark, sf, "part").select(F.col("p_partkey").cast("string"), size.alias("SIZE"))
+    return conform(raw.withColumn("Flag", F.lit("F")), contract)
+
+
 def dedupe_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     return dedupe_on_keys(
         _table(spark, sf, "lineitem"),
@@ -379,6 +414,25 @@ def merge_partitions(spark: SparkSession, sf: str) -> DataFrame:
     return table_scan(spark, path)
 
 
+def upsert_after_restart(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads into one table; in between, the session forgets all it knows of it."""
+    root, name = scratch_dir(spark, "restart"), f"products_{uuid.uuid4().hex}"
+    for rows in (_products(spark, sf), _renamed(spark, sf)):
+        upsert_table(rows, name, root, ["product_id"])
+        _forget(spark, name)
+    return read_table(spark, root, name)
+
+
+def merge_by_bucket(spark: SparkSession, sf: str) -> DataFrame:
+    """An upsert of a table in buckets, through the view that names it."""
+    root, name = scratch_dir(spark, "buckets"), f"products_{uuid.uuid4().hex}"
+    for rows in (_products(spark, sf), _renamed(spark, sf)):
+        upsert_table(rows, name, root, ["product_id"], buckets=8)
+    rows = spark.table(name)
+    rows.schema
+    return rows
+
+
 # --- layers -----------------------------------------------------------------------------
 
 
@@ -409,15 +463,10 @@ def bronze_load_csv(spark: SparkSession, sf: str) -> DataFrame:
     return bronze_load(files, PRODUCT, old, at=LOADED_AT).drop("ingest_ts")
 
 
-def _through_view(spark: SparkSession, name: str) -> DataFrame:
-    """The rows of an unpartitioned table of ours, whose names are then given up.
-
-    The plan has been resolved to files by then.
-    """
-    rows = spark.table(name)
-    rows.schema
+def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The rows of a table of ours, found by path; its names in the catalog are given up."""
     _forget(spark, name)
-    return rows
+    return read_table(spark, root, name)
 
 
 def _forget(spark: SparkSession, name: str) -> None:
@@ -445,7 +494,7 @@ def bronze_stream_load(spark: SparkSession, sf: str) -> DataFrame:
             spark, contract, f"{root}/landing", f"{root}/bronze", f"{root}/progress", at=LOADED_AT
         )
         query.awaitTermination()
-    return _through_view(spark, contract.table).drop("ingest_ts")
+    return _stored(spark, f"{root}/bronze", contract.table).drop("ingest_ts")
 
 
 def layers_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
@@ -453,23 +502,62 @@ def layers_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(spark, "layers")
     _write_csv(_raw_products(spark, sf), f"{root}/products")
     _write_csv(_raw_sales(spark, sf), f"{root}/sales")
-    # Unpartitioned: thousands of day folders would time the local disk and nothing else.
-    product, sales = _named(PRODUCT), replace(_named(SALES), partitions=())
-    load_bronze(spark, product, {"landing": f"{root}/products"}, f"{root}/bronze", at=LOADED_AT)
-    load_bronze(spark, sales, {"landing": f"{root}/sales"}, f"{root}/bronze", at=LOADED_AT)
+    product, sales = _named(PRODUCT), _named(SALES)
+    bronze, silver = f"{root}/bronze", f"{root}/silver"
+    # The sales lie in folders by day as it is; one bucket spares as many folders again.
+    load_bronze(spark, product, {"landing": f"{root}/products"}, bronze, at=LOADED_AT)
+    load_bronze(spark, sales, {"landing": f"{root}/sales"}, bronze, at=LOADED_AT, buckets=1)
 
-    silver_product = _named(PRODUCT)
     columns = ["product_id", "product_name", "category", "brand", "ingest_ts"]
-    load_silver(spark, silver_product, product.table, f"{root}/silver", columns)
-    dim = _through_view(spark, silver_product.table)
-    _through_view(spark, product.table)
-    facts, _ = fact_rows(_through_view(spark, sales.table), SALES, dim, "product_id")
-    overwrite(facts, f"{root}/silver/facts")
+    load_silver(spark, product, _stored(spark, bronze, product.table), silver, columns)
+    dim = _stored(spark, silver, product.table)
+    facts = _stored(spark, bronze, sales.table).drop("ingest_ts")
+    load_facts(facts, sales, dim, "product_id", silver, keys_unique=True, buckets=1)
 
-    summary = sales_summary(table_scan(spark, f"{root}/silver/facts"), dim)
     name = f"sales_summary_{uuid.uuid4().hex}"
-    create_or_replace(summary, name, f"{root}/gold")
-    return _through_view(spark, name)
+    load_gold(_stored(spark, silver, sales.table), dim, f"{root}/gold", name)
+    return _stored(spark, f"{root}/gold", name)
+
+
+GOLD_TEXT = """
+    SELECT s.sales_date, s.product_id, p.product_name,
+           SUM(s.quantity) AS total_qty, SUM(s.quantity * s.price) AS gross_revenue
+    FROM {fact_sales} s LEFT JOIN {dim_product} p ON s.product_id = p.product_id
+    GROUP BY s.sales_date, s.product_id, p.product_name
+"""
+
+
+def gold_from_template(spark: SparkSession, sf: str) -> DataFrame:
+    """The gold summary stored from a statement and a contract alone."""
+    root = scratch_dir(spark, "gold")
+    contract = _named(
+        Contract(table="sales_summary", partitions=("sales_date",), write_mode="overwrite")
+    )
+    relations = {"fact_sales": _facts(spark, sf), "dim_product": _products(spark, sf)}
+    load_from_template(spark, contract, GOLD_TEXT, root, relations)
+    return _stored(spark, root, contract.table)
+
+
+def silver_from_template(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales by brand, merged twice into a keyed table: the later load wins for its brands."""
+    root = scratch_dir(spark, "brands")
+    contract = _named(
+        Contract(
+            table="brand_sales",
+            columns=(Column("brand", "string"), Column("sold", "long"), Column("note", "string")),
+            keys=("brand",),
+        )
+    )
+    text = """
+        SELECT p.brand, SUM(s.quantity) AS sold, :note AS note
+        FROM {sales} s JOIN {products} p USING (product_id) GROUP BY p.brand
+    """
+    sales, products = _facts(spark, sf), _products(spark, sf)
+    later = products.withColumn("brand", F.regexp_replace("brand", "1", "9"))
+    for rows, note in ((products, "first"), (later, "later")):
+        relations = {"sales": sales, "products": rows}
+        load_from_template(spark, contract, text, root, relations, {"note": note})
+    return _stored(spark, root, contract.table)
 
 
 # --- sources and sinks ------------------------------------------------------------------
@@ -499,7 +587,7 @@ def sniffed_text(spark: SparkSession, sf: str) -> DataFrame:
     _write_csv(part, f"{root}/semicolon", ";")
     _write_csv(part, f"{root}/tab", "\t")
     _write_csv(part.select("p_size", "p_partkey", "p_name"), f"{root}/bar", "|")
-    rows = text_sheets(spark, root, "*.csv")
+    rows, _ = text_sheets(spark, root, "*.csv")
     folder = F.regexp_extract("path", "/([a-z]+)/[^/]*$", 1)
     return rows.select("p_partkey", "p_name", "p_brand", "p_size", folder.alias("folder"))
 
@@ -543,22 +631,36 @@ def text_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return listed.unionByName(written)
 
 
+def text_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of sound text, of header lines alone, and of rows longer than the header: how many
+    came out as what, with their rows."""
+    src, dst = scratch_dir(spark, "in"), scratch_dir(spark, "out")
+    part = _table(spark, sf, "part").select(F.col("p_partkey").cast("string"), "p_name")
+    supplier = _table(spark, sf, "supplier").select("s_name")
+    _write_csv(part, f"{src}/sound", ";")
+    _write_csv(supplier, f"{src}/one")
+    head = spark.createDataFrame([("id|name",)], "value string")
+    head.coalesce(1).write.text(f"{src}/bare")
+    long = part.select(F.concat_ws(";", "p_partkey", "p_name", F.lit("more")).alias("value"))
+    long.coalesce(1).write.text(f"{src}/long")
+    head = spark.createDataFrame([("id;name",)], "value string")
+    head.unionByName(long).coalesce(1).write.text(f"{src}/surplus")
+    manifest = spreadsheet_ingest(spark, src, dst, glob="*.{csv,txt}")
+    folder = F.regexp_extract("path", "/([a-z]+)/[^/]*$", 1).alias("folder")
+    return manifest.groupBy(folder, "status").agg(F.sum("rows").alias("rows"))
+
+
 def table_scan_write(spark: SparkSession, sf: str) -> DataFrame:
-    """Facts stored by month through the contract, read back, and summed by month and day."""
+    """Facts stored by day through the contract, read back by path, and summed by day folder."""
     root = scratch_dir(spark, "facts")
-    contract = replace(
-        _named(SALES),
-        columns=(*SALES.columns, Column("sales_month", "date")),
-        partitions=("sales_month",),
-        write_mode="overwrite",
-    )
-    month = F.trunc("sales_date", "month")
-    facts = conform(_raw_sales(spark, sf), SALES).withColumn("sales_month", month)
-    write_by_contract(facts, contract, root)
+    contract = replace(_named(SALES), write_mode="overwrite")
+    write_by_contract(conform(_raw_sales(spark, sf), SALES), contract, root)
     _forget(spark, contract.table)
+    day = F.regexp_extract(F.col("_metadata.file_path"), "/sales_date=([0-9-]+)/", 1)
     return (
-        table_scan(spark, f"{root}/{contract.table}/*")
-        .groupBy("sales_month", "sales_date")
+        table_scan(spark, f"{root}/{contract.table}/data-*")
+        .select(day.cast("date").alias("folder"), "sales_date", "quantity")
+        .groupBy("folder", "sales_date")
         .agg(F.count(F.lit(1)).alias("sales"), F.sum("quantity").alias("quantity"))
     )
 
@@ -584,15 +686,14 @@ def sql_template(spark: SparkSession, sf: str) -> DataFrame:
     return run_template(
         spark,
         """
-        -- average price and count by brand; the braces in the literal are plain text
+        -- parts and largest size by brand; the braces in the literal are plain text
         SELECT p_brand AS brand, count(*) AS parts, max(p_size) AS largest,
-               '{"layer": "gold"}' AS tag
+               count_if(p_size >= :small) AS larger, '{"layer": "gold"}' AS tag
         FROM {products}
-        WHERE p_size >= :smallest
         GROUP BY p_brand;
         """,
         {"products": _table(spark, sf, "part")},
-        {"smallest": 5},
+        {"small": 5},
     )
 
 
@@ -608,6 +709,9 @@ QUERIES: dict[str, Query] = {
     "slug_names": slug_names,
     "na_tokens_to_null": na_tokens_to_null,
     "not_null_split": not_null_split,
+    "not_null_absent_column": not_null_absent_column,
+    "not_null_required": not_null_required,
+    "conform_case_variants": conform_case_variants,
     "dedupe_on_keys": dedupe_lineitem,
     "merge_upsert": merge_upsert,
     "merge_target_only_column": merge_target_only_column,
@@ -617,17 +721,22 @@ QUERIES: dict[str, Query] = {
     "merge_first_write": merge_first_write,
     "merge_published": merge_published,
     "merge_partitions": merge_partitions,
+    "merge_by_bucket": merge_by_bucket,
+    "upsert_after_restart": upsert_after_restart,
     "silver_dim_product": silver_dim_product,
     "silver_fact_sales": silver_fact_sales,
     "bronze_load": bronze_load_csv,
     "bronze_stream_load": bronze_stream_load,
     "layers_end_to_end": layers_end_to_end,
+    "gold_from_template": gold_from_template,
+    "silver_from_template": silver_from_template,
     "csv_scan": csv_files,
     "csv_scan_nested": csv_files_nested,
     "sniffed_text_scan": sniffed_text,
     "workbook_scan": workbook_scan,
     "workbook_manifest": workbook_manifest,
     "text_ingest": text_ingest,
+    "text_outcomes": text_outcomes,
     "table_scan_write": table_scan_write,
     "create_then_overwrite": create_then_overwrite,
     "sql_template": sql_template,
