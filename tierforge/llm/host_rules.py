@@ -28,6 +28,7 @@ from tierforge.llm.words import (
     word_hashes,
     word_spans,
 )
+from tierforge.scratch import stage
 
 # Characters that count as symbols. Fixed value.
 _SYMBOLS = b"#*$%&|<>"
@@ -157,7 +158,8 @@ def _prior(hosts: int, n: int, nn: int, f: int, ff: float) -> tuple[float, float
 def judge(docs: DataFrame, host: str = "source", rules: HostRules | None = None) -> DataFrame:
     """Every document's figures, ``base_failed`` by its own length and repetition, and ``kept``."""
     rules = rules or HostRules()
-    measured = measures(docs, host)
+    # Read by the hosts' sums, the prior and the documents: measured once, a few numbers a row.
+    measured = stage(measures(docs, host), "measures")
     failed = failures(rules)
     verdicts = host_verdicts(measured, rules).select(
         F.col("host").alias("known_host"), "condemned"
