@@ -16,7 +16,8 @@ customers, and a word that makes up a third of the corpus is still one short row
 
 Predictions are averaged over the sweeps after the first ``BURN`` ones. Counts are summed over
 all training documents: a partial sum per batch, then a shuffle by word. Documents meet them in a
-join of (word, batch) rows, whose large keys can be split, and their sums by row are added up.
+join of (word, batch) rows, whose large keys can be split; each task adds up what it finds by row,
+and passes on one packed record a batch, which meets the others of its batch.
 
 Defined cases: a null text is empty, and consists of its end; words that training lacks are
 scored as one class; without training documents the one class of unknown words has all the mass,
@@ -33,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +48,9 @@ SINGLY, STEP = 48, 1.25
 # Words that are seated together.
 WORDS = 1 << 16
 # Texts are handled in pieces of about so many bytes, and uses of words in pieces of so many.
-PIECE_BYTES, PIECE_USES = 12 << 20, 1 << 19
+PIECE_BYTES, PIECE_USES = 12 << 20, 1 << 18
+# A task passes on the sums of rows when it holds those of so many.
+HELD_ROWS = 1 << 20
 # Rows of a piece are numbered below this.
 _BATCH = 1 << 16
 # The end of a text, as a word; no word hashes are reserved, so it is one in 2**64.
@@ -337,41 +341,60 @@ def _postings(docs: DataFrame) -> DataFrame:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """``key, doc_id, held_out, n_tokens``, numbered as in ``_postings``."""
+    """``batch`` and the rows in it, ``ids, held, tokens``, numbered as in ``_postings``."""
     arrow = pa.schema(
-        [("key", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64())]
+        [
+            ("batch", pa.int64()),
+            ("ids", pa.list_(pa.int64())),
+            ("held", pa.list_(pa.bool_())),
+            ("tokens", pa.list_(pa.int64())),
+        ]
     )
 
     def work(piece: pa.RecordBatch, number: int) -> dict:
         words = [len(word_spans(np.frombuffer(t, np.uint8))[0]) for t in texts(piece)]
         return {
-            "key": number * _BATCH + np.arange(piece.num_rows),
-            "doc_id": piece.column("doc_id"),
-            "held_out": piece.column("held_out"),
-            "n_tokens": [1 + n for n in words],
+            "batch": [number],
+            "ids": [piece.column("doc_id").to_pylist()],
+            "held": [piece.column("held_out").to_pylist()],
+            "tokens": [[1 + n for n in words]],
         }
 
-    schema = "key long, doc_id long, held_out boolean, n_tokens long"
+    schema = "batch long, ids array<long>, held array<boolean>, tokens array<long>"
     return docs.mapInArrow(_numbered(work, arrow), schema)
 
 
+# What a task knows of a row of a batch: tokens, known ones, and the two sums of logarithms.
+_PART = np.dtype(
+    [("row", np.uint16), ("n", np.uint32), ("known", np.uint32), ("base", float), ("score", float)]
+)
+
+
 def _sums(joined: DataFrame, unknown: np.ndarray, seen: int, words: int) -> DataFrame:
-    """``key, n, known, base, score``: sums over the uses of words in a row, in parts."""
-    kinds = {"key": "long", "n": "long", "known": "long", "base": "double", "score": "double"}
-    arrow = pa.schema(
-        [(n, pa.int64() if kind == "long" else pa.float64()) for n, kind in kinds.items()]
-    )
+    """``batch, part``: sums over the uses of words in the rows of a batch, in parts (packed).
+
+    A task adds up what it reads by row, and passes that on, a record for each batch, when it has
+    read everything or holds ``HELD_ROWS`` rows.
+    """
+    arrow = pa.schema([("batch", pa.int64()), ("part", pa.binary())])
     log_unknown = np.log10(unknown)
     below = math.log10(seen + 0.5 * (words + 1))
 
-    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        key, *values = (np.concatenate(part) for part in zip(*held, strict=True))
+    def added(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        key, *values = (np.concatenate(c) for c in zip(*parts, strict=True))
         own, place = np.unique(key, return_inverse=True)
-        sums = [np.bincount(place, v, len(own)) for v in values]
-        columns = [own, *(np.rint(s).astype(np.int64) for s in sums[:2]), *sums[2:]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, type=f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
-        )
+        return own, *(np.bincount(place, v, len(own)) for v in values)
+
+    def packed(sums: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+        key, n, known, base, score = sums
+        out = np.empty(len(key), _PART)
+        out["row"], out["n"], out["known"] = key % _BATCH, np.rint(n), np.rint(known)
+        out["base"], out["score"] = base, score
+        batch = key // _BATCH
+        first = np.flatnonzero(np.diff(batch, prepend=-1))
+        parts = [p.tobytes() for p in np.split(out, first[1:])]
+        columns = [pa.array(batch[first], pa.int64()), pa.array(parts, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     def expand(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
         blobs = batch.column("uses")
@@ -401,20 +424,70 @@ def _sums(joined: DataFrame, unknown: np.ndarray, seen: int, words: int) -> Data
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
         for batch in batches:
-            lengths = batch.column("uses").cast(pa.large_binary())
-            lengths = np.array([len(b) // 4 for b in lengths.to_pylist()], np.int64)
+            lengths = np.array(pc.binary_length(batch.column("uses")).to_numpy(), np.int64) // 4
             piece = np.cumsum(lengths) // PIECE_USES
             edges = np.flatnonzero(np.diff(piece, prepend=-1))
             for first, last in zip(edges, [*edges[1:], batch.num_rows], strict=True):
                 held.append(expand(batch.slice(first, last - first)))
                 size += len(held[-1][0])
-                if size >= PIECE_USES:
-                    yield from flush(held)
+                if size < 2 * PIECE_USES:
+                    continue
+                held = [added(held)]
+                size = len(held[0][0])
+                if size >= HELD_ROWS:
+                    yield from packed(held[0])
                     held, size = [], 0
         if size:
-            yield from flush(held)
+            yield from packed(added(held))
+
+    return joined.mapInArrow(run, "batch long, part binary")
+
+
+def _collected(parts: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows with the sums of all their parts. A task holds one batch's at a time."""
+    kinds = {
+        "doc_id": "long", "held_out": "boolean", "n_tokens": "long", "n_known": "long",
+        "base_score": "double", "score": "double",
+    }
+    types = {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}
+    arrow = pa.schema([(n, types[kind]) for n, kind in kinds.items()])
+
+    def whole(batch: int, about: dict | None, found: list[bytes]) -> pa.RecordBatch:
+        size = len(about["ids"]) if about else 0
+        part = np.frombuffer(b"".join(found), _PART)
+        row = part["row"].astype(np.int64)
+        sums = {n: np.bincount(row, part[n], size) for n in _PART.names[1:]}
+        if about is None or not np.array_equal(sums["n"], np.array(about["tokens"])):
+            raise RuntimeError(
+                f"batch {batch}: the rows came in another order; documents must be a stored table"
+            )
+        columns = {
+            "doc_id": about["ids"], "held_out": about["held"], "n_tokens": about["tokens"],
+            "n_known": np.rint(sums["known"]).astype(np.int64),
+            "base_score": sums["base"], "score": sums["score"],
+        }
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow
+        )
 
-    return joined.mapInArrow(run, ", ".join(f"{n} {kind}" for n, kind in kinds.items()))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, about, found = None, None, []
+        for incoming in batches:
+            for record in incoming.to_pylist():
+                if record["batch"] != current:
+                    if current is not None:
+                        yield whole(current, about, found)
+                    current, about, found = record["batch"], None, []
+                if record["part"] is None:
+                    about = record
+                else:
+                    found.append(record["part"])
+        if current is not None:
+            yield whole(current, about, found)
+
+    every = parts.unionByName(rows, allowMissingColumns=True)
+    dealt = every.repartition("batch").sortWithinPartitions("batch")
+    return dealt.mapInArrow(run, ", ".join(f"{n} {kind}" for n, kind in kinds.items()))
 
 
 def scores(docs: DataFrame, training: Column) -> DataFrame:
@@ -431,18 +504,15 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
     known = chances.withColumnRenamed("word", "known_word")
     joined = _postings(plain).join(known, F.col("word") == F.col("known_word"), "left")
     parts = _sums(joined.select("batch", "uses", "total", *_CHANCES), unknown, seen, words)
-    sums = parts.groupBy("key").agg(*[F.sum(n).alias(n) for n in ("n", "known", "base", "score")])
-    checked = F.when(F.col("n") == F.col("n_tokens"), F.col("score")).otherwise(
-        F.raise_error(F.lit("rows of documents came in another order; store the table first"))
-    )
-    return _rows(plain).join(sums, "key", "left").select(
+    # Stored on its own: in a union, tasks are numbered otherwise than in the scan.
+    return _collected(parts, stage(_rows(plain), "rows")).select(
         "doc_id",
         "held_out",
         "n_tokens",
-        F.col("known").alias("n_known"),
+        "n_known",
         F.lit(seen).cast("long").alias("train_tokens"),
-        F.col("base").alias("base_score"),
-        checked.cast("double").alias("score"),
+        "base_score",
+        "score",
     )
 
 
