@@ -154,10 +154,13 @@ def seat(
         run = np.where(
             done < SINGLY, 1, np.minimum(customers[active] - done, (done * (STEP - 1)).astype(int))
         )
-        new = (strength + discount * (other_tables[active] + now)) * base[active]
-        # The middle of the run stands for all of it.
-        sitting = done + (run - 1) / 2 - discount * now
-        opened = rng.binomial(run, new / (new + sitting))
+        # The middle of the run stands for all of it, with the tables expected by then.
+        chance, half = np.zeros(len(active)), (run - 1) / 2
+        for _ in range(2):
+            then = now + chance * half
+            new = (strength + discount * (other_tables[active] + then)) * base[active]
+            chance = new / (new + done + half - discount * then)
+        opened = rng.binomial(run, chance)
         tables[active] = now + opened
         seated[active] = done + run
 
