@@ -4,3 +4,10 @@ Each operator takes DataFrames and returns DataFrames. It reads only the columns
 extra columns, whatever they are called, neither disturb it nor reach its result (operators that
 give documents back keep them). Nothing else in the library imports this subpackage.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Executors need not have this package installed: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
