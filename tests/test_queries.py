@@ -6,6 +6,9 @@ import pytest
 import __spark_entry__ as entry
 from check import TABLES, rows_of, types_of
 from tests.conftest import SF
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -16,16 +19,17 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    actual = entry.queries()[name](spark, SF).toArrow()
-    expected = duck.sql(entry.oracle_sql()[name]).to_arrow_table()
+    actual = QUERIES[name](spark, SF).toArrow()
+    expected = duck.sql(ORACLES[name]).to_arrow_table()
     assert types_of(actual) == types_of(expected)
     assert rows_of(actual) == rows_of(expected)
