@@ -29,9 +29,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierforge.llm.bits import bit_set, in_bit_set
 from tierforge.llm.fm_index import FMIndex
 from tierforge.llm.words import (
     covered,
@@ -49,13 +51,13 @@ WINDOW, GRAM = 13, 4
 # Bits of the sets of shared anchors and of affected documents.
 ANCHOR_BITS, DOC_BITS = 1 << 25, 1 << 20
 # Stretches of a shard, about; and of one anchor before it is cut up.
-SHARD, HOT = 1 << 15, 1 << 11
+SHARD, HOT = 1 << 14, 1 << 11
 # Texts are handled in pieces of about so many bytes.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    size = np.array([len(t) for t in texts(batch)], np.int64)
+    size = pc.binary_length(batch.column("text").cast(pa.large_binary())).fill_null(0).to_numpy()
     edges = np.flatnonzero(np.diff(np.cumsum(size) // PIECE_BYTES, prepend=-1))
     for first, last in zip(edges, [*edges[1:], batch.num_rows], strict=True):
         yield batch.slice(first, last - first)
@@ -169,26 +171,6 @@ def _shared_anchors(docs: DataFrame, window: int) -> DataFrame:
     return ends.filter("least <> most").select("anchor")
 
 
-def bit_set(keys: DataFrame, key: str, bits: int) -> bytes:
-    """The low bits of 64-bit keys as a set; ``bits`` bounds what reaches the driver."""
-    place = F.col(key).bitwiseAND(F.lit(bits - 1).cast("long"))
-    found = (
-        keys.select(place.alias("place"))
-        .groupBy(F.shiftright("place", 6).alias("k"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("v"))
-        .toArrow()
-    )
-    words = np.zeros(bits // 64, np.int64)
-    words[found.column("k").to_numpy()] = found.column("v").to_numpy()
-    return words.tobytes()
-
-
-def in_bit_set(held: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Which keys may be in a set, given as bytes; those that are, surely are among them."""
-    place = keys & (8 * len(held) - 1)
-    return (held[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
-
-
 def _found(docs: DataFrame, shared: bytes, window: int, uses: bool) -> DataFrame:
     """Stretches around anchors of the bit set.
 
