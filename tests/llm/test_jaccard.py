@@ -70,6 +70,15 @@ def test_equals_brute_force(docs_of, size, percent):
     assert got(docs_of(rows), size, percent) == brute_force(rows, size, percent)
 
 
+def test_common_shingles_lose_no_link(docs_of, monkeypatch):
+    monkeypatch.setattr(jaccard, "COMMON", 0.0)
+    passage = " ".join(f"p{k}" for k in range(12))
+    rows = [(i, f"{t} {passage}", s) for i, t, s in near_copies(7, words=40)]
+    docs = docs_of(rows, parts=1)
+    assert len(jaccard.common_shingles(docs, 3, len(rows))) > 10
+    assert got(docs, 3, 80) == brute_force(rows, 3, 80)
+
+
 def test_blocks_lose_no_pair(docs_of, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK_DOCS", 7)
     rows = near_copies(5, families=2, copies=90)
@@ -127,8 +136,9 @@ def test_linked_sets_share_a_segment(percent):
         a, b = np.unique(base), np.unique(other)
         common = len(np.intersect1d(a, b))
         if len(b) and 100 * common >= percent * (len(a) + len(b) - common):
-            keys = jaccard.segment_keys(a, percent), jaccard.segment_keys(b, percent)
-            assert np.intersect1d(*keys).size
+            for common in (a[:0], a[::2], np.union1d(a, b)):
+                keys = (jaccard.segment_keys(x, percent, common) for x in (a, b))
+                assert np.intersect1d(*keys).size
 
 
 def test_overlaps_count_common_shingles():

@@ -7,8 +7,9 @@ few other pairs:
 2. *Blocks of candidates.* Linked sets differ in a bounded number of shingles, at most ``D`` for
    sizes in two neighbouring size bands. The hash range is cut into more than ``D`` segments, so
    that two linked sets agree in all of at least one segment. Sets that agree in a segment are
-   tied, and connected ones form a cluster. A passage or word that many documents share makes no
-   candidates by itself, for its shingles fall into many segments.
+   tied, and connected ones form a cluster. Shingles of passages that many documents share would
+   tie documents that have nothing else in common where they fill a segment; the most common ones
+   are left out of all segments, which loses no link.
 3. *Blocked product.* A cluster's incidence matrix of documents by shingles is cut into blocks of
    bounded size; pairs of blocks whose sizes can link are multiplied by their transposes, which
    counts the overlaps, and pairs below ``percent * (a + b) / (100 + percent)`` are discarded. A
@@ -16,7 +17,7 @@ few other pairs:
    its pairs.
 
 Segments are grouped per batch before they are shuffled, so a group of copies that holds a third
-of all rows adds a row per batch, not one per document, to any key.
+of all rows adds one segment per batch, not one per document, to any key.
 
 Defined cases: a null text, or one without words, has an empty set and links with nothing, equal
 ones included; texts shorter than a shingle are one shingle; equal rows link; a row without
@@ -27,24 +28,36 @@ text, and a link of one text holds for the id; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierforge.llm.bits import bit_set, in_bit_set
 from tierforge.llm.graph import components
-from tierforge.llm.words import hashed_words, map_batches, mix, shingles, texts
+from tierforge.llm.words import each_text, hashed_words, map_batches, mix, shingles
 from tierforge.scratch import stage
 
 # A block of the product holds about so many documents, and so many shingles.
-BLOCK_DOCS, BLOCK_SHINGLES = 512, 1 << 21
+BLOCK_DOCS, BLOCK_SHINGLES = 512, 1 << 18
+# Share of all rows from which on a shingle is common.
+COMMON = 0.0005
+# Segments of a part of the range of hashes, about: so many shingles have no more of them.
+PART_SEGMENTS = 1 << 20
+# Bits of the set of ids whose texts are looked at again.
+DOC_BITS = 1 << 20
+# Keys over which a band of a cluster is spread where its members join what is known of it.
+SPREAD = 16
+# Rows of a batch that are worked on together.
+_SLICE = 2048
 # Shingles that at most so many documents of a block share are counted pair by pair.
 _LIGHT = 24
 _COLUMNS = 2048
 
+_NONE = np.empty(0, np.uint64)
 _SEED = np.uint64(0xA0761D6478BD642F)
 _EMPTY_SEGMENT = np.uint64(0xE7037ED1A0B428DB)
 
@@ -57,21 +70,24 @@ def fingerprint(sets: np.ndarray) -> tuple[int, int]:
     return int(high.view(np.int64)[0]), int(low.view(np.int64)[0])
 
 
-@cache
-def band_starts(percent: int, upto: int) -> tuple[int, ...]:
-    """Least sizes of the size bands: linked sets are in one band or in neighbouring ones."""
-    starts = [1]
+# Bands and schemes that have been worked out, by their arguments.
+_STARTS: dict[int, list[int]] = {}
+_SCHEMES: dict[tuple[int, int], tuple[int, int]] = {}
+
+
+def band_starts(percent: int, upto: int) -> list[int]:
+    """Least sizes of the size bands, to beyond ``upto``: linked sets are in one band or in
+    neighbouring ones."""
+    starts = _STARTS.setdefault(percent, [1])
     while starts[-1] <= upto:
         starts.append(starts[-1] * 100 // percent + 1)
-    return tuple(starts)
+    return starts
 
 
 def band_of(size: int, percent: int) -> int:
-    starts = band_starts(percent, 1 << max(16, size.bit_length()))
-    return int(np.searchsorted(starts, size, side="right")) - 1
+    return bisect_right(band_starts(percent, size), size) - 1
 
 
-@cache
 def scheme(band: int, percent: int) -> tuple[int, int]:
     """Segments for the sets of ``band`` and the one above, and the empty ones allowed for.
 
@@ -79,29 +95,39 @@ def scheme(band: int, percent: int) -> tuple[int, int]:
     are empty in both agree without saying anything, so ``spare`` more are cut than needed; a set
     with more empty segments than that also shows some of them (see ``segment_keys``).
     """
-    upto = 1 << 16
-    while len(starts := band_starts(percent, upto)) < band + 3:
-        upto <<= 1
+    if (band, percent) in _SCHEMES:
+        return _SCHEMES[band, percent]
+    starts = band_starts(percent, 1)
+    while len(starts) < band + 3:
+        starts = band_starts(percent, starts[-1])
     differ = 2 * (starts[band + 2] - 1) * (100 - percent) // (100 + percent)
     spare = 0
     for _ in range(8):
         segments = differ + 1 + spare
         mean = segments * math.exp(-starts[band] / segments)
         spare = min(math.ceil(mean + 4 * math.sqrt(mean)), 2 + (differ + 1) // 6)
-    return differ + 1 + spare, spare
+    _SCHEMES[band, percent] = differ + 1 + spare, spare
+    return _SCHEMES[band, percent]
+
 
+def segment_keys(sets: np.ndarray, percent: int, common: np.ndarray = _NONE) -> np.ndarray:
+    """Hashes of the segments of a sorted set, for its band and the one below.
 
-def segment_keys(sets: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes of the segments of a sorted set, for its band and the one below."""
+    Shingles in ``common`` (sorted) are left out of the segments. Whichever they are, what is left
+    of linked sets differs in no more shingles than the whole of them.
+    """
+    own = band_of(len(sets), percent)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, sets), len(common) - 1)
+        sets = sets[common[at] != sets]
     total = np.zeros(len(sets) + 1, np.uint64)
     np.cumsum(mix(sets), out=total[1:])
     out = []
-    own = band_of(len(sets), percent)
     for band in (own - 1, own) if own else (own,):
         segments, spare = scheme(band, percent)
         place = (sets >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)
-        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        last = np.append(first[1:], len(sets))
+        first = np.flatnonzero(np.diff(place.astype(np.int64), prepend=-1))
+        last = np.append(first[1:], len(sets))[: len(first)]
         label = mix(place[first] + np.uint64(band << 40))
         out.append(mix((total[last] - total[first]) + label))
         empty = segments - len(first)
@@ -113,19 +139,19 @@ def segment_keys(sets: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def prints(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n_shingles, high, low``: the fingerprint of each row's set."""
-    names = ("doc_id", "n_shingles", "high", "low")
+def prints(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``doc_id, n_shingles, band, high, low``: size band and fingerprint of each row's set."""
+    names = ("doc_id", "n_shingles", "band", "high", "low")
     arrow = pa.schema([(n, pa.int64()) for n in names])
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        sets = [shingles(hashed_words(t.lower()), size) for t in texts(batch)]
-        marks = [fingerprint(s) for s in sets]
-        yield {
-            "doc_id": batch.column("doc_id"),
-            "n_shingles": [len(s) for s in sets],
-            "high": [m[0] for m in marks],
-            "low": [m[1] for m in marks],
+        found = []
+        for text in each_text(batch):
+            own = shingles(hashed_words(text.lower()), size)
+            band = band_of(len(own), percent) if len(own) else None
+            found.append((len(own), band, *fingerprint(own)))
+        yield {"doc_id": batch.column("doc_id")} | {
+            n: [f[k] for f in found] for k, n in enumerate(names[1:])
         }
 
     return map_batches(
@@ -136,75 +162,162 @@ def prints(docs: DataFrame, size: int) -> DataFrame:
     )
 
 
-def _candidate_edges(docs: DataFrame, size: int, percent: int) -> DataFrame:
+def common_shingles(docs: DataFrame, size: int, rows: int) -> np.ndarray:
+    """Sorted shingles of at least ``COMMON`` of all ``rows``, as far as batches show them.
+
+    A batch reports those that several of its sets have. There are at most as many as an average
+    set has shingles, over ``COMMON``.
+    """
+    arrow = pa.schema([("shingle", pa.int64()), ("sets", pa.int64())])
+
+    def work(batch: pa.RecordBatch) -> Iterator[dict]:
+        seen: set[int] = set()
+        sets = []
+        for text in each_text(batch):
+            if (mark := hash(text)) not in seen:
+                seen.add(mark)
+                sets.append(shingles(hashed_words(text.lower()), size))
+        every = np.concatenate(sets) if sets else _NONE
+        del sets
+        # An eighth of the range of hashes at a time, for less memory.
+        for k in range(8):
+            part = every[every >> np.uint64(61) == k]
+            found, count = np.unique(part, return_counts=True)
+            some = count >= 4
+            yield {"shingle": found[some].view(np.int64), "sets": count[some]}
+
+    counted = map_batches(docs.select("text"), work, "shingle long, sets long", arrow)
+    summed = counted.groupBy("shingle").agg(F.sum("sets").alias("sets"))
+    found = summed.filter(F.col("sets") >= max(4, COMMON * rows)).select("shingle").toArrow()
+    return np.sort(found.column("shingle").to_numpy().view(np.uint64))
+
+
+def _candidate_edges(
+    docs: DataFrame, size: int, percent: int, total: int, common: np.ndarray
+) -> DataFrame:
     """``src, dst``: sets, by the low half of their fingerprints, that agree in a segment.
 
-    A batch ties its own sets itself; of each segment it sends on just one, with the ties.
+    ``total`` is the number of shingles of all rows. A batch ties its own sets itself, and of each
+    segment sends on just one, packed with others of the same part of the range of hashes: six
+    bytes of the segment's hash (the part tells more), and which of the batch's sets it is. A part
+    holds a bounded number of segments, so that false agreement is as rare in a larger corpus.
     """
-    arrow = pa.schema([("segment", pa.int64()), ("node", pa.int64()), ("peer", pa.int64())])
+    parts = max(1, -(-total // PART_SEGMENTS))
+    names = ("nodes", "keys", "place", "ties")
+    arrow = pa.schema([("part", pa.int64()), *((n, pa.binary()) for n in names)])
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
+        for first in range(0, batch.num_rows, 2 * _SLICE):
+            yield from pack(each_text(batch.slice(first, 2 * _SLICE)))
+
+    def pack(bodies: Iterator[bytes]) -> Iterator[dict]:
         seen: set[tuple[int, int]] = set()
-        keys, nodes, counts = [], [], []
-        for text in texts(batch):
+        keys, nodes = [], []
+        for text in bodies:
             own = shingles(hashed_words(text.lower()), size)
             if len(own) and (mark := fingerprint(own)) not in seen:
                 seen.add(mark)
-                keys.append(segment_keys(own, percent))
+                keys.append(segment_keys(own, percent, common))
                 nodes.append(mark[1])
-                counts.append(len(keys[-1]))
         if not nodes:
             return
-        key = np.concatenate(keys).view(np.int64)
-        node = np.repeat(np.array(nodes, np.int64), counts)
+        own = np.repeat(np.arange(len(nodes)), [len(k) for k in keys])
+        node = np.array(nodes, np.int64)
+        key = np.concatenate(keys)
+        order = np.lexsort((node[own], key))
+        key, own = key[order], own[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        leader = own[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        ties = np.unique(np.stack([node[leader], node[own]], axis=1)[leader != own], axis=0)
+        key, own = key[new], own[new]
+        part = ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        out: dict[str, list] = {n: [] for n in arrow.names}
+        for k, (low, high) in enumerate(zip(at, [*at[1:], len(key)], strict=True)):
+            used, place = np.unique(own[low:high], return_inverse=True)
+            out["part"].append(part[low])
+            out["nodes"].append(node[used].tobytes())
+            out["keys"].append(key[low:high].view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
+            out["place"].append(place.astype(np.uint16).tobytes())
+            out["ties"].append(b"" if k else ties.tobytes())
+        yield out
+
+    def agree(records: list[dict]) -> pa.RecordBatch:
+        keys, nodes, ties = [], [], []
+        for r in records:
+            six = np.frombuffer(r["keys"], np.uint8).reshape(-1, 6)
+            key = np.zeros((len(six), 8), np.uint8)
+            key[:, :6] = six
+            keys.append(key.reshape(-1).view(np.uint64))
+            nodes.append(np.frombuffer(r["nodes"], np.int64)[np.frombuffer(r["place"], np.uint16)])
+            ties.append(np.frombuffer(r["ties"], np.int64).reshape(-1, 2))
+        key, node = np.concatenate(keys), np.concatenate(nodes)
         order = np.lexsort((node, key))
         key, node = key[order], node[order]
-        first = np.concatenate([[True], key[1:] != key[:-1]])
-        leader = node[np.flatnonzero(first)[np.cumsum(first) - 1]]
-        tied = leader != node
-        ties = np.unique(np.stack([leader[tied], node[tied]], axis=1), axis=0)
-        none = pa.nulls(int(first.sum()), pa.int64())
-        yield {"segment": key[first], "node": node[first], "peer": none}
-        if len(ties):
-            yield {"segment": mix(ties[:, 1].view(np.uint64)).view(np.int64),
-                   "node": ties[:, 1], "peer": ties[:, 0]}
-
-    rows = map_batches(docs.select("text"), work, "segment long, node long, peer long", arrow)
-    same = Window.partitionBy("segment", F.col("peer").isNull()).orderBy("node")
-    return (
-        rows.withColumn("src", F.coalesce("peer", F.lag("node").over(same)))
-        .filter(F.col("src").isNotNull() & (F.col("src") != F.col("node")))
-        .select("src", F.col("node").alias("dst"))
-        .distinct()
-    )
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        leader = node[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        found = np.stack([leader, node], axis=1)[leader != node]
+        edges = np.unique(np.concatenate([found, *ties]), axis=0)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["src", "dst"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
+        for batch in batches:
+            for record in batch.to_pylist():
+                if record["part"] != current:
+                    if held:
+                        yield agree(held)
+                    current, held = record["part"], []
+                held.append(record)
+        if held:
+            yield agree(held)
+
+    schema = "part long, " + ", ".join(f"{n} binary" for n in names)
+    rows = map_batches(docs.select("text"), work, schema, arrow)
+    dealt = rows.repartition(min(parts, 1 << 14), "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(run, "src long, dst long").distinct()
+
 
+def _cells(inner: DataFrame, members: DataFrame) -> DataFrame:
+    """Members (``cluster, rep, n, copies, band, sets``) dealt to pairs of blocks.
 
-def _cells(members: DataFrame, percent: int) -> DataFrame:
-    """Members (``cluster, rep, n, copies, sets``) dealt to pairs of blocks.
+    ``inner`` has the same without ``sets``, and tells how large clusters are.
 
     A cluster of one block is one cell. In a larger one, each band is cut into blocks by the hash
     of the member; a block meets the blocks of its band and of the next. ``side`` is 0 where the
-    block meets itself, else 1 and 2.
+    block meets itself, else 1 and 2. Members learn the numbers of blocks in a join that spreads
+    each band of a cluster over ``SPREAD`` keys.
     """
-    blocks = F.ceil(
-        F.greatest(F.count(F.lit(1)) / BLOCK_DOCS, F.sum("n") / F.lit(float(BLOCK_SHINGLES)))
-    ).cast("int")
-    whole = members.groupBy("cluster").agg(blocks.alias("blocks"))
-    single = members.join(whole.filter("blocks = 1").select("cluster"), "cluster").select(
-        F.struct(
-            "cluster", *[F.lit(0).cast("long").alias(c) for c in "bxy"], F.lit(False).alias("next")
-        ).alias("cell"),
-        F.lit(0).alias("side"), "rep", "n", "copies", "sets",
-    )
-    large = whole.filter("blocks > 1").select("cluster")
-    counts = (
-        members.join(large, "cluster").groupBy("cluster", "band").agg(blocks.alias("blocks"))
+
+    def blocks(docs: Column, shingles: Column) -> Column:
+        share = F.greatest(docs / BLOCK_DOCS, shingles / F.lit(float(BLOCK_SHINGLES)))
+        return F.ceil(share).cast("int")
+
+    counts = stage(
+        inner.groupBy("cluster", "band").agg(
+            F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles")
+        ),
+        "bands",
+    )
+    whole = counts.groupBy("cluster").agg(
+        blocks(F.sum("docs"), F.sum("shingles")).alias("whole")
     )
-    up = counts.select("cluster", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
-    down = counts.select("cluster", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
-    bands = counts.join(up, ["cluster", "band"], "left").join(down, ["cluster", "band"], "left")
-    dealt = members.join(bands, ["cluster", "band"]).withColumn(
-        "x", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    own = counts.select("cluster", "band", blocks(F.col("docs"), F.col("shingles")).alias("blocks"))
+    up = own.select("cluster", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
+    down = own.select("cluster", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
+    plan = (
+        own.join(up, ["cluster", "band"], "left")
+        .join(down, ["cluster", "band"], "left")
+        .join(whole, "cluster")
+        .withColumn("spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    )
+    hashed = F.xxhash64("rep")
+    dealt = (
+        members.withColumn("spread", F.pmod(hashed, F.lit(SPREAD)).cast("int"))
+        .join(plan, ["cluster", "band", "spread"])
+        .withColumn("x", F.pmod(F.shiftrightunsigned(hashed, 16), F.col("blocks")).cast("int"))
     )
 
     def cell(y, band, first, second, nxt, side):
@@ -223,7 +336,8 @@ def _cells(members: DataFrame, percent: int) -> DataFrame:
         n = F.coalesce(F.col(n), F.lit(0))
         return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
-    x, band = F.col("x"), F.col("band")
+    x, band, none = F.col("x"), F.col("band"), F.lit(0).cast("long")
+    only = F.array(cell(none, none, none, none, False, F.lit(0)))
     within = F.transform(
         upto("blocks"),
         lambda y: cell(y, band, F.least(x, y), F.greatest(x, y), False,
@@ -231,10 +345,10 @@ def _cells(members: DataFrame, percent: int) -> DataFrame:
     )
     above = F.transform(upto("above"), lambda y: cell(y, band, x, y, True, F.lit(1)))
     below = F.transform(upto("below"), lambda y: cell(y, band - 1, y, x, True, F.lit(2)))
-    split = dealt.select(
-        F.explode(F.concat(within, above, below)).alias("c"), "rep", "n", "copies", "sets"
-    ).select("c.cell", "c.side", "rep", "n", "copies", "sets")
-    return single.union(split)
+    cells = F.when(F.col("whole") == 1, only).otherwise(F.concat(within, above, below))
+    return dealt.select(F.explode(cells).alias("c"), "rep", "n", "copies", "sets").select(
+        "c.cell", "c.side", "rep", "n", "copies", "sets"
+    )
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -321,14 +435,17 @@ def _links(cells: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
-        for batch in batches:
+        slices = (b.slice(k, _SLICE) for b in batches for k in range(0, b.num_rows, _SLICE))
+        for batch in slices:
             columns = [batch.column(c).to_pylist() for c in ("cell", "side", "rep", "copies", "sets")]
             for cell, *rest in zip(*columns, strict=True):
                 if cell != current:
                     if len(held) > 1:
                         yield from solve(held)
                     current, held = cell, []
-                held.append(tuple(rest))
+                # Rows that repeat id and text come one after the other, and count once.
+                if not held or held[-1] != tuple(rest):
+                    held.append(tuple(rest))
         if len(held) > 1:
             yield from solve(held)
 
@@ -346,17 +463,20 @@ def similarity_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> Data
     """
     if not 0 < percent <= 100:
         raise ValueError("percent must be above 0 and at most 100")
-    marked = stage(prints(docs, size), "prints")
+    marked = stage(prints(docs, size, percent), "prints")
     sets = stage(
         marked.filter("n_shingles > 0 and doc_id is not null")
-        .groupBy("high", "low", "n_shingles")
+        .groupBy("high", "low", "n_shingles", "band")
         .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")),
         "sets",
     )
-    clusters = components(_candidate_edges(docs, size, percent)).withColumnRenamed("node", "low")
-    inner = sets.join(clusters.withColumnRenamed("component", "cluster"), "low")
-    members = stage(_member_sets(docs, inner, size, percent), "members")
-    found = stage(_links(_cells(members, percent), percent), "links")
+    rows, total = marked.agg(F.count("low"), F.sum("n_shingles")).first()
+    common = common_shingles(docs, size, rows)
+    clusters = components(_candidate_edges(docs, size, percent, total or 0, common))
+    clusters = clusters.select(F.col("node").alias("low"), F.col("component").alias("cluster"))
+    inner = stage(sets.withColumnRenamed("n_shingles", "n").join(clusters, "low"), "inner")
+    members = _member_sets(docs, inner, size)
+    found = stage(_links(_cells(inner, members), percent), "links")
     groups = components(found.filter("dst is not null").select("src", "dst"))
     links = found.filter("links is not null").groupBy("src").agg(F.sum("links").alias("links"))
     placed = (
@@ -377,34 +497,47 @@ def similarity_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> Data
     return grouped.select("doc_id", "n_shingles", "component_id", "n_links").union(alone)
 
 
-def _member_sets(docs: DataFrame, inner: DataFrame, size: int, percent: int) -> DataFrame:
-    """The sets of the representatives that are in a cluster, from their texts."""
+def _member_sets(docs: DataFrame, inner: DataFrame, size: int) -> DataFrame:
+    """The sets of the representatives that are in a cluster, from their texts.
+
+    A bit set of their ids keeps most other texts from being shuffled.
+    """
+    likely_ids = bit_set(inner, "rep", DOC_BITS)
     names = ("cluster", "rep", "n", "copies", "band")
     arrow = pa.schema([*((n, pa.int64()) for n in names), ("sets", pa.binary())])
 
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.frombuffer(likely_ids, np.uint8)
+        for batch in batches:
+            batch = batch.filter(batch.column("rep").is_valid())
+            some = in_bit_set(held, batch.column("rep").to_numpy())
+            yield batch.filter(pa.array(some, pa.bool_()))
+
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
-        found = [shingles(hashed_words(t.lower()), size) for t in texts(batch)]
+        for first in range(0, batch.num_rows, _SLICE):
+            yield cut(batch.slice(first, _SLICE))
+
+    def cut(batch: pa.RecordBatch) -> dict:
         marks = zip(*(batch.column(c).to_pylist() for c in ("high", "low")), strict=True)
-        # Where an id repeats, each of its texts is tried for the set in question.
-        own = [fingerprint(s) == m for s, m in zip(found, marks, strict=True)]
+        own, sets = [], []
+        for text, mark in zip(each_text(batch), marks, strict=True):
+            found = shingles(hashed_words(text.lower()), size)
+            # Where an id repeats, each of its texts is tried for the set in question.
+            own.append(fingerprint(found) == mark)
+            if own[-1]:
+                sets.append(found.tobytes())
         keep = pa.array(own, pa.bool_())
-        sets = [s for s, k in zip(found, own, strict=True) if k]
-        yield {
-            "cluster": batch.column("cluster").filter(keep),
-            "rep": batch.column("rep").filter(keep),
-            "copies": batch.column("copies").filter(keep),
-            "n": [len(s) for s in sets],
-            "band": [band_of(len(s), percent) for s in sets],
-            "sets": [s.tobytes() for s in sets],
-        }
+        return {n: batch.column(n).filter(keep) for n in names} | {"sets": sets}
 
-    texts_of = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
+    texts_of = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").mapInArrow(
+        likely, "rep long, text string"
+    )
     return map_batches(
-        texts_of.join(inner, "rep").select("cluster", "rep", "copies", "high", "low", "text"),
+        texts_of.join(inner, "rep").select(*names, "high", "low", "text"),
         work,
         ", ".join(f"{n} long" for n in names) + ", sets binary",
         arrow,
-    ).dropDuplicates(["cluster", "rep", "n"])
+    )
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierforge.llm.words import gram_hashes, map_batches, texts, word_hashes, word_spans
+from tierforge.llm.words import each_text, gram_hashes, map_batches, word_hashes, word_spans
 
 # At most so many labelled rows are learned from.
 SAMPLE = 8192
@@ -182,7 +182,7 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> Machine |
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         recorded = batch.column("recorded").to_pylist()
-        rows = [features(t, r) for t, r in zip(texts(batch), recorded, strict=True)]
+        rows = [features(t, r) for t, r in zip(each_text(batch), recorded, strict=True)]
         yield {
             "doc_id": batch.column("doc_id"),
             "label": batch.column("label"),
@@ -219,7 +219,7 @@ def score(docs: DataFrame, model: Machine | None) -> DataFrame:
         recorded = batch.column("recorded").to_pylist()
         scores = [
             held[0].score(t, r) if held else 0.5
-            for t, r in zip(texts(batch), recorded, strict=True)
+            for t, r in zip(each_text(batch), recorded, strict=True)
         ]
         yield {"doc_id": batch.column("doc_id"), "score": scores}
 
@@ -244,7 +244,7 @@ def accepted(docs: DataFrame, model: Machine | None, least: float = 0.7) -> Data
                 else [None] * batch.num_rows
             )
             mask = [
-                machine.score(t, r) >= least for t, r in zip(texts(batch), lengths, strict=True)
+                machine.score(t, r) >= least for t, r in zip(each_text(batch), lengths, strict=True)
             ]
             yield batch.filter(pa.array(mask, pa.bool_()))
 

@@ -102,6 +102,12 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [t or b"" for t in batch.column(name).cast(pa.large_binary()).to_pylist()]
 
 
+def each_text(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:
+    """The same one by one, without holding them all as Python objects."""
+    for value in batch.column(name).cast(pa.large_binary()):
+        yield value.as_py() or b""
+
+
 def map_batches(
     df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[dict]], schema: str, arrow: pa.Schema
 ) -> DataFrame:
@@ -113,5 +119,8 @@ def map_batches(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow
                 )
+            # A worker lives on, for other stages too.
+            del batch
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
