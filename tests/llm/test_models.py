@@ -226,3 +226,39 @@ def test_query_predicts_held_out_texts_better_than_the_base(spark):
     rows = {r["held_out"]: r for r in pitman_yor.perplexity(out).collect()}
     for held_out in (True, False):
         assert rows[held_out]["perplexity"] < 0.8 * rows[held_out]["base_perplexity"]
+
+
+def test_the_word_before_counts_whole(docs_of, stored):
+    rng = np.random.default_rng(5)
+    # All words end alike, and each is followed by one word only.
+    follows = {f"w{k}a": f"w{(k * 7 + 3) % 40}a" for k in range(40)}
+    rows = []
+    for k in range(300):
+        text = [f"w{rng.integers(40)}a"]
+        while len(text) < 30:
+            text.append(follows[text[-1]])
+        rows.append((k, " ".join(text), "s"))
+    _, out = scored(stored(docs_of(rows)))
+    held = [r for r in out if r["held_out"]]
+    n = sum(r["n_tokens"] for r in held)
+    # One of 40 at the start, and an end that comes after any word.
+    assert 10 ** (-sum(r["score"] for r in held) / n) < 1.5
+    assert 10 ** (-sum(r["base_score"] for r in held) / n) > 30
+
+
+def test_chances_after_each_word_sum_to_one(spark, docs_of, stored):
+    docs = stored(docs_of([*NASTY, *[(50 + k, f"the word {k % 7} the End", "s") for k in range(40)]]))
+    pairs = stored(pitman_yor.pair_counts(docs, F.lit(True)))
+    assert pairs.filter("n > 1").count() and pairs.filter("n = 1").count()
+    model = pitman_yor.train(pairs)
+    words = {r["word"]: r for r in model.chances.collect()}
+    gains = {r["pair"]: r["gain"] for r in model.gains.collect()}
+    every = spark.createDataFrame([(u, w) for u in words for w in words], "context long, word long")
+    total = Counter()
+    for u, w, pair in every.select("context", "word", F.xxhash64("context", "word")).collect():
+        own = words[w][f"p{u % pitman_yor.CONTEXTS}"] + words[u]["back"]
+        total[u] += 10 ** (own + gains.get(pair, 0.0))
+    for u, row in words.items():
+        unknown = model.unknown[u % pitman_yor.CONTEXTS] * 10 ** row["back"]
+        assert total[u] + unknown == pytest.approx(1, abs=1e-5)
+    assert len(gains) == pairs.count()

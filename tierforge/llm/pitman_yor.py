@@ -1,28 +1,34 @@
 """Language-model scores from a hierarchical Pitman-Yor process.
 
 Each context is a restaurant: tokens are its customers, words the dishes, and a new table's dish
-is drawn from the parent restaurant, so that every table is a customer there. Contexts are classes
-of the word before (by its last letter, with one for the start of a text); all share one parent,
-the restaurant of words without context. The parent's own base is spread so thinly over the words
-that could be that any new table there is a new word: words never seen in training share that mass.
-
-Seating is sampled by Gibbs sweeps. A word's row holds its customers in every context, so one row
-is reseated, context by context, given the tables that all other words have: rows are independent
-within a sweep, which only needs the number of tables of each context as it was before. The
-sums over the rows that a sweep returns are the next one's. Customers of one dish are seated one
-after the other; beyond the first ``SINGLY``, in runs that grow by a quarter, within which the
-chance of a new table is taken as constant. So a word's cost grows with the logarithm of its
-customers, and a word that makes up a third of the corpus is still one short row.
-
-Predictions are averaged over the sweeps after the first ``BURN`` ones. Counts are summed over
-all training documents: a partial sum per batch, then a shuffle by word. Documents meet them in a
-join of (word, batch) rows, whose large keys can be split; each task adds up what it finds by row,
-and passes on one packed record a batch, which meets the others of its batch.
+is drawn from the parent restaurant, so that every table is a customer there. A context is the
+word before (for the first word, the end of a text). Its parent is the restaurant of its class, by
+its last letter, and all classes share one parent, the restaurant of words without context. That
+one's own base is spread so thinly over the words that could be that any new table there is a new
+word, and a word has one table there: words never seen in training share that mass.
+
+Seating is sampled by Gibbs sweeps. A pair of a context and a word is seated given the chance of
+the word in the class and the tables of the context, both as the sweep before left them, so pairs
+are independent within a sweep; a pair that occurs once has one table whatever is drawn, and takes
+no part. A word's row holds its customers (the tables of its pairs) in every class, and is
+reseated, class by class, given the tables that all other words have. Customers of one dish are
+seated one after the other; beyond the first ``SINGLY``, in runs that grow by a quarter, within
+which the chance of a new table is taken as constant. So a dish's cost grows with the logarithm of
+its customers, and a word that makes up a third of the corpus is still one short row.
+
+Tables of pairs and chances of words in classes are averaged over the sweeps after the first
+``BURN`` ones. Pairs are summed by batch, then shuffled by context and word, so that a frequent
+word is spread over all tasks. A token's chance is a product of the chance of the word in the
+class, the context's weight for its parent, and (if training has the pair) a gain. The first two
+belong to one word each, the word and the context, and the third to the pair: so documents meet
+them in two joins, of (word, batch) and (pair, batch) rows, whose large keys can be split. Each
+task adds up what it finds by row, and passes on one packed record a batch, which meets the others
+of its batch.
 
 Defined cases: a null text is empty, and consists of its end; words that training lacks are
 scored as one class; without training documents the one class of unknown words has all the mass,
 and every score is 0; rows that repeat are learned from and scored as often as they occur; an
-empty table gives no rows. ``documents`` must be a stored table: it is read three times, and the
+empty table gives no rows. ``documents`` must be a stored table: it is read four times, and the
 rows of a file must come in the same order (a mismatch raises an error).
 """
 
@@ -42,6 +48,7 @@ from pyspark.sql import functions as F
 from tierforge.llm.words import map_batches, texts, word_hashes, word_spans
 from tierforge.scratch import stage
 
+# Classes of contexts, a power of two: the low bits of a word's hash are its class.
 CONTEXTS = 8
 SWEEPS, BURN = 3, 1
 SINGLY, STEP = 48, 1.25
@@ -53,21 +60,36 @@ PIECE_BYTES, PIECE_USES = 12 << 20, 1 << 18
 HELD_ROWS = 1 << 20
 # Rows of a piece are numbered below this.
 _BATCH = 1 << 16
-# The end of a text, as a word; no word hashes are reserved, so it is one in 2**64.
-_END = np.uint64(0xD1B54A32D192ED03)
+# The end of a text, as a word, of class 0; no word hashes are reserved, so it is one in 2**61.
+_END = np.uint64(0xD1B54A32D192ED00)
+_STRENGTH = 1.0
 
+_SINGLE = [f"s{u}" for u in range(CONTEXTS)]
 _NAMES = [f"n{u}" for u in range(CONTEXTS)]
+_TABLES = [f"t{u}" for u in range(CONTEXTS)]
+_SUMS = [f"q{u}" for u in range(CONTEXTS)]
 
 
-def tokens(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of a text's words and its end, and the context of each."""
+def tokens(text: bytes) -> np.ndarray:
+    """Hashes of a text's words and its end. The context of each is the one before, in a circle."""
     data = np.frombuffer(text.lower(), np.uint8)
     starts, ends = word_spans(data)
-    words = np.append(word_hashes(data, starts, ends), _END)
-    last = data[ends - 1].astype(np.int64) if len(ends) else np.empty(0, np.int64)
-    # 0 is the start of a text, the other classes fold the last byte of the word before.
-    classes = 1 + (last ^ (last >> 3)) % (CONTEXTS - 1)
-    return words, np.concatenate([[0], classes])
+    last = data[ends - 1].astype(np.uint64) if len(ends) else np.empty(0, np.uint64)
+    # 0 is the end of a text, the other classes fold the last byte.
+    classes = np.uint64(1) + (last ^ (last >> np.uint64(3))) % np.uint64(CONTEXTS - 1)
+    words = word_hashes(data, starts, ends) & ~np.uint64(CONTEXTS - 1) | classes
+    return np.append(words, _END)
+
+
+def _tokens_of(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all tokens of a piece: row, word and context."""
+    found = [tokens(t) for t in texts(piece)]
+    row = np.repeat(np.arange(len(found), dtype=np.uint64), [len(f) for f in found])
+    return row, np.concatenate(found), np.concatenate([np.roll(f, 1) for f in found])
+
+
+def _class_of(context: Column) -> Column:
+    return context.bitwiseAND(F.lit(CONTEXTS - 1).cast("long"))
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -80,27 +102,50 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, min(_BATCH, last - start))
 
 
-def word_counts(docs: DataFrame, training: Column) -> DataFrame:
-    """``word, n0 .. nk``: customers of each context in the training documents."""
-    arrow = pa.schema([("word", pa.int64()), *((n, pa.int64()) for n in _NAMES)])
+def pair_counts(docs: DataFrame, training: Column) -> DataFrame:
+    """``context, word, n``: customers of each word in each context in the training documents."""
+    arrow = pa.schema([(n, pa.int64()) for n in ("context", "word", "n")])
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         for piece in _pieces(batch):
-            found = [tokens(t) for t in texts(piece)]
-            word = np.concatenate([f[0] for f in found])
-            context = np.concatenate([f[1] for f in found])
-            own, place = np.unique(word, return_inverse=True)
-            table = np.bincount(place * CONTEXTS + context, minlength=len(own) * CONTEXTS)
-            table = table.reshape(-1, CONTEXTS)
-            yield {"word": own.view(np.int64), **{n: table[:, u] for u, n in enumerate(_NAMES)}}
+            _, word, context = _tokens_of(piece)
+            order = np.lexsort((word, context))
+            word, context = word[order], context[order]
+            new = (word[1:] != word[:-1]) | (context[1:] != context[:-1])
+            first = np.flatnonzero(np.concatenate([[True], new]))
+            yield {
+                "context": context[first].view(np.int64),
+                "word": word[first].view(np.int64),
+                "n": np.diff(np.append(first, len(word))),
+            }
 
     rows = map_batches(
-        docs.filter(training).select("text"),
-        work,
-        "word long, " + ", ".join(f"{n} long" for n in _NAMES),
-        arrow,
+        docs.filter(training).select("text"), work, "context long, word long, n long", arrow
+    )
+    return rows.groupBy("context", "word").agg(F.sum("n").alias("n"))
+
+
+def _by_class(of: Column, names: list[str]) -> list[Column]:
+    """Sums of ``of`` over the pairs of each class."""
+    here = _class_of(F.col("context"))
+    return [F.sum(F.when(here == u, of).otherwise(0)).alias(n) for u, n in enumerate(names)]
+
+
+def word_rows(pairs: DataFrame) -> DataFrame:
+    """``word, total, single, tables``, customers by class and, in ``s0 .. sk``, single ones.
+
+    The customers are the tables of pairs, at first one each; ``single`` and ``tables`` are the
+    pairs that occur once and all tables of the word as a context.
+    """
+    once = (F.col("n") == 1).cast("long")
+    one = F.lit(1).cast("long")
+    words = pairs.groupBy("word").agg(
+        F.sum("n").alias("total"), *_by_class(once, _SINGLE), *_by_class(one, _NAMES)
+    )
+    contexts = pairs.groupBy(F.col("context").alias("word")).agg(
+        F.sum(once).alias("single"), F.count(F.lit(1)).alias("tables")
     )
-    return rows.groupBy("word").agg(*[F.sum(n).alias(n) for n in _NAMES])
+    return words.join(contexts, "word")
 
 
 @dataclass
@@ -190,46 +235,106 @@ def _discount(ones: int, twos: int) -> float:
     return min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.5
 
 
-def train(counts: DataFrame) -> tuple[DataFrame, np.ndarray, int, int]:
-    """Seat the words of ``counts``, a stored table.
+@dataclass
+class Model:
+    """``chances``: ``word, total, p0 .. pk`` (log10 chances in each class), ``back`` (log10 of the
+    weight that the word as a context gives its class); ``gains``: ``pair, gain`` (log10);
+    the chances of unknown words by class, the numbers of training tokens and words."""
 
-    Returns ``word, total, p0 .. pk`` (log10 chances in each context, averaged over the sweeps),
-    the chances of unknown words, the number of training tokens, and the number of words.
-    """
-    def contexts_where(test: Callable[[Column], Column]) -> Column:
+    chances: DataFrame
+    gains: DataFrame
+    unknown: np.ndarray
+    seen: int
+    words: int
+
+
+def _shared(words: DataFrame, dishes: int, discount: tuple[float, float]) -> Restaurants:
+    sums = words.agg(*[F.sum(n).alias(n) for n in (*_NAMES, *_TABLES)]).first()
+    customers, tables = (np.array([sums[n] or 0 for n in c], float) for c in (_NAMES, _TABLES))
+    return Restaurants(customers, tables, dishes, discount, (_STRENGTH, _STRENGTH))
+
+
+def train(pairs: DataFrame) -> Model:
+    """Seat the pairs of ``pairs``, a stored table."""
+    def classes_where(test: Callable[[Column], Column]) -> Column:
         return sum((test(F.col(n)).cast("long") for n in _NAMES), F.lit(0))
 
-    row = counts.agg(
+    words = stage(
+        word_rows(pairs).select(
+            "word", "total", "single", "tables", *_SINGLE, *_NAMES,
+            *[F.least(F.col(n), F.lit(1)).alias(t) for n, t in zip(_NAMES, _TABLES, strict=True)],
+            *[F.lit(0.0).alias(q) for q in _SUMS],
+        ),
+        "words",
+    )
+    ones = pairs.agg(*[F.sum((F.col("n") == k).cast("long")) for k in (1, 2)]).first()
+    row = words.agg(
         F.count("word").alias("dishes"),
-        *[F.sum(n).alias(n) for n in _NAMES],
-        *[F.sum((F.col(n) > 0).cast("long")).alias(f"tables_{n}") for n in _NAMES],
-        *[F.sum(contexts_where(lambda c, k=k: c == k)).alias(f"counts_{k}") for k in (1, 2)],
+        F.sum("total").alias("total"),
+        *[F.sum(classes_where(lambda c, k=k: c == k)).alias(f"counts_{k}") for k in (1, 2)],
         *[
-            F.sum((contexts_where(lambda c: c > 0) == k).cast("long")).alias(f"contexts_{k}")
+            F.sum((classes_where(lambda c: c > 0) == k).cast("long")).alias(f"classes_{k}")
             for k in (1, 2)
         ],
     ).first()
-    customers = np.array([row[n] or 0 for n in _NAMES], float)
-    shared = Restaurants(
-        customers,
-        np.array([row[f"tables_{n}"] or 0 for n in _NAMES], float),
-        row["dishes"],
-        (
-            _discount(row["contexts_1"] or 0, row["contexts_2"] or 0),
-            _discount(row["counts_1"] or 0, row["counts_2"] or 0),
+    leaf = _discount(ones[0] or 0, ones[1] or 0)
+    discount = (
+        _discount(row["classes_1"] or 0, row["classes_2"] or 0),
+        _discount(row["counts_1"] or 0, row["counts_2"] or 0),
+    )
+    shared = _shared(words, row["dishes"], discount)
+    # Pairs that occur once have one table for good.
+    seated = pairs.filter("n > 1").select(
+        "context", "word", "n", F.lit(1).cast("long").alias("t"), F.lit(0).cast("long").alias("sum")
+    )
+    unknown = []
+    for sweep in range(SWEEPS):
+        words = stage(_reseated(words, shared, sweep), "words")
+        shared = _shared(words, row["dishes"], discount)
+        seated = stage(_seated(seated, words, shared, leaf, sweep), "seated")
+        words = _with_tables(_with_chances(words, shared, sweep), seated)
+        if sweep >= BURN:
+            unknown.append(shared.unknown())
+    kept = SWEEPS - BURN
+    averaged = seated.groupBy(F.col("context").alias("word")).agg(F.sum("sum").alias("sum"))
+    tables = F.col("single") + F.coalesce("sum", F.lit(0)) / kept
+    back = (_STRENGTH + leaf * tables) / (_STRENGTH + F.col("total"))
+    chances = stage(
+        words.join(averaged, "word", "left").select(
+            "word", "total",
+            *[F.log10(F.col(q) / kept).cast("float").alias(p)
+              for q, p in zip(_SUMS, _CHANCES, strict=True)],
+            F.log10(back).alias("back"),
         ),
+        "chances",
+    )
+    once = pairs.filter("n = 1").select("context", "word", "n", F.lit(1.0).alias("t"))
+    every = once.unionByName(
+        seated.select("context", "word", "n", (F.col("sum") / kept).alias("t"))
+    )
+    own = (F.col("n") - leaf * F.col("t")) / (_STRENGTH + F.col("of_context"))
+    from_parent = F.pow(F.lit(10.0), F.col("back") + F.col("p"))
+    gains = (
+        _with_word(every, chances)
+        .join(
+            chances.select(F.col("word").alias("context"), F.col("total").alias("of_context"), "back"),
+            "context",
+        )
+        .select(_pair().alias("pair"), F.log10(1 + own / from_parent).alias("gain"))
     )
-    spread = int(customers.sum())
-    # Each sweep needs what the one before left in all: its seating is drawn again from there.
-    history = [shared]
-    for _ in range(SWEEPS - 1):
-        sums = _sweep(counts, history).agg(*[F.sum(n).alias(n) for n in _NAMES]).first()
-        tables = np.array([sums[n] or 0 for n in _NAMES], float)
-        history.append(Restaurants(customers, tables, shared.dishes, shared.discount))
-    unknown = np.mean([h.unknown() for h in history[BURN:]], axis=0)
-    if not shared.dishes:
-        unknown = np.ones(CONTEXTS)
-    return _chances(counts, history), unknown, spread, shared.dishes
+    mean = np.mean(unknown, axis=0) if row["dishes"] else np.ones(CONTEXTS)
+    return Model(chances, gains, mean, row["total"] or 0, row["dishes"])
+
+
+def _pair() -> Column:
+    return F.xxhash64("context", "word")
+
+
+def _with_word(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """``pairs`` with ``p``, of the columns ``p0 .. pk`` that of the context's class."""
+    place = _class_of(F.col("context")).cast("int")
+    joined = pairs.join(words.select("word", F.array(*_CHANCES).alias("ps")), "word")
+    return joined.withColumn("p", F.get("ps", place)).drop("ps")
 
 
 _CHANCES = [f"p{u}" for u in range(CONTEXTS)]
@@ -247,48 +352,101 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _seatings(
-    part: pa.Table, history: list[Restaurants]
-) -> Iterator[tuple[Restaurants, np.ndarray, np.ndarray]]:
-    """The chain of seatings of some words, one a sweep: the same whenever it is drawn again."""
-    word = part.column("word").to_numpy()
-    counts = np.stack([part.column(n).to_numpy() for n in _NAMES], axis=1)
-    tables = np.minimum(counts, 1)
-    for sweep, shared in enumerate(history):
-        tables = reseat(counts, tables, shared, _seed(word, sweep))
-        yield shared, counts, tables
+def _columns(part: pa.Table, names: list[str]) -> np.ndarray:
+    return np.stack([part.column(n).to_numpy() for n in names], axis=1)
+
 
+def _replaced(part: pa.Table, names: list[str], values: np.ndarray) -> pa.Table:
+    for u, name in enumerate(names):
+        place = part.schema.get_field_index(name)
+        part = part.set_column(place, part.schema.field(name), pa.array(values[:, u]))
+    return part
 
-def _sweep(counts: DataFrame, history: list[Restaurants]) -> DataFrame:
-    """Tables of each context, summed by part, after the last sweep."""
-    arrow = pa.schema([(n, pa.int64()) for n in _NAMES])
 
+def _map_parts(df: DataFrame, work: Callable[[pa.Table], pa.Table]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _gathered(batches):
-            *_, (_, _, tables) = _seatings(part, history)
-            sums = [pa.array([int(t)], pa.int64()) for t in tables.sum(axis=0)]
-            yield pa.RecordBatch.from_arrays(sums, schema=arrow)
+            yield from work(part).to_batches()
 
-    return counts.mapInArrow(run, ", ".join(f"{n} long" for n in _NAMES))
+    return df.mapInArrow(run, df.schema)
 
 
-def _chances(counts: DataFrame, history: list[Restaurants]) -> DataFrame:
-    """``word, total, p0 .. pk``: log10 of the chances, averaged before the logarithm."""
-    arrow = pa.schema(
-        [("word", pa.int64()), ("total", pa.int64()), *((n, pa.float32()) for n in _CHANCES)]
-    )
+def _reseated(words: DataFrame, shared: Restaurants, sweep: int) -> DataFrame:
+    """``words`` with their tables in the classes drawn anew."""
+
+    def work(part: pa.Table) -> pa.Table:
+        counts, tables = _columns(part, _NAMES), _columns(part, _TABLES)
+        # As many as before, as far as the customers allow.
+        tables = np.maximum(np.minimum(tables, counts), np.minimum(counts, 1))
+        rng = _seed(part.column("word").to_numpy(), sweep)
+        return _replaced(part, _TABLES, reseat(counts, tables, shared, rng))
+
+    return _map_parts(words, work)
+
+
+def _predicted(words: DataFrame, shared: Restaurants) -> DataFrame:
+    """``word, p0 .. pk``: chances of each word in each class."""
+    arrow = pa.schema([("word", pa.int64()), *((p, pa.float64()) for p in _CHANCES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _gathered(batches):
-            chain = list(_seatings(part, history))[BURN:]
-            mean = np.mean([shared.predict(own, t) for shared, own, t in chain], axis=0)
-            logs = np.log10(mean).astype(np.float32)
-            columns = [part.column("word").combine_chunks(), pa.array(chain[0][1].sum(axis=1))]
-            columns += [pa.array(logs[:, u]) for u in range(CONTEXTS)]
+            chance = shared.predict(_columns(part, _NAMES), _columns(part, _TABLES))
+            columns = [part.column("word").combine_chunks(), *map(pa.array, chance.T.copy())]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    schema = "word long, total long, " + ", ".join(f"{n} float" for n in _CHANCES)
-    return counts.mapInArrow(run, schema)
+    plain = words.select("word", *_NAMES, *_TABLES)
+    return plain.mapInArrow(run, "word long, " + ", ".join(f"{p} double" for p in _CHANCES))
+
+
+def _seated(
+    pairs: DataFrame, words: DataFrame, shared: Restaurants, discount: float, sweep: int
+) -> DataFrame:
+    """``pairs`` with their tables drawn anew, and added to ``sum`` after the first sweeps."""
+    contexts = words.select(F.col("word").alias("context"), "tables")
+    known = _with_word(pairs, _predicted(words, shared)).join(contexts, "context")
+    names = ["context", "word", "n", "t", "sum"]
+
+    def work(part: pa.Table) -> pa.Table:
+        n, t, total = (part.column(c).to_numpy() for c in ("n", "t", "sum"))
+        base, others = part.column("p").to_numpy(), part.column("tables").to_numpy() - t
+        rng = _seed(part.column("context").to_numpy() ^ part.column("word").to_numpy(), sweep)
+        t = seat(n, base, np.maximum(others, 0), discount, _STRENGTH, rng)
+        total = total + t * (sweep >= BURN)
+        return _replaced(part, ["t", "sum"], np.stack([t, total], axis=1))
+
+    return _map_parts(known.select(*names, "p", "tables"), work).select(*names)
+
+
+def _with_chances(words: DataFrame, shared: Restaurants, sweep: int) -> DataFrame:
+    """``words`` with their chances added up after the first sweeps."""
+    if sweep < BURN:
+        return words
+
+    def work(part: pa.Table) -> pa.Table:
+        chance = shared.predict(_columns(part, _NAMES), _columns(part, _TABLES))
+        return _replaced(part, _SUMS, _columns(part, _SUMS) + chance)
+
+    return _map_parts(words, work)
+
+
+def _with_tables(words: DataFrame, seated: DataFrame) -> DataFrame:
+    """``words`` with the customers and tables that the seating of the pairs left."""
+    found = [f"f{u}" for u in range(CONTEXTS)]
+    customers = seated.groupBy("word").agg(*_by_class(F.col("t"), found))
+    tables = seated.groupBy(F.col("context").alias("word")).agg(F.sum("t").alias("found"))
+
+    def plus(single: str, name: str, found: str) -> Column:
+        return (F.col(single) + F.coalesce(found, F.lit(0))).alias(name)
+
+    return (
+        words.join(customers, "word", "left")
+        .join(tables, "word", "left")
+        .select(
+            "word", "total", "single", plus("single", "tables", "found"), *_SINGLE,
+            *[plus(*names) for names in zip(_SINGLE, _NAMES, found, strict=True)],
+            *_TABLES, *_SUMS,
+        )
+    )
 
 
 def _numbered(
@@ -309,38 +467,43 @@ def _numbered(
     return run
 
 
-def _postings(docs: DataFrame) -> DataFrame:
-    """``word, batch, uses``: the rows of a piece that use a word, packed.
+def _postings(docs: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """``by`` (word, or context and word), ``batch, uses``: the rows of a piece that use it, packed.
 
     A use is 32 bits: row (16), context (8), count (8); a larger count takes several uses.
     """
-    arrow = pa.schema([("word", pa.int64()), ("batch", pa.int64()), ("uses", pa.binary())])
+    arrow = pa.schema(
+        [*((n, pa.int64()) for n in by), ("batch", pa.int64()), ("uses", pa.binary())]
+    )
+
+    def edges(*keys: np.ndarray) -> np.ndarray:
+        new = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+        return np.flatnonzero(np.concatenate([[True], new]))
 
     def work(piece: pa.RecordBatch, number: int) -> dict:
-        found = [tokens(t) for t in texts(piece)]
-        word = np.concatenate([f[0] for f in found])
-        row = np.repeat(np.arange(len(found), dtype=np.uint64), [len(f[0]) for f in found])
-        place = (row << np.uint64(8)) | np.concatenate([f[1] for f in found]).astype(np.uint64)
-        order = np.lexsort((place, word))
-        word, place = word[order], place[order]
-        at = np.flatnonzero(
-            np.concatenate([[True], (word[1:] != word[:-1]) | (place[1:] != place[:-1])])
-        )
-        count = np.diff(np.append(at, len(word)))
+        row, word, context = _tokens_of(piece)
+        place = (row << np.uint64(8)) | context & np.uint64(CONTEXTS - 1)
+        keys = [{"word": word, "context": context}[n] for n in by]
+        order = np.lexsort((place, *keys))
+        place, keys = place[order], [k[order] for k in keys]
+        at = edges(place, *keys)
+        count = np.diff(np.append(at, len(place)))
         times = -(-count // 255)
         nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         part = np.minimum(np.repeat(count, times) - 255 * nth, 255).astype(np.uint64)
         uses = (np.repeat(place[at], times) << np.uint64(8) | part).astype(np.uint32)
-        word = np.repeat(word[at], times)
-        first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-        offsets = (np.append(first, len(word)) * uses.itemsize).astype(np.int32)
+        keys = [np.repeat(k[at], times) for k in keys]
+        first = edges(*keys)
+        offsets = (np.append(first, len(uses)) * uses.itemsize).astype(np.int32)
         packed = pa.Array.from_buffers(
             pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(uses)]
         )
         batch = np.full(len(first), number, np.int64)
-        return {"word": word[first].view(np.int64), "batch": batch, "uses": packed}
+        own = {n: k[first].view(np.int64) for n, k in zip(by, keys, strict=True)}
+        return {**own, "batch": batch, "uses": packed}
 
-    return docs.mapInArrow(_numbered(work, arrow), "word long, batch long, uses binary")
+    schema = ", ".join(f"{n} long" for n in by) + ", batch long, uses binary"
+    return docs.mapInArrow(_numbered(work, arrow), schema)
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -373,15 +536,42 @@ _PART = np.dtype(
 )
 
 
-def _sums(joined: DataFrame, unknown: np.ndarray, seen: int, words: int) -> DataFrame:
-    """``batch, part``: sums over the uses of words in the rows of a batch, in parts (packed).
+def _of_words(model: Model) -> Callable[..., tuple[np.ndarray, ...]]:
+    """What uses of words add to their rows: tokens, known ones, logarithms."""
+    log_unknown = np.log10(model.unknown)
+    below = math.log10(model.seen + 0.5 * (model.words + 1))
+
+    def add(batch: pa.RecordBatch, row: np.ndarray, kind: np.ndarray, count: np.ndarray) -> tuple:
+        total = batch.column("total").fill_null(0).to_numpy()
+        logs = np.stack(
+            [
+                batch.column(n).fill_null(float(log_unknown[u])).to_numpy()
+                for u, n in enumerate(_CHANCES)
+            ],
+            axis=1,
+        )
+        base = np.log10(total + 0.5) - below
+        # A word is the context of what follows, too; one that training lacks leaves all to its class.
+        back = batch.column("back").fill_null(0.0).to_numpy()
+        score = logs[row, kind] + back[row]
+        return count, count * (total > 0)[row], count * base[row], count * score
+
+    return add
+
+
+def _of_pairs(batch: pa.RecordBatch, row: np.ndarray, kind: np.ndarray, count: np.ndarray) -> tuple:
+    """What uses of pairs that training has add to their rows."""
+    none = np.zeros(len(row))
+    return none, none, none, count * batch.column("gain").to_numpy()[row]
+
+
+def _sums(joined: DataFrame, add: Callable[..., tuple[np.ndarray, ...]]) -> DataFrame:
+    """``batch, part``: sums over the uses in the rows of a batch, in parts (packed).
 
     A task adds up what it reads by row, and passes that on, a record for each batch, when it has
     read everything or holds ``HELD_ROWS`` rows.
     """
     arrow = pa.schema([("batch", pa.int64()), ("part", pa.binary())])
-    log_unknown = np.log10(unknown)
-    below = math.log10(seen + 0.5 * (words + 1))
 
     def added(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
         key, *values = (np.concatenate(c) for c in zip(*parts, strict=True))
@@ -405,23 +595,8 @@ def _sums(joined: DataFrame, unknown: np.ndarray, seen: int, words: int) -> Data
         offsets = np.frombuffer(offsets, np.int32)[blobs.offset : blobs.offset + len(blobs) + 1] // 4
         uses = np.frombuffer(data, np.uint32, offsets[-1])[offsets[0] :].astype(np.int64)
         row = np.repeat(np.arange(len(blobs)), np.diff(offsets))
-        count = uses & 255
-        total = batch.column("total").fill_null(0).to_numpy()
-        logs = np.stack(
-            [
-                batch.column(n).fill_null(float(log_unknown[u])).to_numpy()
-                for u, n in enumerate(_CHANCES)
-            ],
-            axis=1,
-        )
-        base = np.log10(total + 0.5) - below
-        return (
-            batch.column("batch").to_numpy()[row] * _BATCH + (uses >> 16),
-            count,
-            count * (total > 0)[row],
-            count * base[row],
-            count * logs[row, uses >> 8 & 255],
-        )
+        key = batch.column("batch").to_numpy()[row] * _BATCH + (uses >> 16)
+        return key, *add(batch, row, uses >> 8 & 255, uses & 255)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -502,18 +677,20 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
     plain = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (~training).alias("held_out"), "text"
     )
-    counts = stage(word_counts(docs, training), "counts")
-    chances, unknown, seen, words = train(counts)
-    known = chances.withColumnRenamed("word", "known_word")
-    joined = _postings(plain).join(known, F.col("word") == F.col("known_word"), "left")
-    parts = _sums(joined.select("batch", "uses", "total", *_CHANCES), unknown, seen, words)
+    model = train(stage(pair_counts(docs, training), "pairs"))
+    known = model.chances.withColumnRenamed("word", "known_word")
+    words = _postings(plain, ("word",)).join(known, F.col("word") == F.col("known_word"), "left")
+    pairs = _postings(plain, ("context", "word")).select(_pair().alias("pair"), "batch", "uses")
+    parts = _sums(
+        words.select("batch", "uses", "total", *_CHANCES, "back"), _of_words(model)
+    ).unionByName(_sums(pairs.join(model.gains, "pair").select("batch", "uses", "gain"), _of_pairs))
     # Stored on its own: in a union, tasks are numbered otherwise than in the scan.
     return _collected(parts, stage(_rows(plain), "rows")).select(
         "doc_id",
         "held_out",
         "n_tokens",
         "n_known",
-        F.lit(seen).cast("long").alias("train_tokens"),
+        F.lit(model.seen).cast("long").alias("train_tokens"),
         "base_score",
         "score",
     )
