@@ -50,6 +50,28 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+LEAD, END = "The lead says it all. " * 9, "And here it ends. " * 10
+LONG_DIV = "<div>" + "<p>%s</p>" % ("Much to say. " * 130) * 3 + "</div>"
+MENU = "<div><a>Home</a> <a>News</a></div><ul><li><a>One</a><li><a>Two</a></ul>"
+
+
+@pytest.mark.parametrize(
+    "html, first, last, paragraphs",
+    [
+        (f"<body><div>{LEAD}</div><div>{'x' * 5000}</div></body>", LEAD, "x" * 5000, 2),
+        (f"<body>{MENU}<div>{LEAD}</div>{LONG_DIV}</body>", LEAD, "Much to say. " * 130, 4),
+        (f"<body>{LONG_DIV}<div><p>{END}</p></div>{MENU}</body>", "Much to say. " * 130, END, 4),
+        (f"<body>{MENU}<div><div>{LEAD}</div>{LONG_DIV}<section>{END}</section></div></body>", LEAD, END, 5),
+        (f"<article>{LEAD}</article><p>between</p><article>{LONG_DIV}</article>", LEAD, "Much to say. " * 130, 4),
+        (f"<main>{LEAD}</main><p>between</p><main>{END}</main>", LEAD, END, 2),
+        (f"<article>{LEAD}<article>{END}</article></article>{COMMENTS}", LEAD, END, 2),
+    ],
+)
+def test_content_in_several_elements(html, first, last, paragraphs):
+    got = html_text.main_text(html).split("\n\n")
+    assert (got[0], got[-1], len(got)) == (first.strip(), last.strip(), paragraphs)
+
+
 def test_pages_with_nulls_repeats_and_long_ones(spark):
     long = "<article>" + "<p>" + "word " * 200_000 + "</p>" * 3 + "</article>"
     rows = [(1, None, None), (1, "u", "<p>x</p>"), (1, "u", "<p>x</p>"), (None, "u", ""), (2, "u", long)]

@@ -1,11 +1,13 @@
 """The main text of web pages.
 
 Parser events of the standard library become blocks: runs of text between block-level tags. Each
-block has a ratio of text to tags; the ratios are smoothed along the page by a Gaussian and cut in
-two clusters by a threshold. The upper cluster says where the content is: the ``article`` (else
-``main``, else the innermost element) that holds it is the content, and of that every block is
-kept but those within menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
-and reader comments. So a short paragraph of the article stays, and dense text elsewhere does not.
+block has a ratio of text to tags, which counts as that of a paragraph from ``FULL`` on; the ratios
+are smoothed along the page by a Gaussian and cut in two clusters by a threshold. The content is
+every outermost ``article`` (else ``main``), and on pages without either the smallest element around
+all of the upper cluster. Of that every block is kept but those within menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles and reader comments. So a short paragraph of the
+article stays, and dense text elsewhere does not; without ``article`` or ``main``, a short line in
+an element outside of all the dense text is left out.
 
 Each page is one row's work, bounded by the page. Defined cases: a null or empty page, or one
 without text, gives an empty text; broken markup is read as far as it can be; repeated rows are
@@ -15,7 +17,6 @@ extracted one by one; an empty table gives no rows.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -60,6 +61,8 @@ _COMMENTS = frozenset("comment comments commentlist disqus respond replies reply
 _FRAMES = frozenset(("html", "body", "main", "article"))
 
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+# Characters a tag from which a block is as good as any: a lead, too, beside far longer blocks.
+FULL = 50.0
 _SIGMA = 1.0
 _KERNEL = np.exp(-0.5 * (np.arange(-3, 4) / _SIGMA) ** 2)
 _KERNEL /= _KERNEL.sum()
@@ -184,21 +187,21 @@ def content_lines(ratios: np.ndarray) -> np.ndarray:
     return smooth >= cut
 
 
-def _root(blocks: list[_Block], kinds: dict[int, str], chosen: np.ndarray) -> int | None:
-    """The element that holds the content, or None for the whole page."""
-    mass: dict[int, int] = defaultdict(int)
-    for block, hit in zip(blocks, chosen, strict=True):
-        for serial in block.within:
-            mass[serial] += len(block.text) if hit else 0
+def _links_only(block: _Block) -> bool:
+    return block.linked >= 0.8 * len(block.text)
+
+
+def _roots(blocks: list[_Block], kinds: dict[int, str], chosen: np.ndarray) -> set[int]:
+    """The elements that hold the content; none for the whole page."""
     for wanted in ("article", "main"):
-        held = [(mass[s], -s) for s, kind in kinds.items() if kind == wanted and s in mass]
-        if held:
-            return -max(held)[1]
-    # Inwards, as long as one element has nearly all of it.
-    total = sum(len(b.text) for b, hit in zip(blocks, chosen, strict=True) if hit)
-    inner = [s for s in mass if kinds.get(s) in ("body", "div", "section", "td")]
-    inner = [s for s in inner if mass[s] >= 0.9 * total]
-    return max(inner, default=None)
+        held = ([s for s in b.within if kinds.get(s) == wanted] for b in blocks)
+        if outermost := {h[0] for h in held if h}:
+            return outermost
+    hits = [b for b, hit in zip(blocks, chosen, strict=True) if hit]
+    hits = [b for b in hits if not _links_only(b)] or hits
+    common = set(hits[0].within).intersection(*(b.within for b in hits))
+    common = {s for s in common if kinds.get(s) in ("body", "div", "section", "td")}
+    return {max(common)} if common else set()
 
 
 def main_text(html: str) -> str:
@@ -209,11 +212,11 @@ def main_text(html: str) -> str:
     if not blocks:
         return ""
     ratios = np.array([len(b.text) / max(1, b.tags) for b in blocks], float)
-    root = _root(blocks, parser.kinds, content_lines(ratios))
-    kept = [b for b in blocks if root is None or root in b.within]
-    if parser.kinds.get(root) not in ("article", "main"):
+    roots = _roots(blocks, parser.kinds, content_lines(np.minimum(ratios, FULL)))
+    kept = [b for b in blocks if not roots or roots.intersection(b.within)]
+    if not any(parser.kinds[r] in ("article", "main") for r in roots):
         # Nothing tells menus from text here but that they are links through and through.
-        kept = [b for b in kept if b.linked < 0.8 * len(b.text)]
+        kept = [b for b in kept if not _links_only(b)]
     return "\n\n".join(b.text for b in kept)
 
 
