@@ -112,6 +112,27 @@ def test_one_of_each_keeps_the_least_id_and_all_columns(docs_of):
     assert len(ids) == len(set(ids)) + 1, "only the id with two texts stays twice"
 
 
+def test_each_text_of_a_repeated_id_belongs_to_its_own_group(docs_of):
+    def text(name, *more):
+        return " ".join([*(f"{name}{k}" for k in range(60)), *more])
+
+    rows = [
+        (5, text("a"), "s"),
+        # One text like that of 5 and one like nothing, then one that 12 resembles.
+        (9, text("a", "x"), "s"), (9, text("b"), "s"), (9, text("c"), "s"), (12, text("c", "x"), "s"),
+        # Near copies, and equal sets of words, under one id.
+        (20, text("d"), "s"), (20, text("d", "x"), "s"), (20, text("e"), "s"), (20, text("E"), "s"),
+        (20, None, "s"), (20, "", "s"), (20, text("d"), "s"),
+    ]
+    kept = [(r["doc_id"], (r["text"] or "").lower()) for r in jaccard.one_of_each(docs_of(rows)).collect()]
+    near = [t for i, t in kept if i == 20 and t.startswith("d0")]
+    assert len(near) == 1 and near[0] in (text("d"), text("d", "x"))
+    want = [(5, text("a")), (9, text("b")), (9, text("c")), (20, near[0]), (20, text("e")), (20, ""), (20, "")]
+    assert sorted(kept) == sorted(want)
+    groups = {r[:2]: r[2:] for r in got(docs_of(rows[:5]), 5, 80)}
+    assert groups[12, 57] == (9, 1) and groups[9, 57] == (5, 1)
+
+
 @pytest.mark.parametrize("percent", [50, 80, 90, 100])
 def test_bands_and_schemes_cover_all_linking_sizes(percent):
     for a in range(1, 400):

@@ -139,10 +139,14 @@ def segment_keys(sets: np.ndarray, percent: int, common: np.ndarray = _NONE) ->
     return np.concatenate(out)
 
 
-def prints(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``doc_id, n_shingles, band, high, low``: size band and fingerprint of each row's set."""
+def prints(docs: DataFrame, size: int, percent: int, key: Column | None = None) -> DataFrame:
+    """``doc_id, n_shingles, band, high, low``: size band and fingerprint of each row's set.
+
+    With a ``key`` (text), that as ``key`` besides.
+    """
     names = ("doc_id", "n_shingles", "band", "high", "low")
-    arrow = pa.schema([(n, pa.int64()) for n in names])
+    more = () if key is None else ("key",)
+    arrow = pa.schema([*((n, pa.int64()) for n in names), *((n, pa.string()) for n in more)])
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         found = []
@@ -152,12 +156,12 @@ def prints(docs: DataFrame, size: int, percent: int) -> DataFrame:
             found.append((len(own), band, *fingerprint(own)))
         yield {"doc_id": batch.column("doc_id")} | {
             n: [f[k] for f in found] for k, n in enumerate(names[1:])
-        }
+        } | {n: batch.column(n) for n in more}
 
     return map_batches(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(key.alias(n) for n in more)),
         work,
-        ", ".join(f"{n} long" for n in names),
+        ", ".join(f"{n} long" for n in names) + ", key string" * len(more),
         arrow,
     )
 
@@ -407,6 +411,7 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
 def _links(cells: DataFrame, percent: int) -> DataFrame:
     """``src, dst`` of a spanning forest of each cell's links, and rows ``src, links``.
 
+    Sets are named by the low half of their fingerprints, as an id may have several.
     Rows come sorted by cell, so a task holds one cell at a time.
     """
     arrow = pa.schema([("src", pa.int64()), ("dst", pa.int64()), ("links", pa.int64())])
@@ -461,6 +466,14 @@ def similarity_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> Data
     ``component_id`` is the least ``doc_id`` that links lead to, ``n_links`` the number of other
     rows a row links with.
     """
+    return _groups(docs, size, percent).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The same with the set's fingerprint, ``high, low``, and ``stays``.
+
+    That tells the rows of one id and set (or without words or id) that stand for their group.
+    """
     if not 0 < percent <= 100:
         raise ValueError("percent must be above 0 and at most 100")
     marked = stage(prints(docs, size, percent), "prints")
@@ -479,27 +492,45 @@ def similarity_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> Data
     found = stage(_links(_cells(inner, members), percent), "links")
     groups = components(found.filter("dst is not null").select("src", "dst"))
     links = found.filter("links is not null").groupBy("src").agg(F.sum("links").alias("links"))
-    placed = (
-        sets.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-        .join(links.withColumnRenamed("src", "rep"), "rep", "left")
+    placed = stage(
+        sets.join(groups.withColumnRenamed("node", "low"), "low", "left")
+        .join(links.withColumnRenamed("src", "low"), "low", "left")
         .select(
-            "high", "low", "n_shingles",
-            F.coalesce("component", "rep").alias("component_id"),
+            "high", "low", "n_shingles", "rep", "component",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        )
+        ),
+        "placed",
     )
-    alone = marked.filter("n_shingles = 0 or doc_id is null").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).alias("n_links")
+    tied = placed.filter("component is not null")
+    least = tied.groupBy("component").agg(F.min(F.struct("rep", "high", "low")).alias("least"))
+    mark = F.struct("high", "low")
+    one = tied.join(least, "component").select(
+        "high", "low", "n_shingles", "n_links", F.col("least.rep").alias("component_id"),
+        (mark == F.struct("least.high", "least.low")).alias("first"),
+    )
+    single = placed.filter("component is null").select(
+        "high", "low", "n_shingles", "n_links", F.col("rep").alias("component_id"),
+        F.lit(True).alias("first"),
+    )
+    names = ("doc_id", "n_shingles", "component_id", "n_links", "high", "low", "stays")
+    alone = (
+        marked.filter("n_shingles = 0 or doc_id is null")
+        .withColumns({"component_id": F.col("doc_id"), "n_links": F.lit(0), "stays": F.lit(True)})
+        .select(*names)
     )
-    grouped = marked.filter("n_shingles > 0 and doc_id is not null").join(
-        placed, ["high", "low", "n_shingles"]
+    grouped = (
+        marked.filter("n_shingles > 0 and doc_id is not null")
+        .join(one.union(single), ["high", "low", "n_shingles"])
+        .withColumn("stays", F.col("first") & (F.col("doc_id") == F.col("component_id")))
+        .select(*names)
     )
-    return grouped.select("doc_id", "n_shingles", "component_id", "n_links").union(alone)
+    return grouped.union(alone)
 
 
 def _member_sets(docs: DataFrame, inner: DataFrame, size: int) -> DataFrame:
     """The sets of the representatives that are in a cluster, from their texts.
 
+    In the result, ``rep`` is the low half of the fingerprint.
     A bit set of their ids keeps most other texts from being shuffled.
     """
     likely_ids = bit_set(inner, "rep", DOC_BITS)
@@ -527,7 +558,9 @@ def _member_sets(docs: DataFrame, inner: DataFrame, size: int) -> DataFrame:
             if own[-1]:
                 sets.append(found.tobytes())
         keep = pa.array(own, pa.bool_())
-        return {n: batch.column(n).filter(keep) for n in names} | {"sets": sets}
+        return {n: batch.column(n).filter(keep) for n in names} | {
+            "rep": batch.column("low").filter(keep), "sets": sets
+        }
 
     texts_of = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").mapInArrow(
         likely, "rep long, text string"
@@ -543,16 +576,43 @@ def _member_sets(docs: DataFrame, inner: DataFrame, size: int) -> DataFrame:
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group, that of the least id.
 
-    Rows without words or id all stay; rows that repeat both id and text stay once.
+    Rows without words or id all stay. Of an id that repeats, each text belongs to its own group,
+    so that some may stay and others go; of texts of one id that are in one group, one stays.
     """
-    groups = stage(similarity_groups(docs.select("doc_id", "text"), size, percent), "groups")
-    goes = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(goes, docs.doc_id == F.col("__id"), "left_anti")
-    worded = groups.filter("n_shingles > 0 and doc_id = component_id")
-    twice = worded.groupBy(F.col("doc_id").alias("__id")).count().filter("count > 1").select("__id")
-    if twice.isEmpty():
-        return kept
-    once = kept.join(twice, kept.doc_id == F.col("__id"), "left_semi")
-    return kept.join(twice, kept.doc_id == F.col("__id"), "left_anti").union(
-        once.dropDuplicates(["doc_id", "text"])
+    groups = stage(_groups(docs.select("doc_id", "text"), size, percent), "groups")
+    repeated = stage(
+        groups.filter("doc_id is not null")
+        .groupBy(F.col("doc_id").alias("__id"))
+        .count()
+        .filter("count > 1")
+        .select("__id"),
+        "repeated",
+    )
+    goes = groups.filter("not stays").select(F.col("doc_id").alias("__id")).distinct()
+    if repeated.isEmpty():
+        return docs.join(goes, docs.doc_id == F.col("__id"), "left_anti")
+    gone = goes.union(repeated).distinct()
+    single = docs.join(gone, docs.doc_id == F.col("__id"), "left_anti")
+    # Rows of one id are told apart by their texts.
+    key = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    several = docs.join(repeated, docs.doc_id == F.col("__id"), "left_semi")
+    marks = stage(
+        prints(several.select("doc_id", "text").distinct(), size, percent, key), "marks"
     )
+    chosen = groups.filter("stays and n_shingles > 0").select("doc_id", "high", "low").distinct()
+    kept = (
+        marks.filter("n_shingles > 0")
+        .join(chosen, ["doc_id", "high", "low"])
+        .groupBy("doc_id", "high", "low")
+        .agg(F.min("key").alias("__key"))
+        .select(F.col("doc_id").alias("__id"), "__key")
+    )
+    empty = marks.filter("n_shingles = 0").select(
+        F.col("doc_id").alias("__id"), F.col("key").alias("__key")
+    )
+
+    def of(texts: DataFrame) -> DataFrame:
+        same = (several.doc_id == F.col("__id")) & (key == F.col("__key"))
+        return several.join(texts, same, "left_semi")
+
+    return single.union(of(kept).dropDuplicates(["doc_id", "text"])).union(of(empty))
