@@ -6,6 +6,7 @@ and parsed pages no expression: those queries are tested against plain Python in
 
 from __future__ import annotations
 
+from tierforge.llm import personal
 from tierforge.llm.host_rules import RULES, HostRules
 from tierforge.llm.secrets import ALLOWED, BASE_KINDS, CLASSES
 
@@ -190,10 +191,114 @@ def _benchmark(size: int) -> str:
     FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+def _clusters(k: int = 8, rounds: int = 10, dims: int = 64, scale: int = 1024, seed: int = 3) -> str:
+    """Every round compares every vector with every centroid."""
+    apart = "list_sum(list_transform(list_zip({a}, {b}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    nearest = (
+        "SELECT p.r, p.vec_id, p.x, arg_min(c.c, {d} * {k} + c.c) AS c, min({d})::BIGINT AS d"
+        " FROM p, c{n} c GROUP BY p.r, p.vec_id, p.x"
+    )
+    parts = [
+        f"""p AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id,
+              list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS x
+            FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding,
+              lambda x: x IS NOT NULL AND isfinite(x))) = {dims})""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x FROM (
+              SELECT sha256('{seed}:' || vec_id) AS h, x FROM p ORDER BY h, x LIMIT {k}))""",
+    ]
+    for n in range(rounds + 1):
+        distance = apart.format(a="p.x", b="c.x")
+        parts.append(f"a{n} AS MATERIALIZED ({nearest.format(d=distance, k=k, n=n)})")
+        if n < rounds:
+            # Division that rounds down.
+            parts.append(f"""c{n + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.x, c.x) AS x
+              FROM c{n} c LEFT JOIN (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x
+                FROM (SELECT c, i, sum(v)::BIGINT AS s, count(*) AS n
+                      FROM (SELECT c, unnest(x) AS v, unnest(range({dims})) AS i FROM a{n})
+                      GROUP BY c, i) GROUP BY c) m USING (c))""")
+    return f"""WITH {", ".join(parts)}
+    SELECT vec_id, c::INTEGER AS cluster, d AS distance,
+           (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+           (sum(d) OVER ())::BIGINT AS inertia,
+           sha256(array_to_string(z.x, ',')) AS centroid_sha256
+    FROM a{rounds} JOIN c{rounds} z USING (c)"""
+
+
+def _personal() -> str:
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    luhn = (
+        f"list_sum(list_transform(string_split(reverse({digits}), ''), lambda c, i:"
+        " CASE WHEN i % 2 = 1 THEN c::INT WHEN c::INT > 4 THEN c::INT * 2 - 9"
+        " ELSE c::INT * 2 END)) % 10 = 0"
+    )
+    signs = "replace(x, ' ', '')"
+    modulo = (
+        f"list_reduce(list_prepend(0, list_transform(string_split({signs}[5:] || {signs}[:4], ''),"
+        " lambda c: strpos('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', c) - 1)),"
+        " lambda a, v: (a * (CASE WHEN v > 9 THEN 100 ELSE 10 END) + v) % 97) = 1"
+    )
+    cues = "|".join(s for cue in personal.CUES for s in personal.spellings(cue))
+    front, ibans = "(?:^|[^A-Za-z0-9])", "|".join(personal.spellings("iban"))
+    iban = f"{front}(?:{ibans}){personal.JOINT}({personal.IBAN})"
+    account = f"{front}(?:{cues}){personal.JOINT}({personal.ACCOUNT})"
+    # Kind, pattern, start and text of the span within match ``m`` at ``s``, what must hold.
+    kinds = [
+        ("email", rf"[A-Za-z0-9._%+-]+@{personal.DOMAIN}", "m", "true"),
+        ("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "m",
+         "len(list_filter(string_split(m, '.'), lambda n: length(ltrim(n, '0')) > 3"
+         " OR coalesce(try_cast(n AS INT), 256) > 255)) = 0"),
+        ("card", r"[0-9](?:[\x20-]?[0-9])+", "m", f"length({digits}) BETWEEN 16 AND 19 AND {luhn}"),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "m", f"length({digits}) BETWEEN 8 AND 15"),
+        ("link", f"[A-Za-z]+{personal.LINK}", f"rtrim(m, '{personal.OPEN_END}')",
+         "lower(split_part(m, '://', 1)) IN (" + ", ".join(f"'{s}'" for s in personal.SCHEMES) + ")"),
+        ("iban", iban, f"regexp_extract(m, '{iban}', 1)", modulo),
+        ("account", account, f"regexp_extract(m, '{account}', 1)",
+         "length(regexp_replace(x, '[^0-9]', '', 'g')) BETWEEN 6 AND 34"),
+    ]
+    parts = [f"t AS (SELECT doc_id, {_TEXT} AS t FROM documents)"]
+    for rank, (kind, pattern, part, holds) in enumerate(kinds):
+        start = "s + length(m) - length(x)" if kind in ("iban", "account") else "s"
+        parts.append(f"""{kind}_s AS (SELECT doc_id, ({start})::BIGINT AS s, {rank} AS r,
+          '{kind}' AS kind, ({start} + length(x))::BIGINT AS e
+          FROM (SELECT doc_id, m, s, {part} AS x FROM ({_places("t", pattern)})) WHERE {holds})""")
+    listed = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY r, s)"
+    counts = ", ".join(f"coalesce(n_{k[0]}, 0)::BIGINT AS n_{k[0]}" for k in kinds)
+    inner = ", ".join(f"count(*) FILTER (kind = '{k[0]}') AS n_{k[0]}" for k in kinds)
+    every = " UNION ALL ".join(f"SELECT * FROM {k[0]}_s" for k in kinds)
+    return f"""WITH {", ".join(parts)},
+      f AS (SELECT doc_id, {inner}, {listed} AS spans, {listed}
+              FILTER (r < {len(personal.BASE_KINDS)}) AS base FROM ({every}) GROUP BY doc_id)
+    SELECT doc_id, {counts}, sha256(coalesce(base, '')) AS base_sha256,
+           coalesce(spans, '') AS spans FROM t LEFT JOIN f USING (doc_id)"""
+
+
+def _ranking(k: int = 50) -> str:
+    words = (
+        f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    )
+    return f"""WITH i AS (SELECT DISTINCT item_id, unnest({words}) AS t FROM benchmark),
+    d AS (SELECT doc_id, unnest({words}) AS t FROM documents),
+    n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+    g AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM n),
+    tf AS (SELECT doc_id, t, count(*) AS tf FROM d WHERE t IN (SELECT t FROM i) GROUP BY doc_id, t),
+    w AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+          FROM tf, g GROUP BY t, docs),
+    s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf)
+                 // (1000 * tf + 20 * (50 + (50 * n * docs) // words))))::BIGINT AS score
+          FROM i JOIN tf USING (t) JOIN w USING (t) JOIN n USING (doc_id), g
+          GROUP BY item_id, doc_id),
+    r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)
+                 AS rank, doc_id, score FROM s WHERE score > 0)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= {k}"""
+
+
 ORACLES: dict[str, str] = {
     "op1_secret_spans": _secrets(),
     "op2_ngram_jaccard": _jaccard(3, 90),
     "op7_fm_index": _substrings(13),
     "op8_host_rules": _host_rules(HostRules()),
     "op9_benchmark_windows": _benchmark(10),
+    "op11_simplex_clusters": _clusters(),
+    "op12_anchored_personal_data": _personal(),
+    "op13_best_positions": _ranking(),
 }

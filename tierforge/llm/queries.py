@@ -8,13 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierforge.llm import (
+    centroids,
     decontamination,
     host_rules,
     html_text,
     jaccard,
     mixing,
+    personal,
     pitman_yor,
     quality_model,
+    ranking,
     secrets,
     sharding,
     substrings,
@@ -133,6 +136,34 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_simplex_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    assigned, centres, _ = centroids.cluster(vectors)
+    return centroids.with_inertia(assigned, centres)
+
+
+def op12_anchored_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.personal_spans(table(spark, sf_dir, "documents"))
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*personal.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[of(kind).alias(f"n_{kind}") for kind in personal.KINDS],
+        F.sha2(personal.span_list(base), 256).alias("base_sha256"),
+        personal.span_list(F.col("spans")).alias("spans"),
+    )
+
+
+def op13_best_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        table(spark, sf_dir, "benchmark").select("item_id", "text"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_spans": op1_secret_spans,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -144,4 +175,7 @@ QUERIES: dict[str, Query] = {
     "op8_host_rules": op8_host_rules,
     "op9_benchmark_windows": op9_benchmark_windows,
     "op10_mix_sources": op10_mix_sources,
+    "op11_simplex_clusters": op11_simplex_clusters,
+    "op12_anchored_personal_data": op12_anchored_personal_data,
+    "op13_best_positions": op13_best_positions,
 }
