@@ -4,9 +4,11 @@ from tierforge.plans.bronze import bronze_load, bronze_rows, load_bronze
 from tierforge.plans.gold import load_gold, sales_summary
 from tierforge.plans.silver import fact_rows, load_facts, load_silver, silver_merge
 from tierforge.plans.spreadsheet_ingest import exported_scan, spreadsheet_ingest
+from tierforge.plans.statements import UnsupportedStatement, run_statement
 from tierforge.plans.sql_template import load_from_template, run_template
 
 __all__ = [
+    "UnsupportedStatement",
     "bronze_load",
     "bronze_rows",
     "exported_scan",
@@ -16,6 +18,7 @@ __all__ = [
     "load_from_template",
     "load_gold",
     "load_silver",
+    "run_statement",
     "run_template",
     "sales_summary",
     "silver_merge",

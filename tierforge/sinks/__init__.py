@@ -5,6 +5,7 @@ from tierforge.sinks.snapshots import ConcurrentWrite, drop_old, newest, read_ta
 from tierforge.sinks.tables import (
     create_if_missing,
     create_or_replace,
+    create_table,
     merge_into,
     overwrite,
     upsert_native,
@@ -18,6 +19,7 @@ __all__ = [
     "ConcurrentWrite",
     "create_if_missing",
     "create_or_replace",
+    "create_table",
     "drop_old",
     "export_path",
     "export_sheets",

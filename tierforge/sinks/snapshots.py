@@ -63,6 +63,12 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def published_names(spark: SparkSession, root: str, name: str) -> list[str]:
+    """The names of the table's published files; none if it is not a table of ours."""
+    folder = Folder(spark, f"{table_path(root, name)}/{_PUBLISHED}")
+    return [n for n in folder.names() if n.endswith(".json")]
+
+
 def newest(spark: SparkSession, root: str, name: str) -> Snapshot | None:
     """The table's current snapshot; None if there is no table.
 

@@ -72,6 +72,22 @@ def create_or_replace(
     return publish(df, root, name, before, fmt=fmt, partition_by=partition_by)
 
 
+def create_table(
+    spark: SparkSession,
+    name: str,
+    root: str,
+    schema: T.StructType,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+) -> Snapshot:
+    """A table without rows, unless there is one already; returns its snapshot."""
+    before = newest(spark, root, name)
+    if before is not None:
+        return before
+    empty = spark.createDataFrame([], schema)
+    return publish(empty, root, name, None, fmt=fmt, partition_by=partition_by)
+
+
 def upsert_table(
     source: DataFrame,
     name: str,

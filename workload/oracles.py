@@ -205,6 +205,20 @@ ORACLES: dict[str, str] = {
         SELECT p_brand, CAST(SUM(q) AS BIGINT), 'first' FROM sold
         WHERE p_brand NOT IN (SELECT brand FROM later) GROUP BY p_brand
     """,
+    "merge_statement": """
+        WITH old AS (SELECT p_partkey, p_name, p_size FROM part),
+        new AS (SELECT 2 * p_partkey AS p_partkey, upper(p_name) AS label FROM part)
+        SELECT coalesce(o.p_partkey, n.p_partkey) AS part_id, coalesce(label, p_name) AS label,
+               p_size AS size, CASE WHEN o.p_partkey IS NOT NULL THEN 'it''s first' END AS note
+        FROM old o FULL JOIN new n ON o.p_partkey = n.p_partkey
+    """,
+    "replace_statement": """
+        WITH s AS (SELECT l_returnflag AS flag, p_size AS size, count(*) AS sales,
+                          CAST(SUM(l_quantity) AS BIGINT) AS quantity
+                   FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY ALL)
+        SELECT *, CAST(SUM(quantity) OVER (PARTITION BY flag) AS BIGINT) AS of_flag
+        FROM s WHERE sales >= 2
+    """,
     "csv_scan": _as_text(_OLD),
     "csv_scan_nested": f"{_as_text(_OLD)} UNION ALL {_as_text(_products(2))}",
     "sniffed_text_scan": " UNION ALL ".join(

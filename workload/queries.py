@@ -33,6 +33,7 @@ from tierforge.plans import (
     load_from_template,
     load_gold,
     load_silver,
+    run_statement,
     run_template,
     sales_summary,
     silver_merge,
@@ -560,6 +561,87 @@ def silver_from_template(spark: SparkSession, sf: str) -> DataFrame:
     return _stored(spark, root, contract.table)
 
 
+def merge_statement(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts kept in stock by two statements that merge, the second one from a stored table."""
+    paths = {"lake": scratch_dir(spark, "stock")}
+    part = {"part": _table(spark, sf, "part")}
+    run_statement(
+        spark,
+        """
+        CREATE TABLE IF NOT EXISTS delta.`{lake}/stock`
+          (part_id BIGINT, label STRING, size INT, note STRING) USING DELTA
+        """,
+        paths=paths,
+    )
+    run_statement(
+        spark,
+        """
+        -- every part, each once
+        MERGE INTO delta.`{lake}/stock` AS old
+        USING (SELECT p_partkey AS part_id, p_name AS label, p_size AS size, :note AS note
+               FROM {part}) AS new
+        ON old.part_id = new.part_id
+        WHEN MATCHED THEN UPDATE SET *
+        WHEN NOT MATCHED THEN INSERT *
+        """,
+        part,
+        {"note": "it's first"},
+        paths,
+    )
+    run_statement(
+        spark,
+        """
+        CREATE OR REPLACE TABLE delta.`{lake}/arrivals` USING DELTA AS
+        SELECT 2 * part_id AS part_id, upper(label) AS label, 0 AS size FROM delta.`{lake}/stock`
+        """,
+        paths=paths,
+    )
+    return run_statement(
+        spark,
+        """
+        MERGE INTO delta.`{lake}/stock` AS old USING delta.`{lake}/arrivals` AS new
+        ON new.part_id = old.part_id
+        WHEN MATCHED THEN UPDATE SET old.label = new.label
+        WHEN NOT MATCHED THEN INSERT (part_id, label) VALUES (new.part_id, new.label);
+        """,
+        paths=paths,
+    )
+
+
+def replace_statement(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums by ship mode and size, stored by statement; then replaced by what is made of them."""
+    paths = {"lake": scratch_dir(spark, "modes")}
+    relations = {"lines": _table(spark, sf, "lineitem"), "part": _table(spark, sf, "part")}
+    run_statement(
+        spark,
+        """
+        CREATE OR REPLACE TABLE delta.`{lake}/by_flag` USING DELTA PARTITIONED BY (flag) AS
+        WITH sold AS (SELECT l_returnflag AS flag, p_size AS size, l_quantity AS quantity
+                      FROM {lines} LEFT JOIN {part} ON l_partkey = p_partkey)
+        SELECT flag, size, count(*) AS sales, CAST(sum(quantity) AS BIGINT) AS quantity
+        FROM sold GROUP BY flag, size
+        """,
+        relations,
+        paths=paths,
+    )
+    # There is a table already, so this leaves it alone.
+    run_statement(
+        spark,
+        "CREATE TABLE IF NOT EXISTS delta.`{lake}/by_flag` (flag STRING) USING DELTA",
+        paths=paths,
+    )
+    return run_statement(
+        spark,
+        """
+        CREATE OR REPLACE TABLE delta.`{lake}/by_flag` USING DELTA PARTITIONED BY (flag) AS
+        SELECT flag, size, sales, quantity, sum(quantity) OVER (PARTITION BY flag) AS of_flag
+        FROM delta.`{lake}/by_flag` WHERE sales >= :least
+        """,
+        values={"least": 2},
+        paths=paths,
+    )
+
+
 # --- sources and sinks ------------------------------------------------------------------
 
 
@@ -730,6 +812,8 @@ QUERIES: dict[str, Query] = {
     "layers_end_to_end": layers_end_to_end,
     "gold_from_template": gold_from_template,
     "silver_from_template": silver_from_template,
+    "merge_statement": merge_statement,
+    "replace_statement": replace_statement,
     "csv_scan": csv_files,
     "csv_scan_nested": csv_files_nested,
     "sniffed_text_scan": sniffed_text,
