@@ -1,0 +1,159 @@
+import hashlib
+import math
+import struct
+
+import numpy as np
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import types as T
+
+from tests.conftest import SF
+from tierforge.llm import centroids
+from tierforge.llm.queries import QUERIES
+
+VECTORS = T.StructType(
+    [
+        T.StructField("vec_id", T.LongType()),
+        T.StructField("embedding", T.ArrayType(T.FloatType())),
+        *[T.StructField(n, T.StringType()) for n in ("point", "apex", "cluster", "distance", "label")],
+    ]
+)
+
+
+def frame(spark, rows, parts=3):
+    made = spark.createDataFrame([(*r, "x", "x", "x", "x", "x") for r in rows], VECTORS)
+    return made.repartition(parts) if rows else made
+
+
+def single(x):
+    return struct.unpack("f", struct.pack("f", x))[0]
+
+
+def integers(vector, dims, scale=1024):
+    if vector is None or len(vector) != dims or any(x is None or not math.isfinite(x) for x in vector):
+        return None
+    return [math.floor(scale * single(x)) for x in vector]
+
+
+def expected(rows, dims, k=8, rounds=10):
+    """Every vector against every centroid, in plain integers."""
+    kept = [(i, p) for i, v in rows if (p := integers(v, dims)) is not None]
+    order = sorted(
+        kept, key=lambda r: ((r[0] is None), hashlib.sha256(f"3:{r[0]}".encode()).hexdigest(), r[1])
+    )
+    centres = [p for _, p in order[:k]]
+
+    def assign():
+        out = []
+        for i, p in kept:
+            d = [sum((a - b) ** 2 for a, b in zip(p, c, strict=True)) for c in centres]
+            out.append((i, d.index(min(d)), min(d), p))
+        return out
+
+    for _ in range(rounds):
+        groups = {}
+        for _, c, _, p in assign():
+            groups.setdefault(c, []).append(p)
+        for c, points in groups.items():
+            centres[c] = [sum(x) // len(points) for x in zip(*points, strict=True)]
+    return [(i, c, d) for i, c, d, _ in assign()], centres
+
+
+def by_row(rows):
+    return sorted(rows, key=repr)
+
+
+def normal(seed, n, dims, centres=5, spread=0.1):
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(0, 0.5, (centres, dims))
+    return [
+        (i, [float(np.float32(x)) for x in middle[i % centres] + rng.normal(0, spread, dims)])
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("spread", [0.01, 0.1, 1.0])
+def test_equals_brute_force(spark, spread):
+    rows = normal(7, 300, 12, spread=spread)
+    got, centres, compared = centroids.cluster(frame(spark, rows), dims=12)
+    wanted, final = expected(rows, 12)
+    assert by_row(tuple(r) for r in got.collect()) == by_row(wanted)
+    assert centres.tolist() == final
+    # The bounds spare most comparisons where there is something to tell apart.
+    if spread < 1:
+        assert max(compared) < 0.5 * 8 * len(rows)
+
+
+def test_bad_vectors_ties_and_repeats(spark):
+    good = [0.5, -0.25, 0.0, 1.0]
+    rows = [
+        (1, good), (1, good), (2, good), (3, [0.5, -0.25, 0.0, 1.0009765625]), (None, [9.0, 9.0, 9.0, -9.0]),
+        (4, None), (5, []), (6, good[:3]), (7, [*good, 1.0]), (8, [None, 0.0, 0.0, 0.0]),
+        (9, [float("nan"), 0.0, 0.0, 0.0]), (10, [float("inf"), 0.0, 0.0, 0.0]),
+        (11, [float("-inf"), 0.0, 0.0, 0.0]), (12, [-0.0001, 0.0, 0.0, 0.0]),
+    ]
+    got, _, _ = centroids.cluster(frame(spark, rows), dims=4)
+    assert by_row(tuple(r) for r in got.collect()) == by_row(expected(rows, 4)[0])
+
+
+def test_all_equal_and_more_seeds_than_vectors(spark):
+    rows = [(k, [0.25, 0.5]) for k in range(20)]
+    got, centres, _ = centroids.cluster(frame(spark, rows), dims=2)
+    assert {(r["cluster"], r["distance"]) for r in got.collect()} == {(0, 0)}
+    assert len(centres) == 8
+    got, centres, _ = centroids.cluster(frame(spark, rows[:3]), dims=2)
+    assert len(centres) == 3 and got.count() == 3
+
+
+def test_no_vectors(spark):
+    for rows in ([], [(1, None)]):
+        got, centres, _ = centroids.cluster(frame(spark, rows), dims=4)
+        out = centroids.with_inertia(got, centres)
+        assert out.columns == [
+            "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256",
+        ]
+        assert out.count() == 0
+
+
+def test_a_component_too_large_is_an_error(spark):
+    with pytest.raises(PySparkException, match="too large"):
+        centroids.cluster(frame(spark, [(1, [1e30, 0.0])]), dims=2)
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(3)
+    points = rng.integers(-3000, 3000, (400, 10))
+    points[200:] = points[:200] + rng.integers(-2, 3, (200, 10))
+    simplex = centroids.Simplex.over(points[:8])
+    assert len(simplex.pivots) == 8
+    centres = points[195:210]
+    apexes, centre_apexes = simplex.apexes(points), simplex.apexes(centres)
+    left = centroids.open_centroids(apexes, centre_apexes)
+    true = np.stack([centroids.squared_distances(points, c) for c in centres], axis=1)
+    assert left[true == true.min(axis=1)[:, None]].all()
+    assert left.mean() < 0.7
+    # The apex keeps the distance to each pivot.
+    corners = np.vstack([np.zeros(7), simplex.corners])
+    for pivot, corner in zip(simplex.pivots, corners, strict=True):
+        kept = ((apexes[:, :7] - corner) ** 2).sum(axis=1) + apexes[:, 7] ** 2
+        assert np.allclose(kept, centroids.squared_distances(points, pivot), rtol=1e-6, atol=1)
+
+
+def test_flat_pivots_are_passed_over():
+    line = np.outer(np.arange(6), [3, 4, 0])
+    assert len(centroids.Simplex.over(line).pivots) == 2
+    assert len(centroids.Simplex.over(line[[0, 0, 0]]).pivots) == 1
+
+
+def test_query(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    wanted, centres = expected(rows, 64)
+    got = {r["vec_id"]: r for r in QUERIES["op11_simplex_clusters"](spark, SF).collect()}
+    assert len(got) == len(wanted)
+    inertia = sum(d for _, _, d in wanted)
+    for i, c, d in wanted:
+        row = got[i]
+        assert (row["cluster"], row["distance"], row["inertia"]) == (c, d, inertia)
+        assert row["cluster_inertia"] == sum(x for _, y, x in wanted if y == c)
+        listed = ",".join(map(str, centres[c]))
+        assert row["centroid_sha256"] == hashlib.sha256(listed.encode()).hexdigest()

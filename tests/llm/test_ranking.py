@@ -1,0 +1,129 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tests.conftest import SF
+from tests.llm.conftest import NASTY
+from tierforge.llm import ranking
+from tierforge.llm.queries import QUERIES
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def expected(docs, items, k=50):
+    """Every document scored for every item."""
+    counted = [(d, Counter(t)) for d, text in docs if (t := terms(text))]
+    n_docs, n_terms = len(counted), sum(c.total() for _, c in counted)
+    df = Counter(t for _, c in counted for t in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for d, c in counted:
+            m = 100 - 50 + (50 * c.total() * n_docs) // n_terms
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                * ((1_000_000_000 * c[t]) // (1000 * c[t] + 20 * m))
+                for t in set(terms(text))
+                if t in c
+            )
+            if score > 0:
+                scored.append((-score, d is None, d or 0, d))
+        for rank, (score, _, _, d) in enumerate(sorted(scored)[:k], 1):
+            out.append((item, rank, d, -score))
+    return sorted(out, key=repr)
+
+
+def items_of(spark, rows):
+    schema = "item_id long, text string, rank string, score string, doc_id string, query string"
+    return spark.createDataFrame([(*r, "x", "x", "x", "x") for r in rows], schema)
+
+
+def found(spark, docs_of, docs, items, **options):
+    got = ranking.rank(docs_of([(*d, "s") for d in docs]), items_of(spark, items), **options)
+    return sorted((tuple(r) for r in got.collect()), key=repr)
+
+
+def invented(seed, n, vocabulary=60, longest=80):
+    draw = random.Random(seed)
+    words = [f"w{i}" for i in range(vocabulary)]
+    weights = [1 / (i + 1) for i in range(vocabulary)]
+    return [(i, " ".join(draw.choices(words, weights, k=draw.randint(0, longest)))) for i in range(n)]
+
+
+@pytest.mark.parametrize("k", [1, 5, 50])
+def test_equals_brute_force(spark, docs_of, monkeypatch, k):
+    docs, items = invented(1, 400), invented(2, 12)
+    assert found(spark, docs_of, docs, items, k=k) == expected(docs, items, k)
+
+
+def test_small_shards_and_blocks_give_the_same(spark, docs_of, monkeypatch):
+    docs, items = invented(3, 300), invented(4, 10)
+    wanted = expected(docs, items, 7)
+    assert found(spark, docs_of, docs, items, k=7, block_bytes=300) == wanted
+    monkeypatch.setattr(ranking, "SHARD", 200)
+    monkeypatch.setattr(ranking, "STEP", 1)
+    assert found(spark, docs_of, docs, items, k=7) == wanted
+
+
+def test_nasty_documents_and_items(spark, docs_of):
+    docs = [(d, t) for d, t, _ in NASTY]
+    items = [(1, "word one"), (1, "a b c"), (2, None), (3, ""), (4, "?!"), (None, "ÉTÉ été Œuvre"), (5, "lorem LOREM sit")]
+    assert found(spark, docs_of, docs, items, k=3) == expected(docs, items, 3)
+
+
+def test_ties_go_by_id(spark, docs_of):
+    docs = [(i, "same words here") for i in range(200)] + [(None, "same words here"), (500, "other")]
+    items = [(1, "words"), (2, "other absent")]
+    assert found(spark, docs_of, docs, items) == expected(docs, items)
+
+
+def test_nothing_to_rank(spark, docs_of):
+    assert found(spark, docs_of, [], [(1, "a")]) == []
+    assert found(spark, docs_of, [(1, "a")], []) == []
+    # A term that all documents have may weigh nothing, and then gives no score.
+    docs = [(i, "a") for i in range(3000)]
+    assert found(spark, docs_of, docs, [(1, "a")]) == expected(docs, [(1, "a")])
+
+
+def test_the_bound_stops_early_and_seen_positions_help():
+    rng = np.random.default_rng(5)
+    n, n_terms = 4000, 6
+    starts = np.arange(n + 1) * n_terms
+    term = np.tile(np.arange(n_terms), n)
+    quality = rng.exponential(1.0, n)
+    impact = (1000 * (quality[:, None] + rng.random((n, n_terms)) * 0.05)).astype(np.int64).ravel() + 1
+    shard = ranking.Shard(np.arange(n), np.zeros(n, bool), starts, term, impact, n_terms)
+    best = ranking.Best(10)
+    shard.search(np.arange(n_terms), np.ones(n_terms, np.int64), best)
+    scores = impact.reshape(n, n_terms).sum(axis=1)
+    assert best.scores.tolist() == sorted(scores.tolist(), reverse=True)[:10]
+    assert shard.read < 0.2 * len(term)
+    # With the best of another shard already above all, the first step is the last.
+    high, before = ranking.Best(1), shard.read
+    high.add(np.array([10**9]), np.array([1]), np.array([False]))
+    shard.search(np.arange(n_terms), np.ones(n_terms, np.int64), high)
+    assert shard.read - before <= ranking.STEP * n_terms * n_terms
+
+
+def test_lengths_beyond_64_bits():
+    tf, lengths = np.array([3, 1]), np.array([10**9, 5])
+    got = ranking.impacts(tf, lengths, 10**12, 10**14).tolist()
+    wanted = [
+        10**9 * t // (1000 * t + 20 * (50 + 50 * n * 10**12 // 10**14))
+        for t, n in zip(tf.tolist(), lengths.tolist(), strict=True)
+    ]
+    assert got == wanted
+
+
+def test_query(spark):
+    read = lambda name, *c: [tuple(r) for r in spark.read.parquet(f"{SF}/{name}.parquet").select(*c).collect()]
+    got = sorted((tuple(r) for r in QUERIES["op13_best_positions"](spark, SF).collect()), key=repr)
+    assert got == expected(read("documents", "doc_id", "text"), read("benchmark", "item_id", "text"))
