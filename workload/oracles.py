@@ -219,6 +219,20 @@ ORACLES: dict[str, str] = {
         SELECT *, CAST(SUM(quantity) OVER (PARTITION BY flag) AS BIGINT) AS of_flag
         FROM s WHERE sales >= 2
     """,
+    "text_encodings": """
+        SELECT folder, CAST(p_partkey AS VARCHAR) AS number,
+               translate(p_name, 'aeiou', 'アエイオウ') AS name
+        FROM part, (VALUES ('sjis'), ('eucjp'), ('utf8'), ('wide')) f(folder)
+        UNION ALL
+        SELECT 'western', CAST(p_partkey AS VARCHAR), p_name || ' à 5 €' || p_size FROM part
+        UNION ALL SELECT 'unclear', NULL, NULL
+    """,
+    "quoted_lines": """
+        SELECT CAST(p_partkey AS VARCHAR) AS id,
+               p_name || chr(10) || '"no",' || chr(10) || p_brand AS text, 'lines' AS folder FROM part
+        UNION ALL
+        SELECT CAST(p_partkey AS VARCHAR), p_partkey || '" screen', 'inch' FROM part
+    """,
     "csv_scan": _as_text(_OLD),
     "csv_scan_nested": f"{_as_text(_OLD)} UNION ALL {_as_text(_products(2))}",
     "sniffed_text_scan": " UNION ALL ".join(

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -674,6 +675,62 @@ def sniffed_text(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("p_partkey", "p_name", "p_brand", "p_size", folder.alias("folder"))
 
 
+def _encoded(rows: DataFrame, codec: str) -> DataFrame:
+    """Semicolon-separated lines as the bytes of an encoding, a header in front of each task's."""
+    line = F.array_join(F.array(*rows.columns), ";")
+    head = ";".join(rows.columns)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = [head]
+        for batch in batches:
+            lines += batch.column("line").to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([x.encode(codec) for x in lines])], ["value"])
+            lines = []
+
+    return rows.select(line.alias("line")).mapInArrow(encode, "value binary").select(
+        F.col("value").cast("string")
+    )
+
+
+def text_encodings(spark: SparkSession, sf: str) -> DataFrame:
+    """The parts as text in five encodings, none of which the files name, and in one that is unclear."""
+    root = scratch_dir(spark, "encodings")
+    part = _table(spark, sf, "part")
+    key = F.col("p_partkey").cast("string").alias("番号")
+    kana = part.select(key, F.translate("p_name", "aeiou", "アエイオウ").alias("品名"))
+    accents = part.select(
+        key.alias("número"), F.concat("p_name", F.lit(" à 5 €"), F.col("p_size")).alias("désigné")
+    )
+    _encoded(kana, "cp932").write.text(f"{root}/sjis")
+    _encoded(kana, "euc_jp").write.text(f"{root}/eucjp")
+    _write_csv(kana, f"{root}/utf8", ";")
+    kana.write.options(header=True, sep=";", encoding="UTF-16LE").csv(f"{root}/wide")
+    _encoded(accents.toDF("numero", "désigné"), "cp1252").write.text(f"{root}/western")
+    _encoded(part.select(key.alias("nr"), F.lit("Příliš žluťoučký kůň").alias("text")), "cp1250").write.text(f"{root}/unclear")
+    rows, failures = text_sheets(spark, root, "*.{csv,txt}")
+    folder = F.regexp_extract("path", "/([a-z0-9]+)/[^/]*$", 1)
+    failed = failures.where(F.col("error").startswith("the encoding is unclear"))
+    return rows.select(
+        folder.alias("folder"),
+        F.coalesce("番号", "numero").alias("number"),
+        F.coalesce("品名", "désigné").alias("name"),
+    ).unionByName(failed.select(folder.alias("folder"), F.lit(None).cast("string").alias("number"),
+                                F.lit(None).cast("string").alias("name")).distinct())
+
+
+def quoted_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells over several lines, and quotes that quote nothing, cut into records in parallel."""
+    root = scratch_dir(spark, "quoted")
+    part = _table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("id"), "p_name", "p_brand")
+    lines = F.concat("p_name", F.lit('\n"no",\n'), F.col("p_brand"))
+    _write_csv(part.select("id", lines.alias("text")), f"{root}/lines")
+    inch = F.concat(F.col("id"), F.lit('" screen')).alias("text")
+    _encoded(part.select("id", inch), "utf-8").write.text(f"{root}/inch")
+    rows, _ = text_sheets(spark, root, "*.{csv,txt}")
+    folder = F.regexp_extract("path", "/([a-z]+)/[^/]*$", 1)
+    return rows.select("id", "text", folder.alias("folder"))
+
+
 def workbook_scan(spark: SparkSession, sf: str) -> DataFrame:
     """The products packed into workbooks, parsed, exported as CSV, and read by contract."""
     dst = scratch_dir(spark, "sheets")
@@ -819,6 +876,8 @@ QUERIES: dict[str, Query] = {
     "sniffed_text_scan": sniffed_text,
     "workbook_scan": workbook_scan,
     "workbook_manifest": workbook_manifest,
+    "text_encodings": text_encodings,
+    "quoted_lines": quoted_lines,
     "text_ingest": text_ingest,
     "text_outcomes": text_outcomes,
     "table_scan_write": table_scan_write,
