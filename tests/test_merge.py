@@ -36,9 +36,10 @@ def model(target, source):
 @given(st.lists(st.tuples(key, key, word, word), max_size=25), st.lists(st.tuples(word, key, key, word), max_size=25))
 def test_merge_equals_model(spark, target, source):
     t, s = spark.createDataFrame(target, TARGET), spark.createDataFrame(source, SOURCE)
-    out = merge_rows(t, s, ["k", "g"], add_columns=True)
-    assert out.columns == ["k", "g", "old", "v", "new"]
-    assert Counter(map(tuple, out.collect())) == model(target, source)
+    for colocated in (False, True):
+        out = merge_rows(t, s, ["k", "g"], add_columns=True, colocated=colocated)
+        assert out.columns == ["k", "g", "old", "v", "new"]
+        assert Counter(map(tuple, out.collect())) == model(target, source)
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))

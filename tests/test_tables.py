@@ -35,10 +35,12 @@ from tierforge.sinks import (
     upsert_table,
     write_by_contract,
 )
+from tierforge.operators import merge_rows
+from tierforge.sinks.layout import by_partition
 from tierforge.sinks.snapshots import publish
 from tierforge.sources import contract_scan, table_scan
 from tierforge.streaming import bronze_stream
-from tests.conftest import rows
+from tests.conftest import plan, rows
 from workload.queries import PRODUCT, SALES
 
 AT = dt.datetime(2024, 1, 1)
@@ -86,6 +88,25 @@ def test_a_hot_partition_is_written_by_several_tasks(spark, conf, tmp_path):
     assert table_scan(spark, f"{tmp_path}/t").count() == 60_000
 
 
+def test_small_partitions_are_written_by_all_cores(spark, tmp_path):
+    df = spark.range(0, 3000, 1, 4).selectExpr("id", "id % 300 AS day")
+    dealt = by_partition(df, ["day"])
+    held = dealt.select("day", F.spark_partition_id().alias("task")).distinct()
+    by_task = held.groupBy("task").count()
+    assert by_task.count() >= 8 and by_task.agg(F.max("count")).first()[0] < 150
+    assert held.count() == 300
+
+
+def test_layout_of_odd_frames(spark, conf):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="1KB")
+    frame = spark.range(500).selectExpr("IF(id % 2 = 0, NULL, 'x') AS `a.b`", "map(id, id) AS m", "id AS __rows")
+    dealt = by_partition(frame, ["a.b"])
+    assert dealt.columns == frame.columns and dealt.count() == 500
+    task = F.spark_partition_id().alias("task")
+    assert dealt.select("`a.b`", task).where("`a.b` IS NULL").distinct().count() > 1
+    assert by_partition(frame.limit(0), ["a.b"]).count() == 0
+
+
 def test_overwriting_ones_own_input_is_refused(spark, tmp_path):
     spark.range(5).write.parquet(f"{tmp_path}/t")
     for path in (f"{tmp_path}/t", f"file:{tmp_path}/t/", f"{tmp_path}"):
@@ -338,19 +359,24 @@ def test_rows_of_others_are_not_taken_for_no_table(spark, name, tmp_path):
     assert table_scan(spark, f"{tmp_path}/{name}").count() == 3
 
 
-def test_buckets_that_are_not_concerned_keep_their_files(spark, name, tmp_path):
+def test_a_target_in_buckets_is_not_shuffled(spark, conf, name, tmp_path):
     root = str(tmp_path)
     rows_ = spark.range(400).selectExpr("id", "string(id) AS v", "date_add(date'2024-01-01', int(id % 2)) AS day")
-    upsert_table(rows_, name, root, ["id"], buckets=8, partition_by=["day"])
+    upsert_table(rows_, name, root, ["id"], buckets=8)
     first = newest(spark, root, name)
-    one = spark.sql("SELECT 7 AS id, 'new' AS v, date'2024-02-01' AS day, 1 AS more")
+    assert (first.buckets, first.keys) == (8, ("id",))
+    assert len(list(tmp_path.glob(f"{name}/{first.folder}/part-*"))) == 8
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    for partitions in ("4", "200"):
+        conf(spark__sql__shuffle__partitions=partitions)
+        target, source = read_table(spark, root, name), rows_.repartition(8, "id")
+        shown = plan(merge_rows(target, source, ["id"], duplicates="trust", colocated=True))
+        assert shown.count("Exchange") == 1 and "Bucketed: true" in shown
+        assert shown.index("Bucketed: true") < shown.index("Exchange")
+    one = spark.sql("SELECT '7' AS ID, 'new' AS v, date'2024-02-01' AS day, 1 AS more")
     upsert_table(one, name, root, ["id"], add_columns=True)
     now = newest(spark, root, name)
-    (old,), (held,) = first.folders, [b for f, b in now.folders.items() if f in first.folders]
-    assert len(held) == 7 and sum(len(b) for b in now.folders.values()) == 8
-    files = list(tmp_path.glob(f"{name}/data-*/__bucket=*/day=*/part-*"))
-    new = [f for f in files if old not in str(f)]
-    assert len({f.parent.parent.name for f in new}) == 1
+    assert len(list(tmp_path.glob(f"{name}/{now.folder}/part-*"))) == 8
     back = read_table(spark, root, name)
     assert back.count() == spark.table(name).count() == 400
     assert rows(back.where("id = 7 or id = 8").select("id", "v", "more")) == [(7, "new", 1), (8, "8", None)]
@@ -360,6 +386,15 @@ def test_buckets_that_are_not_concerned_keep_their_files(spark, name, tmp_path):
         upsert_table(one, name, root, ["v"], add_columns=True)
 
 
+def test_buckets_and_partitions(spark, name, tmp_path):
+    rows_ = spark.range(40).selectExpr("id", "id % 2 AS side", "'a' AS v")
+    upsert_table(rows_, name, str(tmp_path), ["id"], buckets=2, partition_by=["side"])
+    upsert_table(rows_.where("id > 30").selectExpr("id", "side", "'b' AS v"), name, str(tmp_path), ["id"])
+    back = read_table(spark, str(tmp_path), name)
+    assert rows(back.groupBy("v").count()) == [("a", 31), ("b", 9)]
+    assert list(tmp_path.glob(f"{name}/data-*/side=1/part-*"))
+
+
 def test_null_keys_in_buckets(spark, name, tmp_path):
     frame = lambda *r: spark.createDataFrame(list(r), "a long, b string, v int")
     upsert_table(frame((1, None, 1), (1, "x", 1)), name, str(tmp_path), ["a", "b"], buckets=4)
@@ -411,4 +446,4 @@ def test_facts_are_stored_by_contract(spark, name, tmp_path):
         assert rows(rejected.select("sales_id", "null_columns")) == [("3", ["quantity"])]
     back = read_table(spark, str(tmp_path), name)
     assert rows(back.select("sales_id", "is_orphan")) == [("1", False), ("2", True)]
-    assert list(tmp_path.glob(f"{name}/data-*/__bucket=*/sales_date=2024-01-02"))
+    assert list(tmp_path.glob(f"{name}/data-*/sales_date=2024-01-02"))

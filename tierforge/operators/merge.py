@@ -75,6 +75,7 @@ def merge_rows(
     duplicates: str = "first",
     keys_present: bool = False,
     add_columns: bool = False,
+    colocated: bool = False,
 ) -> DataFrame:
     """Target after an upsert of ``source``; ``target=None`` is the first load.
 
@@ -94,6 +95,10 @@ def merge_rows(
     the inserts are an anti join against the matched keys only, so a source small enough
     to broadcast leaves a large target where it is, and a hot target key is split. What the two
     joins share, the source made unique and the matched keys, is staged.
+
+    ``colocated`` says that the target already lies by its keys: it is stored in buckets by them, or
+    has just been made unique on them. Then a full outer join moves none of it, and everything is
+    read once, with nothing staged.
     """
     check_merge(target, source, keys, add_columns)
     names = list(target.columns) if target is not None else []
@@ -103,7 +108,7 @@ def merge_rows(
         source = unique_rows(source, keys, order_by, ignore, duplicates, keys_present)
     if target is None:
         return source
-    if duplicates != "trust":
+    if duplicates != "trust" and not colocated:
         source = stage(source, "merge")
 
     types = {f.name: f.dataType for f in source.schema.fields}
@@ -126,6 +131,8 @@ def merge_rows(
         return value.cast(types[c]).alias(c)
 
     on = key_predicate(key_columns, [quoted(_IN + k) for k in keys])
+    if colocated:
+        return target.join(incoming, on, "full_outer").select(*map(updated, columns))
     kept = target.join(incoming, on, "left").select(*map(updated, columns))
     # The repartitioning frees the join from keeping its rows by key, so that it may split them.
     matched = target.select(*key_columns).join(source.select(*key_columns), list(keys), "left_semi")

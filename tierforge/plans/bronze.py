@@ -14,7 +14,7 @@ from tierforge.operators.conform import add_audit, conform
 from tierforge.operators.dedupe import dedupe_on_keys
 from tierforge.operators.merge import merge_options, merge_rows
 from tierforge.operators.quality import require_not_null, split_not_null
-from tierforge.sinks.tables import BUCKETS, write_by_contract
+from tierforge.sinks.tables import write_by_contract
 from tierforge.sources.files import contract_scan
 
 
@@ -72,7 +72,7 @@ def load_bronze(
     raw: DataFrame | None = None,
     at: dt.datetime | None = None,
     fmt: str = "parquet",
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Read the contract's source, write its bronze table below ``root``; returns the rejects.
 

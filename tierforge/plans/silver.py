@@ -15,7 +15,7 @@ from tierforge.operators.merge import merge_rows
 from tierforge.operators.quality import split_not_null
 from tierforge.operators.summary import flag_orphans
 from tierforge.scratch import stage
-from tierforge.sinks.tables import BUCKETS, write_by_contract
+from tierforge.sinks.tables import write_by_contract
 
 
 def silver_merge(
@@ -33,7 +33,7 @@ def load_silver(
     columns: Sequence[str],
     *,
     fmt: str = "parquet",
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> None:
     """Merge a bronze table, given by its rows or its name, into the contract's silver table.
 
@@ -57,7 +57,7 @@ def load_facts(
     root: str,
     *,
     fmt: str = "parquet",
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     **options,
 ) -> DataFrame:
     """Store the cleansed facts by contract (keys, partitions); returns the rejects.

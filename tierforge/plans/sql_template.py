@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierforge.contract import Contract
 from tierforge.operators.conform import conform
-from tierforge.sinks.tables import BUCKETS, write_by_contract
+from tierforge.sinks.tables import write_by_contract
 
 
 def run_template(
@@ -40,7 +40,7 @@ def load_from_template(
     values: Mapping[str, Any] | None = None,
     *,
     fmt: str = "parquet",
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> None:
     """Store what a statement returns as the contract's table, as its write mode says.
 

@@ -1,13 +1,15 @@
 """Tables as published snapshots, found by their path.
 
-A table is a folder. Its rows lie in data folders that are never changed; which of them make up
-the table, with which columns, is said by the newest of the small files in ``_published``. They
-are numbered, and a number can be taken only once: a writer that worked from an older state than
-the newest finds its number taken, and fails instead of undoing the other's work. A write that
-breaks off leaves a data folder nobody refers to.
-
-A table may be stored in buckets, by a hash of its keys: then a snapshot names, for each data
-folder, the buckets that are current there, and an upsert replaces the buckets it has rows for.
+A table is a folder. Its rows lie in data folders that Spark writes and that are never changed; the
+newest of the small files in ``_published`` points to the one that is the table, and says how it
+is stored. They are numbered, and a number can be taken only once: a writer that worked from an
+older state than the newest finds its number taken, and fails instead of undoing the other's work.
+That needs a file system that refuses to create or rename to a name that is taken (local, HDFS); on
+object stores without such an operation only one writer at a time is safe. A write that breaks off
+leaves a data folder nobody points to.
+
+A table may be stored in Spark's buckets, by its keys and sorted by them: then a merge by these
+keys joins it where it lies.
 """
 
 from __future__ import annotations
@@ -15,18 +17,19 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Collection, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tierforge.functions.names import quoted
+from tierforge.scratch import staging
+from tierforge.sinks.layout import by_partition
 from tierforge.storage import Folder
 
-BUCKET = "__bucket"
+# Files of a data folder are put in place by the tasks: nobody looks before it is pointed to.
+_COMMIT = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 _PUBLISHED = "_published"
 
 
@@ -36,7 +39,7 @@ class ConcurrentWrite(RuntimeError):
 
 @dataclass(frozen=True)
 class Snapshot:
-    """``folders``: for each data folder, its current buckets, or None if it has no buckets."""
+    """``buckets``: how many there are, by ``keys``; 0 if the rows lie in none."""
 
     version: int
     fmt: str
@@ -44,7 +47,7 @@ class Snapshot:
     partition_by: tuple[str, ...]
     keys: tuple[str, ...]
     buckets: int
-    folders: dict[str, list[int] | None]
+    folder: str
 
     def text(self) -> str:
         return json.dumps(vars(self) | {"schema": self.schema.jsonValue()}, indent=1)
@@ -77,33 +80,22 @@ def newest(spark: SparkSession, root: str, name: str) -> Snapshot | None:
     """
     table = Folder(spark, table_path(root, name))
     found = table.names()
-    published = Folder(spark, f"{table.path}/{_PUBLISHED}") if _PUBLISHED in found else None
-    marks = [n for n in published.names() if n.endswith(".json")] if published else []
+    marks = published_names(spark, root, name) if _PUBLISHED in found else []
     if marks:
-        return Snapshot.parsed(published.read(max(marks)))
+        return Snapshot.parsed(Folder(spark, f"{table.path}/{_PUBLISHED}").read(max(marks)))
     foreign = [n for n in found if not n.startswith(("_", ".", "data-"))]
     if foreign:
         raise ValueError(f"{table.path} holds {foreign[0]} and others, but no published snapshot")
     return None
 
 
-def read_snapshot(
-    spark: SparkSession, root: str, name: str, at: Snapshot, buckets: Collection[int] | None = None
-) -> DataFrame:
-    """The rows of a snapshot, of some buckets only if they are given."""
-    stored = T.StructType([*at.schema, *_bucket_field(at)])
-    parts = []
-    for folder, held in at.folders.items():
-        rows = spark.read.schema(stored).format(at.fmt).load(f"{table_path(root, name)}/{folder}")
-        if held is not None:
-            wanted = sorted(set(held) if buckets is None else set(held) & set(buckets))
-            if not wanted:
-                continue
-            rows = rows.where(F.col(BUCKET).isin(wanted)).drop(BUCKET)
-        parts.append(rows)
-    if not parts:
-        return spark.createDataFrame([], at.schema)
-    return reduce(DataFrame.unionByName, parts).select(*map(quoted, at.schema.names))
+def read_snapshot(spark: SparkSession, root: str, name: str, at: Snapshot) -> DataFrame:
+    """The rows of a snapshot. Only the catalog can tell a scan of buckets, so one that is stored
+    in buckets is made known to it."""
+    if at.buckets:
+        return spark.table(_known(spark, root, name, at)).select(*map(quoted, at.schema.names))
+    place = f"{table_path(root, name)}/{at.folder}"
+    return spark.read.schema(at.schema).format(at.fmt).load(place).select(*map(quoted, at.schema.names))
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -114,12 +106,6 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_snapshot(spark, root, name, at)
 
 
-def bucket_of(keys: Sequence[str], schema: T.StructType, buckets: int) -> Column:
-    """A row's bucket; its keys are taken in the types of the table."""
-    typed = [quoted(k).cast(schema[k].dataType) for k in keys]
-    return F.pmod(F.xxhash64(*typed), F.lit(buckets)).cast("int")
-
-
 def publish(
     df: DataFrame,
     root: str,
@@ -130,32 +116,36 @@ def publish(
     partition_by: Sequence[str] = (),
     keys: Sequence[str] = (),
     buckets: int = 0,
-    replaced: Collection[int] | None = None,
+    colocated: bool = False,
 ) -> Snapshot:
-    """Write ``df`` and make it the table's rows, or those of the buckets in ``replaced``.
+    """Write ``df`` and make it the table's rows.
 
-    ``before`` is the snapshot the rows were made from.
+    ``before`` is the snapshot the rows were made from. ``colocated`` says that the rows already
+    lie by their keys in as many partitions as there are buckets.
     """
     spark, path = df.sparkSession, table_path(root, name)
     stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
     folder = f"data-{stamp}-{uuid.uuid4().hex[:12]}"
     nullable = T.StructType([replace_nullable(f) for f in df.schema])
-    rows, layout = df, list(partition_by)
-    if buckets:
-        rows = df.withColumn(BUCKET, bucket_of(keys, nullable, buckets))
-        layout = [BUCKET, *layout]
-    partitioned(rows, fmt, layout).save(f"{path}/{folder}")
-    old: dict[str, list[int] | None] = {}
-    if replaced is not None and before is not None:
-        old = {f: sorted(set(held or ()) - set(replaced)) for f, held in before.folders.items()}
-        old = {f: held for f, held in old.items() if held}
-    own = None
-    if buckets:
-        own = sorted(range(buckets) if replaced is None else replaced)
     now = Snapshot(
-        (before.version if before else 0) + 1, fmt, nullable, tuple(partition_by), tuple(keys),
-        buckets, old | {folder: own},
+        (before.version if before else 0) + 1, fmt, nullable, tuple(partition_by),
+        tuple(keys) if buckets else (), buckets, folder,
     )
+    with staging(spark):
+        if buckets:
+            rows = df if colocated else df.repartition(buckets, *map(quoted, keys))
+            writer = rows.write.format(fmt).bucketBy(buckets, *keys).sortBy(*keys)
+        else:
+            rows = by_partition(df, partition_by) if partition_by else df
+            writer = rows.write.format(fmt)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer = writer.options(**_COMMIT)
+        if buckets:
+            place = Folder(spark, f"{path}/{folder}").path
+            writer.option("path", place).saveAsTable(_identifier(_known_name(name, now)))
+        else:
+            writer.save(f"{path}/{folder}")
     if not Folder(spark, f"{path}/{_PUBLISHED}").create(f"{now.version:012d}.json", now.text()):
         raise ConcurrentWrite(f"{path}: version {now.version} was published meanwhile")
     show(spark, root, name, now)
@@ -163,31 +153,36 @@ def publish(
 
 
 def show(spark: SparkSession, root: str, name: str, at: Snapshot | None = None) -> None:
-    """Make ``name`` a view over a snapshot, by default the newest, for use in SQL.
-
-    The catalog is told the columns: a partition of strings stays one whatever its values look
-    like, and a table without rows has columns.
-    """
+    """Make ``name`` a view over a snapshot, by default the newest, for use in SQL."""
     at = at or newest(spark, root, name)
     if at is None:
         raise LookupError(f"no table {name} below {root}")
     columns = ", ".join(quoted_name(c) for c in at.schema.names)
-    layout = [f.name for f in _bucket_field(at)] + list(at.partition_by)
-    parts = []
-    for folder, held in at.folders.items():
-        known = _identifier(f"{name}__{folder.replace('-', '_')}_{at.version}")
-        if not spark.catalog.tableExists(known):
-            fields = [*at.schema, *_bucket_field(at)]
-            declared = ", ".join(f"{quoted_name(f.name)} {f.dataType.simpleString()}" for f in fields)
-            by = f"PARTITIONED BY ({', '.join(map(quoted_name, layout))})" if layout else ""
-            place = Folder(spark, f"{table_path(root, name)}/{folder}").path.replace("'", "\\'")
-            spark.sql(f"CREATE TABLE {known} ({declared}) USING {at.fmt} {by} LOCATION '{place}'")
-            if layout:
-                spark.catalog.recoverPartitions(known)
-        where = f" WHERE {BUCKET} IN ({', '.join(map(str, held))})" if held is not None else ""
-        parts.append(f"SELECT {columns} FROM {known}{where}")
-    view = " UNION ALL ".join(parts)
-    spark.sql(f"CREATE OR REPLACE VIEW {_identifier(name)} AS {view}")
+    known = _known(spark, root, name, at)
+    spark.sql(f"CREATE OR REPLACE VIEW {_identifier(name)} AS SELECT {columns} FROM {known}")
+
+
+def _known_name(name: str, at: Snapshot) -> str:
+    return f"{name}__{at.folder.replace('-', '_')}"
+
+
+def _known(spark: SparkSession, root: str, name: str, at: Snapshot) -> str:
+    """The data folder's name in the catalog, which is told of it if need be.
+
+    It is told the columns: a partition of strings stays one whatever its values look like, and a
+    table without rows has columns.
+    """
+    known = _identifier(_known_name(name, at))
+    if not spark.catalog.tableExists(known):
+        declared = ", ".join(f"{quoted_name(f.name)} {f.dataType.simpleString()}" for f in at.schema)
+        by = f"PARTITIONED BY ({_names(at.partition_by)})" if at.partition_by else ""
+        if at.buckets:
+            by += f" CLUSTERED BY ({_names(at.keys)}) SORTED BY ({_names(at.keys)}) INTO {at.buckets} BUCKETS"
+        place = Folder(spark, f"{table_path(root, name)}/{at.folder}").path.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {known} ({declared}) USING {at.fmt} {by} LOCATION '{place}'")
+        if at.partition_by:
+            spark.catalog.recoverPartitions(known)
+    return known
 
 
 def drop_old(spark: SparkSession, root: str, name: str, keep: int = 2) -> list[str]:
@@ -198,7 +193,7 @@ def drop_old(spark: SparkSession, root: str, name: str, keep: int = 2) -> list[s
     table = Folder(spark, table_path(root, name))
     published = Folder(spark, f"{table.path}/{_PUBLISHED}")
     marks = sorted(n for n in published.names() if n.endswith(".json"))
-    kept = {f for n in marks[-max(1, keep):] for f in Snapshot.parsed(published.read(n)).folders}
+    kept = {Snapshot.parsed(published.read(n)).folder for n in marks[-max(1, keep) :]}
     gone = [n for n in table.names() if n.startswith("data-") and n not in kept] if marks else []
     for n in marks[: -max(1, keep)]:
         published.delete(n)
@@ -207,18 +202,6 @@ def drop_old(spark: SparkSession, root: str, name: str, keep: int = 2) -> list[s
     return gone
 
 
-def partitioned(df: DataFrame, fmt: str, partition_by: Sequence[str]) -> DataFrameWriter:
-    """A writer of the rows, those of a partition brought together.
-
-    Left where they are, every task would add a file to every partition. The rebalance hint
-    moves them adaptively: a partition that holds much of the table is split into several
-    tasks and files, and small ones share a task.
-    """
-    if not partition_by:
-        return df.write.format(fmt)
-    return df.hint("rebalance", *partition_by).write.format(fmt).partitionBy(*partition_by)
-
-
 def replace_nullable(field: T.StructField) -> T.StructField:
     """Stored columns may be null; metadata of views stays behind."""
     return T.StructField(field.name, field.dataType, True)
@@ -233,11 +216,11 @@ def _identifier(name: str) -> str:
     return ".".join(quoted_name(part) for part in name.split("."))
 
 
-def _bucket_field(at: Snapshot) -> list[T.StructField]:
-    return [T.StructField(BUCKET, T.IntegerType())] if at.buckets else []
+def _names(columns: Sequence[str]) -> str:
+    return ", ".join(map(quoted_name, columns))
 
 
 __all__ = [
-    "BUCKET", "ConcurrentWrite", "Snapshot", "bucket_of", "drop_old", "newest", "publish",
+    "ConcurrentWrite", "Snapshot", "drop_old", "newest", "publish", "published_names",
     "read_snapshot", "read_table", "show",
 ]

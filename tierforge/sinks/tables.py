@@ -3,9 +3,11 @@
 A Parquet folder cannot be updated in place, and overwriting a folder the plan still reads
 loses the data. So a table that is replaced or upserted is a series of published snapshots
 (see :mod:`tierforge.sinks.snapshots`), found by its path in any session. A failed or repeated
-write leaves the old snapshot current; readers that started earlier keep theirs. An upsert
-rewrites the buckets it has rows for, or the table if that has no buckets; where a format with
-its own MERGE is installed, :func:`upsert_native` rewrites the files that change.
+write leaves the old snapshot current; readers that started earlier keep theirs. An upsert of such
+a table writes all of it anew, whatever the number of rows it brings; stored in buckets by its keys
+it is not shuffled for that. What leaves unmatched data alone is :func:`upsert_partitions`, where the
+partition columns are keys, and :func:`upsert_native`, where a format with its own MERGE is
+installed.
 """
 
 from __future__ import annotations
@@ -26,22 +28,15 @@ from tierforge.operators.merge import (
     key_predicate,
     merge_options,
     merge_rows,
+    spelled_like,
     unique_rows,
 )
 from tierforge.scratch import stage, staging
-from tierforge.sinks.snapshots import (
-    Snapshot,
-    bucket_of,
-    newest,
-    partitioned,
-    publish,
-    read_snapshot,
-)
+from tierforge.sinks.layout import partitioned
+from tierforge.sinks.snapshots import Snapshot, newest, publish, read_snapshot
 from tierforge.sources.files import read_if_exists
 from tierforge.storage import Folder
 
-# Buckets of a table written by contract.
-BUCKETS = 16
 # Formats whose tables Spark can MERGE INTO.
 MERGING_FORMATS = frozenset(("delta", "iceberg", "hudi"))
 
@@ -49,9 +44,14 @@ MERGING_FORMATS = frozenset(("delta", "iceberg", "hudi"))
 def overwrite(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> None:
-    """Replace everything at ``path``; refuses a path that ``df`` itself reads."""
+    """Replace everything at ``path``; refuses a path that ``df`` itself reads.
+
+    What was there is deleted before the new rows are written: a job that fails leaves no table.
+    ``create_or_replace`` keeps the old rows until the new ones are complete.
+    """
     _refuse_own_input(df, path)
-    partitioned(df, fmt, partition_by).mode("overwrite").save(path)
+    with staging(df.sparkSession):
+        partitioned(df, fmt, partition_by).mode("overwrite").save(path)
 
 
 def create_if_missing(
@@ -101,36 +101,36 @@ def upsert_table(
 ) -> Snapshot:
     """Keyed upsert into ``name``, created on the first call; returns the new snapshot.
 
-    Whether there is a table is settled by its path, not by the catalog. ``buckets`` is the
-    number of buckets of a new table (0: none); an existing one keeps its layout. ``options`` are
-    those of ``merge_rows``.
+    Whether there is a table is settled by its path, not by the catalog. ``buckets`` is the number
+    of Spark's buckets of a new table, by its keys (0: none); an existing one keeps its layout, and
+    in buckets only the source is shuffled. ``options`` are those of ``merge_rows``.
     """
     spark = source.sparkSession
     before = newest(spark, root, name)
-    if before is None:
-        with staging(spark):
-            rows = _merged(None, source, keys, **options)
-            layout = {"keys": keys, "buckets": buckets} if buckets else {}
-            return publish(rows, root, name, None, fmt=fmt, partition_by=partition_by, **layout)
     with staging(spark):
+        if before is None:
+            rows = _merged(None, source, keys, **options)
+            return publish(
+                rows, root, name, None, fmt=fmt, partition_by=partition_by, keys=keys, buckets=buckets
+            )
         layout = {"fmt": before.fmt, "partition_by": before.partition_by}
+        target = read_snapshot(spark, root, name, before)
         if not before.buckets:
-            target = read_snapshot(spark, root, name, before)
             return publish(_merged(target, source, keys, **options), root, name, before, **layout)
         if tuple(keys) != before.keys:
             raise ValueError(f"{name} is stored by {list(before.keys)}, not by {list(keys)}")
-        check_merge(read_snapshot(spark, root, name, before), source, keys,
-                    options.get("add_columns", False))
-        rows = stage(_unique(source, keys, options), "merge")
-        bucket = bucket_of(keys, before.schema, before.buckets)
-        # At most as many numbers as there are buckets.
-        touched = [r[0] for r in rows.select(bucket.alias("b")).distinct().collect()]
-        if not touched:
+        add_columns = options.get("add_columns", False)
+        check_merge(target, source, keys, add_columns)
+        rows = stage(_unique(spelled_like(source, before.schema.names), keys, options), "merge")
+        if rows.isEmpty():
             return before
-        target = read_snapshot(spark, root, name, before, touched)
-        merged = _merged(target, rows, keys, **options | {"duplicates": "trust"})
+        typed = {k: quoted(k).cast(before.schema[k].dataType) for k in keys}
+        placed = rows.withColumns(typed).repartition(before.buckets, *map(quoted, keys))
+        merged = merge_rows(
+            target, placed, keys, duplicates="trust", add_columns=add_columns, colocated=True
+        )
         return publish(
-            merged, root, name, before, keys=keys, buckets=before.buckets, replaced=touched, **layout
+            merged, root, name, before, keys=keys, buckets=before.buckets, colocated=True, **layout
         )
 
 
@@ -277,13 +277,13 @@ def write_by_contract(
     *,
     keys_present: bool = False,
     keys_unique: bool = False,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> None:
     """Upsert or replace the contract's table, as its write mode says.
 
-    A format with a MERGE of its own uses it; other tables are stored in buckets, so that either
-    way an upsert leaves alone what it has no rows for. ``keys_unique`` says that no key of
-    ``df`` repeats.
+    A format with a MERGE of its own uses it; a new table of another is stored by its partitions or,
+    if it has none, in ``buckets`` by its keys (as many as ``spark.sql.shuffle.partitions``, unless
+    given). ``keys_unique`` says that no key of ``df`` repeats.
     """
     if contract.write_mode != "merge":
         create_or_replace(df, contract.table, root, fmt, contract.partitions)
@@ -299,6 +299,9 @@ def write_by_contract(
             **options,
         )
     else:
+        if buckets is None:
+            shuffled = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            buckets = 0 if contract.partitions else shuffled
         upsert_table(
             df,
             contract.table,

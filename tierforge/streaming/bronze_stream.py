@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tierforge.contract import Contract
 from tierforge.plans.bronze import bronze_rows
-from tierforge.sinks.tables import BUCKETS, write_by_contract
+from tierforge.sinks.tables import write_by_contract
 
 
 def bronze_stream(
@@ -21,7 +21,7 @@ def bronze_stream(
     checkpoint: str,
     *,
     at: dt.datetime | None = None,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Upsert all files that arrived since the last run, then stop.
 

@@ -254,7 +254,7 @@ ORACLES: dict[str, str] = {
         SELECT 'sound' AS folder, 'text' AS status, CAST(count(*) AS BIGINT) AS rows FROM part
         UNION ALL SELECT 'one', 'text', count(*) FROM supplier
         UNION ALL SELECT 'bare', 'text', 0
-        UNION ALL SELECT 'long', 'text', count(*) - 1 FROM part
+        UNION ALL SELECT 'long', 'text', count(*) FROM part
         UNION ALL SELECT 'surplus', 'failed', NULL
     """,
     "text_ingest": """

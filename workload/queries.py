@@ -373,7 +373,8 @@ def merge_composite_key(spark: SparkSession, sf: str) -> DataFrame:
         "l_quantity", F.col("l_quantity") + 100
     )
     keys, order = ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"]
-    return merge_rows(dedupe_on_keys(lines, keys, order), later, keys, order_by=order)
+    target = dedupe_on_keys(lines, keys, order)
+    return merge_rows(target, later, keys, order_by=order, keys_present=True, colocated=True)
 
 
 def merge_null_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -506,15 +507,14 @@ def layers_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     _write_csv(_raw_sales(spark, sf), f"{root}/sales")
     product, sales = _named(PRODUCT), _named(SALES)
     bronze, silver = f"{root}/bronze", f"{root}/silver"
-    # The sales lie in folders by day as it is; one bucket spares as many folders again.
     load_bronze(spark, product, {"landing": f"{root}/products"}, bronze, at=LOADED_AT)
-    load_bronze(spark, sales, {"landing": f"{root}/sales"}, bronze, at=LOADED_AT, buckets=1)
+    load_bronze(spark, sales, {"landing": f"{root}/sales"}, bronze, at=LOADED_AT)
 
     columns = ["product_id", "product_name", "category", "brand", "ingest_ts"]
     load_silver(spark, product, _stored(spark, bronze, product.table), silver, columns)
     dim = _stored(spark, silver, product.table)
     facts = _stored(spark, bronze, sales.table).drop("ingest_ts")
-    load_facts(facts, sales, dim, "product_id", silver, keys_unique=True, buckets=1)
+    load_facts(facts, sales, dim, "product_id", silver, keys_unique=True)
 
     name = f"sales_summary_{uuid.uuid4().hex}"
     load_gold(_stored(spark, silver, sales.table), dim, f"{root}/gold", name)
@@ -675,10 +675,10 @@ def sniffed_text(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("p_partkey", "p_name", "p_brand", "p_size", folder.alias("folder"))
 
 
-def _encoded(rows: DataFrame, codec: str) -> DataFrame:
+def _encoded(rows: DataFrame, codec: str, head: str | None = None) -> DataFrame:
     """Semicolon-separated lines as the bytes of an encoding, a header in front of each task's."""
     line = F.array_join(F.array(*rows.columns), ";")
-    head = ";".join(rows.columns)
+    head = head or ";".join(rows.columns)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines = [head]
@@ -771,7 +771,7 @@ def text_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def text_outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    """Files of sound text, of header lines alone, and of rows longer than the header: how many
+    """Files of sound text, of a header line alone, and of rows longer than the header: how many
     came out as what, with their rows."""
     src, dst = scratch_dir(spark, "in"), scratch_dir(spark, "out")
     part = _table(spark, sf, "part").select(F.col("p_partkey").cast("string"), "p_name")
@@ -780,10 +780,9 @@ def text_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     _write_csv(supplier, f"{src}/one")
     head = spark.createDataFrame([("id|name",)], "value string")
     head.coalesce(1).write.text(f"{src}/bare")
-    long = part.select(F.concat_ws(";", "p_partkey", "p_name", F.lit("more")).alias("value"))
-    long.coalesce(1).write.text(f"{src}/long")
-    head = spark.createDataFrame([("id;name",)], "value string")
-    head.unionByName(long).coalesce(1).write.text(f"{src}/surplus")
+    long = part.withColumn("more", F.lit("more"))
+    _encoded(long, "utf-8").write.text(f"{src}/long")
+    _encoded(long, "utf-8", "id;name").write.text(f"{src}/surplus")
     manifest = spreadsheet_ingest(spark, src, dst, glob="*.{csv,txt}")
     folder = F.regexp_extract("path", "/([a-z]+)/[^/]*$", 1).alias("folder")
     return manifest.groupBy(folder, "status").agg(F.sum("rows").alias("rows"))
