@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierforge.sinks.sheet_files import export_files
 from tierforge.sinks.sheets import export_path, export_sheets, read_findings
 from tierforge.sources.delimited import layouts, text_rows
 from tierforge.sources.files import csv_scan
@@ -22,6 +23,7 @@ def spreadsheet_ingest(
     encoding: str = "utf-8-sig",
     glob: str = SPREADSHEET_GLOB,
     text_encoding: str | None = None,
+    one_file: bool = False,
 ) -> DataFrame:
     """Export every sheet below ``src`` as CSV below ``dst``; returns the manifest.
 
@@ -29,7 +31,8 @@ def spreadsheet_ingest(
     text (``text``) and per file that could not be read (``failed``, with the ``error``);
     such a file does not stop the others. It tells what was written; nothing is read again. The
     number of jobs does not depend on the number of files or layouts. ``text_encoding``: see
-    ``layouts``.
+    ``layouts``. ``one_file``: write plain files, one for each sheet or text file, named as in
+    ``export_files``; the manifest then has their names in ``file``.
     """
     found = layouts(spark, src, glob, text_encoding)
     books = [r["path"] for r in found.where("kind = 'workbook'").select("path").collect()]
@@ -37,13 +40,22 @@ def spreadsheet_ingest(
     bare = found.where("kind = 'text' and bare").select(
         "path", "header", F.lit(None).cast("array<string>").alias("cells")
     )
+    rows = text_rows(spark, found)
+    if one_file:
+        text = rows.unionByName(bare, allowMissingColumns=True)
+        parsed = parse_files(files, first_sheet_only)
+        listed = export_files(parsed, src, dst, first_sheet_only, encoding, text)
+        failed = found.where("kind = 'failed'").select("path", "error").unionByName(too_long)
+        return listed.unionByName(
+            failed.withColumn("status", F.lit("failed")), allowMissingColumns=True
+        )
     run = export_sheets(
         parse_files(files, first_sheet_only),
         src,
         dst,
         first_sheet_only,
         encoding,
-        text_rows(spark, found).unionByName(bare),
+        rows.drop("place").unionByName(bare),
     )
     written = read_findings(spark, run)
     text = written.where("kind = 'text'").groupBy("path").agg(F.sum("rows").alias("rows"))

@@ -1,5 +1,6 @@
 """Writers."""
 
+from tierforge.sinks.sheet_files import export_files
 from tierforge.sinks.sheets import export_path, export_sheets, newest_run, read_findings
 from tierforge.sinks.snapshots import ConcurrentWrite, drop_old, newest, read_table, show
 from tierforge.sinks.tables import (
@@ -21,6 +22,7 @@ __all__ = [
     "create_or_replace",
     "create_table",
     "drop_old",
+    "export_files",
     "export_path",
     "export_sheets",
     "merge_into",

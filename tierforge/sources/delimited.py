@@ -270,13 +270,16 @@ def _by_record(ways: Mapping[str, Way]) -> dict[str, Way]:
 def _cells_by_place(
     spark: SparkSession, found: DataFrame, but: Collection[str] = ()
 ) -> DataFrame:
-    """``path, header, every`` of all rows below the headers of ``text`` files.
+    """``path, header, place, every`` of all rows below the headers of ``text`` files.
 
-    ``every`` has a cell more than the longest header names. ``but`` are paths left out.
+    ``every`` has a cell more than the longest header names; ``place`` orders the rows of a file.
+    ``but`` are paths left out.
     """
     ways = {p: w for p, w in _ways(found).items() if p not in but}
     if not ways:
-        return spark.createDataFrame([], "path string, header array<string>, every array<string>")
+        return spark.createDataFrame(
+            [], "path string, header array<string>, place struct<split:long,line:long>, every array<string>"
+        )
     width = 1 + found.agg(F.max(F.size("header"))).first()[0]
     names = [f"c{k}" for k in range(width)]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -296,7 +299,13 @@ def _cells_by_place(
             .option("escape", '"')
             .csv([escaped(p) for p in paths])
         )
-        parts.append(rows.select(file_path().alias("path"), F.array(*names).alias("every")))
+        place = F.struct(
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("line"),
+        )
+        parts.append(
+            rows.select(file_path().alias("path"), place.alias("place"), F.array(*names).alias("every"))
+        )
     if by_record:
         cut = records(spark, by_record, split_starts(spark, by_record))
         fields = ", ".join(f"{n} string" for n in names)
@@ -309,19 +318,21 @@ def _cells_by_place(
             F.lit(None),
         )
         every = F.array(*[F.col("cells")[n] for n in names]).alias("every")
-        parts.append(cut.select("path", cells.alias("cells")).select("path", every))
+        place = F.struct("split", "line").alias("place")
+        parts.append(cut.select("path", place, cells.alias("cells")).select("path", "place", every))
     rows = reduce(DataFrame.union, parts)
-    return rows.join(found.select("path", "header"), "path").select("path", "header", "every")
+    return rows.join(found.select("path", "header"), "path").select("path", "header", "place", "every")
 
 
 def text_rows(spark: SparkSession, found: DataFrame) -> DataFrame:
-    """``path, header, cells`` of all rows of the ``text`` files among the layouts.
+    """``path, header, place, cells`` of all rows of the ``text`` files among the layouts.
 
-    ``cells`` has one for each name in ``header``; missing-value texts are NULL.
+    ``cells`` has one for each name in ``header``; missing-value texts are NULL. ``place`` orders the
+    rows of a file.
     """
     rows = _cells_by_place(spark, found.where("kind = 'text'"))
     cells = F.transform(F.slice("every", F.lit(1), F.size("header")), na_cell)
-    return rows.select("path", "header", cells.alias("cells"))
+    return rows.select("path", "header", "place", cells.alias("cells"))
 
 
 def text_sheets(

@@ -27,6 +27,7 @@ from tierforge.sources.spreadsheets import escaped
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _BATCH = 4096
+_LAST = 1 << 62
 
 
 class Way(NamedTuple):
@@ -155,26 +156,29 @@ def _starts(
 def records(
     spark: SparkSession, ways: Mapping[str, Way], starts: Mapping[tuple[str, int], int]
 ) -> DataFrame:
-    """``path, separator, record`` of all records but each file's first one, its header."""
-    schema = "path string, separator string, opener long, part long, head boolean, record string"
+    """``path, split, line, separator, record`` of all records but each file's first, its header;
+    ``split`` and ``line`` order the records of a file."""
+    schema = "path string, split long, line long, part long, separator string, head boolean, record string"
     names = [f.split()[0] for f in schema.split(", ")]
     kinds = pa.schema(
-        [("path", pa.string()), ("separator", pa.string()), ("opener", pa.int64()),
-         ("part", pa.int64()), ("head", pa.bool_()), ("record", pa.string())]
+        [("path", pa.string()), ("split", pa.int64()), ("line", pa.int64()), ("part", pa.int64()),
+         ("separator", pa.string()), ("head", pa.bool_()), ("record", pa.string())]
     )
 
     def cut(batches: Iterator[pa.RecordBatch], over: bool) -> Iterator[pa.RecordBatch]:
         """The records within splits, or (``over``) the parts of those that lie over their ends."""
         out: list[tuple] = []
-        now, lines, is_open, opener, head = None, [], False, None, False
+        now, lines, is_open, opener, head, nth = None, [], False, None, False, 0
 
         def done(part: bool) -> None:
-            nonlocal head
+            nonlocal head, nth
+            nth += 1
             text = "\n".join(lines)
             if part or text.strip():
                 if part == over:
-                    way = ways[now[0]]
-                    out.append((now[0], way.separator, opener if part else None, now[1], head, text))
+                    # What lies over the end of its split comes last there.
+                    place = (opener, _LAST) if part else (now[1], nth)
+                    out.append((now[0], *place, now[1], ways[now[0]].separator, head, text))
                 head = False
             lines.clear()
 
@@ -183,7 +187,7 @@ def records(
                 if lines:
                     opener = now[1] if opener is None else opener
                     done(True)
-                now, head = (path, split), split == 0
+                now, head, nth = (path, split), split == 0, 0
                 opener = starts.get(now)
                 is_open = opener is not None
             lines.append(line)
@@ -207,16 +211,15 @@ def records(
     found = []
     for paths in (quoted, [p for p in ways if p not in set(quoted)]):
         if paths:
-            found.append(_lines(spark, paths).mapInArrow(lambda b: cut(b, False), schema).drop("opener", "part"))
+            found.append(_lines(spark, paths).mapInArrow(lambda b: cut(b, False), schema).drop("part"))
     if starts:
         ends = {(p, s) for p, s in starts} | {(p, opener) for (p, _), opener in starts.items()}
         known = spark.createDataFrame(sorted(ends), "path string, split long")
         at_ends = _lines(spark, quoted).join(F.broadcast(known), ["path", "split"], "left_semi")
         parts = at_ends.mapInArrow(lambda b: cut(b, True), schema)
         text = F.array_join(F.transform(F.array_sort("parts"), lambda p: p["record"]), "\n")
-        joined = parts.groupBy("path", "separator", "opener").agg(
+        joined = parts.groupBy("path", "split", "line", "separator").agg(
             F.collect_list(F.struct("part", "record")).alias("parts"), F.bool_or("head").alias("head")
         )
-        found.append(joined.select("path", "separator", "head", text.alias("record")))
-    rows = reduce(DataFrame.unionByName, found)
-    return rows.where(~F.col("head")).select("path", "separator", "record")
+        found.append(joined.withColumn("record", text).drop("parts"))
+    return reduce(DataFrame.unionByName, found).where(~F.col("head")).drop("head")

@@ -219,6 +219,9 @@ ORACLES: dict[str, str] = {
         SELECT *, CAST(SUM(quantity) OVER (PARTITION BY flag) AS BIGINT) AS of_flag
         FROM s WHERE sales >= 2
     """,
+    "sheet_files": f"""
+        SELECT *, '商品 list' AS sheet, 'ok' AS status FROM ({_as_text(_OLD)})
+    """,
     "text_encodings": """
         SELECT folder, CAST(p_partkey AS VARCHAR) AS number,
                translate(p_name, 'aeiou', 'アエイオウ') AS name

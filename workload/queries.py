@@ -43,6 +43,7 @@ from tierforge.plans import (
 from tierforge.scratch import scratch_dir
 from tierforge.sinks import (
     create_if_missing,
+    export_files,
     export_sheets,
     overwrite,
     read_table,
@@ -739,6 +740,19 @@ def workbook_scan(spark: SparkSession, sf: str) -> DataFrame:
     return conform(exported_scan(spark, dst, "products*.csv", PRODUCT.headers), PRODUCT)
 
 
+def sheet_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The products in workbooks, each sheet written as one plain file; every row read back with what
+    the manifest says of its file."""
+    dst = scratch_dir(spark, "files")
+    books = pack(_raw_products(spark, sf), "商品 list", "/books/Bulgaria", "products")
+    manifest = export_files(parse_files(books), "/books", dst)
+    files = csv_scan(spark, dst, "products*__list.csv", PRODUCT.headers, {"multiLine": "true"})
+    name = F.concat(F.lit("Bulgaria/"), F.substring_index("_metadata.file_path", "/", -1))
+    told = manifest.select(F.col("file").alias("name"), "sheet", "status")
+    rows = conform(files.select("*", name.alias("name")), PRODUCT)
+    return rows.join(told, "name", "left").drop("name")
+
+
 def workbook_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """What parsing found among sound and cut-off workbooks: rows by sheet and outcome."""
     sound = pack(_raw_products(spark, sf), "Products", "/books", "p").unionByName(
@@ -874,6 +888,7 @@ QUERIES: dict[str, Query] = {
     "csv_scan_nested": csv_files_nested,
     "sniffed_text_scan": sniffed_text,
     "workbook_scan": workbook_scan,
+    "sheet_files": sheet_files,
     "workbook_manifest": workbook_manifest,
     "text_encodings": text_encodings,
     "quoted_lines": quoted_lines,
