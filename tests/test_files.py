@@ -2,7 +2,9 @@ import pytest
 
 from tierforge import Contract
 from tierforge.plans import run_template
-from tierforge.sources import contract_scan, csv_scan, read_if_exists
+from tierforge.plans import load_bronze
+from tierforge.sinks import read_table
+from tierforge.sources import contract_scan, csv_quarantine, csv_scan, read_if_exists
 from tests.conftest import rows
 
 HEADER = "商品ID,商品名\n"
@@ -35,6 +37,35 @@ def test_short_rows_are_padded_and_long_ones_cut(spark, tmp_path):
     assert rows(csv_scan(spark, str(tmp_path))) == [("1", "2"), ("1", None)]
 
 
+def test_rows_that_do_not_fit_are_quarantined_with_a_reason(spark, tmp_path):
+    write(tmp_path / "a.csv", 'a;b\n1\n1;2;LOST\n"x;y";"2;"\n3;;;\n4;5;;6\n;\n7;"8\n9";\n', "utf-8-sig")
+    options = {"sep": ";", "multiLine": "true"}
+    good, bad = csv_quarantine(spark, str(tmp_path), columns=["a", "b"], options=options)
+    fitting = [("1", None), ("x;y", "2;"), ("3", None), (None, None), ("7", "8\n9")]
+    assert rows(good) == sorted(fitting, key=repr)
+    assert rows(bad.select("cells", "record", "reason")) == [
+        (["1", "2"], "1;2;LOST", "surplus cells"),
+        (["4", "5"], "4;5;;6", "surplus cells"),
+    ]
+    good, bad = csv_quarantine(spark, str(tmp_path), columns=["a", "b"], options=options, short="quarantine")
+    assert rows(good) == sorted(fitting[1:], key=repr)
+    assert rows(bad.select("record", "reason").where("reason = 'missing cells'")) == [("1", "missing cells")]
+    with pytest.raises(Exception, match="(?i)header"):
+        csv_quarantine(spark, str(tmp_path), columns=["b", "a"], options=options)[0].collect()
+    for wrong in ({"columns": []}, {"columns": ["a"], "short": "maybe"}):
+        with pytest.raises(ValueError):
+            csv_quarantine(spark, str(tmp_path), **wrong)
+
+
+def test_a_load_keeps_what_it_quarantines(spark, tmp_path):
+    cfg = {"table": "quarantined_t", "source": {"location_ref": "land"}, "columns": {"a": {"type": "int"}, "b": {"type": "string"}}, "primary_keys": ["a"]}
+    write(tmp_path / "land/p.csv", "a,b\n1,x\n2,y,LOST\nz,w\n")
+    rejected = load_bronze(spark, Contract.from_dict(cfg), {"land": f"{tmp_path}/land"}, f"{tmp_path}/lake", quarantine=True)
+    assert rows(rejected.select("b")) == [("w",)]
+    assert rows(read_table(spark, f"{tmp_path}/lake", "quarantined_t").select("a", "b")) == [(1, "x")]
+    assert rows(spark.read.parquet(f"{tmp_path}/lake/quarantined_t__quarantined").select("record")) == [("2,y,LOST",)]
+
+
 def test_no_file_is_an_empty_table_when_the_columns_are_known(spark, tmp_path):
     assert csv_scan(spark, str(tmp_path), columns=["a"]).count() == 0
     with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA"):

@@ -15,7 +15,7 @@ from tierforge.operators.dedupe import dedupe_on_keys
 from tierforge.operators.merge import merge_options, merge_rows
 from tierforge.operators.quality import require_not_null, split_not_null
 from tierforge.sinks.tables import write_by_contract
-from tierforge.sources.files import contract_scan
+from tierforge.sources.files import contract_root, contract_scan, csv_quarantine
 
 
 def bronze_rows(
@@ -73,14 +73,24 @@ def load_bronze(
     at: dt.datetime | None = None,
     fmt: str = "parquet",
     buckets: int | None = None,
+    quarantine: bool = False,
 ) -> DataFrame:
     """Read the contract's source, write its bronze table below ``root``; returns the rejects.
 
     ``raw`` takes the place of the source, exported sheets for example. The rejects are stored
-    below ``<root>/<table>__rejected``, a folder for each load. ``buckets``: see
-    ``write_by_contract``.
+    below ``<root>/<table>__rejected``, a folder for each load. ``quarantine``: rows of CSV files
+    that have more cells than the contract has headers are not cut to size, but left out and stored
+    as they are below ``<root>/<table>__quarantined``. ``buckets``: see ``write_by_contract``.
     """
-    source = contract_scan(spark, contract, roots) if raw is None else raw
+    if raw is None and quarantine:
+        if contract.source_format != "csv":
+            raise ValueError(f"{contract.table}: only rows of CSV files can be quarantined")
+        options = contract.reader_options
+        place = contract_root(contract, roots)
+        source, odd = csv_quarantine(spark, place, contract.glob, contract.headers, options)
+        odd.write.parquet(f"{root.rstrip('/')}/{contract.table}__quarantined/load={uuid.uuid4().hex}")
+    else:
+        source = contract_scan(spark, contract, roots) if raw is None else raw
     valid, rejected = bronze_rows(source, contract, at=at)
     if contract.write_mode == "overwrite":
         valid = _replacement(valid, contract)

@@ -1,7 +1,13 @@
 """Readers."""
 
 from tierforge.sources.delimited import layouts, text_rows, text_sheets
-from tierforge.sources.files import contract_scan, csv_scan, read_if_exists, table_scan
+from tierforge.sources.files import (
+    contract_scan,
+    csv_quarantine,
+    csv_scan,
+    read_if_exists,
+    table_scan,
+)
 from tierforge.sources.spreadsheets import (
     SPREADSHEET_GLOB,
     discover,
@@ -12,6 +18,7 @@ from tierforge.sources.spreadsheets import (
 __all__ = [
     "SPREADSHEET_GLOB",
     "contract_scan",
+    "csv_quarantine",
     "csv_scan",
     "discover",
     "layouts",

@@ -219,6 +219,13 @@ ORACLES: dict[str, str] = {
         SELECT *, CAST(SUM(quantity) OVER (PARTITION BY flag) AS BIGINT) AS of_flag
         FROM s WHERE sales >= 2
     """,
+    "csv_rows_quarantined": """
+        SELECT 'accepted' AS outcome, count(*) AS rows, count(*) FILTER (p_size > 30) AS quoted
+        FROM part WHERE p_size BETWEEN 11 AND 20 OR p_size > 30
+        UNION ALL
+        SELECT 'surplus cells', count(*), count(*) FROM part WHERE p_size <= 10
+        UNION ALL SELECT 'missing cells', count(*), 0 FROM part WHERE p_size BETWEEN 21 AND 30
+    """,
     "sheet_files": f"""
         SELECT *, '商品 list' AS sheet, 'ok' AS status FROM ({_as_text(_OLD)})
     """,

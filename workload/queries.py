@@ -54,6 +54,7 @@ from tierforge.sinks import (
 )
 from tierforge.sources import (
     contract_scan,
+    csv_quarantine,
     csv_scan,
     parse_files,
     table_scan,
@@ -661,6 +662,32 @@ def csv_files_nested(spark: SparkSession, sf: str) -> DataFrame:
     return conform(csv_scan(spark, root), PRODUCT)
 
 
+def csv_rows_quarantined(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with a cell too many, with empty cells too many, and with one too few: how many are
+    accepted, and how many are quarantined for which reason."""
+    root = scratch_dir(spark, "ragged")
+    size = F.col("p_size")
+    key = F.col("p_partkey").cast("string")
+    line = (
+        F.when(size <= 10, F.concat_ws(",", key, "p_name", "p_brand", F.lit("LOST")))
+        .when(size <= 20, F.concat_ws(",", key, "p_name", "p_brand", F.lit(""), F.lit("")))
+        .when(size <= 30, F.concat_ws(",", key, "p_name"))
+        .otherwise(F.concat_ws(",", key, F.lit('"a,""b"""'), "p_brand"))
+    )
+    lines = _table(spark, sf, "part").select(line.alias("id,name,brand"))
+    _encoded(lines, "utf-8").write.text(root)
+    good, bad = csv_quarantine(spark, root, "*.txt", ["id", "name", "brand"], short="quarantine")
+    accepted = good.groupBy(F.lit("accepted").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("name") == 'a,"b"', 1)).alias("quoted")
+    )
+    return accepted.unionByName(
+        bad.groupBy(F.col("reason").alias("outcome")).agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count(F.when(F.col("record").contains("LOST"), 1)).alias("quoted"),
+        )
+    )
+
+
 def sniffed_text(spark: SparkSession, sf: str) -> DataFrame:
     """The products as text under four delimiters, one folder with other columns."""
     root = scratch_dir(spark, "text")
@@ -886,6 +913,7 @@ QUERIES: dict[str, Query] = {
     "replace_statement": replace_statement,
     "csv_scan": csv_files,
     "csv_scan_nested": csv_files_nested,
+    "csv_rows_quarantined": csv_rows_quarantined,
     "sniffed_text_scan": sniffed_text,
     "workbook_scan": workbook_scan,
     "sheet_files": sheet_files,
