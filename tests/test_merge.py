@@ -4,9 +4,11 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierforge.operators import dedupe_on_keys, key_predicate, merge_rows, require_unique
-from tierforge.sinks import upsert_path
+from tierforge.operators.widening import wider
+from tierforge.sinks import newest, read_table, upsert_partitions, upsert_path, upsert_table
 from tierforge.sources import table_scan
 from tests.conftest import plan, rows
 
@@ -195,3 +197,57 @@ def test_hot_fact_key_is_split_when_flagging_orphans(spark, conf, tmp_path):
     out = flag_orphans(f, d, "k", lookup_unique=True)
     assert sum(r.is_orphan for r in out.collect()) == 20_000
     assert "SortMergeJoin(skew=true)" in plan(out)
+
+
+@pytest.mark.parametrize(
+    "a, b, wide",
+    [
+        ("tinyint", "int", "int"), ("int", "bigint", "bigint"), ("int", "double", "double"),
+        ("int", "float", "double"), ("float", "double", "double"), ("bigint", "double", None),
+        ("bigint", "decimal(5,2)", "decimal(21,2)"), ("decimal(10,0)", "decimal(5,4)", "decimal(14,4)"),
+        ("decimal(38,0)", "decimal(5,4)", None), ("string", "int", None), ("date", "timestamp_ntz", "timestamp_ntz"),
+        ("date", "timestamp", None), ("boolean", "int", None), ("void", "date", "date"),
+        ("array<int>", "array<bigint>", "array<bigint>"), ("array<int>", "array<string>", None),
+        ("map<int,int>", "map<bigint,double>", "map<bigint,double>"),
+        ("struct<a:int,b:string>", "struct<A:bigint,b:string>", "struct<a:bigint,b:string>"),
+        ("struct<a:int>", "struct<b:int>", None),
+    ],
+)
+def test_wider_types(spark, a, b, wide):
+    def of(kind):
+        return T.NullType() if kind == "void" else T._parse_datatype_string(f"x {kind}")[0].dataType
+
+    for x, y in ((a, b), (b, a)):
+        got = wider(of(x), of(y))
+        assert (got and got.simpleString().lower()) == wide
+
+
+def test_a_merge_widens_or_raises_before_any_job(spark):
+    big = 2**40
+    t = spark.createDataFrame([(1, 1, 1), (2, 2, 2)], "k int, v int, w smallint")
+    s = spark.createDataFrame([(2, big, 0.5), (big, 3, 1.5)], "k bigint, V bigint, w double")
+    for colocated in (False, True):
+        got = merge_rows(t, s, ["k"], colocated=colocated)
+        assert got.dtypes == [("k", "bigint"), ("v", "bigint"), ("w", "double")]
+        assert rows(got) == [(1, 1, 1.0), (big, 3, 1.5), (2, big, 0.5)]
+    # A narrower source leaves the target's types as they are.
+    assert merge_rows(s, t, ["k"]).dtypes == [("k", "bigint"), ("V", "bigint"), ("w", "double")]
+    failing = s.withColumn("V", F.raise_error(F.lit("a job ran")).cast("string"))
+    with pytest.raises(ValueError, match=r"no type holds .* v \(int, string\)"):
+        merge_rows(t, failing, ["k"])
+
+
+def test_stored_tables_widen(spark, tmp_path):
+    frame = lambda kind, *r: spark.createDataFrame(list(r), f"k {kind}, v {kind}")
+    big = 2**40
+    for buckets in (0, 4):
+        name, root = f"wide_{buckets}", str(tmp_path)
+        upsert_table(frame("int", (1, 1), (2, 2)), name, root, ["k"], buckets=buckets)
+        for _ in range(2):
+            upsert_table(frame("bigint", (2, big), (big, 3)), name, root, ["k"])
+            upsert_table(frame("smallint", (1, 9)), name, root, ["k"])
+        assert rows(read_table(spark, root, name)) == [(1, 9), (big, 3), (2, big)]
+        assert newest(spark, root, name).buckets == buckets
+    upsert_partitions(frame("int", (1, 1)), f"{tmp_path}/p", ["k", "v"], ["k"])
+    with pytest.raises(ValueError, match="all partitions"):
+        upsert_partitions(frame("bigint", (1, big)), f"{tmp_path}/p", ["k", "v"], ["k"])

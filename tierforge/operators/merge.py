@@ -8,11 +8,13 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierforge.contract import AUDIT_COLUMN, Contract
 from tierforge.functions.names import quoted
 from tierforge.operators.dedupe import dedupe_on_keys, require_unique
 from tierforge.operators.quality import all_present
+from tierforge.operators.widening import wider
 from tierforge.scratch import stage
 
 _HIT = "__hit"
@@ -83,7 +85,8 @@ def merge_rows(
     has; source rows without a match are inserted. Columns only the source has raise,
     unless ``add_columns`` widens the result. Rows with a NULL key match nothing and are all
     kept; ``keys_present`` spares the search for them in a source that has none. Column names are
-    matched without regard to case.
+    matched without regard to case. A column whose types differ gets the one that holds both without
+    loss (see ``wider``); if there is none, the merge raises before any job runs.
 
     A source key must occur once, on the first load too. ``duplicates`` says how that is
     brought about: keep the ``first`` row (see ``dedupe_on_keys``), ``raise`` when a key is
@@ -112,7 +115,7 @@ def merge_rows(
         source = stage(source, "merge")
 
     types = {f.name: f.dataType for f in source.schema.fields}
-    types |= {f.name: f.dataType for f in target.schema.fields}
+    types |= merged_types(target, source)
     columns = names + [c for c in source.columns if c not in names]
     key_columns = [quoted(k) for k in keys]
 
@@ -121,7 +124,7 @@ def merge_rows(
     )
 
     def updated(c: str) -> Column:
-        old = quoted(c) if c in names else F.lit(None).cast(types[c])
+        old = (quoted(c) if c in names else F.lit(None)).cast(types[c])
         if c not in source.columns:
             return old.alias(c)
         return F.when(quoted(_HIT), quoted(_IN + c).cast(types[c])).otherwise(old).alias(c)
@@ -142,6 +145,20 @@ def merge_rows(
     return kept.unionByName(fresh.select(*map(inserted, columns)))
 
 
+def merged_types(target: DataFrame, source: DataFrame) -> dict[str, T.DataType]:
+    """The types of the target's columns after a merge."""
+    new = {f.name.lower(): f.dataType for f in source.schema.fields}
+    types, apart = {}, []
+    for field in target.schema.fields:
+        other = new.get(field.name.lower(), field.dataType)
+        types[field.name] = wider(field.dataType, other)
+        if types[field.name] is None:
+            apart.append(f"{field.name} ({field.dataType.simpleString()}, {other.simpleString()})")
+    if apart:
+        raise ValueError(f"no type holds what target and source have in {', '.join(apart)}")
+    return types
+
+
 def check_merge(
     target: DataFrame | None, source: DataFrame, keys: Sequence[str], add_columns: bool
 ) -> None:
@@ -158,3 +175,5 @@ def check_merge(
         extra = [c for c in source.columns if c.lower() not in known]
         if extra:
             raise ValueError(f"merge source has columns the target lacks: {extra}")
+    if target is not None:
+        merged_types(target, source)

@@ -28,6 +28,7 @@ from tierforge.operators.merge import (
     key_predicate,
     merge_options,
     merge_rows,
+    merged_types,
     spelled_like,
     unique_rows,
 )
@@ -124,14 +125,18 @@ def upsert_table(
         rows = stage(_unique(spelled_like(source, before.schema.names), keys, options), "merge")
         if rows.isEmpty():
             return before
+        types = merged_types(target, rows)
+        layout |= {"keys": keys, "buckets": before.buckets}
+        if any(types[k] != before.schema[k].dataType for k in keys):
+            # Keys of another type lie in other buckets.
+            merged = merge_rows(target, rows, keys, duplicates="trust", add_columns=add_columns)
+            return publish(merged, root, name, before, **layout)
         typed = {k: quoted(k).cast(before.schema[k].dataType) for k in keys}
         placed = rows.withColumns(typed).repartition(before.buckets, *map(quoted, keys))
         merged = merge_rows(
             target, placed, keys, duplicates="trust", add_columns=add_columns, colocated=True
         )
-        return publish(
-            merged, root, name, before, keys=keys, buckets=before.buckets, colocated=True, **layout
-        )
+        return publish(merged, root, name, before, colocated=True, **layout)
 
 
 def upsert_path(
@@ -173,6 +178,8 @@ def upsert_partitions(
     types = {c: source.schema[c].dataType for c in partition_by}
     target = read_if_exists(source.sparkSession, path, fmt, types)
     check_merge(target, source, keys, add_columns)
+    if target is not None and any(merged_types(target, source)[f.name] != f.dataType for f in target.schema):
+        raise ValueError("a wider type would have to be written into all partitions")
     rows = unique_rows(source, keys, keys_present=keys_present, **options)
     with staging(source.sparkSession):
         if target is not None:

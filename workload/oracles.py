@@ -226,6 +226,13 @@ ORACLES: dict[str, str] = {
         SELECT 'surplus cells', count(*), count(*) FROM part WHERE p_size <= 10
         UNION ALL SELECT 'missing cells', count(*), 0 FROM part WHERE p_size BETWEEN 21 AND 30
     """,
+    "merge_wider_types": """
+        WITH new AS (SELECT CAST(p_partkey * 2 + 1099511627776 AS BIGINT) AS id, p_size / 2 AS size FROM part
+                     UNION ALL SELECT p_partkey * 2, p_retailprice FROM part)
+        SELECT * FROM new
+        UNION ALL
+        SELECT p_partkey, CAST(p_size AS DOUBLE) FROM part WHERE p_partkey NOT IN (SELECT id FROM new)
+    """,
     "sheet_files": f"""
         SELECT *, '商品 list' AS sheet, 'ok' AS status FROM ({_as_text(_OLD)})
     """,

@@ -379,6 +379,19 @@ def merge_composite_key(spark: SparkSession, sf: str) -> DataFrame:
     return merge_rows(target, later, keys, order_by=order, keys_present=True, colocated=True)
 
 
+def merge_wider_types(spark: SparkSession, sf: str) -> DataFrame:
+    """A source whose keys and sizes are of wider types than the stored table's: the table widens."""
+    root, name = scratch_dir(spark, "wider"), f"sizes_{uuid.uuid4().hex}"
+    part = _table(spark, sf, "part")
+    small = part.select(F.col("p_partkey").cast("int").alias("id"), F.col("p_size").cast("smallint").alias("size"))
+    wide = part.select(
+        (F.col("p_partkey") * 2 + F.lit(2**40)).alias("id"), (F.col("p_size") / 2).alias("size")
+    ).unionByName(part.select((F.col("p_partkey") * 2).alias("id"), F.col("p_retailprice").alias("size")))
+    for rows in (small, wide):
+        upsert_table(rows, name, root, ["id"], buckets=4)
+    return _stored(spark, root, name)
+
+
 def merge_null_keys(spark: SparkSession, sf: str) -> DataFrame:
     key = F.when(F.col("brand") != "Brand#7", F.col("product_id")).alias("product_id")
     target = _products(spark, sf).select(key, "product_name", "brand")
@@ -896,6 +909,7 @@ QUERIES: dict[str, Query] = {
     "merge_target_only_column": merge_target_only_column,
     "merge_new_column": merge_new_column,
     "merge_composite_key": merge_composite_key,
+    "merge_wider_types": merge_wider_types,
     "merge_null_keys": merge_null_keys,
     "merge_first_write": merge_first_write,
     "merge_published": merge_published,
