@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,7 @@ from tierforge.operators.widening import wider
 from tierforge.scratch import stage
 
 _HIT = "__hit"
+_OLD = "__old"
 _IN = "__in_"
 
 
@@ -78,6 +79,7 @@ def merge_rows(
     keys_present: bool = False,
     add_columns: bool = False,
     colocated: bool = False,
+    observed: Observation | None = None,
 ) -> DataFrame:
     """Target after an upsert of ``source``; ``target=None`` is the first load.
 
@@ -101,7 +103,8 @@ def merge_rows(
 
     ``colocated`` says that the target already lies by its keys: it is stored in buckets by them, or
     has just been made unique on them. Then a full outer join moves none of it, and everything is
-    read once, with nothing staged.
+    read once, with nothing staged. ``observed`` gets the numbers of rows ``inserted`` and ``updated``
+    from the job that runs the merge.
     """
     check_merge(target, source, keys, add_columns)
     names = list(target.columns) if target is not None else []
@@ -110,7 +113,7 @@ def merge_rows(
     if duplicates != "trust":
         source = unique_rows(source, keys, order_by, ignore, duplicates, keys_present)
     if target is None:
-        return source
+        return observe_merge(source, observed, F.lit(False))
     if duplicates != "trust" and not colocated:
         source = stage(source, "merge")
 
@@ -135,14 +138,34 @@ def merge_rows(
 
     on = key_predicate(key_columns, [quoted(_IN + k) for k in keys])
     if colocated:
-        return target.join(incoming, on, "full_outer").select(*map(updated, columns))
-    kept = target.join(incoming, on, "left").select(*map(updated, columns))
+        held = target.withColumn(_OLD, F.lit(True)).join(incoming, on, "full_outer")
+        return observe_merge(held, observed, quoted(_OLD).isNotNull(), quoted(_HIT).isNotNull()).select(
+            *map(updated, columns)
+        )
+    kept = target.join(incoming, on, "left")
+    kept = kept.select(*map(updated, columns), quoted(_HIT).alias(_OLD))
     # The repartitioning frees the join from keeping its rows by key, so that it may split them.
     matched = target.select(*key_columns).join(source.select(*key_columns), list(keys), "left_semi")
     matched = stage(matched.repartition(*key_columns).distinct(), "matched")
     # Rows with a NULL key match nothing, so they are among these.
     fresh = source.join(matched, list(keys), "left_anti")
-    return kept.unionByName(fresh.select(*map(inserted, columns)))
+    every = kept.unionByName(fresh.select(*map(inserted, columns), F.lit(False).alias(_OLD)))
+    was_there = quoted(_OLD)
+    return observe_merge(every, observed, was_there, was_there.isNotNull()).drop(_OLD)
+
+
+def observe_merge(
+    rows: DataFrame, observed: Observation | None, was_there: Column, is_source: Column | None = None
+) -> DataFrame:
+    """The rows of a merge, counted on their way: those from the source that were there or not."""
+    if observed is None:
+        return rows
+    of_source = F.lit(True) if is_source is None else is_source
+    return rows.observe(
+        observed,
+        F.count(F.when(of_source & ~was_there, 1)).alias("inserted"),
+        F.count(F.when(of_source & was_there, 1)).alias("updated"),
+    )
 
 
 def merged_types(target: DataFrame, source: DataFrame) -> dict[str, T.DataType]:

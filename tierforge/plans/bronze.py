@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierforge.contract import AUDIT_COLUMN, Contract
@@ -74,6 +74,7 @@ def load_bronze(
     fmt: str = "parquet",
     buckets: int | None = None,
     quarantine: bool = False,
+    figures: dict[str, int] | None = None,
 ) -> DataFrame:
     """Read the contract's source, write its bronze table below ``root``; returns the rejects.
 
@@ -81,22 +82,34 @@ def load_bronze(
     below ``<root>/<table>__rejected``, a folder for each load. ``quarantine``: rows of CSV files
     that have more cells than the contract has headers are not cut to size, but left out and stored
     as they are below ``<root>/<table>__quarantined``. ``buckets``: see ``write_by_contract``.
+    ``figures`` gets the numbers of rows ``read``, ``quarantined``, ``rejected``, ``inserted`` and
+    ``updated``: each job counts the rows it handles anyway.
     """
+    seen = {name: Observation() for name in ("read", "quarantined", "rejected")} if figures is not None else {}
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        return rows.observe(seen[name], F.count(F.lit(1)).alias(name)) if seen else rows
+
     if raw is None and quarantine:
         if contract.source_format != "csv":
             raise ValueError(f"{contract.table}: only rows of CSV files can be quarantined")
         options = contract.reader_options
         place = contract_root(contract, roots)
         source, odd = csv_quarantine(spark, place, contract.glob, contract.headers, options)
-        odd.write.parquet(f"{root.rstrip('/')}/{contract.table}__quarantined/load={uuid.uuid4().hex}")
+        counted(odd, "quarantined").write.parquet(f"{root.rstrip('/')}/{contract.table}__quarantined/load={uuid.uuid4().hex}")
     else:
         source = contract_scan(spark, contract, roots) if raw is None else raw
-    valid, rejected = bronze_rows(source, contract, at=at)
+    valid, rejected = bronze_rows(counted(source, "read"), contract, at=at)
     if contract.write_mode == "overwrite":
         valid = _replacement(valid, contract)
     kept = f"{root.rstrip('/')}/{contract.table}__rejected/load={uuid.uuid4().hex}"
-    rejected.write.parquet(kept)
-    write_by_contract(valid, contract, root, fmt, keys_present=True, buckets=buckets)
+    counted(rejected, "rejected").write.parquet(kept)
+    if seen:
+        written = ["read", "rejected"] + (["quarantined"] if raw is None and quarantine else [])
+        figures |= {name: seen[name].get[name] for name in written}
+    write_by_contract(
+        valid, contract, root, fmt, keys_present=True, buckets=buckets, figures=figures
+    )
     return spark.read.schema(rejected.schema).parquet(kept)
 
 

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierforge.functions.names import quoted
 from tierforge.operators.summary import Sum, summarise_with_lookup
+from tierforge.scratch import stage, staging
+from tierforge.sinks.layout import partitioned
 from tierforge.sinks.snapshots import Snapshot
 from tierforge.sinks.tables import create_or_replace
+from tierforge.storage import Folder
+
+# The folder of rows without a value. Fixed value.
+_NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
 def sales_summary(fact_sales: DataFrame, dim_product: DataFrame) -> DataFrame:
@@ -25,6 +34,58 @@ def sales_summary(fact_sales: DataFrame, dim_product: DataFrame) -> DataFrame:
     )
 
 
+def touched_days(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], day: str = "sales_date"
+) -> DataFrame:
+    """The days on which an upsert of ``source`` changes ``target``: those its rows come to, and those
+    that the rows they replace were on."""
+    on = [quoted(k) for k in keys]
+    replaced = target.select(*on, quoted(day)).join(source.select(*on), list(keys), "left_semi")
+    return source.select(quoted(day)).unionByName(replaced.select(quoted(day))).distinct()
+
+
+def days_of(
+    facts: DataFrame, changed: DataFrame, key: str = "product_id", day: str = "sales_date"
+) -> DataFrame:
+    """The days of the facts that belong to changed rows of a lookup table."""
+    return facts.join(changed.select(quoted(key)), key, "left_semi").select(quoted(day)).distinct()
+
+
+def facts_on(facts: DataFrame, days: DataFrame, day: str = "sales_date") -> DataFrame:
+    """The facts of the given days; the first and the last of these bound what is scanned."""
+    first, last = days.agg(F.min(quoted(day)), F.max(quoted(day))).first()
+    near = facts.where(quoted(day).between(first, last) | quoted(day).isNull())
+    known = days.select(quoted(day).alias("__day"))
+    return near.join(known, quoted(day).eqNullSafe(quoted("__day")), "left_semi")
+
+
+def refresh_gold(
+    fact_sales: DataFrame, dim_product: DataFrame, path: str, days: DataFrame, day: str = "sales_date"
+) -> None:
+    """Bring the summary stored by day at ``path`` up to date on the given days, and there only.
+
+    Of facts that are stored by day, no day before the first or after the last of the given ones is
+    read, and the summary of other days keeps its files. Days without facts any more lose their folder. The new rows are complete before
+    the first folder is replaced; the replacing, folder by folder, is not atomic.
+    """
+    spark = fact_sales.sparkSession
+    with staging(spark):
+        wanted = stage(days.select(quoted(day)).distinct(), "days")
+        facts = facts_on(fact_sales, wanted, day)
+        rows = stage(sales_summary(facts, dim_product), "summary")
+        writer = partitioned(rows, "parquet", [day]).mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").save(path)
+        left = rows.select(quoted(day).alias("__day")).distinct()
+        gone = wanted.join(left, quoted(day).eqNullSafe(quoted("__day")), "left_anti")
+        folder = Folder(spark, path)
+        there = set(folder.names())
+        # At most as many as there are folders.
+        for value in gone.select(quoted(day).cast("string")).collect():
+            name = f"{day}={_NULL if value[0] is None else value[0]}"
+            if name in there:
+                folder.delete(name)
+
+
 def load_gold(
     fact_sales: DataFrame, dim_product: DataFrame, root: str, name: str = "sales_summary"
 ) -> Snapshot:

@@ -15,9 +15,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
+from typing import NamedTuple
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +30,7 @@ from tierforge.operators.merge import (
     merge_options,
     merge_rows,
     merged_types,
+    observe_merge,
     spelled_like,
     unique_rows,
 )
@@ -98,45 +100,74 @@ def upsert_table(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     buckets: int = 0,
+    figures: dict[str, int] | None = None,
     **options,
 ) -> Snapshot:
     """Keyed upsert into ``name``, created on the first call; returns the new snapshot.
 
     Whether there is a table is settled by its path, not by the catalog. ``buckets`` is the number
     of Spark's buckets of a new table, by its keys (0: none); an existing one keeps its layout, and
-    in buckets only the source is shuffled. ``options`` are those of ``merge_rows``.
+    in buckets only the source is shuffled. ``options`` are those of ``merge_rows``. ``figures`` gets
+    the numbers of rows ``inserted`` and ``updated``, counted by the job that writes them.
     """
+    if figures is not None:
+        figures |= {"inserted": 0, "updated": 0}
+    observed = Observation() if figures is not None else None
+    after = _upserted(source, name, root, keys, fmt, partition_by, buckets, observed, options)
+    if after.is_new and figures is not None:
+        figures |= observed.get
+    return after.snapshot
+
+
+class _After(NamedTuple):
+    snapshot: Snapshot
+    is_new: bool
+
+
+def _upserted(
+    source: DataFrame,
+    name: str,
+    root: str,
+    keys: Sequence[str],
+    fmt: str,
+    partition_by: Sequence[str],
+    buckets: int,
+    observed: Observation | None,
+    options: Mapping,
+) -> _After:
     spark = source.sparkSession
     before = newest(spark, root, name)
+    options = {**options, "observed": observed}
     with staging(spark):
         if before is None:
             rows = _merged(None, source, keys, **options)
-            return publish(
-                rows, root, name, None, fmt=fmt, partition_by=partition_by, keys=keys, buckets=buckets
-            )
+            layout = {"fmt": fmt, "partition_by": partition_by, "keys": keys, "buckets": buckets}
+            return _After(publish(rows, root, name, None, **layout), True)
         layout = {"fmt": before.fmt, "partition_by": before.partition_by}
         target = read_snapshot(spark, root, name, before)
         if not before.buckets:
-            return publish(_merged(target, source, keys, **options), root, name, before, **layout)
+            merged = _merged(target, source, keys, **options)
+            return _After(publish(merged, root, name, before, **layout), True)
         if tuple(keys) != before.keys:
             raise ValueError(f"{name} is stored by {list(before.keys)}, not by {list(keys)}")
         add_columns = options.get("add_columns", False)
         check_merge(target, source, keys, add_columns)
         rows = stage(_unique(spelled_like(source, before.schema.names), keys, options), "merge")
         if rows.isEmpty():
-            return before
+            return _After(before, False)
         types = merged_types(target, rows)
         layout |= {"keys": keys, "buckets": before.buckets}
         if any(types[k] != before.schema[k].dataType for k in keys):
             # Keys of another type lie in other buckets.
-            merged = merge_rows(target, rows, keys, duplicates="trust", add_columns=add_columns)
-            return publish(merged, root, name, before, **layout)
+            how = {"duplicates": "trust", "add_columns": add_columns, "observed": observed}
+            return _After(publish(merge_rows(target, rows, keys, **how), root, name, before, **layout), True)
         typed = {k: quoted(k).cast(before.schema[k].dataType) for k in keys}
         placed = rows.withColumns(typed).repartition(before.buckets, *map(quoted, keys))
         merged = merge_rows(
-            target, placed, keys, duplicates="trust", add_columns=add_columns, colocated=True
-        )
-        return publish(merged, root, name, before, colocated=True, **layout)
+            target, placed, keys, duplicates="trust", add_columns=add_columns, colocated=True,
+            observed=observed,
+        )
+        return _After(publish(merged, root, name, before, colocated=True, **layout), True)
 
 
 def upsert_path(
@@ -214,6 +245,7 @@ def _merged(
     add_columns: bool = False,
     duplicates: str = "first",
     keys_present: bool = False,
+    observed: Observation | None = None,
     **ordering,
 ) -> DataFrame:
     """``merge_rows`` with the source made unique and staged first.
@@ -225,7 +257,7 @@ def _merged(
     check_merge(target, source, keys, add_columns)
     source = _unique(source, keys, ordering | {"duplicates": duplicates, "keys_present": keys_present})
     if target is None:
-        return source
+        return observe_merge(source, observed, F.lit(False))
     return merge_rows(
         target,
         stage(source, "merge"),
@@ -233,13 +265,15 @@ def _merged(
         duplicates="trust",
         keys_present=keys_present,
         add_columns=add_columns,
+        observed=observed,
     )
 
 
 def _unique(source: DataFrame, keys: Sequence[str], options: Mapping) -> DataFrame:
     if options.get("duplicates") == "trust":
         return source
-    return unique_rows(source, keys, **{n: v for n, v in options.items() if n != "add_columns"})
+    others = ("add_columns", "observed")
+    return unique_rows(source, keys, **{n: v for n, v in options.items() if n not in others})
 
 
 def upsert_native(
@@ -285,15 +319,21 @@ def write_by_contract(
     keys_present: bool = False,
     keys_unique: bool = False,
     buckets: int | None = None,
+    figures: dict[str, int] | None = None,
 ) -> None:
     """Upsert or replace the contract's table, as its write mode says.
 
     A format with a MERGE of its own uses it; a new table of another is stored by its partitions or,
     if it has none, in ``buckets`` by its keys (as many as ``spark.sql.shuffle.partitions``, unless
-    given). ``keys_unique`` says that no key of ``df`` repeats.
+    given). ``keys_unique`` says that no key of ``df`` repeats. ``figures`` gets the numbers of rows
+    ``inserted`` and ``updated``; a format's own MERGE does not tell them.
     """
     if contract.write_mode != "merge":
-        create_or_replace(df, contract.table, root, fmt, contract.partitions)
+        observed = Observation() if figures is not None else None
+        rows = observe_merge(df, observed, F.lit(False))
+        create_or_replace(rows, contract.table, root, fmt, contract.partitions)
+        if figures is not None:
+            figures |= observed.get
     elif fmt in MERGING_FORMATS:
         options = {n: v for n, v in merge_options(contract).items() if n != "add_columns"}
         upsert_native(
@@ -317,6 +357,7 @@ def write_by_contract(
             fmt=fmt,
             partition_by=contract.partitions,
             buckets=buckets,
+            figures=figures,
             keys_present=keys_present,
             **merge_options(contract) | ({"duplicates": "trust"} if keys_unique else {}),
         )

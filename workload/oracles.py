@@ -226,6 +226,35 @@ ORACLES: dict[str, str] = {
         SELECT 'surplus cells', count(*), count(*) FROM part WHERE p_size <= 10
         UNION ALL SELECT 'missing cells', count(*), 0 FROM part WHERE p_size BETWEEN 21 AND 30
     """,
+    "load_figures": """
+        WITH n AS (SELECT count(*) AS n, count(*) FILTER (p_brand = 'Brand#7') AS bare,
+                          count(*) FILTER (2 * p_partkey <= (SELECT max(p_partkey) FROM part)) AS known
+                   FROM part)
+        SELECT 1 AS load, 'read' AS what, n AS rows FROM n
+        UNION ALL SELECT 1, 'rejected', 0
+        UNION ALL SELECT 1, 'inserted', n FROM n
+        UNION ALL SELECT 1, 'updated', 0
+        UNION ALL SELECT 2, 'read', 2 * n FROM n
+        UNION ALL SELECT 2, 'rejected', bare FROM n
+        UNION ALL SELECT 2, 'inserted', n - known FROM n
+        UNION ALL SELECT 2, 'updated', known FROM n
+    """,
+    "gold_changed_days": _summary(
+        f"""
+        WITH f AS ({_first(
+            "SELECT l_orderkey || '-' || l_linenumber AS sales_id, f.* FROM (SELECT l_orderkey, l_linenumber, "
+            "l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS quantity, l_extendedprice AS price, "
+            "CAST(l_shipdate AS DATE) AS sales_date FROM lineitem) f",
+            "sales_id", "product_id, quantity, price, sales_date",
+        )}),
+        y AS (SELECT year(max(sales_date)) AS last FROM f)
+        SELECT product_id, quantity, CASE WHEN year(sales_date) = last THEN 2 * price ELSE price END AS price,
+               CASE WHEN year(sales_date) = last THEN CAST(sales_date + INTERVAL 1 DAY AS DATE)
+                    ELSE sales_date END AS sales_date
+        FROM f, y
+        """,
+        _products(),
+    ),
     "merge_wider_types": """
         WITH new AS (SELECT CAST(p_partkey * 2 + 1099511627776 AS BIGINT) AS id, p_size / 2 AS size FROM part
                      UNION ALL SELECT p_partkey * 2, p_retailprice FROM part)

@@ -34,11 +34,13 @@ from tierforge.plans import (
     load_from_template,
     load_gold,
     load_silver,
+    refresh_gold,
     run_statement,
     run_template,
     sales_summary,
     silver_merge,
     spreadsheet_ingest,
+    touched_days,
 )
 from tierforge.scratch import scratch_dir
 from tierforge.sinks import (
@@ -107,13 +109,17 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _facts(spark: SparkSession, sf: str) -> DataFrame:
-    return _table(spark, sf, "lineitem").select(
+def _fact_columns() -> list[F.Column]:
+    return [
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_shipdate").cast("date").alias("sales_date"),
-    )
+    ]
+
+
+def _facts(spark: SparkSession, sf: str) -> DataFrame:
+    return _table(spark, sf, "lineitem").select(*_fact_columns())
 
 
 def _products(spark: SparkSession, sf: str, factor: int = 1) -> DataFrame:
@@ -536,6 +542,38 @@ def layers_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     return _stored(spark, f"{root}/gold", name)
 
 
+def load_figures(spark: SparkSession, sf: str) -> DataFrame:
+    """What two loads of products did, as they counted it themselves; the second has twice the keys,
+    each in two versions, and some without a name."""
+    root, contract = scratch_dir(spark, "figures"), _named(PRODUCT)
+    later = _raw_products(spark, sf, 2)
+    named = F.when(F.col("メーカー") != "Brand#7", F.upper("商品名"))
+    told = []
+    for raw in (_raw_products(spark, sf), later.unionByName(later.withColumn("商品名", named))):
+        figures: dict[str, int] = {}
+        load_bronze(spark, contract, {}, root, raw=raw, at=LOADED_AT, figures=figures)
+        told += [(len(told) // 4 + 1, what, n) for what, n in sorted(figures.items())]
+    return spark.createDataFrame(told, "load int, what string, rows long")
+
+
+def gold_changed_days(spark: SparkSession, sf: str) -> DataFrame:
+    """The gold summary by day, brought up to date after the sales of its last year have moved by a
+    day and doubled in price; no other day is written again."""
+    path = f"{scratch_dir(spark, 'days')}/summary"
+    raw = _table(spark, sf, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("sales_id"),
+                                               *_fact_columns())
+    order = ["product_id", "quantity", "price", "sales_date"]
+    facts, products = dedupe_on_keys(raw, ["sales_id"], order), _products(spark, sf)
+    refresh_gold(facts, products, path, facts.select("sales_date"))
+    last = facts.agg(F.year(F.max("sales_date"))).first()[0]
+    moved = facts.where(F.year("sales_date") == last).withColumns(
+        {"sales_date": F.date_add("sales_date", 1), "price": 2 * F.col("price")}
+    )
+    days = touched_days(facts, moved, ["sales_id"])
+    refresh_gold(merge_rows(facts, moved, ["sales_id"], order_by=order), products, path, days)
+    return table_scan(spark, path)
+
+
 GOLD_TEXT = """
     SELECT s.sales_date, s.product_id, p.product_name,
            SUM(s.quantity) AS total_qty, SUM(s.quantity * s.price) AS gross_revenue
@@ -921,6 +959,8 @@ QUERIES: dict[str, Query] = {
     "bronze_load": bronze_load_csv,
     "bronze_stream_load": bronze_stream_load,
     "layers_end_to_end": layers_end_to_end,
+    "load_figures": load_figures,
+    "gold_changed_days": gold_changed_days,
     "gold_from_template": gold_from_template,
     "silver_from_template": silver_from_template,
     "merge_statement": merge_statement,
