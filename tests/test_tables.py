@@ -373,7 +373,7 @@ def test_a_target_in_buckets_is_not_shuffled(spark, conf, name, tmp_path):
         shown = plan(merge_rows(target, source, ["id"], duplicates="trust", colocated=True))
         assert shown.count("Exchange") == 1 and "Bucketed: true" in shown
         assert shown.index("Bucketed: true") < shown.index("Exchange")
-    one = spark.sql("SELECT '7' AS ID, 'new' AS v, date'2024-02-01' AS day, 1 AS more")
+    one = spark.sql("SELECT 7 AS ID, 'new' AS v, date'2024-02-01' AS day, 1 AS more")
     upsert_table(one, name, root, ["id"], add_columns=True)
     now = newest(spark, root, name)
     assert len(list(tmp_path.glob(f"{name}/{now.folder}/part-*"))) == 8
