@@ -194,7 +194,11 @@ ORACLES: dict[str, str] = {
     "layers_end_to_end": _summary(
         _first(_SALES, "sales_id", "product_id, quantity, price, sales_date"), _as_text(_OLD)
     ),
-    "gold_from_template": _summary(_FACTS, _products()),
+    "gold_from_template": f"""
+        SELECT sales_date, coalesce(category, 'none') AS category, count(*) AS sales,
+               max(price) AS dearest, bool_or(quantity >= 45) AS any_large
+        FROM ({_FACTS}) LEFT JOIN ({_products()}) USING (product_id) GROUP BY ALL
+    """,
     "silver_from_template": f"""
         WITH sold AS (SELECT p_partkey, p_brand, CAST(SUM(l_quantity) AS BIGINT) AS q
                       FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL),

@@ -70,6 +70,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # A load time that is the same on every run.
 LOADED_AT = dt.datetime(2024, 1, 1)
 
+# Tables, columns, source headers and types as the sources of the layers have them.
 PRODUCT = Contract.from_dict(
     {
         "table": "dim_product",
@@ -575,21 +576,22 @@ def gold_changed_days(spark: SparkSession, sf: str) -> DataFrame:
 
 
 GOLD_TEXT = """
-    SELECT s.sales_date, s.product_id, p.product_name,
-           SUM(s.quantity) AS total_qty, SUM(s.quantity * s.price) AS gross_revenue
-    FROM {fact_sales} s LEFT JOIN {dim_product} p ON s.product_id = p.product_id
-    GROUP BY s.sales_date, s.product_id, p.product_name
+    WITH known AS (SELECT product_id, category FROM {dim_product} WHERE category IS NOT NULL)
+    SELECT sales_date, coalesce(category, 'none') AS category, count(*) AS sales,
+           max(price) AS dearest, bool_or(quantity >= :many) AS any_large
+    FROM {fact_sales} LEFT JOIN known USING (product_id)
+    GROUP BY ALL
 """
 
 
 def gold_from_template(spark: SparkSession, sf: str) -> DataFrame:
-    """The gold summary stored from a statement and a contract alone."""
+    """Sales by day and category, stored from a statement and a contract alone."""
     root = scratch_dir(spark, "gold")
     contract = _named(
-        Contract(table="sales_summary", partitions=("sales_date",), write_mode="overwrite")
+        Contract(table="sales_by_category", partitions=("sales_date",), write_mode="overwrite")
     )
     relations = {"fact_sales": _facts(spark, sf), "dim_product": _products(spark, sf)}
-    load_from_template(spark, contract, GOLD_TEXT, root, relations)
+    load_from_template(spark, contract, GOLD_TEXT, root, relations, {"many": 45})
     return _stored(spark, root, contract.table)
 
 
