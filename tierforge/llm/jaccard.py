@@ -36,7 +36,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierforge.llm.bits import bit_set, in_bit_set
 from tierforge.llm.graph import components
 from tierforge.llm.words import each_text, hashed_words, map_batches, mix, shingles
 from tierforge.scratch import stage
@@ -531,19 +530,20 @@ def _member_sets(docs: DataFrame, inner: DataFrame, size: int) -> DataFrame:
     """The sets of the representatives that are in a cluster, from their texts.
 
     In the result, ``rep`` is the low half of the fingerprint.
-    A bit set of their ids keeps most other texts from being shuffled.
+    A bit set of their ids, of ``DOC_BITS`` at most and joined as 64-bit words, keeps most other
+    texts from being shuffled. It is tested by Spark, so that no second Python worker is held by
+    the tasks that make the sets.
     """
-    likely_ids = bit_set(inner, "rep", DOC_BITS)
+    place = F.col("rep").bitwiseAND(F.lit(DOC_BITS - 1).cast("long"))
+    word, bit = F.shiftright(place, 6), place.bitwiseAND(F.lit(63).cast("long")).cast("int")
+    likely = (
+        inner.select(word.alias("word"), bit.alias("bit"))
+        .groupBy("word")
+        .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
+    )
     names = ("cluster", "rep", "n", "copies", "band")
     arrow = pa.schema([*((n, pa.int64()) for n in names), ("sets", pa.binary())])
 
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.frombuffer(likely_ids, np.uint8)
-        for batch in batches:
-            batch = batch.filter(batch.column("rep").is_valid())
-            some = in_bit_set(held, batch.column("rep").to_numpy())
-            yield batch.filter(pa.array(some, pa.bool_()))
-
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         for first in range(0, batch.num_rows, _SLICE):
             yield cut(batch.slice(first, _SLICE))
@@ -562,8 +562,12 @@ def _member_sets(docs: DataFrame, inner: DataFrame, size: int) -> DataFrame:
             "rep": batch.column("low").filter(keep), "sets": sets
         }
 
-    texts_of = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").mapInArrow(
-        likely, "rep long, text string"
+    texts_of = (
+        docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
+        .where(F.col("rep").isNotNull())
+        .join(F.broadcast(likely), word == F.col("word"))
+        .where(F.getbit("bits", bit) == 1)
+        .select("rep", "text")
     )
     return map_batches(
         texts_of.join(inner, "rep").select(*names, "high", "low", "text"),
