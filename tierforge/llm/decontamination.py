@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierforge.llm.columns import own, spare
 from tierforge.scratch import stage
 
 WINDOW = 10
@@ -195,15 +196,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
         F.xxhash64(text).alias("hash"),
         F.octet_length(text).alias("size"),
     )
+    known, spans = spare(docs, "__key"), spare(docs, "__spans")
     found = (
         hits(docs.select(key.alias("key"), "text"), benchmark, keep=("key",))
         .filter(F.size("spans") > 0)
         .dropDuplicates(["key"])
-        .select(F.col("key").alias("__key"), F.col("spans").alias("__spans"))
+        .select(F.col("key").alias(known), F.col("spans").alias(spans))
     )
     if remove == "documents":
-        return docs.join(found, key == F.col("__key"), "left_anti")
-    cut = F.when(F.col("__key").isNotNull(), without_spans(F.col("text"), F.col("__spans")))
-    return docs.join(found, key == F.col("__key"), "left").select(
-        *[F.coalesce(cut, docs.text).alias(c) if c == "text" else docs[f"`{c}`"] for c in docs.columns]
+        return docs.join(found, key == F.col(known), "left_anti")
+    cut = F.when(F.col(known).isNotNull(), without_spans(F.col("text"), F.col(spans)))
+    joined = docs.join(found, key == F.col(known), "left")
+    whole = F.coalesce(cut, F.col("text")).alias("text")
+    return joined.select(
+        *[whole if c == "text" else x for c, x in zip(docs.columns, own(docs), strict=True)]
     )

@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierforge.llm.columns import spare
 from tierforge.llm.graph import components
 from tierforge.llm.words import each_text, hashed_words, map_batches, mix, shingles
 from tierforge.scratch import stage
@@ -583,23 +584,24 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     Rows without words or id all stay. Of an id that repeats, each text belongs to its own group,
     so that some may stay and others go; of texts of one id that are in one group, one stays.
     """
+    id_, key_ = spare(docs, "__id"), spare(docs, "__key")
     groups = stage(_groups(docs.select("doc_id", "text"), size, percent), "groups")
     repeated = stage(
         groups.filter("doc_id is not null")
-        .groupBy(F.col("doc_id").alias("__id"))
+        .groupBy(F.col("doc_id").alias(id_))
         .count()
         .filter("count > 1")
-        .select("__id"),
+        .select(id_),
         "repeated",
     )
-    goes = groups.filter("not stays").select(F.col("doc_id").alias("__id")).distinct()
+    goes = groups.filter("not stays").select(F.col("doc_id").alias(id_)).distinct()
     if repeated.isEmpty():
-        return docs.join(goes, docs.doc_id == F.col("__id"), "left_anti")
+        return docs.join(goes, docs["doc_id"] == F.col(id_), "left_anti")
     gone = goes.union(repeated).distinct()
-    single = docs.join(gone, docs.doc_id == F.col("__id"), "left_anti")
+    single = docs.join(gone, docs["doc_id"] == F.col(id_), "left_anti")
     # Rows of one id are told apart by their texts.
     key = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
-    several = docs.join(repeated, docs.doc_id == F.col("__id"), "left_semi")
+    several = docs.join(repeated, docs["doc_id"] == F.col(id_), "left_semi")
     marks = stage(
         prints(several.select("doc_id", "text").distinct(), size, percent, key), "marks"
     )
@@ -608,15 +610,15 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         marks.filter("n_shingles > 0")
         .join(chosen, ["doc_id", "high", "low"])
         .groupBy("doc_id", "high", "low")
-        .agg(F.min("key").alias("__key"))
-        .select(F.col("doc_id").alias("__id"), "__key")
+        .agg(F.min("key").alias(key_))
+        .select(F.col("doc_id").alias(id_), key_)
     )
     empty = marks.filter("n_shingles = 0").select(
-        F.col("doc_id").alias("__id"), F.col("key").alias("__key")
+        F.col("doc_id").alias(id_), F.col("key").alias(key_)
     )
 
     def of(texts: DataFrame) -> DataFrame:
-        same = (several.doc_id == F.col("__id")) & (key == F.col("__key"))
+        same = (several["doc_id"] == F.col(id_)) & (key == F.col(key_))
         return several.join(texts, same, "left_semi")
 
     return single.union(of(kept).dropDuplicates(["doc_id", "text"])).union(of(empty))

@@ -6,7 +6,8 @@ of its id falls below the fraction: the same on every run, and on every machine.
 
 Defined cases: a null source is a source of its own and comes last; a null text has no words; a
 source without words gets the target 0, its documents are not taken; rows that repeat an id are
-taken or left alike; an empty table gives an empty mix.
+taken or left alike; a text of any length is counted whole, within its row; an empty table gives an
+empty mix. Columns beside ``doc_id``, ``text`` and ``source`` come back as they were, by any name.
 """
 
 from __future__ import annotations
@@ -16,10 +17,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierforge.llm.columns import own, spare
 from tierforge.scratch import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+# What `copies` adds to each document.
+COPY_COLUMNS = ("__size", "__source_size", "__target", "__copies")
+
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -69,27 +74,35 @@ def copies(
     share: float = 1.5,
     cap: float = 2.0,
     seed: int = 17,
+    names: Sequence[str] = COPY_COLUMNS,
 ) -> DataFrame:
-    """``docs`` with ``__size, __source_size, __target, __copies``."""
-    sized = docs.withColumn("__size", word_count(F.col("text")))
-    sizes = sized.groupBy("source").agg(F.sum("__size").alias("source_size"))
+    """``docs`` with its words, its source's words and target, and its copies.
+
+    ``names`` says what these columns are called; they replace columns of those names.
+    """
+    size, source_size, target, number = names
+    own_columns = docs.drop(*names)
+    sized = own_columns.withColumn(size, word_count(F.col("text")))
+    sizes = sized.groupBy("source").agg(F.sum(size).alias("source_size"))
+    known = spare(sized, "__source")
     targets = source_targets(sizes, weights, share, cap).select(
-        F.col("source").alias("__source"),
-        F.col("source_size").alias("__source_size"),
-        F.col("target").alias("__target"),
+        F.col("source").alias(known),
+        F.col("source_size").alias(source_size),
+        F.col("target").alias(target),
+    )
+    rate = F.coalesce(
+        F.when(F.col(source_size) > 0, F.col(target) / F.col(source_size)), F.lit(0.0)
     )
-    rate = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size"))
     # 53 bits of the hash as a fraction in [0, 1).
     chance = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) * F.lit(2.0**-53)
-    whole = F.floor(F.coalesce(rate, F.lit(0.0)))
-    extra = (chance < F.coalesce(rate, F.lit(0.0)) - whole).cast("long")
-    joined = sized.join(targets, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-    return joined.withColumn("__copies", whole.cast("long") + extra)
+    extra = (chance < rate - F.floor(rate)).cast("long")
+    joined = sized.join(targets, F.col("source").eqNullSafe(F.col(known))).drop(known)
+    return joined.withColumn(number, F.floor(rate).cast("long") + extra)
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """Each document as often as the mix takes it; the columns of ``docs``."""
-    counted = copies(docs, **options)
-    return counted.withColumn(
-        "__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int")))
-    ).select(*[counted[f"`{c}`"] for c in docs.columns])
+    names = tuple(spare(docs, name) for name in COPY_COLUMNS)
+    counted = copies(docs, names=names, **options)
+    times = F.array_repeat(F.lit(1), F.col(names[-1]).cast("int"))
+    return counted.withColumn(spare(counted, "__copy"), F.explode(times)).select(*own(docs))
