@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from tests.llm.conftest import NASTY
-from tierforge.llm import decontamination, host_rules, mixing, sharding
+from tierforge.llm import decontamination, host_rules, jaccard, mixing, sharding
 from tierforge.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -265,6 +265,85 @@ def test_rebalancing_evens_out_bytes_and_moves_little():
     assert after.version == 2 and before.rebalanced({}) == before
 
 
+def test_one_heavy_slot_does_not_keep_other_shards_uneven():
+    weights = {0: 10**9} | {s: 100 * (1 + s % 16) for s in range(1, 4096)}
+    held = Counter()
+    for slot, owner in enumerate(sharding.SlotMap.first(16).rebalanced(weights).owners):
+        held[owner] += weights[slot]
+    others = sorted(held.values())[:-1]
+    assert max(held.values()) == 10**9 and max(others) <= 1.3 * min(others)
+    assert sharding.SlotMap.first(2, 2).rebalanced({0: 5}).version == 1
+
+
+def test_query_shards_hold_even_bytes(spark):
+    import zlib
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    want = {r[0]: (len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode()))
+            for r in docs.collect()}
+    out = QUERIES["op5_virtual_slots"](spark, "/root/testdata/sf0.1").collect()
+    assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in out} == want
+    assert {(r["law"], r["grown_shard"]) for r in out} == {("bytes", None)}
+    held, slots = Counter(), defaultdict(list)
+    for r in out:
+        held[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert sorted(held) == list(range(16))
+    assert max(held.values()) <= 1.02 * sum(held.values()) / 16
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    again = QUERIES["op5_virtual_slots"](spark, "/root/testdata/sf0.1").collect()
+    assert sorted(again) == sorted(out)
+
+
+def test_even_map_is_stored_and_read_back(spark, docs_of):
+    docs = docs_of([*NASTY, *[(100 + k, "t" * (k % 97), "s") for k in range(600)]])
+    even = sharding.even_map(docs, 4, slots=64)
+    assert even.version == 2 and even.shards == 4
+    held = Counter()
+    for r in sharding.placements(docs, even).collect():
+        held[r["shard"]] += r["size"]
+    first = Counter()
+    for r in sharding.placements(docs, sharding.SlotMap.first(4, 64)).collect():
+        first[r["shard"]] += r["size"]
+    assert max(held.values()) - min(held.values()) < max(first.values()) - min(first.values())
+    assert sharding.even_map(docs_of([]), 4, slots=64) == sharding.SlotMap.first(4, 64)
+
+
+# Names of columns
+
+
+CLASHING = ("__size", "__source_size", "__target", "__copies", "__copy", "__source", "__slot",
+            "__shard", "__key", "__spans", "__id", "_spans", "__SIZE_", "a.b", "a`b")
+
+
+def test_extra_columns_of_any_name_come_back_as_they_were(spark):
+    rows = [(k, f"w{k} w{k + 1} word " * 4, "ab"[k % 2], *[f"{c}{k}" for c in CLASHING])
+            for k in range(40)]
+    kinds = "doc_id long, text string, source string, " + ", ".join(
+        "`" + c.replace("`", "``") + "` string" for c in CLASHING
+    )
+    docs = spark.createDataFrame([*rows, rows[3]], kinds)
+    bench = spark.createDataFrame([(1, "w5 w6 word w5 w6 word")], "item_id long, text string")
+    even = sharding.SlotMap.first(4, 32)
+    for name, out in {
+        "mix": mixing.mix(docs),
+        "assign": sharding.assign(docs, even).drop("shard"),
+        "documents": decontamination.decontaminate(docs, bench),
+        "spans": decontamination.decontaminate(docs, bench, remove="spans"),
+        "one_of_each": jaccard.one_of_each(docs),
+    }.items():
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert got and {tuple(r)[3:] for r in got} <= {r[3:] for r in rows}, name
+        if name in ("assign", "spans"):
+            assert len(got) == 41, name
+
+
+def test_copies_replace_columns_of_their_names(spark):
+    docs = spark.createDataFrame([(1, "a b", "s", "x")], "doc_id long, text string, source string, __size string")
+    assert [r["__size"] for r in mixing.copies(docs).collect()] == [2]
+
+
 def test_stored_versions(spark, tmp_path):
     first = sharding.SlotMap.first(3, slots=8)
     sharding.store_map(spark, str(tmp_path / "m"), first, first.grown())

@@ -22,7 +22,6 @@ from tierforge.llm import (
     sharding,
     substrings,
 )
-from tierforge.scratch import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,13 +77,10 @@ def op4_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "slot-map")
-    first = sharding.SlotMap.first(16)
-    sharding.store_map(spark, path, first, first.grown())
-    now, later = (sharding.load_map(spark, path, version) for version in (1, 2))
-    placed = sharding.placements(table(spark, sf_dir, "documents"), now, later)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    placed = sharding.placements(docs, sharding.even_map(docs, 16))
     return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot",
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         "grown_shard", "vslot",
     )
 

@@ -5,7 +5,9 @@ owns each slot. Records never move between slots; adding a shard or evening out
 the map. The map has ``slots`` rows whatever the size of the data, so it may be broadcast.
 
 Defined cases: a null key is one more key; a null text weighs as an empty one; equal keys share
-a slot (and so a shard); an empty table gives an empty result, and its slots weigh nothing.
+a slot (and so a shard); a text of any length counts by its bytes and stays whole, so one that is
+longer than a shard's part makes its shard the heaviest; an empty table gives an empty result, and
+its slots weigh nothing. Columns beside the key and the text may have any name.
 """
 
 from __future__ import annotations
@@ -15,6 +17,9 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tierforge.llm.columns import spare
+from tierforge.scratch import scratch_dir
+
 SLOTS = 4096
 
 
@@ -51,25 +56,32 @@ class SlotMap:
     def rebalanced(self, weights: dict[int, int], tolerance: float = 0.01) -> SlotMap:
         """Slots moved from the heaviest to the lightest shard while that narrows their gap.
 
-        ``weights``: bytes per slot. Ends once no shard is further than ``tolerance`` above
-        the mean, or no single move helps.
+        ``weights``: bytes per slot. Ends once the heaviest and the lightest shard are no more
+        than ``tolerance`` of the mean from the middle between them, or no single move helps.
+        A shard that one slot makes too heavy to give is set aside, and the others go on.
         """
         owners, held = list(self.owners), [0] * self.shards
         for slot, owner in enumerate(owners):
             held[owner] += weights.get(slot, 0)
-        mean = sum(held) / len(held)
+        givers = set(range(len(held)))
         for _ in range(len(owners)):
-            heavy, light = held.index(max(held)), held.index(min(held))
+            heavy, light = max(givers, key=lambda s: (held[s], -s)), held.index(min(held))
             gap = held[heavy] - held[light]
+            mean = sum(held[s] for s in givers) / len(givers)
+            if gap <= 2 * tolerance * mean:
+                break
             fits = [
-                (weights.get(s, 0), -s)
+                (weights.get(s, 0), s)
                 for s, o in enumerate(owners)
                 if o == heavy and 0 < weights.get(s, 0) < gap
             ]
-            if held[heavy] <= mean * (1 + tolerance) or not fits:
-                break
-            moved, slot = min(fits, key=lambda x: (abs(x[0] - gap / 2), x[1]))
-            owners[-slot] = light
+            if not fits:
+                givers.remove(heavy)
+                if not givers:
+                    break
+                continue
+            moved, slot = min(fits, key=lambda x: (abs(x[0] - gap / 2), -x[1]))
+            owners[slot] = light
             held[heavy] -= moved
             held[light] += moved
         changed = tuple(owners) != self.owners
@@ -113,18 +125,33 @@ def slot_weights(docs: DataFrame, key: str, text: str, slots: int = SLOTS) -> Da
     )
 
 
+def even_map(
+    docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text", slots: int = SLOTS
+) -> SlotMap:
+    """The map whose shards hold nearly equal bytes of ``docs``.
+
+    Its first version deals the slots out in turn. The bytes of the slots, summed by Spark, then
+    say which slots change hands; both versions are stored, and the newest is read back. The
+    driver sees a row per slot, whatever the size of ``docs``.
+    """
+    path = scratch_dir(docs.sparkSession, "slot-map")
+    first = SlotMap.first(shards, slots)
+    store_map(docs.sparkSession, path, first)
+    weights = {r["slot"]: r["n_bytes"] for r in slot_weights(docs, key, text, slots).collect()}
+    evened = first.rebalanced(weights)
+    if evened.version > first.version:
+        store_map(docs.sparkSession, path, evened)
+    return load_map(docs.sparkSession, path)
+
+
 def assign(docs: DataFrame, owners: SlotMap, key: str = "doc_id") -> DataFrame:
     """``docs`` with ``shard`` (which replaces a column of that name)."""
-    slots = len(owners.owners)
+    slot, shard = spare(docs, "__slot"), spare(docs, "__shard")
     table = owners.table(docs.sparkSession).select(
-        F.col("slot").alias("__slot"), F.col("shard").alias("__shard")
-    )
-    placed = docs.withColumn("__slot", slot_of(F.col(key), slots))
-    return (
-        placed.join(F.broadcast(table), "__slot")
-        .withColumn("shard", F.col("__shard"))
-        .drop("__slot", "__shard")
+        F.col("slot").alias(slot), F.col("shard").alias(shard)
     )
+    placed = docs.withColumn(slot, slot_of(F.col(key), len(owners.owners)))
+    return placed.join(F.broadcast(table), slot).withColumn("shard", F.col(shard)).drop(slot, shard)
 
 
 def placements(docs: DataFrame, now: SlotMap, later: SlotMap | None = None) -> DataFrame:
