@@ -37,8 +37,8 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every record with the shard that owns its virtual slot."""
-    return sharding.assign(docs, sharding.SlotMap.first(SHARDS))
+    """Every record with the shard that owns its virtual slot; shards hold nearly equal bytes."""
+    return sharding.assign(docs, sharding.even_map(docs, SHARDS))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
