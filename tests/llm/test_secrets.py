@@ -26,12 +26,25 @@ def shaped(text):
     return sorted(found)
 
 
+def left_over(run):
+    """What the allow list leaves of a run, and where."""
+    if re.search(secrets.IDENTIFIER, run):
+        return []
+    cuts = [(0, 0), *[m.span() for m in re.finditer(secrets.ALLOWED, run)], (len(run), len(run))]
+    return [(a, run[a:b]) for (_, a), (b, _) in zip(cuts, cuts[1:], strict=False)]
+
+
 def by_entropy(text, cls, rank):
     """Windows counted anew, each by itself."""
     out = []
-    for m in re.finditer(f"{cls.members}{{{cls.window},}}", text):
-        c = m[0].lower() if cls.alphabet.islower() or cls.alphabet.lower() == cls.alphabet else m[0]
-        if re.search(secrets.ALLOWED, m[0]) or not all(re.search(n, m[0]) for n in cls.needs):
+    pieces = [
+        (m.start() + at, piece)
+        for m in re.finditer(f"{cls.members}{{{cls.window},}}", text)
+        for at, piece in left_over(m[0])
+    ]
+    for at, piece in pieces:
+        c = piece.lower() if cls.alphabet.lower() == cls.alphabet else piece
+        if len(c) < cls.window or not all(re.search(n, piece) for n in cls.needs):
             continue
         joined = []
         for i in range(len(c) - cls.window + 1):
@@ -42,7 +55,7 @@ def by_entropy(text, cls, rank):
                     joined[-1][1] = i + cls.window
                 else:
                     joined.append([i, i + cls.window])
-        out += [(m.start() + a, rank, cls.kind, m.start() + b) for a, b in joined]
+        out += [(at + a, rank, cls.kind, at + b) for a, b in joined]
     return out
 
 
@@ -65,6 +78,11 @@ TEXTS = [
     f"example{KEY} abcdefghijklmnopqrstuvwxyzA1 1b4e28ba-2fa1-11d2-883f-0016d3cca427",
     "thisisalongwordwithoutanydigitsinitatall ThisIsALongWord2WithoutMuchEntropyaaaaaaaa",
     "F3A9C1E7B5D28046F3A9C1E7B5D28046 FFFFFFFFFFFFFFFFFFFFFFFF0",
+    f"/sample/{KEY}/xxxx{KEY[:20]}dummy{KEY[::-1]}",
+    # Longer than a block of windows, with spans within, over and at the ends of blocks.
+    "".join(KEY[k % 7 :] + "a" * (k * 37 % 300) for k in range(40)),
+    KEY * 60 + "q" * 500 + KEY * 20,
+    " ".join(f"{KEY[k % 5 :]}{k}" for k in range(700)),
 ]
 
 
@@ -79,6 +97,22 @@ def test_spans_equal_brute_force(docs_of):
     assert sum(len(r["more"]) for r in got) >= 4
 
 
+def test_time_is_in_proportion_to_a_run(docs_of):
+    from time import perf_counter
+
+    def seconds(n):
+        chars = [KEY[(k * k + k // 7) % 32] for k in range(n)]
+        docs = docs_of([(1, "".join(chars), "s")], parts=1).cache()
+        docs.count()
+        start = perf_counter()
+        assert secrets.secret_spans(docs).select(F.size("more")).first()[0] >= 0
+        return perf_counter() - start
+
+    seconds(1000)
+    short, long = seconds(100_000), seconds(1_000_000)
+    assert long < 20 * short and long < 120
+
+
 def test_allow_list_and_plain_text_stay_quiet(docs_of):
     quiet = ["the quick brown fox " * 50, "your_token_AbCdEf123456GhIjKl7890", "x" * 500]
     got = secrets.secret_spans(docs_of([(k, t, "s") for k, t in enumerate(quiet)]))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from tierforge.llm import personal
 from tierforge.llm.host_rules import RULES, HostRules
-from tierforge.llm.secrets import ALLOWED, BASE_KINDS, CLASSES
+from tierforge.llm.secrets import ALLOWED, BASE_KINDS, CLASSES, IDENTIFIER
 
 _WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 _TEXT = "coalesce(text, '')"
@@ -55,9 +55,15 @@ def _secrets() -> str:
         folded = "lower(m)" if cls.alphabet.lower() == cls.alphabet else "m"
         needs = "".join(f" AND regexp_matches(m, '{need}')" for need in cls.needs)
         w, name = cls.window, cls.kind
+        before = "coalesce(list_sum(list_transform({}[1:k - 1], lambda g: length(g))), 0)"
         parts.append(f"""{name}_c AS (SELECT doc_id, {folded} AS m, s FROM (
-            {_places("t", f"{cls.members}{{{w},}}")})
-          WHERE NOT regexp_matches(m, '{ALLOWED}'){needs})""")
+          SELECT doc_id, ps[k] AS m, s + {before.format("ps")} + {before.format("xs")} AS s
+          FROM (SELECT doc_id, s, ps, xs, unnest(range(1, len(ps) + 1)) AS k FROM (
+            SELECT doc_id, s, string_split_regex(m, '{ALLOWED}') AS ps,
+                   regexp_extract_all(m, '{ALLOWED}') AS xs
+            FROM ({_places("t", f"{cls.members}{{{w},}}")})
+            WHERE NOT regexp_matches(m, '{IDENTIFIER}'))))
+          WHERE length(m) >= {w}{needs})""")
         parts.append(f"""{name}_w AS (SELECT doc_id, s, i,
             coalesce(i > lag(i) OVER (PARTITION BY doc_id, s ORDER BY i) + {w}, true) AS new
           FROM (SELECT doc_id, s, i, substr(m, i + 1, {w}) AS x FROM (

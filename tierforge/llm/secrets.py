@@ -3,13 +3,14 @@
 By shape: an assignment to a telling name, an access key, a run of hex digits. By entropy: runs of
 the characters of a class (hex digits, base64) are candidates; a window slides over each, its
 Shannon entropy kept up to date by changing the counts of the character that leaves and the one
-that enters, and windows above the threshold of the class are joined to spans. Candidates on the
-allow list (placeholders, alphabets, words, identifiers) are passed over, as are spans that lie
-within one found by shape.
+that enters, and windows above the threshold of the class are joined to spans. What the allow list
+names (placeholders, alphabets, words) is cut out of a candidate, and what is left on either side
+is scanned; an identifier is passed over whole, as are spans that lie within one found by shape.
 
 Everything happens within the row: no shuffle, and no row sees another. Defined cases: a null
 text is empty and has no spans; repeated rows are scanned one by one; an empty table gives no
-rows. Positions count code points; ends are exclusive.
+rows; the time for a text is in proportion to its length, for a candidate of any length, too.
+Positions count code points; ends are exclusive.
 """
 
 from __future__ import annotations
@@ -33,12 +34,15 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 12, 18, 16
 
-# What candidates by entropy must not contain. Fixed values.
+# What is no secret within a candidate by entropy, and as a whole candidate. Fixed values.
 ALLOWED = (
     r"(?i)example|sample|dummy|placeholder|changeme|redacted|your[_-]?(?:key|token|secret)"
     r"|xxxx|0123456789|abcdefghij|qwertyuiop"
-    r"|^[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$"
 )
+IDENTIFIER = r"(?i)^[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$"
+
+# Windows, or matches, that one fold goes through: it copies what it has found at each step.
+STEP = 512
 
 BASE_KINDS = ("assign", "access", "hex")
 
@@ -84,16 +88,53 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _upto(n: Column) -> Column:
+    """The numbers below ``n``."""
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def _sums(numbers: Column) -> Column:
+    """Running sums: within blocks of ``STEP``, to which the sums of the blocks before are added."""
+
+    def running(values: Column) -> Column:
+        return F.aggregate(
+            values,
+            F.array().cast("array<int>"),
+            lambda sums, v: F.concat(
+                sums, F.array(F.coalesce(F.get(sums, F.size(sums) - 1), F.lit(0)) + v)
+            ),
+        )
+
+    def of(values: Column) -> Column:
+        count = F.ceil(F.size(values) / STEP).cast("int")
+        blocks = F.transform(
+            _upto(count),
+            lambda k: running(
+                F.transform(
+                    _upto(F.least(F.lit(STEP), F.size(values) - k * STEP)),
+                    lambda j: F.get(values, k * STEP + j),
+                )
+            ),
+        )
+        return _let(blocks, lambda b: _let(running(F.transform(b, F.array_max)), lambda t: add(b, t)))
+
+    def add(blocks: Column, totals: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                blocks,
+                lambda block, k: _let(
+                    F.coalesce(F.get(totals, k - 1), F.lit(0)),
+                    lambda before: F.transform(block, lambda x: x + before),
+                ),
+            )
+        )
+
+    return _let(numbers, of)
+
+
 def _ends(pieces: Column) -> Column:
     """Where each piece ends."""
-    none = F.array().cast("array<int>")
-    return F.aggregate(
-        pieces,
-        none,
-        lambda ends, p: F.concat(
-            ends, F.array(F.coalesce(F.get(ends, F.size(ends) - 1), F.lit(0)) + F.length(p))
-        ),
-    )
+    return _sums(F.transform(pieces, F.length))
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -153,10 +194,8 @@ def hot_windows(candidate: Column, cls: CharacterClass) -> Column:
     terms = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(w + 1)])
     limit = F.lit((math.log2(w) - cls.threshold) * w)
     folded = F.lower(candidate) if cls.alphabet.lower() == cls.alphabet else candidate
-    codes = F.transform(
-        F.sequence(F.lit(1), F.length(candidate)),
-        lambda i: F.instr(F.lit(cls.alphabet), F.substring(folded, i, F.lit(1))) - 1,
-    )
+    # Characters of an alphabet are ASCII.
+    codes = F.transform(F.split(folded, ""), lambda c: F.instr(F.lit(cls.alphabet), c) - 1)
 
     def joined(spans: Column, start: Column) -> Column:
         last = F.get(spans, F.size(spans) - 1)
@@ -170,7 +209,9 @@ def hot_windows(candidate: Column, cls: CharacterClass) -> Column:
     def state(counts: Column, total: Column, spans: Column) -> Column:
         return F.struct(counts.alias("counts"), total.alias("total"), spans.alias("spans"))
 
-    def spans_of(codes: Column) -> Column:
+    def block(codes: Column, first: Column) -> Column:
+        """The spans of the windows that start at ``first`` and the ``STEP - 1`` places behind."""
+
         def slide(s: Column, i: Column) -> Column:
             out, new = F.get(codes, i - 1), F.get(codes, i + (w - 1))
             c_out, c_new = F.get(s["counts"], out), F.get(s["counts"], new)
@@ -193,35 +234,76 @@ def hot_windows(candidate: Column, cls: CharacterClass) -> Column:
         def run(counts: Column) -> Column:
             total = F.aggregate(counts, F.lit(0.0), lambda acc, c: acc + F.get(terms, c))
             none = F.array().cast("array<struct<start:int,end:int>>")
-            first = F.when(total <= limit, joined(none, F.lit(0))).otherwise(none)
-            steps = F.size(codes) - w
+            found = F.when(total <= limit, joined(none, first)).otherwise(none)
+            more = F.least(F.lit(STEP), F.size(codes) - (w - 1) - first) - 1
             return F.aggregate(
-                F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(
-                    F.array().cast("array<int>")
-                ),
-                state(counts, total, first),
+                F.transform(_upto(more), lambda j: first + 1 + j),
+                state(counts, total, found),
                 slide,
                 lambda s: s["spans"],
             )
 
-        first = F.slice(codes, 1, w)
-        counts = F.transform(
-            F.sequence(F.lit(0), F.lit(size - 1)),
-            lambda k: F.size(F.filter(first, lambda x: x == k)),
+        window = F.transform(_upto(F.lit(w)), lambda j: F.get(codes, first + j))
+        counts = _let(
+            window,
+            lambda inside: F.transform(
+                _upto(F.lit(size)), lambda k: F.size(F.filter(inside, lambda x: x == k))
+            ),
         )
         return _let(counts, run)
 
+    def islands(spans: Column) -> Column:
+        """Spans of neighbouring blocks that meet, as one."""
+        starts = F.filter(
+            spans, lambda s, i: (i == 0) | (s["start"] > F.get(spans, i - 1)["end"])
+        )
+        ends = F.filter(
+            spans,
+            lambda s, i: (i == F.size(spans) - 1) | (F.get(spans, i + 1)["start"] > s["end"]),
+        )
+        return F.transform(
+            F.arrays_zip(starts.alias("a"), ends.alias("b")),
+            lambda x: F.struct(x["a"]["start"].alias("start"), x["b"]["end"].alias("end")),
+        )
+
+    def spans_of(codes: Column) -> Column:
+        count = F.ceil((F.size(codes) - (w - 1)) / STEP).cast("int")
+        blocks = F.transform(_upto(count), lambda k: _let(k * STEP, lambda at: block(codes, at)))
+        return _let(F.flatten(blocks), islands)
+
     return _let(codes, spans_of)
 
 
+def _rest(match: Column) -> Column:
+    """``found, start`` of what the allow list leaves of a candidate."""
+
+    def place(pieces: Column) -> Column:
+        cuts = F.regexp_extract_all(match["found"], F.lit(ALLOWED), F.lit(0))
+        # Pieces and what was cut out behind each; nothing is behind the last.
+        widths = F.zip_with(
+            pieces, cuts, lambda p, c: F.length(p) + F.coalesce(F.length(c), F.lit(0))
+        )
+        return F.zip_with(
+            pieces,
+            F.transform(F.arrays_zip(_sums(widths).alias("e"), widths.alias("n")), lambda x: x["e"] - x["n"]),
+            lambda p, at: F.struct(p.alias("found"), (match["start"] + at).alias("start")),
+        )
+
+    return _let(F.split(match["found"], ALLOWED, -1), place)
+
+
 def entropy_spans(text: Column, cls: CharacterClass, rank: int) -> Column:
     """Spans found in the candidates of one class."""
-    candidates = F.filter(
+    runs = F.filter(
         _matches(text, f"{cls.members}{{{cls.window},}}"),
+        lambda m: ~m["found"].rlike(IDENTIFIER),
+    )
+    candidates = F.filter(
+        F.flatten(F.transform(runs, _rest)),
         lambda m: reduce(
             lambda a, b: a & b,
             [m["found"].rlike(need) for need in cls.needs],
-            ~m["found"].rlike(ALLOWED),
+            F.length(m["found"]) >= cls.window,
         ),
     )
     return F.flatten(
