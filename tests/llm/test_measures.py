@@ -173,6 +173,34 @@ def test_bad_host_is_condemned_and_small_or_mixed_ones_are_not(docs_of):
     assert all(v for k, v in out.items() if not 1000 <= k <= 1100)
 
 
+def test_host_with_half_its_documents_bad_goes_whole(docs_of):
+    def good(k):
+        return " ".join(f"w{k}x{j}" for j in range(60))
+
+    def signs(k):
+        return " ".join(f"w{j}$$$$$$" for j in range(60))
+
+    def lines(k):
+        return "\n".join([" ".join(f"l{k}y{j}" for j in range(40)), good(k)] + ["a b c"] * 4)
+
+    # A quarter fails by symbols and a quarter by repeated lines: no rule alone condemns the host.
+    makers = (good, signs, good, lines)
+    rows = [(k, good(k), f"good{k % 8}") for k in range(240)]
+    rows += [(1000 + k, makers[k % 4](k), "half") for k in range(40)]
+    out = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in host_rules.judge(docs_of(rows)).collect()}
+    assert not any(failed for failed, _ in out.values())
+    assert [kept for k, (_, kept) in out.items() if k >= 1000] == [False] * 40
+    assert all(kept for k, (_, kept) in out.items() if k < 1000)
+
+
+def test_where_all_hosts_are_alike_none_is_condemned(docs_of):
+    good, bad = " ".join(f"w{j}" for j in range(60)), " ".join(f"w{j}$$$$$$" for j in range(60))
+    rows = [(k, bad if k // 8 % 2 else good, f"h{k % 8}") for k in range(160)]
+    assert all(r["kept"] for r in host_rules.judge(docs_of(rows)).collect())
+    one = [(k, bad if k % 2 else good, "h") for k in range(40)]
+    assert all(r["kept"] for r in host_rules.judge(docs_of(one)).collect())
+
+
 def test_hosts_without_documents(docs_of):
     assert host_rules.judge(docs_of([])).count() == 0
 

@@ -1,18 +1,24 @@
 """Quality rules judged by host.
 
 Each document is measured once. Failures of the rules are added up by host (here: ``source``),
-each host's failure rates are shrunk towards the mean of all hosts by a beta prior that is fitted
-to the hosts themselves, and a host whose shrunk rate stays high is condemned: its documents go
-with it. A host with few documents can hardly be condemned by them alone.
+each host's failure rates, of each rule and of any rule, are shrunk towards the mean of all hosts
+by a beta prior that is fitted to the hosts themselves. A host is condemned, and its documents go
+with it, if its posterior rate of failing any rule is surely high (also some deviations below its
+mean) and stands out from the prior of all hosts. A host with few documents can hardly be condemned
+by them alone.
 
 Defined cases: a null text has no words; a null host is a host of its own; rows that repeat are
-counted as often as they occur; with one host, or none that deviate, every rate shrinks to the
-mean; an empty table gives an empty result.
+counted as often as they occur; a text of any length is measured whole, within its row; with one
+host, or none that deviate, every rate shrinks to the mean and none stands out; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -50,11 +56,16 @@ class HostRules:
     max_symbol_pct: int = 20
     # Of the lines with words, in percent.
     max_dup_line_pct: int = 30
-    # A host whose shrunk failure rate is above this is condemned, for any one rule.
-    max_host_rate: float = 0.6
+    # A host is condemned if its rate of failing any rule, less so many standard deviations of its
+    # posterior, is above this rate ...
+    max_host_rate: float = 0.3
+    sure_deviations: float = 2.0
+    # ... and is more than so many standard deviations of the prior above the prior's mean.
+    prior_deviations: float = 1.0
 
 
 RULES = ("too_short", "repetitive", "symbols", "dup_lines")
+RATES = (*RULES, "any_rule")
 
 
 def measure(text: bytes) -> tuple[int, ...]:
@@ -107,14 +118,19 @@ def failures(rules: HostRules) -> dict[str, Column]:
     }
 
 
+def failures_and_any(rules: HostRules) -> dict[str, Column]:
+    failed = failures(rules)
+    return failed | {"any_rule": reduce(or_, failed.values())}
+
+
 def host_verdicts(measured: DataFrame, rules: HostRules) -> DataFrame:
-    """``host``, its documents, a shrunk failure rate for each rule, and ``condemned``.
+    """``host``, its documents, a shrunk rate for each of ``RATES``, and ``condemned``.
 
     The prior of a rule has the hosts' mean rate ``m`` and the variance that is left of theirs
     once that of drawing ``n`` documents is taken off, weighted by documents (method of moments).
     Three sums over the hosts give it; the hosts themselves never leave the executors.
     """
-    failed = failures(rules)
+    failed = failures_and_any(rules)
     hosts = measured.groupBy("host").agg(
         F.count(F.lit(1)).alias("docs"),
         *[F.sum(c.cast("long")).alias(rule) for rule, c in failed.items()],
@@ -124,19 +140,23 @@ def host_verdicts(measured: DataFrame, rules: HostRules) -> DataFrame:
         F.count(n).alias("hosts"),
         F.sum(n).alias("n"),
         F.sum(n * n).alias("nn"),
-        *[F.sum(r).alias(f"{r}_f") for r in RULES],
-        *[F.sum(F.col(r) * F.col(r) / n).alias(f"{r}_ff") for r in RULES],
+        *[F.sum(r).alias(f"{r}_f") for r in RATES],
+        *[F.sum(F.col(r) * F.col(r) / n).alias(f"{r}_ff") for r in RATES],
     ).first()
     shrunk = {}
-    for rule in RULES:
+    for rule in RATES:
         mean, strength = _prior(
             sums["hosts"], sums["n"] or 0, sums["nn"] or 0,
             sums[f"{rule}_f"] or 0, sums[f"{rule}_ff"] or 0.0,
         )
         shrunk[rule] = (F.col(rule) + F.lit(mean * strength)) / (n + F.lit(strength))
-    condemned = F.lit(False)
-    for rate in shrunk.values():
-        condemned = condemned | (rate > rules.max_host_rate)
+    # The last is that of any rule, by which hosts are judged.
+    deviation = math.sqrt(mean * (1 - mean) / (strength + 1))
+    rate = shrunk["any_rule"]
+    unsure = F.sqrt(rate * (1 - rate) / (n + F.lit(strength + 1)))
+    condemned = (rate - rules.sure_deviations * unsure > rules.max_host_rate) & (
+        rate > mean + rules.prior_deviations * deviation
+    )
     return hosts.select(
         "host", "docs", *[c.alias(f"{r}_rate") for r, c in shrunk.items()],
         condemned.alias("condemned"),

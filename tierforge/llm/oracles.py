@@ -7,7 +7,7 @@ and parsed pages no expression: those queries are tested against plain Python in
 from __future__ import annotations
 
 from tierforge.llm import personal
-from tierforge.llm.host_rules import RULES, HostRules
+from tierforge.llm.host_rules import RATES, RULES, HostRules
 from tierforge.llm.secrets import ALLOWED, BASE_KINDS, CLASSES, IDENTIFIER
 
 _WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -133,16 +133,23 @@ def _host_rules(rules: HostRules) -> str:
         "symbols": f"100 * n_symbols > {rules.max_symbol_pct} * word_chars",
         "dup_lines": f"100 * n_dup_lines > {rules.max_dup_line_pct} * n_lines",
     }
-    sums, priors, rates = [], [], []
-    for r in RULES:
+    failed["any_rule"] = " OR ".join(failed[r] for r in RULES)
+    sums, priors = [], []
+    for r in RATES:
         sums.append(f"sum(({failed[r]})::INT) AS {r}")
         mean = f"(f_{r} / n)"
         spread = f"((ff_{r} - n * {mean} * {mean} - (h - 1) * {mean} * (1 - {mean})) / (n - nn / n))"
         priors.append(f"""CASE WHEN h < 2 OR f_{r} <= 0 OR f_{r} >= n THEN greatest(n, 1.0)
           ELSE least(greatest(CASE WHEN {spread} > 0 THEN {mean} * (1 - {mean}) / {spread} - 1
                               ELSE n END, 1.0), n) END AS k_{r}, f_{r} / n AS m_{r}""")
-        rates.append(f"({r} + m_{r} * k_{r}) / (docs + k_{r}) > {rules.max_host_rate}")
-    totals = ", ".join(f"sum({r})::DOUBLE AS f_{r}, sum({r} * {r} / docs) AS ff_{r}" for r in RULES)
+    x, k = "((any_rule + m_any_rule * k_any_rule) / (docs + k_any_rule))", "k_any_rule"
+    unsure = f"sqrt({x} * (1 - {x}) / (docs + {k} + 1))"
+    spread = f"sqrt(m_any_rule * (1 - m_any_rule) / ({k} + 1))"
+    condemned = (
+        f"{x} - {rules.sure_deviations} * {unsure} > {rules.max_host_rate}"
+        f" AND {x} > m_any_rule + {rules.prior_deviations} * {spread}"
+    )
+    totals = ", ".join(f"sum({r})::DOUBLE AS f_{r}, sum({r} * {r} / docs) AS ff_{r}" for r in RATES)
     return f"""WITH w AS (SELECT doc_id, source, {_TEXT} AS t, {_WORDS.format(text=_TEXT)} AS w
       FROM documents),
     g AS (SELECT doc_id, i, w[i + 1:i + 3] AS g
@@ -164,7 +171,7 @@ def _host_rules(rules: HostRules) -> str:
     a AS (SELECT count(*) AS h, sum(docs)::DOUBLE AS n, sum(docs * docs)::DOUBLE AS nn, {totals}
           FROM h),
     k AS (SELECT {", ".join(priors)} FROM a),
-    v AS (SELECT source, {" OR ".join(rates)} AS condemned FROM h, k)
+    v AS (SELECT source, {condemned} AS condemned FROM h, k)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
            {failed["too_short"]} OR {failed["repetitive"]} AS base_failed,
            NOT ({failed["too_short"]} OR {failed["repetitive"]}) AND NOT condemned AS kept
