@@ -72,6 +72,71 @@ def test_content_in_several_elements(html, first, last, paragraphs):
     assert (got[0], got[-1], len(got)) == (first.strip(), last.strip(), paragraphs)
 
 
+def paragraphs(n, of="story"):
+    return "".join(f"<p>{of} {k}: {'enough to say about it ' * 6}</p>" for k in range(n))
+
+
+@pytest.mark.parametrize(
+    "inside, kept",
+    [
+        ('<h2 class="section-header">Results</h2>', "Results"),
+        ('<div class="alert">Mind the step.</div>', "Mind the step."),
+        ('<div class="search-results-table"><table><tr><td>a<td>17</table></div>', "a\n\n17"),
+        (f'<section id="related-work">{paragraphs(2, "related")}</section>', "related 1:"),
+    ],
+)
+def test_names_alone_drop_no_content(inside, kept):
+    got = html_text.main_text(f"<body><article>{paragraphs(3)}{inside}{paragraphs(1)}</article></body>")
+    assert kept in got and got.count("story") == 4
+    assert html_text.main_text(f"<article>{inside}</article>").startswith(kept[:6])
+
+
+def test_names_that_links_confirm_drop():
+    related = '<div class="related-posts"><h3>More</h3><a>One long title</a> <a>Another one</a></div>'
+    share = '<div class="share">Share <a>here</a> <a>or there</a></div>'
+    for page in ("<body><article>%s</article></body>", "<body><div>%s</div></body>"):
+        got = html_text.main_text(page % (paragraphs(4) + share + related))
+        assert got.count("story") == 4 and "More" not in got and "Share" not in got
+
+
+def test_clusters_choose_the_story_beside_a_teaser_card(monkeypatch):
+    story = f"<div>{paragraphs(20)}</div>"
+    page = f"<body><article><h3>Teaser one</h3></article>{story}</body>"
+    got = html_text.main_text(page)
+    assert got.count("story") == 20 and "Teaser" not in got
+    # Many short lines outweigh a short story, but not by their ratio.
+    lines = "".join(f"<li><b>{k}</b> <i>short</i> <u>line</u>" for k in range(300))
+    page = f"<body><div><ul>{lines}</ul></div><div>{paragraphs(6)}</div></body>"
+    got = html_text.main_text(page)
+    assert got.count("story") == 6 and "short" not in got
+    monkeypatch.setattr(html_text, "content_lines", lambda ratios: ratios >= 0)
+    assert "short" in html_text.main_text(page)
+
+
+@pytest.mark.parametrize(
+    "piece", ["<div>x", "<div>x</b>", "<li>x<div>", "<b>x", "<td><p>x", "<section class='related'>x"]
+)
+def test_deep_unclosed_markup_takes_time_and_memory_in_proportion(piece):
+    import tracemalloc
+    from time import perf_counter
+
+    def seconds(size):
+        start = perf_counter()
+        html_text.main_text(piece * (size // len(piece)))
+        return perf_counter() - start
+
+    def peak(size):
+        tracemalloc.start()
+        html_text.main_text(piece * (size // len(piece)))
+        _, most = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        return most
+
+    seconds(1000)
+    assert seconds(1_000_000) < 40 * seconds(100_000)
+    assert peak(200_000) < 15 * peak(20_000)
+
+
 def test_pages_with_nulls_repeats_and_long_ones(spark):
     long = "<article>" + "<p>" + "word " * 200_000 + "</p>" * 3 + "</article>"
     rows = [(1, None, None), (1, "u", "<p>x</p>"), (1, "u", "<p>x</p>"), (None, "u", ""), (2, "u", long)]
