@@ -187,3 +187,28 @@ def test_query(spark):
     rows = [(r[0], r[1], "") for r in docs]
     out = QUERIES["op2_ngram_jaccard"](spark, SF)
     assert sorted((tuple(r) for r in out.collect()), key=repr) == brute_force(rows, 3, 90)
+
+
+def test_parts_do_not_repeat_the_ties_of_earlier_ones(spark, monkeypatch):
+    rng = random.Random(11)
+    base = [[f"g{g}w{rng.randrange(10**6)}" for _ in range(300)] for g in range(40)]
+    texts = []
+    for words in base:
+        for k in range(3):
+            own = list(words)
+            own[rng.randrange(300)] = f"x{k}"
+            texts.append((len(texts), " ".join(own)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(12)
+    total = len(texts) * 296
+
+    def ties(parts):
+        with monkeypatch.context() as patched:
+            patched.setattr(jaccard, "PART_SEGMENTS", -(-total // parts))
+            # Ties as the parts return them, before equal ones are put together.
+            patched.setattr(type(docs), "distinct", lambda df: df)
+            return jaccard._candidate_edges(docs, 5, 80, total, np.empty(0, np.uint64)).collect()
+
+    few, many = ties(2), ties(64)
+    joined = [dict(components(spark.createDataFrame(t, "src long, dst long")).collect()) for t in (few, many)]
+    assert joined[0] == joined[1] and len(joined[0]) == 120 and len(set(joined[0].values())) == 40
+    assert len(few) <= 120 and len(many) <= 480

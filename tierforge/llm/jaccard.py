@@ -47,6 +47,8 @@ BLOCK_DOCS, BLOCK_SHINGLES = 512, 1 << 18
 COMMON = 0.0005
 # Segments of a part of the range of hashes, about: so many shingles have no more of them.
 PART_SEGMENTS = 1 << 20
+# Least segments of a set by which a part knows what earlier ones tied.
+EARLY = 2
 # Bits of the set of ids whose texts are looked at again.
 DOC_BITS = 1 << 20
 # Keys over which a band of a cluster is spread where its members join what is known of it.
@@ -205,9 +207,25 @@ def _candidate_edges(
     segment sends on just one, packed with others of the same part of the range of hashes: six
     bytes of the segment's hash (the part tells more), and which of the batch's sets it is. A part
     holds a bounded number of segments, so that false agreement is as rare in a larger corpus.
+
+    Sets that agree in many segments meet in many parts, and more so the more parts there are. So a
+    set brings its ``EARLY`` least segments along: sets with one of them in common are tied in the
+    part that it belongs to, and later parts need not tie them again. Of what is left, batches and
+    parts return a spanning forest.
     """
     parts = max(1, -(-total // PART_SEGMENTS))
-    names = ("nodes", "keys", "place", "ties")
+    names = ("nodes", "keys", "place", "early", "ties")
+
+    def part_of(key: np.ndarray) -> np.ndarray:
+        return ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+    def packed(key: np.ndarray) -> bytes:
+        return np.ascontiguousarray(key).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+    def unpacked(data: bytes) -> np.ndarray:
+        key = np.zeros((len(data) // 6, 8), np.uint8)
+        key[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+        return key.reshape(-1).view(np.uint64)
     arrow = pa.schema([("part", pa.int64()), *((n, pa.binary()) for n in names)])
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -216,13 +234,14 @@ def _candidate_edges(
 
     def pack(bodies: Iterator[bytes]) -> Iterator[dict]:
         seen: set[tuple[int, int]] = set()
-        keys, nodes = [], []
+        keys, nodes, least = [], [], []
         for text in bodies:
             own = shingles(hashed_words(text.lower()), size)
             if len(own) and (mark := fingerprint(own)) not in seen:
                 seen.add(mark)
                 keys.append(segment_keys(own, percent, common))
                 nodes.append(mark[1])
+                least.append(np.resize(np.sort(keys[-1])[:EARLY], EARLY))
         if not nodes:
             return
         own = np.repeat(np.arange(len(nodes)), [len(k) for k in keys])
@@ -232,36 +251,58 @@ def _candidate_edges(
         key, own = key[order], own[order]
         new = np.concatenate([[True], key[1:] != key[:-1]])
         leader = own[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        ties = np.unique(np.stack([node[leader], node[own]], axis=1)[leader != own], axis=0)
+        ties = np.array(_spanning(len(node), leader, own), np.int64).reshape(-1, 2)
         key, own = key[new], own[new]
-        part = ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        part = part_of(key)
+        early = np.stack(least)
+        early_part = part_of(early)
         at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         out: dict[str, list] = {n: [] for n in arrow.names}
         for k, (low, high) in enumerate(zip(at, [*at[1:], len(key)], strict=True)):
             used, place = np.unique(own[low:high], return_inverse=True)
             out["part"].append(part[low])
             out["nodes"].append(node[used].tobytes())
-            out["keys"].append(key[low:high].view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
+            out["keys"].append(packed(key[low:high]))
             out["place"].append(place.astype(np.uint16).tobytes())
-            out["ties"].append(b"" if k else ties.tobytes())
+            # Of segments that are not of an earlier part, the set's own name stands instead.
+            done = early_part[used] < part[low]
+            out["early"].append(
+                packed(np.where(done, early[used], node[used].view(np.uint64)[:, None]))
+                if done.any() else b""
+            )
+            out["ties"].append(b"" if k else node[ties].tobytes())
         yield out
 
     def agree(records: list[dict]) -> pa.RecordBatch:
-        keys, nodes, ties = [], [], []
+        keys, nodes, ties, early, named = [], [], [], [], []
         for r in records:
-            six = np.frombuffer(r["keys"], np.uint8).reshape(-1, 6)
-            key = np.zeros((len(six), 8), np.uint8)
-            key[:, :6] = six
-            keys.append(key.reshape(-1).view(np.uint64))
-            nodes.append(np.frombuffer(r["nodes"], np.int64)[np.frombuffer(r["place"], np.uint16)])
+            keys.append(unpacked(r["keys"]))
+            own = np.frombuffer(r["nodes"], np.int64)
+            nodes.append(own[np.frombuffer(r["place"], np.uint16)])
             ties.append(np.frombuffer(r["ties"], np.int64).reshape(-1, 2))
+            if r["early"]:
+                early.append(unpacked(r["early"]))
+                named.append(np.repeat(own, EARLY))
         key, node = np.concatenate(keys), np.concatenate(nodes)
         order = np.lexsort((node, key))
         key, node = key[order], node[order]
         new = np.concatenate([[True], key[1:] != key[:-1]])
         leader = node[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        found = np.stack([leader, node], axis=1)[leader != node]
-        edges = np.unique(np.concatenate([found, *ties]), axis=0)
+        apart = leader != node
+        tied, place = np.unique(np.concatenate([leader[apart], node[apart]]), return_inverse=True)
+        first, second = place.reshape(2, -1)
+        before = (np.empty(0, np.int64),) * 2
+        if early and len(tied):
+            key, node = np.concatenate(early), np.concatenate(named)
+            at = np.minimum(np.searchsorted(tied, node), len(tied) - 1)
+            met = tied[at] == node
+            key, at = key[met], at[met]
+            order = np.argsort(key, kind="stable")
+            key, at = key[order], at[order]
+            new = np.concatenate([[True], key[1:] != key[:-1]])
+            before = at[np.flatnonzero(new)[np.cumsum(new) - 1]], at
+        kept = np.array(_spanning(len(tied), first, second, before), np.int64).reshape(-1, 2)
+        edges = np.concatenate([tied[kept].reshape(-1, 2), *ties])
         return pa.RecordBatch.from_arrays(
             [pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["src", "dst"]
         )
@@ -408,6 +449,25 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
+def _spanning(
+    n: int, a: np.ndarray, b: np.ndarray, before: tuple[np.ndarray, np.ndarray] | None = None
+) -> list[tuple[int, int]]:
+    """``_forest`` of ties that repeat; what ``before`` connects needs no more edges."""
+
+    def distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        both = np.unique(a[a != b].astype(np.int64) * n + b[a != b])
+        return both // max(n, 1), both % max(n, 1)
+
+    edges = distinct(a, b)
+    if before is None:
+        return _forest(n, *edges)
+    known = _forest(n, *distinct(*before))
+    first, second = (np.array([e[k] for e in known], np.int64) for k in (0, 1))
+    both = (np.concatenate(pair) for pair in zip((first, second), edges, strict=True))
+    # The edges that connect come in order: those known come before all others, and each connects.
+    return _forest(n, *both)[len(known) :]
+
+
 def _links(cells: DataFrame, percent: int) -> DataFrame:
     """``src, dst`` of a spanning forest of each cell's links, and rows ``src, links``.
 
