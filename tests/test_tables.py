@@ -35,7 +35,7 @@ from tierforge.sinks import (
     upsert_table,
     write_by_contract,
 )
-from tierforge.operators import merge_rows
+from tierforge.operators import dedupe_on_keys, merge_rows
 from tierforge.sinks.layout import by_partition
 from tierforge.sinks.snapshots import publish
 from tierforge.sources import contract_scan, table_scan
@@ -97,6 +97,24 @@ def test_small_partitions_are_written_by_all_cores(spark, tmp_path):
     assert held.count() == 300
 
 
+def test_rows_that_a_shuffle_makes_are_made_once(spark):
+    df = spark.range(0, 3000, 1, 4).selectExpr("id % 1000 AS id", "id % 7 AS day", "id AS v")
+    made = dedupe_on_keys(df, ["id"], ["v"])
+    assert "Window" in plan(made)
+    dealt = by_partition(made, ["day"])
+    assert "Window" not in plan(dealt) and plan(dealt).count("Exchange") == 1
+    assert rows(dealt) == rows(made)
+
+
+def test_rows_of_few_large_partitions_stay_where_they_are(spark, conf, tmp_path):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="1KB")
+    df = spark.range(0, 60_000, 1, 8).selectExpr("id % 3 AS day", "id")
+    assert "Exchange" not in plan(by_partition(df, ["day"]))
+    overwrite(df, f"{tmp_path}/t", partition_by=["day"])
+    assert len(list(tmp_path.glob("t/day=0/part-*"))) == 8
+    assert rows(table_scan(spark, f"{tmp_path}/t").select("day", "id")) == rows(df)
+
+
 def test_layout_of_odd_frames(spark, conf):
     conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="1KB")
     frame = spark.range(500).selectExpr("IF(id % 2 = 0, NULL, 'x') AS `a.b`", "map(id, id) AS m", "id AS __rows")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -22,17 +23,26 @@ def by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     (``spark.sql.files.openCostInBytes``); the sum over ``advisoryPartitionSizeInBytes`` is the
     number of tasks, at least one a core. So folders of little content are written by all cores,
     and a partition that is larger than the advisory size is cut into as many pieces, by a hash of
-    its rows, each of a task and file of its own. Counting costs one more pass over what the
-    partition columns need.
+    its rows, each of a task and file of its own. Where partitions are so large that every task has
+    that much for each of them, rows stay where they are.
+
+    Counting is one more pass over the rows; those that take a shuffle to make are staged for it, so
+    that they are made once.
     """
     spark, columns = df.sparkSession, list(partition_by)
+    if _is_shuffled(df):
+        df = stage(df, "rows")
     most, opening = (_bytes(spark, f"spark.sql.{name}") for name in (
         "adaptive.advisoryPartitionSizeInBytes", "files.openCostInBytes",
     ))
     counted = df.groupBy(*map(quoted, columns)).agg(F.count(F.lit(1)).alias(_ROWS))
     sizes = stage(counted, "partitions")
     size = F.col(_ROWS) * df._jdf.schema().defaultSize()
-    total, largest = sizes.agg(F.sum(size + opening), F.max(size)).first()
+    total, largest, held, partitions = sizes.agg(
+        F.sum(size + opening), F.max(size), F.sum(size), F.count(F.lit(1))
+    ).first()
+    if partitions and partitions * most <= held and partitions * most * df.rdd.getNumPartitions() <= held:
+        return df
     tasks = max(spark.sparkContext.defaultParallelism, -(-(total or 0) // most))
     hashed = [quoted(f.name) for f in df.schema if not _holds_map(f.dataType)]
     if (largest or 0) <= most or not hashed:
@@ -55,6 +65,10 @@ def partitioned(df: DataFrame, fmt: str, partition_by: Sequence[str]) -> DataFra
     return by_partition(df, partition_by).write.format(fmt).partitionBy(*partition_by)
 
 
+def _is_shuffled(df: DataFrame) -> bool:
+    return re.search(r"\bExchange\b", df._jdf.queryExecution().executedPlan().toString()) is not None
+
+
 def _bytes(spark: SparkSession, setting: str) -> int:
     return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(setting))
 
