@@ -9,7 +9,8 @@ from tierforge.plans import days_of, load_bronze, refresh_gold, sales_summary, t
 from tierforge.plans.gold import facts_on
 from tierforge.sinks import read_table, upsert_table
 from tierforge.sources import table_scan
-from tests.conftest import plan, rows
+from tests.conftest import SF, plan, rows
+from workload import queries
 
 FACT = "sales_id int, sales_date date, product_id int, quantity int, price double"
 SUMMARY = ("sales_date", "product_id", "product_name", "total_qty", "gross_revenue")
@@ -124,3 +125,16 @@ def test_figures_of_a_load_cost_no_job(spark, tmp_path):
     assert figures == {"read": 4, "quarantined": 1, "rejected": 1, "inserted": 2, "updated": 0}
     load("counted", figures=figures)
     assert (figures["inserted"], figures["updated"]) == (0, 2)
+
+
+def test_changed_days_choose_among_equal_keys_once(spark, monkeypatch):
+    seen = []
+
+    def noted(facts, *rest):
+        seen.append(plan(facts))
+        return refresh_gold(facts, *rest)
+
+    monkeypatch.setattr(queries, "refresh_gold", noted)
+    queries.gold_changed_days(spark, SF)
+    assert len(seen) == 2 and "Window" not in seen[0]
+    assert "l_orderkey" not in seen[0] + seen[1]

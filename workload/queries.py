@@ -42,7 +42,7 @@ from tierforge.plans import (
     spreadsheet_ingest,
     touched_days,
 )
-from tierforge.scratch import scratch_dir
+from tierforge.scratch import scratch_dir, stage
 from tierforge.sinks import (
     create_if_missing,
     export_files,
@@ -564,7 +564,8 @@ def gold_changed_days(spark: SparkSession, sf: str) -> DataFrame:
     raw = _table(spark, sf, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("sales_id"),
                                                *_fact_columns())
     order = ["product_id", "quantity", "price", "sales_date"]
-    facts, products = dedupe_on_keys(raw, ["sales_id"], order), _products(spark, sf)
+    # What follows reads the facts many times.
+    facts, products = stage(dedupe_on_keys(raw, ["sales_id"], order), "facts"), _products(spark, sf)
     refresh_gold(facts, products, path, facts.select("sales_date"))
     last = facts.agg(F.year(F.max("sales_date"))).first()[0]
     moved = facts.where(F.year("sales_date") == last).withColumns(
