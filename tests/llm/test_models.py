@@ -3,6 +3,7 @@
 import math
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -349,3 +350,47 @@ def test_chances_after_each_word_sum_to_one(spark, docs_of, stored):
         unknown = model.unknown[u % pitman_yor.CONTEXTS] * 10 ** row["back"]
         assert total[u] + unknown == pytest.approx(1, abs=1e-5)
     assert len(gains) == pairs.count()
+
+
+def test_scores_from_many_ranges_and_from_one(docs_of, stored, monkeypatch):
+    rows = [*NASTY, *[(50 + k, f"the word {k} the End of {k % 5}", "s") for k in range(40)]]
+    docs, want = stored(docs_of(rows)), brute_base(rows, [learned_from(i) for i, _, _ in rows])
+    total = []
+    for size in (1 << 30, 500):
+        monkeypatch.setattr(pitman_yor, "RANGE_BYTES", size)
+        got, out = scored(docs)
+        assert got == want
+        total.append(sum(r["score"] for r in out))
+    assert total[0] == pytest.approx(total[1], rel=0.02)
+
+
+def test_ranges_follow_the_input_and_not_the_cluster(spark, docs_of, stored):
+    docs = stored(docs_of([(k, "some words", "s") for k in range(50)]))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "211")
+        assert pitman_yor._ranges(docs) == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_used_seats_do_not_stay_on_disk(spark, docs_of, stored):
+    scratch = Path(spark.conf.get("spark.checkpoint.dir"))
+    docs = stored(docs_of([(k, f"the word {k % 7} the End", "s") for k in range(60)]))
+    before = set(scratch.iterdir())
+    assert len(scored(docs)[1]) == 60
+    # Those of the last sweep, which the scores are made from.
+    assert [p.name.split("-")[0] for p in set(scratch.iterdir()) - before] == ["seats"]
+
+
+def test_records_of_pairs_give_back_what_they_hold():
+    rng = np.random.default_rng(6)
+    words, contexts = (np.unique(rng.integers(0, 2**64, 300, np.uint64)) for _ in range(2))
+    key = np.unique(np.concatenate([rng.integers(0, 300 * 300, 5000), np.arange(300) * 300]))
+    word, places = np.divmod(key, 300)
+    n = rng.integers(1, 70000, len(key))
+    record = pitman_yor._pack_pairs(words, contexts, np.bincount(word), places, n=n)
+    got = pitman_yor._unpack_pairs(record)
+    for name, want in {"words": words, "contexts": contexts, "places": places, "n": n}.items():
+        assert (got[name] == want).all()
+    assert (got["runs"] == np.bincount(word)).all()
