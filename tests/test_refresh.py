@@ -2,12 +2,22 @@ import datetime as dt
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from tierforge import Contract
-from tierforge.operators import merge_rows
-from tierforge.plans import days_of, load_bronze, refresh_gold, sales_summary, touched_days
+from tierforge.operators import are_spread, dedupe_on_keys, merge_rows
+from tierforge.plans import (
+    days_of,
+    load_bronze,
+    load_facts,
+    load_gold,
+    refresh_gold,
+    sales_summary,
+    touched_days,
+)
 from tierforge.plans.gold import facts_on
-from tierforge.sinks import read_table, upsert_table
+from tierforge.sinks import layout, read_table, upsert_table
+from tierforge.sinks.layout import by_partition, rows_by
 from tierforge.sources import table_scan
 from tests.conftest import SF, plan, rows
 from workload import queries
@@ -138,3 +148,68 @@ def test_changed_days_choose_among_equal_keys_once(spark, monkeypatch):
     queries.gold_changed_days(spark, SF)
     assert len(seen) == 2 and "Window" not in seen[0]
     assert "l_orderkey" not in seen[0] + seen[1]
+
+
+def test_a_load_reads_its_source_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(k):
+        seen.add(1)
+        return None if k % 10 == 0 else str(k % 50)
+
+    made = spark.range(100).repartition(2).select(read("id").alias("id"), F.col("id").alias("v"))
+    c = Contract(table=f"t_{uuid.uuid4().hex}", columns=(), keys=("id",))
+    rejected = load_bronze(spark, c, {}, str(tmp_path), raw=made, at=dt.datetime(2024, 1, 1))
+    assert seen.value == 100
+    assert rows(rejected.select("v")) == rows(spark.range(0, 100, 10))
+    # Of two rows of a key the smaller stays.
+    stored = read_table(spark, str(tmp_path), c.table).select("id", "v")
+    assert rows(stored) == sorted(((str(k), k) for k in range(50) if k % 10), key=repr)
+
+
+def test_rows_of_spread_keys_are_sorted_once(spark, conf):
+    conf(spark__sql__adaptive__enabled="false")
+    df = spark.range(40_000).selectExpr("id % 30000 AS k", "id AS v")
+    assert are_spread(df, ["k"])
+    hot = df.unionByName(spark.range(40_000).selectExpr("7 AS k", "id AS v"))
+    assert not are_spread(hot, ["k"]) and not are_spread(df.limit(0), ["k"])
+    once, twice = dedupe_on_keys(df, ["k"], spread=True), dedupe_on_keys(df, ["k"])
+    assert (plan(once).count("Sort ["), plan(twice).count("Sort [")) == (1, 2)
+    assert plan(once).count("Exchange") == 1
+    assert rows(once) == rows(twice) == [(k, k) for k in sorted(range(30_000), key=lambda k: repr((k, k)))]
+
+
+def test_rows_of_a_known_number_are_dealt_without_being_staged(spark, conf):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="4KB")
+    df = spark.range(0, 6000, 1, 4).selectExpr("id % 3000 AS id", "IF(id % 3 = 0, 1, id % 7 + 2) AS day", "id AS v")
+    made = dedupe_on_keys(df, ["id"], ["v"])
+    dealt = by_partition(made, ["day"], rows_by(df, ["day"]))
+    assert "Window" in plan(dealt)
+    assert rows(dealt) == rows(made)
+    # The day that is larger than the others is cut into pieces.
+    held = dealt.select("day", F.spark_partition_id().alias("task")).distinct()
+    assert held.where("day = 1").count() > 2
+
+
+def test_facts_and_their_summary_are_counted_without_being_made(spark, tmp_path, facts, products, monkeypatch):
+    staged, stage = [], layout.stage
+    monkeypatch.setattr(layout, "stage", lambda df, label: staged.append(label) or stage(df, label))
+    c = Contract.from_dict(
+        {
+            "table": f"t_{uuid.uuid4().hex}",
+            "source": {"format": "parquet", "location_ref": "r"},
+            "columns": {n: {"type": t} for n, t in (f.split() for f in FACT.split(", "))},
+            "primary_keys": ["sales_id"],
+            "partitions": ["sales_date"],
+        }
+    )
+    facts.write.parquet(f"{tmp_path}/facts")
+    kept = table_scan(spark, f"{tmp_path}/facts")
+    load_facts(kept, c, products, "product_id", str(tmp_path), keys_unique=True)
+    table = read_table(spark, str(tmp_path), c.table)
+    assert rows(table.drop("is_orphan").select(*facts.columns)) == rows(facts)
+    name = f"t_{uuid.uuid4().hex}"
+    load_gold(table, products, str(tmp_path), name)
+    assert rows(read_table(spark, str(tmp_path), name).select(*SUMMARY)) == rows(sales_summary(facts, products).select(*SUMMARY))
+    assert staged == ["partitions", "partitions"]

@@ -40,7 +40,12 @@ def whole_number(text: Column, to: T.DataType) -> Column:
         .otherwise(F.lit(0).cast(to))
     )
     plain = text.rlike(rf"^[+-]?[0-9]{{1,{digits}}}$")
-    return F.when(plain, text.try_cast(to)).when(text.rlike(_DECIMAL), cut)
+    fraction = text.rlike(rf"^[+-]?[0-9]{{1,{digits}}}[.][0-9]*$")
+    return (
+        F.when(plain, text.try_cast(to))
+        .when(fraction, whole.try_cast(to))
+        .when(text.rlike(_DECIMAL), cut)
+    )
 
 
 def truth_value(text: Column) -> Column:

@@ -53,16 +53,18 @@ def unique_rows(
     ignore: Sequence[str] = (),
     duplicates: str = "first",
     keys_present: bool = False,
+    spread: bool = False,
 ) -> DataFrame:
     """One row per key, and every row that has a NULL key, since those match nothing.
 
-    The latter take a scan of their own; ``keys_present`` says that there are none.
+    The latter take a scan of their own; ``keys_present`` says that there are none. ``spread``: see
+    ``dedupe_on_keys``.
     """
     if duplicates not in ("first", "raise"):
         raise ValueError(f"unknown way with duplicate keys: {duplicates!r}")
     keyed = source if keys_present else source.where(all_present(keys))
     if duplicates == "first":
-        keyed = dedupe_on_keys(keyed, keys, order_by, ignore)
+        keyed = dedupe_on_keys(keyed, keys, order_by, ignore, spread=spread)
     else:
         keyed = require_unique(keyed, keys)
     return keyed if keys_present else keyed.unionByName(source.where(~all_present(keys)))

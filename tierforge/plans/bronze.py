@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from tierforge.contract import AUDIT_COLUMN, Contract
 from tierforge.operators.conform import add_audit, conform
-from tierforge.operators.dedupe import dedupe_on_keys
+from tierforge.operators.dedupe import are_spread, dedupe_on_keys
 from tierforge.operators.merge import merge_options, merge_rows
 from tierforge.operators.quality import require_not_null, split_not_null
+from tierforge.scratch import stage, staging
+from tierforge.sinks.layout import rows_by
 from tierforge.sinks.tables import write_by_contract
 from tierforge.sources.files import contract_root, contract_scan, csv_quarantine
 
@@ -33,12 +35,24 @@ def bronze_rows(
     lacks, and that has no default, is missing in all rows. With ``nulls="fail"`` the first such
     row fails the query instead.
     """
+    return _checked(_conformed(raw, contract, strict), contract, at, nulls)
+
+
+def _conformed(raw: DataFrame, contract: Contract, strict: bool = False) -> DataFrame:
+    """The rows under the contract's names and types, with all required columns."""
     rows = conform(raw, contract, strict=strict)
     types = {c.name: c.spark_type for c in contract.columns}
     # A required column that the input lacks is missing in every row.
     for name in contract.required:
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast(types.get(name) or "string"))
+    return rows
+
+
+def _checked(
+    rows: DataFrame, contract: Contract, at: dt.datetime | None, nulls: str = "reject"
+) -> tuple[DataFrame, DataFrame]:
+    """The stamped rows that miss no required value, and the others."""
     if nulls == "fail":
         valid, rejected = require_not_null(rows, contract.required), split_not_null(rows, [])[1]
     elif nulls == "reject":
@@ -84,6 +98,8 @@ def load_bronze(
     as they are below ``<root>/<table>__quarantined``. ``buckets``: see ``write_by_contract``.
     ``figures`` gets the numbers of rows ``read``, ``quarantined``, ``rejected``, ``inserted`` and
     ``updated``: each job counts the rows it handles anyway.
+
+    The source is read and cast once: its rows are staged before they are looked at again.
     """
     seen = {name: Observation() for name in ("read", "quarantined", "rejected")} if figures is not None else {}
 
@@ -99,21 +115,27 @@ def load_bronze(
         counted(odd, "quarantined").write.parquet(f"{root.rstrip('/')}/{contract.table}__quarantined/load={uuid.uuid4().hex}")
     else:
         source = contract_scan(spark, contract, roots) if raw is None else raw
-    valid, rejected = bronze_rows(counted(source, "read"), contract, at=at)
-    if contract.write_mode == "overwrite":
-        valid = _replacement(valid, contract)
-    kept = f"{root.rstrip('/')}/{contract.table}__rejected/load={uuid.uuid4().hex}"
-    counted(rejected, "rejected").write.parquet(kept)
-    if seen:
-        written = ["read", "rejected"] + (["quarantined"] if raw is None and quarantine else [])
-        figures |= {name: seen[name].get[name] for name in written}
-    write_by_contract(
-        valid, contract, root, fmt, keys_present=True, buckets=buckets, figures=figures
-    )
+    with staging(spark):
+        rows = stage(_conformed(counted(source, "read"), contract), "conformed")
+        valid, rejected = _checked(rows, contract, at)
+        kept = f"{root.rstrip('/')}/{contract.table}__rejected/load={uuid.uuid4().hex}"
+        counted(rejected, "rejected").write.parquet(kept)
+        if seen:
+            written = ["read", "rejected"] + (["quarantined"] if raw is None and quarantine else [])
+            figures |= {name: seen[name].get[name] for name in written}
+        # Of rows with equal keys one is left, so there are that many at most.
+        expected = rows_by(valid, contract.partitions) if contract.partitions else None
+        spread = bool(contract.dedupe and contract.keys) and are_spread(valid, contract.keys)
+        if contract.write_mode == "overwrite":
+            valid = _replacement(valid, contract, spread)
+        write_by_contract(
+            valid, contract, root, fmt, keys_present=True, buckets=buckets, figures=figures,
+            expected=expected, spread=spread,
+        )
     return spark.read.schema(rejected.schema).parquet(kept)
 
 
-def _replacement(valid: DataFrame, contract: Contract) -> DataFrame:
+def _replacement(valid: DataFrame, contract: Contract, spread: bool = False) -> DataFrame:
     if contract.dedupe and contract.keys:
-        return dedupe_on_keys(valid, contract.keys, ignore=[AUDIT_COLUMN])
+        return dedupe_on_keys(valid, contract.keys, ignore=[AUDIT_COLUMN], spread=spread)
     return valid

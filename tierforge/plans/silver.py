@@ -15,6 +15,7 @@ from tierforge.operators.merge import merge_rows
 from tierforge.operators.quality import split_not_null
 from tierforge.operators.summary import flag_orphans
 from tierforge.scratch import stage
+from tierforge.sinks.layout import is_shuffled, rows_by
 from tierforge.sinks.tables import write_by_contract
 
 
@@ -65,9 +66,16 @@ def load_facts(
     ``options`` are those of ``fact_rows``.
     """
     facts, rejected = fact_rows(raw, contract, dim, foreign_key, **options)
+    # The lookup adds no facts and drops none, so they are counted without it; rows that take a
+    # shuffle to make are left to be staged and counted in one.
+    expected = None
+    if contract.partitions and not is_shuffled(raw):
+        valid, _ = split_not_null(conform(raw, contract), contract.required)
+        expected = rows_by(valid, contract.partitions)
     write_by_contract(
-        facts, contract, root, fmt, keys_present=True, keys_unique=True, buckets=buckets
-    )
+        facts, contract, root, fmt, keys_present=True, keys_unique=True, buckets=buckets,
+        expected=expected,
+    )
     return rejected
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,9 @@ from tierforge.scratch import stage
 _ROWS, _KNOWN, _PIECES = "__rows", "__known_", "__pieces"
 
 
-def by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def by_partition(
+    df: DataFrame, partition_by: Sequence[str], expected: DataFrame | None = None
+) -> DataFrame:
     """The rows, those of a partition brought together.
 
     Left where they are, every task would add a file to every partition. What a partition costs to
@@ -27,21 +29,24 @@ def by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     that much for each of them, rows stay where they are.
 
     Counting is one more pass over the rows; those that take a shuffle to make are staged for it, so
-    that they are made once.
+    that they are made once. ``expected`` (see ``rows_by``) spares both: the numbers of rows, or
+    what they are at most or about, as they are known from what the rows are made from.
     """
     spark, columns = df.sparkSession, list(partition_by)
-    if _is_shuffled(df):
-        df = stage(df, "rows")
+    shuffled = is_shuffled(df)
+    if shuffled and expected is None:
+        df, shuffled = stage(df, "rows"), False
     most, opening = (_bytes(spark, f"spark.sql.{name}") for name in (
         "adaptive.advisoryPartitionSizeInBytes", "files.openCostInBytes",
     ))
-    counted = df.groupBy(*map(quoted, columns)).agg(F.count(F.lit(1)).alias(_ROWS))
-    sizes = stage(counted, "partitions")
+    sizes = stage(rows_by(df, columns) if expected is None else expected, "partitions")
     size = F.col(_ROWS) * df._jdf.schema().defaultSize()
     total, largest, held, partitions = sizes.agg(
         F.sum(size + opening), F.max(size), F.sum(size), F.count(F.lit(1))
     ).first()
-    if partitions and partitions * most <= held and partitions * most * df.rdd.getNumPartitions() <= held:
+    # In how many partitions rows lie that take a shuffle is known once that has run.
+    large_ones = partitions and partitions * most <= held and not shuffled
+    if large_ones and partitions * most * df.rdd.getNumPartitions() <= held:
         return df
     tasks = max(spark.sparkContext.defaultParallelism, -(-(total or 0) // most))
     hashed = [quoted(f.name) for f in df.schema if not _holds_map(f.dataType)]
@@ -58,6 +63,14 @@ def by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return dealt.select(*map(quoted, df.columns))
 
 
+def rows_by(
+    df: DataFrame, partition_by: Sequence[str], number: Column | None = None
+) -> DataFrame:
+    """How many rows each partition has, or the aggregate ``number`` of it."""
+    number = F.count(F.lit(1)) if number is None else number
+    return df.groupBy(*map(quoted, partition_by)).agg(number.alias(_ROWS))
+
+
 def partitioned(df: DataFrame, fmt: str, partition_by: Sequence[str]) -> DataFrameWriter:
     """A writer of the rows, by partition."""
     if not partition_by:
@@ -65,7 +78,8 @@ def partitioned(df: DataFrame, fmt: str, partition_by: Sequence[str]) -> DataFra
     return by_partition(df, partition_by).write.format(fmt).partitionBy(*partition_by)
 
 
-def _is_shuffled(df: DataFrame) -> bool:
+def is_shuffled(df: DataFrame) -> bool:
+    """Does it take a shuffle to make the rows?"""
     return re.search(r"\bExchange\b", df._jdf.queryExecution().executedPlan().toString()) is not None
 
 

@@ -117,11 +117,12 @@ def publish(
     keys: Sequence[str] = (),
     buckets: int = 0,
     colocated: bool = False,
+    expected: DataFrame | None = None,
 ) -> Snapshot:
     """Write ``df`` and make it the table's rows.
 
     ``before`` is the snapshot the rows were made from. ``colocated`` says that the rows already
-    lie by their keys in as many partitions as there are buckets.
+    lie by their keys in as many partitions as there are buckets. ``expected``: see ``by_partition``.
     """
     spark, path = df.sparkSession, table_path(root, name)
     stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
@@ -136,7 +137,7 @@ def publish(
             rows = df if colocated else df.repartition(buckets, *map(quoted, keys))
             writer = rows.write.format(fmt).bucketBy(buckets, *keys).sortBy(*keys)
         else:
-            rows = by_partition(df, partition_by) if partition_by else df
+            rows = by_partition(df, partition_by, expected) if partition_by else df
             writer = rows.write.format(fmt)
         if partition_by:
             writer = writer.partitionBy(*partition_by)

@@ -65,14 +65,19 @@ def create_if_missing(
 
 
 def create_or_replace(
-    df: DataFrame, name: str, root: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
+    df: DataFrame,
+    name: str,
+    root: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+    expected: DataFrame | None = None,
 ) -> Snapshot:
     """Make ``name`` show ``df``'s rows; returns the new snapshot.
 
-    Old snapshots stay until :func:`drop_old` is called.
+    Old snapshots stay until :func:`drop_old` is called. ``expected``: see ``by_partition``.
     """
     before = newest(df.sparkSession, root, name)
-    return publish(df, root, name, before, fmt=fmt, partition_by=partition_by)
+    return publish(df, root, name, before, fmt=fmt, partition_by=partition_by, expected=expected)
 
 
 def create_table(
@@ -101,6 +106,7 @@ def upsert_table(
     partition_by: Sequence[str] = (),
     buckets: int = 0,
     figures: dict[str, int] | None = None,
+    expected: DataFrame | None = None,
     **options,
 ) -> Snapshot:
     """Keyed upsert into ``name``, created on the first call; returns the new snapshot.
@@ -109,11 +115,14 @@ def upsert_table(
     of Spark's buckets of a new table, by its keys (0: none); an existing one keeps its layout, and
     in buckets only the source is shuffled. ``options`` are those of ``merge_rows``. ``figures`` gets
     the numbers of rows ``inserted`` and ``updated``, counted by the job that writes them.
+    ``expected`` tells how many rows of each partition ``source`` has at most (see ``by_partition``).
     """
     if figures is not None:
         figures |= {"inserted": 0, "updated": 0}
     observed = Observation() if figures is not None else None
-    after = _upserted(source, name, root, keys, fmt, partition_by, buckets, observed, options)
+    after = _upserted(
+        source, name, root, keys, fmt, partition_by, buckets, observed, expected, options
+    )
     if after.is_new and figures is not None:
         figures |= observed.get
     return after.snapshot
@@ -133,6 +142,7 @@ def _upserted(
     partition_by: Sequence[str],
     buckets: int,
     observed: Observation | None,
+    expected: DataFrame | None,
     options: Mapping,
 ) -> _After:
     spark = source.sparkSession
@@ -142,6 +152,7 @@ def _upserted(
         if before is None:
             rows = _merged(None, source, keys, **options)
             layout = {"fmt": fmt, "partition_by": partition_by, "keys": keys, "buckets": buckets}
+            layout |= {"expected": expected}
             return _After(publish(rows, root, name, None, **layout), True)
         layout = {"fmt": before.fmt, "partition_by": before.partition_by}
         target = read_snapshot(spark, root, name, before)
@@ -245,6 +256,7 @@ def _merged(
     add_columns: bool = False,
     duplicates: str = "first",
     keys_present: bool = False,
+    spread: bool = False,
     observed: Observation | None = None,
     **ordering,
 ) -> DataFrame:
@@ -255,7 +267,8 @@ def _merged(
     Spark needs in order to split a hot key.
     """
     check_merge(target, source, keys, add_columns)
-    source = _unique(source, keys, ordering | {"duplicates": duplicates, "keys_present": keys_present})
+    how = {"duplicates": duplicates, "keys_present": keys_present, "spread": spread}
+    source = _unique(source, keys, ordering | how)
     if target is None:
         return observe_merge(source, observed, F.lit(False))
     return merge_rows(
@@ -320,18 +333,21 @@ def write_by_contract(
     keys_unique: bool = False,
     buckets: int | None = None,
     figures: dict[str, int] | None = None,
+    expected: DataFrame | None = None,
+    spread: bool = False,
 ) -> None:
     """Upsert or replace the contract's table, as its write mode says.
 
     A format with a MERGE of its own uses it; a new table of another is stored by its partitions or,
     if it has none, in ``buckets`` by its keys (as many as ``spark.sql.shuffle.partitions``, unless
     given). ``keys_unique`` says that no key of ``df`` repeats. ``figures`` gets the numbers of rows
-    ``inserted`` and ``updated``; a format's own MERGE does not tell them.
+    ``inserted`` and ``updated``; a format's own MERGE does not tell them. ``expected``: see
+    ``by_partition``; ``spread``: see ``dedupe_on_keys``.
     """
     if contract.write_mode != "merge":
         observed = Observation() if figures is not None else None
         rows = observe_merge(df, observed, F.lit(False))
-        create_or_replace(rows, contract.table, root, fmt, contract.partitions)
+        create_or_replace(rows, contract.table, root, fmt, contract.partitions, expected)
         if figures is not None:
             figures |= observed.get
     elif fmt in MERGING_FORMATS:
@@ -358,7 +374,9 @@ def write_by_contract(
             partition_by=contract.partitions,
             buckets=buckets,
             figures=figures,
+            expected=expected,
             keys_present=keys_present,
+            spread=spread,
             **merge_options(contract) | ({"duplicates": "trust"} if keys_unique else {}),
         )
 

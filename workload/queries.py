@@ -148,7 +148,7 @@ def _raw_sales(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_partkey").cast("string").alias("商品ID"),
         F.col("l_quantity").cast("string").alias("数量"),
         F.col("l_extendedprice").cast("string").alias("価格"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("売上日"),
+        F.col("l_shipdate").cast("date").cast("string").alias("売上日"),
     )
 
 
