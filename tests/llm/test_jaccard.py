@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from tests.llm.conftest import NASTY
@@ -212,3 +213,89 @@ def test_parts_do_not_repeat_the_ties_of_earlier_ones(spark, monkeypatch):
     joined = [dict(components(spark.createDataFrame(t, "src long, dst long")).collect()) for t in (few, many)]
     assert joined[0] == joined[1] and len(joined[0]) == 120 and len(set(joined[0].values())) == 40
     assert len(few) <= 120 and len(many) <= 480
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_linked_sets_share_a_segment_with_like_sketches(percent):
+    rng = np.random.default_rng(percent)
+    linked = 0
+    for _ in range(600):
+        n = int(rng.integers(1, 300))
+        base = rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2)
+        less = int(n * (100 - percent) / 100)
+        more = rng.integers(0, 2**63, rng.integers(0, 1 + less)).astype(np.uint64)
+        a, b = np.unique(base), np.unique(np.concatenate([base[rng.integers(0, 1 + less // 2) :], more]))
+        both = len(np.intersect1d(a, b))
+        if 100 * both < percent * (len(a) + len(b) - both):
+            continue
+        linked += 1
+        for common in (a[:0], a[::2], np.union1d(a, b)):
+            sides = [jaccard.segments(x, percent, common) for x in (a, b)]
+            key, sketch = (np.concatenate(x) for x in zip(*sides, strict=True))
+            node = np.repeat([0, 1], [len(k) for k, _ in sides])
+            first, second = jaccard.tied(key, sketch, node)
+            assert np.any(first != second)
+    assert linked > 100
+
+
+def test_many_sketches_of_a_key_are_tied_as_all_pairs_tell():
+    rng = np.random.default_rng(4)
+    for n in (2, 15, 16, 17, 60):
+        key = np.repeat(np.arange(5, dtype=np.uint32), n)
+        sketch = np.uint32(1) << rng.integers(0, 32, 5 * n).astype(np.uint32)
+        for _ in range(4):
+            sketch |= np.uint32(1) << rng.integers(0, 32, 5 * n).astype(np.uint32)
+        sketch[: n // 2] = 5
+        edges = np.stack(jaccard.tied(key, sketch, np.arange(5 * n)), axis=1)
+        near = np.bitwise_count(sketch[:, None] ^ sketch) <= jaccard.CHAIN
+        want = np.argwhere(near & (key[:, None] == key))
+        roots = [jaccard._joined(5 * n, e) for e in (edges, want)]
+        assert np.array_equal(*roots)
+
+
+def ties_of(docs, size, percent, total):
+    return jaccard._candidate_edges(docs, size, percent, total, np.empty(0, np.uint64)).collect()
+
+
+def test_a_phrase_shared_by_chance_ties_few(spark):
+    rng = random.Random(5)
+    texts = [[f"d{k}w{j}" for j in range(150)] for k in range(300)]
+    for k, words in enumerate(texts):
+        # Every text shares seven words with each of some others.
+        for step in range(1, 15):
+            at = rng.randrange(143)
+            texts[(k + step) % 300][at : at + 7] = words[step * 10 : step * 10 + 7]
+    rows = [(k, " ".join(w)) for k, w in enumerate(texts)]
+    near = list(texts[7])
+    near[75] = "x"
+    rows.append((300, " ".join(near)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    edges = ties_of(docs, 5, 80, 300 * 146)
+    marks = {k: jaccard.fingerprint(shingles(hashed_words(t.encode()), 5))[1] for k, t in rows}
+    assert any({e["src"], e["dst"]} == {marks[7], marks[300]} for e in edges)
+    assert len({n for e in edges for n in e}) < 30
+
+
+def test_parts_do_not_make_segments_longer(spark, monkeypatch):
+    texts = [(k, " ".join(f"d{k}w{j}" for j in range(400))) for k in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    total, sent, work = 400 * 396, [], jaccard.map_batches
+
+    def counted(*args):
+        out = work(*args)
+        size = sum(F.length(c) for c, kind in out.dtypes if kind == "binary")
+        sent.append(out.agg(F.sum(size)).first()[0])
+        return out
+
+    monkeypatch.setattr(jaccard, "map_batches", counted)
+    for parts in (1, 200):
+        monkeypatch.setattr(jaccard, "PART_SEGMENTS", -(-total // parts))
+        ties_of(docs, 5, 80, total)
+    assert sent[1] <= 1.05 * sent[0]
+
+
+def test_all_ids_of_a_large_table_have_bits(docs_of, monkeypatch):
+    rows = near_copies(3)
+    monkeypatch.setattr(jaccard, "DOC_BITS", 1)
+    monkeypatch.setattr(jaccard, "MOST_DOC_BITS", 64)
+    assert got(docs_of(rows), 3, 80) == brute_force(rows, 3, 80)

@@ -1,4 +1,5 @@
 import os
+import time
 
 import pytest
 
@@ -42,3 +43,17 @@ def test_stage(spark):
     df = spark.sql("SELECT 1 AS a, CAST(NULL AS STRING) AS `b.c`")
     back = stage(df, "s")
     assert back.schema.simpleString() == df.schema.simpleString() and rows(back) == [(1, None)]
+
+
+def test_what_was_shuffled_to_stage_is_deleted(spark, conf):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size())}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, set_to = shuffled(), spark.conf.get(key)
+    back = stage(spark.range(1000).repartition(7, "id"), "s")
+    end = time.monotonic() + 20
+    while (new := [n for n in shuffled() - before if n.startswith("shuffle_")]) and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not new and spark.conf.get(key) == set_to and back.count() == 1000

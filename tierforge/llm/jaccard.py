@@ -6,18 +6,21 @@ few other pairs:
 1. Equal sets are one set, represented by their least ``doc_id``.
 2. *Blocks of candidates.* Linked sets differ in a bounded number of shingles, at most ``D`` for
    sizes in two neighbouring size bands. The hash range is cut into more than ``D`` segments, so
-   that two linked sets agree in all of at least one segment. Sets that agree in a segment are
-   tied, and connected ones form a cluster. Shingles of passages that many documents share would
-   tie documents that have nothing else in common where they fill a segment; the most common ones
-   are left out of all segments, which loses no link.
+   that two linked sets agree in all of at least one segment. By the pigeonring principle they
+   also agree in one after which the next ``CHAIN`` segments differ in at most ``CHAIN`` shingles;
+   a sketch of those, whose bits differ in no more places than they do, tells most sets apart that
+   share a phrase by chance. Chance grows with the square of the corpus, so this keeps clusters
+   from growing together. Sets that agree in a segment and have such sketches are tied, and
+   connected ones form a cluster. Segments of nothing but the most common shingles are left out
+   like empty ones, as far as that loses no link.
 3. *Blocked product.* A cluster's incidence matrix of documents by shingles is cut into blocks of
    bounded size; pairs of blocks whose sizes can link are multiplied by their transposes, which
    counts the overlaps, and pairs below ``percent * (a + b) / (100 + percent)`` are discarded. A
    pair of blocks returns a spanning forest of its links and a count for each document, never all
    its pairs.
 
-Segments are grouped per batch before they are shuffled, so a group of copies that holds a third
-of all rows adds one segment per batch, not one per document, to any key.
+Equal segments with equal sketches are grouped per batch before they are shuffled, so a group of
+copies that holds a third of all rows adds one per batch, not one per document, to any key.
 
 Defined cases: a null text, or one without words, has an empty set and links with nothing, equal
 ones included; texts shorter than a shingle are one shingle; equal rows link; a row without
@@ -47,10 +50,16 @@ BLOCK_DOCS, BLOCK_SHINGLES = 512, 1 << 18
 COMMON = 0.0005
 # Segments of a part of the range of hashes, about: so many shingles have no more of them.
 PART_SEGMENTS = 1 << 20
-# Least segments of a set by which a part knows what earlier ones tied.
-EARLY = 2
-# Bits of the set of ids whose texts are looked at again.
-DOC_BITS = 1 << 20
+# So many parts are worked on by one task, which does not repeat ties.
+TOGETHER = 16
+# As many sets as a task remembers the ties of.
+KNOWN = 1 << 20
+# Segments that the sketch of a segment covers, and bits in which those of linked sets may differ.
+CHAIN = 4
+# Sets that agree in a segment are compared all at once for up to so many sketches.
+_FEW = 16
+# Bits of the set of ids whose texts are looked at again, at least and at most.
+DOC_BITS, MOST_DOC_BITS = 1 << 20, 1 << 27
 # Keys over which a band of a cluster is spread where its members join what is known of it.
 SPREAD = 16
 # Rows of a batch that are worked on together.
@@ -61,7 +70,7 @@ _COLUMNS = 2048
 
 _NONE = np.empty(0, np.uint64)
 _SEED = np.uint64(0xA0761D6478BD642F)
-_EMPTY_SEGMENT = np.uint64(0xE7037ED1A0B428DB)
+_PLACES = np.int64(0xFFFF)
 
 
 def fingerprint(sets: np.ndarray) -> tuple[int, int]:
@@ -75,6 +84,8 @@ def fingerprint(sets: np.ndarray) -> tuple[int, int]:
 # Bands and schemes that have been worked out, by their arguments.
 _STARTS: dict[int, list[int]] = {}
 _SCHEMES: dict[tuple[int, int], tuple[int, int]] = {}
+# Hashes of the segments' numbers, by band and how many there are.
+_LABELS: dict[tuple[int, int], np.ndarray] = {}
 
 
 def band_starts(percent: int, upto: int) -> list[int]:
@@ -95,7 +106,7 @@ def scheme(band: int, percent: int) -> tuple[int, int]:
 
     Linked sets differ in at most ``D`` shingles, hence in at most ``D`` segments. Segments that
     are empty in both agree without saying anything, so ``spare`` more are cut than needed; a set
-    with more empty segments than that also shows some of them (see ``segment_keys``).
+    with more empty segments than that also shows some of them (see ``segments``).
     """
     if (band, percent) in _SCHEMES:
         return _SCHEMES[band, percent]
@@ -112,33 +123,132 @@ def scheme(band: int, percent: int) -> tuple[int, int]:
     return _SCHEMES[band, percent]
 
 
-def segment_keys(sets: np.ndarray, percent: int, common: np.ndarray = _NONE) -> np.ndarray:
-    """Hashes of the segments of a sorted set, for its band and the one below.
+def _labels(band: int, count: int) -> np.ndarray:
+    if (band, count) not in _LABELS:
+        _LABELS[band, count] = mix(np.arange(count, dtype=np.uint64) + np.uint64(band << 40))
+    return _LABELS[band, count]
+
+
+def segments(
+    sets: np.ndarray, percent: int, common: np.ndarray = _NONE
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and sketches of the segments of a sorted set, for its band and the one below.
+
+    Let linked sets differ in ``d[i]`` shingles of segment ``i``. The sum of ``1 - d[i]`` over all
+    segments is above ``spare``, so (cycle lemma) more than ``spare`` segments are such that any
+    run from there on, round the ring, of ``k`` segments has fewer than ``k`` differences: both
+    sets agree in that segment, and the next ``CHAIN`` differ in at most ``CHAIN`` shingles. A
+    sketch holds the parity of these next shingles in 32 places.
 
-    Shingles in ``common`` (sorted) are left out of the segments. Whichever they are, what is left
-    of linked sets differs in no more shingles than the whole of them.
+    Segments without shingles, or with ``common`` ones only (sorted), are bare and the last
+    ``spare`` bare ones are not shown. Should all of the segments above be bare, then the first of
+    them is shown by both sets, as more than ``spare`` are.
     """
-    own = band_of(len(sets), percent)
+    own, n = band_of(len(sets), percent), len(sets)
+    hashed = mix(sets)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(hashed, out=total[1:])
+    rare = np.arange(n + 1)
     if len(common):
         at = np.minimum(np.searchsorted(common, sets), len(common) - 1)
-        sets = sets[common[at] != sets]
-    total = np.zeros(len(sets) + 1, np.uint64)
-    np.cumsum(mix(sets), out=total[1:])
-    out = []
+        np.cumsum(common[at] != sets, out=rare[1:])
+    odd = np.zeros(n + 1, np.uint32)
+    bit = np.uint32(1) << (hashed >> np.uint64(59)).astype(np.uint32)
+    np.bitwise_xor.accumulate(bit, out=odd[1:])
+    odd = np.concatenate([odd, odd[-1] ^ odd[1:]])
+    keys, sketches = [], []
     for band in (own - 1, own) if own else (own,):
-        segments, spare = scheme(band, percent)
-        place = (sets >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)
-        first = np.flatnonzero(np.diff(place.astype(np.int64), prepend=-1))
-        last = np.append(first[1:], len(sets))[: len(first)]
-        label = mix(place[first] + np.uint64(band << 40))
-        out.append(mix((total[last] - total[first]) + label))
-        empty = segments - len(first)
-        if empty > spare:
-            # Sets that share more than ``spare`` empty segments share one of the first of them.
-            gone = np.setdiff1d(np.arange(segments, dtype=np.uint64), place[first])
-            shown = gone[: empty - spare]
-            out.append(mix(mix(shown + np.uint64(band << 40)) ^ _EMPTY_SEGMENT))
-    return np.concatenate(out)
+        count, spare = scheme(band, percent)
+        place = (sets >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)
+        at = np.zeros(count + 1, np.int64)
+        np.cumsum(np.bincount(place.astype(np.int64), minlength=count), out=at[1:])
+        label = _labels(band, count)
+        bare = np.flatnonzero(rare[at[1:]] == rare[at[:-1]])
+        shown = np.ones(count, bool)
+        shown[bare[max(0, len(bare) - spare) :]] = False
+        keys.append(mix((total[at[1:]] - total[at[:-1]]) + label)[shown])
+        ring, chain = np.concatenate([at, at[1:] + n]), min(CHAIN, count - 1)
+        after = odd[ring[chain + 1 : chain + 1 + count]] ^ odd[ring[1 : count + 1]]
+        sketches.append(after[shown])
+    return np.concatenate(keys), np.concatenate(sketches)
+
+
+def segment_keys(sets: np.ndarray, percent: int, common: np.ndarray = _NONE) -> np.ndarray:
+    """The hashes alone."""
+    return segments(sets, percent, common)[0]
+
+
+def tied(key: np.ndarray, sketch: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of nodes that connect all those with equal keys whose sketches are ``CHAIN`` alike.
+
+    Of equal sketches one is compared, and with many of them each only with those not yet reached.
+    """
+    both = key.astype(np.uint64) << np.uint64(32) | sketch
+    order = np.lexsort((node, both))
+    both, node = both[order], node[order]
+    new = np.concatenate([[True], both[1:] != both[:-1]])
+    a, b = [node[new][np.cumsum(new) - 1][~new]], [node[~new]]
+    both, node = both[new], node[new]
+    key, sketch = both >> np.uint64(32), both.astype(np.uint32)
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    width = np.diff(np.append(starts, len(key)))
+    few = np.repeat((width > 1) & (width <= _FEW), width)
+    k, s, v = key[few], sketch[few], node[few]
+    for step in range(1, _FEW):
+        same = np.flatnonzero(k[step:] == k[:-step]) if step < len(k) else []
+        if not len(same):
+            break
+        near = same[np.bitwise_count(s[same] ^ s[same + step]) <= CHAIN]
+        a.append(v[near])
+        b.append(v[near + step])
+    for first in np.flatnonzero(width > _FEW):
+        group = slice(starts[first], starts[first] + width[first])
+        s, v = sketch[group], node[group]
+        left, reached = np.arange(len(s)), []
+        while len(left):
+            if not reached:
+                reached, left = [left[0]], left[1:]
+            at = reached.pop()
+            near = np.bitwise_count(s[left] ^ s[at]) <= CHAIN
+            if near.any():
+                a.append(np.full(np.count_nonzero(near), v[at]))
+                b.append(v[left[near]])
+                reached.extend(left[near].tolist())
+                left = left[~near]
+    return np.concatenate(a), np.concatenate(b)
+
+
+class _Ties:
+    """What a task has tied: of ties it is given, it returns those that connect anything new."""
+
+    def __init__(self):
+        self.node = self.label = np.empty(0, np.int64)
+
+    def new(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ends, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+        label, known = ends.copy(), np.zeros(len(ends), bool)
+        if len(self.node):
+            at = np.minimum(np.searchsorted(self.node, ends), len(self.node) - 1)
+            known = self.node[at] == ends
+            label[known] = self.label[at[known]]
+        first, second = label[place].reshape(2, -1)
+        apart = first != second
+        sides = np.concatenate([first[apart], second[apart]])
+        roots, place = np.unique(sides, return_inverse=True)
+        kept = np.array(_spanning(len(roots), *place.reshape(2, -1)), np.int64).reshape(-1, 2)
+        now = roots[_joined(len(roots), kept)]
+        if len(roots):
+            for labels in (self.label, label):
+                at = np.minimum(np.searchsorted(roots, labels), len(roots) - 1)
+                moved = roots[at] == labels
+                labels[moved] = now[at[moved]]
+        if len(self.node) + len(ends) > KNOWN:
+            self.node, self.label = ends, label
+        else:
+            at = np.searchsorted(self.node, ends[~known])
+            self.node = np.insert(self.node, at, ends[~known])
+            self.label = np.insert(self.label, at, label[~known])
+        return roots[kept[:, 0]], roots[kept[:, 1]]
 
 
 def prints(docs: DataFrame, size: int, percent: int, key: Column | None = None) -> DataFrame:
@@ -201,32 +311,19 @@ def common_shingles(docs: DataFrame, size: int, rows: int) -> np.ndarray:
 def _candidate_edges(
     docs: DataFrame, size: int, percent: int, total: int, common: np.ndarray
 ) -> DataFrame:
-    """``src, dst``: sets, by the low half of their fingerprints, that agree in a segment.
-
-    ``total`` is the number of shingles of all rows. A batch ties its own sets itself, and of each
-    segment sends on just one, packed with others of the same part of the range of hashes: six
-    bytes of the segment's hash (the part tells more), and which of the batch's sets it is. A part
-    holds a bounded number of segments, so that false agreement is as rare in a larger corpus.
-
-    Sets that agree in many segments meet in many parts, and more so the more parts there are. So a
-    set brings its ``EARLY`` least segments along: sets with one of them in common are tied in the
-    part that it belongs to, and later parts need not tie them again. Of what is left, batches and
-    parts return a spanning forest.
+    """``src, dst``: sets, by the low half of their fingerprints, that are tied.
+
+    ``total`` is the number of shingles of all rows. Of equal segments with equal sketches a batch
+    sends on just one, packed with others of the same part of the range of hashes: four bytes of the
+    segment's hash (the part tells more), four of its sketch, and which of the batch's sets it is.
+    A batch goes by a hash of its sets, whose names it sends once. So a segment takes ten bytes
+    however many parts there are, and a part holds a bounded number of segments, so that false
+    agreement is as rare in a larger corpus. A task works on several parts, and returns only ties
+    that connect what it has not yet connected.
     """
     parts = max(1, -(-total // PART_SEGMENTS))
-    names = ("nodes", "keys", "place", "early", "ties")
-
-    def part_of(key: np.ndarray) -> np.ndarray:
-        return ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-
-    def packed(key: np.ndarray) -> bytes:
-        return np.ascontiguousarray(key).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-    def unpacked(data: bytes) -> np.ndarray:
-        key = np.zeros((len(data) // 6, 8), np.uint8)
-        key[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-        return key.reshape(-1).view(np.uint64)
-    arrow = pa.schema([("part", pa.int64()), *((n, pa.binary()) for n in names)])
+    names = ("keys", "sketches", "places", "ties", "sets")
+    arrow = pa.schema([("part", pa.int64()), ("batch", pa.int64()), *((n, pa.binary()) for n in names)])
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
         for first in range(0, batch.num_rows, 2 * _SLICE):
@@ -234,106 +331,100 @@ def _candidate_edges(
 
     def pack(bodies: Iterator[bytes]) -> Iterator[dict]:
         seen: set[tuple[int, int]] = set()
-        keys, nodes, least = [], [], []
+        keys, sketches, nodes = [], [], []
         for text in bodies:
             own = shingles(hashed_words(text.lower()), size)
             if len(own) and (mark := fingerprint(own)) not in seen:
                 seen.add(mark)
-                keys.append(segment_keys(own, percent, common))
+                key, sketch = segments(own, percent, common)
+                keys.append(key)
+                sketches.append(sketch)
                 nodes.append(mark[1])
-                least.append(np.resize(np.sort(keys[-1])[:EARLY], EARLY))
         if not nodes:
             return
-        own = np.repeat(np.arange(len(nodes)), [len(k) for k in keys])
+        own = np.repeat(np.arange(len(nodes), dtype=np.uint16), [len(k) for k in keys])
         node = np.array(nodes, np.int64)
-        key = np.concatenate(keys)
-        order = np.lexsort((node[own], key))
-        key, own = key[order], own[order]
-        new = np.concatenate([[True], key[1:] != key[:-1]])
-        leader = own[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        ties = np.array(_spanning(len(node), leader, own), np.int64).reshape(-1, 2)
-        key, own = key[new], own[new]
-        part = part_of(key)
-        early = np.stack(least)
-        early_part = part_of(early)
+        key, sketch = np.concatenate(keys), np.concatenate(sketches)
+        del keys, sketches
+        order = np.lexsort((sketch, key))
+        key, sketch, own = key[order], sketch[order], own[order]
+        del order
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (sketch[1:] != sketch[:-1])
+        leader = own[new][np.cumsum(new) - 1][~new]
+        ties = np.array(_spanning(len(node), leader, own[~new]), np.uint16).reshape(-1, 2)
+        key, sketch, own = key[new], sketch[new], own[new]
+        part = ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        key = key.astype(np.uint32)
+        batch = mix(mix(node.view(np.uint64)) + np.arange(len(node), dtype=np.uint64))
+        batch = batch.sum(dtype=np.uint64, keepdims=True).view(np.int64)[0] & ~_PLACES
         at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        out: dict[str, list] = {n: [] for n in arrow.names}
-        for k, (low, high) in enumerate(zip(at, [*at[1:], len(key)], strict=True)):
-            used, place = np.unique(own[low:high], return_inverse=True)
-            out["part"].append(part[low])
-            out["nodes"].append(node[used].tobytes())
-            out["keys"].append(packed(key[low:high]))
-            out["place"].append(place.astype(np.uint16).tobytes())
-            # Of segments that are not of an earlier part, the set's own name stands instead.
-            done = early_part[used] < part[low]
-            out["early"].append(
-                packed(np.where(done, early[used], node[used].view(np.uint64)[:, None]))
-                if done.any() else b""
-            )
-            out["ties"].append(b"" if k else node[ties].tobytes())
-        yield out
-
-    def agree(records: list[dict]) -> pa.RecordBatch:
-        keys, nodes, ties, early, named = [], [], [], [], []
-        for r in records:
-            keys.append(unpacked(r["keys"]))
-            own = np.frombuffer(r["nodes"], np.int64)
-            nodes.append(own[np.frombuffer(r["place"], np.uint16)])
-            ties.append(np.frombuffer(r["ties"], np.int64).reshape(-1, 2))
-            if r["early"]:
-                early.append(unpacked(r["early"]))
-                named.append(np.repeat(own, EARLY))
-        key, node = np.concatenate(keys), np.concatenate(nodes)
-        order = np.lexsort((node, key))
-        key, node = key[order], node[order]
-        new = np.concatenate([[True], key[1:] != key[:-1]])
-        leader = node[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        apart = leader != node
-        tied, place = np.unique(np.concatenate([leader[apart], node[apart]]), return_inverse=True)
-        first, second = place.reshape(2, -1)
-        before = (np.empty(0, np.int64),) * 2
-        if early and len(tied):
-            key, node = np.concatenate(early), np.concatenate(named)
-            at = np.minimum(np.searchsorted(tied, node), len(tied) - 1)
-            met = tied[at] == node
-            key, at = key[met], at[met]
-            order = np.argsort(key, kind="stable")
-            key, at = key[order], at[order]
-            new = np.concatenate([[True], key[1:] != key[:-1]])
-            before = at[np.flatnonzero(new)[np.cumsum(new) - 1]], at
-        kept = np.array(_spanning(len(tied), first, second, before), np.int64).reshape(-1, 2)
-        edges = np.concatenate([tied[kept].reshape(-1, 2), *ties])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["src", "dst"]
-        )
+        bounds = list(zip(at, [*at[1:], len(key)], strict=True))
+        more = len(bounds) - 1
+        yield {
+            "part": part[at],
+            "batch": np.full(len(bounds), batch),
+            "keys": [key[low:high].tobytes() for low, high in bounds],
+            "sketches": [sketch[low:high].tobytes() for low, high in bounds],
+            "places": [own[low:high].tobytes() for low, high in bounds],
+            "ties": [ties.tobytes(), *[b""] * more],
+            "sets": [node.tobytes(), *[b""] * more],
+        }
+
+    def agree(records: list[dict], ties: _Ties) -> Iterator[pa.RecordBatch]:
+        def column(name, kind):
+            return [np.frombuffer(r[name], kind) for r in records]
+
+        def of_batches(found):
+            return [r["batch"] | f.astype(np.int64) for r, f in zip(records, found, strict=True)]
+
+        node = np.concatenate(of_batches(column("places", np.uint16)))
+        key, sketch = (np.concatenate(column(n, np.uint32)) for n in ("keys", "sketches"))
+        a, b = tied(key, sketch, node)
+        own = np.concatenate(of_batches(column("ties", np.uint16))).reshape(-1, 2)
+        src, dst = ties.new(np.concatenate([a, own[:, 0]]), np.concatenate([b, own[:, 1]]))
+        named = column("sets", np.int64)
+        low = np.concatenate(named)
+        number = np.concatenate(of_batches([np.arange(len(n)) for n in named]))
+        for columns in ((src, dst, None), (number, None, low)):
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(columns[0]), pa.int64()) if c is None else pa.array(c) for c in columns],
+                names=["src", "dst", "low"],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held = None, []
-        for batch in batches:
+        current, held, ties = None, [], _Ties()
+        for batch in (b.slice(k, 64) for b in batches for k in range(0, b.num_rows, 64)):
             for record in batch.to_pylist():
                 if record["part"] != current:
                     if held:
-                        yield agree(held)
+                        yield from agree(held, ties)
                     current, held = record["part"], []
                 held.append(record)
         if held:
-            yield agree(held)
+            yield from agree(held, ties)
 
-    schema = "part long, " + ", ".join(f"{n} binary" for n in names)
+    schema = "part long, batch long, " + ", ".join(f"{n} binary" for n in names)
     rows = map_batches(docs.select("text"), work, schema, arrow)
-    dealt = rows.repartition(min(parts, 1 << 14), "part").sortWithinPartitions("part")
-    return dealt.mapInArrow(run, "src long, dst long").distinct()
-
+    tasks = min(-(-parts // TOGETHER), 1 << 14)
+    dealt = rows.repartition(tasks, "part").sortWithinPartitions("part")
+    found = stage(dealt.mapInArrow(run, "src long, dst long, low long"), "ties")
+    name = found.filter("low is not null")
+    return (
+        found.filter("low is null").select("src", "dst").distinct()
+        .join(name.select("src", F.col("low").alias("a")), "src")
+        .join(name.select(F.col("src").alias("dst"), F.col("low").alias("b")), "dst")
+        .select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    )
 
-def _cells(inner: DataFrame, members: DataFrame) -> DataFrame:
-    """Members (``cluster, rep, n, copies, band, sets``) dealt to pairs of blocks.
 
-    ``inner`` has the same without ``sets``, and tells how large clusters are.
+def _blocks(inner: DataFrame) -> DataFrame:
+    """``inner`` (``cluster, low, n, band`` and more) with its block and the numbers of blocks.
 
-    A cluster of one block is one cell. In a larger one, each band is cut into blocks by the hash
-    of the member; a block meets the blocks of its band and of the next. ``side`` is 0 where the
-    block meets itself, else 1 and 2. Members learn the numbers of blocks in a join that spreads
-    each band of a cluster over ``SPREAD`` keys.
+    A cluster of one block (``whole``) is one cell. In a larger one, each band is cut into
+    ``blocks`` by the hash of the member, which is in block ``x``; ``above`` and ``below`` are the
+    numbers of blocks of the neighbouring bands. Members learn them in a join that spreads each
+    band of a cluster over ``SPREAD`` keys.
     """
 
     def blocks(docs: Column, shingles: Column) -> Column:
@@ -358,13 +449,22 @@ def _cells(inner: DataFrame, members: DataFrame) -> DataFrame:
         .join(whole, "cluster")
         .withColumn("spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
     )
-    hashed = F.xxhash64("rep")
-    dealt = (
-        members.withColumn("spread", F.pmod(hashed, F.lit(SPREAD)).cast("int"))
+    hashed = F.xxhash64("low")
+    return (
+        inner.withColumn("spread", F.pmod(hashed, F.lit(SPREAD)).cast("int"))
         .join(plan, ["cluster", "band", "spread"])
         .withColumn("x", F.pmod(F.shiftrightunsigned(hashed, 16), F.col("blocks")).cast("int"))
+        .drop("spread")
     )
 
+
+def _cells(members: DataFrame) -> DataFrame:
+    """Members (``rep, copies, sets`` and what ``_blocks`` adds) dealt to pairs of blocks.
+
+    A block meets the blocks of its band and of the next. ``side`` is 0 where the block meets
+    itself, else 1 and 2.
+    """
+
     def cell(y, band, first, second, nxt, side):
         return F.struct(
             F.struct(
@@ -378,8 +478,8 @@ def _cells(inner: DataFrame, members: DataFrame) -> DataFrame:
         )
 
     def upto(n):
-        n = F.coalesce(F.col(n), F.lit(0))
-        return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        n = F.coalesce(F.col(n), F.lit(0).cast("long"))
+        return F.when(n > 0, F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.array().cast("array<long>"))
 
     x, band, none = F.col("x"), F.col("band"), F.lit(0).cast("long")
     only = F.array(cell(none, none, none, none, False, F.lit(0)))
@@ -391,8 +491,8 @@ def _cells(inner: DataFrame, members: DataFrame) -> DataFrame:
     above = F.transform(upto("above"), lambda y: cell(y, band, x, y, True, F.lit(1)))
     below = F.transform(upto("below"), lambda y: cell(y, band - 1, y, x, True, F.lit(2)))
     cells = F.when(F.col("whole") == 1, only).otherwise(F.concat(within, above, below))
-    return dealt.select(F.explode(cells).alias("c"), "rep", "n", "copies", "sets").select(
-        "c.cell", "c.side", "rep", "n", "copies", "sets"
+    return members.select(F.explode(cells).alias("c"), "rep", "copies", "sets").select(
+        "c.cell", "c.side", "rep", "copies", "sets"
     )
 
 
@@ -449,23 +549,22 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
-def _spanning(
-    n: int, a: np.ndarray, b: np.ndarray, before: tuple[np.ndarray, np.ndarray] | None = None
-) -> list[tuple[int, int]]:
-    """``_forest`` of ties that repeat; what ``before`` connects needs no more edges."""
+def _spanning(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """``_forest`` of ties that repeat."""
+    both = np.unique(a[a != b].astype(np.int64) * n + b[a != b])
+    return _forest(n, both // max(n, 1), both % max(n, 1))
 
-    def distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        both = np.unique(a[a != b].astype(np.int64) * n + b[a != b])
-        return both // max(n, 1), both % max(n, 1)
 
-    edges = distinct(a, b)
-    if before is None:
-        return _forest(n, *edges)
-    known = _forest(n, *distinct(*before))
-    first, second = (np.array([e[k] for e in known], np.int64) for k in (0, 1))
-    both = (np.concatenate(pair) for pair in zip((first, second), edges, strict=True))
-    # The edges that connect come in order: those known come before all others, and each connects.
-    return _forest(n, *both)[len(known) :]
+def _joined(n: int, edges: np.ndarray) -> np.ndarray:
+    """For each of ``n`` nodes, one that all those the ``edges`` connect have in common."""
+    parent = np.arange(n)
+    while len(edges):
+        ends = parent[edges]
+        edges = edges[ends[:, 0] != ends[:, 1]]
+        np.minimum.at(parent, ends.max(axis=1), ends.min(axis=1))
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+    return parent
 
 
 def _links(cells: DataFrame, percent: int) -> DataFrame:
@@ -548,8 +647,8 @@ def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     clusters = components(_candidate_edges(docs, size, percent, total or 0, common))
     clusters = clusters.select(F.col("node").alias("low"), F.col("component").alias("cluster"))
     inner = stage(sets.withColumnRenamed("n_shingles", "n").join(clusters, "low"), "inner")
-    members = _member_sets(docs, inner, size)
-    found = stage(_links(_cells(inner, members), percent), "links")
+    members = _member_sets(docs, stage(_blocks(inner), "blocks"), size, rows)
+    found = stage(_links(_cells(members), percent), "links")
     groups = components(found.filter("dst is not null").select("src", "dst"))
     links = found.filter("links is not null").groupBy("src").agg(F.sum("links").alias("links"))
     placed = stage(
@@ -587,22 +686,23 @@ def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return grouped.union(alone)
 
 
-def _member_sets(docs: DataFrame, inner: DataFrame, size: int) -> DataFrame:
+def _member_sets(docs: DataFrame, inner: DataFrame, size: int, rows: int) -> DataFrame:
     """The sets of the representatives that are in a cluster, from their texts.
 
     In the result, ``rep`` is the low half of the fingerprint.
-    A bit set of their ids, of ``DOC_BITS`` at most and joined as 64-bit words, keeps most other
-    texts from being shuffled. It is tested by Spark, so that no second Python worker is held by
-    the tasks that make the sets.
+    A bit set of their ids, joined as 64-bit words, keeps most other texts from being shuffled; it
+    has at least four bits for each of the ``rows``, up to ``MOST_DOC_BITS``. It is tested by Spark,
+    so that no second Python worker is held by the tasks that make the sets.
     """
-    place = F.col("rep").bitwiseAND(F.lit(DOC_BITS - 1).cast("long"))
+    bits = min(max(DOC_BITS, 1 << (4 * rows).bit_length()), MOST_DOC_BITS)
+    place = F.col("rep").bitwiseAND(F.lit(bits - 1).cast("long"))
     word, bit = F.shiftright(place, 6), place.bitwiseAND(F.lit(63).cast("long")).cast("int")
     likely = (
         inner.select(word.alias("word"), bit.alias("bit"))
         .groupBy("word")
         .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
     )
-    names = ("cluster", "rep", "n", "copies", "band")
+    names = ("cluster", "rep", "copies", "band", "whole", "blocks", "above", "below", "x")
     arrow = pa.schema([*((n, pa.int64()) for n in names), ("sets", pa.binary())])
 
     def work(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -631,7 +731,9 @@ def _member_sets(docs: DataFrame, inner: DataFrame, size: int) -> DataFrame:
         .select("rep", "text")
     )
     return map_batches(
-        texts_of.join(inner, "rep").select(*names, "high", "low", "text"),
+        texts_of.join(inner, "rep").select(
+            *(F.col(n).cast("long").alias(n) for n in names), "high", "low", "text"
+        ),
         work,
         ", ".join(f"{n} long" for n in names) + ", sets binary",
         arrow,
